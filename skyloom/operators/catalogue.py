@@ -169,7 +169,6 @@ def facet_candidates(
         requests,
         renamed,
         [],
-        first,
         F.array(F.coalesce(F.col(first), open_mark)),
         F.array(F.col(f"c_{first}"), open_mark),
         keep,

@@ -1,0 +1,157 @@
+"""What requests cost: fields, weighted fields, grid points and cost classes."""
+
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from skyloom.functions.space import points_in_box
+from skyloom.operators.constraints import intersect
+from skyloom.operators.cubes import field_count, unfold
+from skyloom.tables import literal_map, literal_rows
+
+
+def granules(
+    requests: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
+) -> DataFrame:
+    """Distinct available field combinations of every request.
+
+    Unlike plain intersection, a key that the request lacks fails a constraint
+    that has it; a key the constraint lacks is not part of the combination.
+    """
+    found = intersect(requests, constraints, keys, scope, id_column)
+    # an absent key must survive the unfolding as NULL
+    for key in keys:
+        found = found.withColumn(key, F.explode_outer(key))
+    return found.select(id_column, *keys).distinct()
+
+
+def count_granules(found: DataFrame, id_column: str = "request_id") -> DataFrame:
+    return found.groupBy(id_column).agg(F.count(F.lit(1)).alias("n_granules"))
+
+
+def count_granules_roughly(
+    requests: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
+) -> DataFrame:
+    """Sum of the products over the constraints, overlaps counted more than once."""
+    found = intersect(requests, constraints, keys, scope, id_column)
+    product = reduce(
+        lambda a, k: a * F.coalesce(F.nullif(F.size(k), F.lit(-1)), F.lit(1)), keys, F.lit(1).cast("bigint")
+    )
+    # constraints that cut a request down to the same cube count once
+    return found.select(id_column, *keys).distinct().groupBy(id_column).agg(F.sum(product).alias("n_granules"))
+
+
+def weigh_granules(
+    found: DataFrame,
+    weighted_values: Mapping[str, Mapping[str, int]],
+    weighted_keys: Mapping[str, int],
+    id_column: str = "request_id",
+) -> DataFrame:
+    """Sum over granules of their value weights times the key weights; a granule without a weighted key is dropped."""
+    weight = F.lit(1).cast("bigint")
+    for key, weights in weighted_values.items():
+        weight = weight * F.coalesce(F.try_element_at(literal_map(dict(weights)), F.coalesce(key, F.lit(""))), F.lit(1))
+    for key, factor in weighted_keys.items():
+        found = found.where(F.col(key).isNotNull())
+        weight = weight * factor
+    return found.groupBy(id_column).agg(F.sum(weight).alias("weighted_granules"))
+
+
+def estimate_fields(
+    keys: Sequence[str],
+    weighted_values: Mapping[str, Mapping[str, int]] = {},
+    weighted_keys: Mapping[str, int] = {},
+    ignored: Sequence[str] = ("area",),
+) -> Column:
+    """Fast count of fields: product over keys of the values with their extra weight, times the key weight.
+
+    Repeated values count each time; a weighted value adds its extra once.
+    """
+    product = F.lit(1).cast("bigint")
+    for key in keys:
+        if key in ignored:
+            continue
+        n = F.size(key).cast("bigint")
+        for value, weight in weighted_values.get(key, {}).items():
+            n = n + F.when(F.array_contains(key, F.lit(value)), F.lit(weight - 1)).otherwise(F.lit(0))
+        factor = n * weighted_keys.get(key, 1)
+        product = product * F.when(F.col(key).isNotNull(), factor).otherwise(F.lit(1))
+    return product
+
+
+def fill_missing_keys(
+    requests: DataFrame, form: DataFrame, keys: Sequence[str], scope: Sequence[str] = ("dataset",)
+) -> DataFrame:
+    """Give every absent key its first allowed value, so that a size can be worked out."""
+    first = form.where(F.col("key").isin(list(keys))).groupBy(*scope).pivot("key", list(keys)).agg(F.min("value"))
+    first = first.withColumnsRenamed({k: f"_first_{k}" for k in keys})
+    filled = requests.join(first, list(scope), "left")
+    return filled.withColumns(
+        {k: F.coalesce(F.col(k), F.array(F.col(f"_first_{k}"))) for k in keys}
+    ).drop(*[f"_first_{k}" for k in keys])
+
+
+def precise_size(
+    requests: DataFrame,
+    constraints: DataFrame,
+    form: DataFrame,
+    keys: Sequence[str],
+    weight: int = 1,
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
+) -> DataFrame:
+    filled = fill_missing_keys(requests, form, keys, scope)
+    counted = count_granules(granules(filled, constraints, keys, scope, id_column), id_column)
+    sized = requests.select(id_column).join(counted, id_column, "left")
+    return sized.select(id_column, (F.coalesce("n_granules", F.lit(0)) * weight).alias("precise_size"))
+
+
+def grid_area_weight(north: Column, west: Column, south: Column, east: Column, d_lat: float = 0.25, d_lon: float = 0.25) -> Column:
+    """Grid points of a box for the grid store: signed extent, never negative, 1 without a box."""
+    points = points_in_box(north, west, south, east, d_lat, d_lon, least=0, signed=True)
+    return F.when(north.isNull(), F.lit(1)).otherwise(points)
+
+
+def observation_area_weight(
+    north: Column, west: Column, south: Column, east: Column, has_stations: Column, d_lat: float = 1.0, d_lon: float = 1.0
+) -> Column:
+    """The same for observations: absolute extent, at least 1, the globe without a box, 1 for stations."""
+    n, w = F.coalesce(north, F.lit(90.0)), F.coalesce(west, F.lit(-180.0))
+    s, e = F.coalesce(south, F.lit(-90.0)), F.coalesce(east, F.lit(180.0))
+    return F.when(has_stations, F.lit(1)).otherwise(points_in_box(n, w, s, e, d_lat, d_lon, least=1, signed=False))
+
+
+def highest_ratio(costs: Mapping[str, Column], limits: Mapping[str, float]) -> Column:
+    """Which cost is the largest against its limit; the first in limit order on a tie, NULL when all are 0."""
+    best, best_ratio = F.lit(None).cast("string"), F.lit(0.0)
+    for kind, limit in limits.items():
+        cost = costs.get(kind, F.lit(0))
+        ratio = (cost / F.lit(float(limit))) if limit > 0 else F.lit(1.0)
+        better = ratio > best_ratio
+        best = F.when(better, F.lit(kind)).otherwise(best)
+        best_ratio = F.when(better, ratio).otherwise(best_ratio)
+    return best
+
+
+def cost_class(value: Column, bounds: Sequence[float] | Mapping[str, float], last: str | None = None) -> Column:
+    """Class of a cost by inclusive upper bounds: an index, or the name of the bound."""
+    if isinstance(bounds, Mapping):
+        named = sorted((bound, name) for name, bound in bounds.items())
+        result = F.lit(last if last is not None else str(len(named)))
+        for bound, name in reversed(named):
+            result = F.when(value <= bound, F.lit(name)).otherwise(result)
+        return result
+    result = F.lit(len(bounds))
+    for i, bound in reversed(list(enumerate(sorted(bounds)))):
+        result = F.when(value <= bound, F.lit(i)).otherwise(result)
+    return result

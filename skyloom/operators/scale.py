@@ -63,19 +63,10 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def tokens(values: Column, other_side_may_be_open: bool = True) -> Column:
-    """Join tokens of one key: its values, and a mark that meets a side which leaves the key open."""
-    mark = F.array(F.lit(ABSENT))
-    if not other_side_may_be_open:
-        return values
-    return F.when(values.isNull(), mark).otherwise(values)
-
-
 def matching_pairs(
     left: DataFrame,
     right: DataFrame,
     scope: Sequence[str],
-    by: str,
     left_tokens: Column,
     right_tokens: Column,
     keep: Column | None = None,
@@ -88,7 +79,7 @@ def matching_pairs(
     A pair that meets on several tokens is kept on the smallest one only, so
     nothing has to be made distinct afterwards.
     """
-    l_set, r_set, token = f"_{by}_left", f"_{by}_right", f"_{by}_token"
+    l_set, r_set, token = "_left_tokens", "_right_tokens", "_token"
     lefts = left.withColumn(l_set, left_tokens).withColumn(token, F.explode(l_set))
     rights = right.withColumn(r_set, right_tokens).withColumn(token, F.explode(r_set))
     on = [*scope, token]

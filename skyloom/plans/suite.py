@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from skyloom.plans import suite_cubes, suite_grid  # noqa: F401
+from skyloom.plans import suite_cubes, suite_grid, suite_observations, suite_planning  # noqa: F401
 from skyloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
