@@ -1,6 +1,15 @@
 """All registered queries."""
 
-from skyloom.plans import suite_cubes, suite_grid, suite_observations, suite_planning  # noqa: F401
+from skyloom.plans import (  # noqa: F401
+    suite_catalogue,
+    suite_cubes,
+    suite_grid,
+    suite_observations,
+    suite_planning,
+    suite_requests,
+    suite_rules,
+    suite_streaming,
+)
 from skyloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
