@@ -165,3 +165,13 @@ def partial_date_bounds(start: str, end: str) -> tuple[Column, Column]:
         return low, F.lit(end).cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(0.000001))
     fill, unit = units.get(len(end), ("", F.make_dt_interval(days=F.lit(1))))
     return low, F.lit(end + fill).cast("timestamp_ntz") + unit
+
+
+def relative_range(text: str, as_of: Column) -> tuple[Column, Column]:
+    """Ends of a range such as ``current-30/current``, either end relative or a plain date."""
+    first, _, last = text.partition("/")
+
+    def end(part: str) -> Column:
+        return F.coalesce(current_date_text(F.lit(part), as_of), parse_date(F.lit(part)))
+
+    return end(first), end(last or first)

@@ -2,13 +2,14 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions.space import cell_of_point, cells_of_box
-from skyloom.operators.scale import group_ordinals, matching_pairs
+from skyloom.operators.scale import group_ordinals, matching_pairs, salted_join
 
 EDGES = ("north", "west", "south", "east")
+SALTS = 8  # many boxes may lie over one place
 
 
 def points_strictly_inside(areas: DataFrame, points: DataFrame, cell: float = 10.0) -> DataFrame:
@@ -33,7 +34,7 @@ def points_strictly_inside(areas: DataFrame, points: DataFrame, cell: float = 10
         & (F.col("_lat") > F.col("south"))
         & (F.col("_lon") < F.col("east"))
     )
-    return boxes.join(located, "_cell").where(inside).drop("_cell").withColumnsRenamed({"_lat": "latitude", "_lon": "longitude"})
+    return salted_join(boxes, located, ["_cell"], areas.columns, SALTS).where(inside).drop("_cell").withColumnsRenamed({"_lat": "latitude", "_lon": "longitude"})
 
 
 def map_areas_to_values(areas: DataFrame, points: DataFrame, value: str, order: str) -> DataFrame:
@@ -59,23 +60,17 @@ def overlapping_features(areas: DataFrame, features: DataFrame, cell: float = 10
         & (F.col("f_east") >= F.col("west"))
     )
     corner = cell_of_point(F.greatest("south", "f_south"), F.greatest("west", "f_west"), cell)
-    return boxes.join(placed, "_cell").where(meets & (F.col("_cell") == corner)).drop("_cell")
+    return salted_join(boxes, placed, ["_cell"], areas.columns, SALTS).where(meets & (F.col("_cell") == corner)).drop("_cell")
 
 
 def first_features(pairs: DataFrame, by: Sequence[str], order: str, n: int) -> DataFrame:
     """At most ``n`` features per request, in a fixed order.
 
-    ``min_by`` over a bounded list keeps the state of a group at ``n`` rows on
-    every task, however many features a request meets.
+    Spark turns the limit on a row number into a limit per group before the
+    shuffle, so a request that meets many features sends ``n`` rows per task.
     """
-    best = F.slice(F.array_sort(F.collect_set(order)), 1, n)
-    if n <= 0:
-        raise ValueError("n must be positive")
-    # two rounds: the best of each part, then the best of those
-    parts = pairs.withColumn("_part", F.pmod(F.xxhash64(order), F.lit(64)))
-    local = parts.groupBy(*by, "_part").agg(best.alias("_best"))
-    merged = local.select(*by, F.explode("_best").alias(order)).groupBy(*by).agg(best.alias("_best"))
-    return merged.select(*by, F.explode("_best").alias(order))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    return pairs.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
 def delivered_or_missing(wanted: DataFrame, delivered: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -212,7 +207,9 @@ def receipts(jobs: DataFrame, collections: DataFrame, results: DataFrame) -> Dat
     Message and traceback appear only when the job has them, file name and size
     only when there is a result.
     """
-    joined = jobs.join(collections, "collection_id").join(results, "request_id", "left")
+    # a collection may have most of the jobs
+    named = salted_join(jobs, collections, ["collection_id"], ["request_id"], SALTS)
+    joined = named.join(results, "request_id", "left")
     return joined.withColumn("licence", F.transform("licences", lambda l: licence_text(l["title"], l["revision"])))
 
 

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.operators.scale import ABSENT, interval_pairs, matching_pairs, union_all
+from skyloom.functions.dates import range_struct
+from skyloom.operators.scale import ABSENT, interval_pairs, matching_pairs, salted_join, union_all
 
 SALTS = 8  # a dataset may hold a large part of all requests
 
@@ -21,22 +22,62 @@ def _con(key: str) -> str:
 
 
 def _named(constraints: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Constraint keys under names of their own, with one copy of each distinct rule."""
+    """Constraint keys under names of their own."""
     return constraints.withColumnsRenamed({k: _con(k) for k in keys})
 
 
-def _overlaps(key: str) -> Column:
+def _overlaps(key: str, ranges: Sequence[str]) -> Column:
+    if key in ranges:
+        met = F.exists(key, lambda a: F.exists(_con(key), lambda b: _ranges_meet(range_struct(a), range_struct(b))))
+        return F.coalesce(met, F.lit(False))
     return F.coalesce(F.arrays_overlap(F.col(key), F.col(_con(key))), F.lit(False))
 
 
-def _tokens(columns: dict[str, Column], absent_matches: bool, first_only: bool) -> Column:
+def _ranges_meet(a: Column, b: Column) -> Column:
+    return F.coalesce((a["start"] <= b["end"]) & (b["start"] <= a["end"]), F.lit(False))
+
+
+def _range_overlaps(asked: Column, allowed: Column) -> Column:
+    """Overlap of every asked with every allowed range, as ``a/b`` text in the order asked."""
+
+    def one(a: Column) -> Column:
+        met = F.filter(allowed, lambda b: _ranges_meet(range_struct(a), range_struct(b)))
+        return F.transform(
+            met,
+            lambda b: F.concat_ws(
+                "/",
+                F.greatest(range_struct(a)["start"], range_struct(b)["start"]).cast("string"),
+                F.least(range_struct(a)["end"], range_struct(b)["end"]).cast("string"),
+            ),
+        )
+
+    return F.flatten(F.transform(asked, one))
+
+
+def _months(texts: Column) -> Column:
+    """Calendar months that date ranges touch, as text: the join tokens of a range."""
+
+    def of(text: Column) -> Column:
+        span = range_struct(text)
+        first, last = F.trunc(span["start"], "month"), F.trunc(span["end"], "month")
+        months = F.transform(
+            F.sequence(first, last, F.make_ym_interval(months=F.lit(1))), lambda m: F.date_format(m, "yyyy-MM")
+        )
+        return F.coalesce(months, F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.transform(texts, of)))
+
+
+def _tokens(columns: dict[str, Column], ranges: Sequence[str], absent_matches: bool, first_only: bool) -> Column:
     """Join tokens ``key=value``: of all keys, or of the first key that has values.
 
     Where an absent key matches too, it stands as a token of its own, which the
-    other side carries next to its values.
+    other side carries next to its values.  Date ranges meet in the months they
+    touch.
     """
     per_key = []
     for key, values in columns.items():
+        values = _months(values) if key in ranges else values
         absent = F.array(F.lit(f"{key}={ABSENT}"))
         named = F.transform(values, lambda v: F.concat(F.lit(f"{key}="), v))
         if first_only:
@@ -55,6 +96,7 @@ def _pairs(
     scope: Sequence[str],
     absent_matches: bool,
     id_column: str,
+    ranges: Sequence[str],
 ) -> DataFrame:
     """Pairs that agree on every deciding key the request has.
 
@@ -64,13 +106,13 @@ def _pairs(
     keep = F.lit(True)
     for key in deciding:
         absent = F.col(_con(key)).isNull() if absent_matches else F.lit(False)
-        keep = keep & (F.col(key).isNull() | absent | _overlaps(key))
+        keep = keep & (F.col(key).isNull() | absent | _overlaps(key, ranges))
     return matching_pairs(
         requests,
         _named(constraints, keys),
         scope,
-        _tokens({k: F.col(k) for k in deciding}, absent_matches, True),
-        _tokens({k: F.col(_con(k)) for k in deciding}, absent_matches, False),
+        _tokens({k: F.col(k) for k in deciding}, ranges, absent_matches, True),
+        _tokens({k: F.col(_con(k)) for k in deciding}, ranges, absent_matches, False),
         keep,
         spread_by=[id_column],
         salts=SALTS,
@@ -83,17 +125,22 @@ def intersect(
     keys: Sequence[str],
     scope: Sequence[str] = ("dataset",),
     id_column: str = "request_id",
+    ranges: Sequence[str] = (),
 ) -> DataFrame:
     """Each request cut down to what each constraint allows.
 
     Every key of the constraint must have a value in common with the request;
     a key the constraint lacks is dropped from the result.  Other columns pass
-    through.  The values keep the order of the request.
+    through.  The values keep the order of the request.  ``ranges`` names keys
+    that hold date ranges, which are cut to their overlap.
     """
-    pairs = _pairs(requests, constraints, keys, keys, scope, True, id_column)
+    pairs = _pairs(requests, constraints, keys, keys, scope, True, id_column, ranges)
     for key in keys:  # a key the request lacks fails every constraint that has it
         pairs = pairs.where(F.col(_con(key)).isNull() | F.col(key).isNotNull())
-    cut = {k: F.when(F.col(_con(k)).isNotNull(), F.array_intersect(F.col(k), F.col(_con(k)))) for k in keys}
+    cut = {}
+    for key in keys:
+        cutter = _range_overlaps if key in ranges else F.array_intersect
+        cut[key] = F.when(F.col(_con(key)).isNotNull(), cutter(F.col(key), F.col(_con(key))))
     return pairs.withColumns(cut).drop(*[_con(k) for k in keys])
 
 
@@ -107,7 +154,9 @@ def intersect_date_ranges(requests: DataFrame, constraints: DataFrame, scope: Se
 
     ``requests`` has start and end, ``constraints`` has d_start and d_end.
     """
-    pairs = interval_pairs(requests, constraints, scope, ("start", "end"), ("d_start", "d_end"))
+    pairs = interval_pairs(
+        requests, constraints, scope, ("start", "end"), ("d_start", "d_end"), requests.columns, SALTS
+    )
     return pairs.withColumn("start", F.greatest("start", "d_start")).withColumn("end", F.least("end", "d_end")).drop(
         "d_start", "d_end"
     )
@@ -162,6 +211,7 @@ def form_state_mixed(
     form: DataFrame,
     scope: Sequence[str] = ("dataset",),
     id_column: str = "request_id",
+    ranges: Sequence[str] = (),
 ) -> DataFrame:
     """Open values per key, mixed rule.
 
@@ -173,22 +223,24 @@ def form_state_mixed(
     n_selected = F.lit(0)
     for key in keys:
         n_selected = n_selected + F.col(key).isNotNull().cast("int")
-    opened = union_all(
-        [
-            _opened(
-                selections.where((n_selected > 0) & ~((n_selected == 1) & F.col(k).isNotNull())),
-                constraints, keys, [k], scope, id_column, k, True,
-            )
-            for k in keys
-        ]
-    )
-    lone = F.array_compact(
-        F.array(
-            *[F.when((n_selected == 0) | ((n_selected == 1) & F.col(k).isNotNull()), F.lit(k)) for k in keys]
-        )
-    )
-    whole = selections.select(*scope, id_column, F.explode(lone).alias("key")).join(form, [*scope, "key"])
-    return opened.unionByName(whole.select(id_column, "key", "value"))
+    nothing = n_selected == 0
+    if ranges:  # date ranges that are shown but left empty count as no selection at all
+        blank = F.lit(True)
+        for key in ranges:
+            blank = blank & F.coalesce(F.col(key) == F.array(F.lit("")), F.lit(False))
+        nothing = nothing | blank
+
+    def whole_range(key: str) -> Column:
+        return nothing | ((n_selected == 1) & F.col(key).isNotNull())
+
+    opened = [
+        _opened(selections.where(~whole_range(k)), constraints, keys, [k], scope, id_column, k, True, ranges)
+        for k in keys
+    ]
+    lone = F.array_compact(F.array(*[F.when(whole_range(k), F.lit(k)) for k in keys]))
+    asked = selections.select(*scope, id_column, F.explode(lone).alias("key"))
+    whole = salted_join(asked, form, [*scope, "key"], [id_column], SALTS)
+    return union_all([*opened, whole.select(id_column, "key", "value")])
 
 
 def _opened(
@@ -200,6 +252,7 @@ def _opened(
     id_column: str,
     left_out: str | None,
     absent_votes: bool,
+    ranges: Sequence[str] = (),
 ) -> DataFrame:
     """(id, key, value) of the ``opened`` keys over constraints that match on all keys but ``left_out``."""
     deciding = [k for k in keys if k != left_out]
@@ -210,11 +263,12 @@ def _opened(
     selections = selections.select(*scope, id_column, *keys)
     anything = F.coalesce(*[F.col(k) for k in deciding]).isNotNull() if deciding else F.lit(False)
     # nothing decides: every constraint of the dataset counts, and its values are already together
-    whole = selections.where(~anything).join(form_of_constraints(wanted, opened, scope), list(scope))
+    everything = form_of_constraints(wanted, opened, scope)
+    whole = salted_join(selections.where(~anything), everything, scope, [id_column], SALTS)
     whole = whole.select(id_column, "key", "value")
     if not deciding:
         return whole
-    pairs = _pairs(selections.where(anything), wanted, keys, deciding, scope, absent_votes, id_column)
+    pairs = _pairs(selections.where(anything), wanted, keys, deciding, scope, absent_votes, id_column, ranges)
     listed = [
         F.transform(F.col(_con(k)), lambda v: F.struct(F.lit(k).alias("key"), v.alias("value"))) for k in opened
     ]

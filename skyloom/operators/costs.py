@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.space import points_in_box
 from skyloom.operators.constraints import intersect
-from skyloom.operators.cubes import field_count, unfold
-from skyloom.tables import literal_map, literal_rows
+from skyloom.operators.scale import salted_join
+from skyloom.tables import literal_map
 
 
 def granules(
@@ -18,17 +18,18 @@ def granules(
     keys: Sequence[str],
     scope: Sequence[str] = ("dataset",),
     id_column: str = "request_id",
+    free_keys: Sequence[str] = (),
 ) -> DataFrame:
     """Distinct available field combinations of every request.
 
-    Unlike plain intersection, a key that the request lacks fails a constraint
-    that has it; a key the constraint lacks is not part of the combination.
+    A key the constraint lacks is not part of the combination; keys that no
+    constraint mentions (``free_keys``) are part of every one.
     """
     found = intersect(requests, constraints, keys, scope, id_column)
     # an absent key must survive the unfolding as NULL
-    for key in keys:
+    for key in [*keys, *free_keys]:
         found = found.withColumn(key, F.explode_outer(key))
-    return found.select(id_column, *keys).distinct()
+    return found.select(id_column, *keys, *free_keys).distinct()
 
 
 def count_granules(found: DataFrame, id_column: str = "request_id") -> DataFrame:
@@ -45,7 +46,7 @@ def count_granules_roughly(
     """Sum of the products over the constraints, overlaps counted more than once."""
     found = intersect(requests, constraints, keys, scope, id_column)
     product = reduce(
-        lambda a, k: a * F.coalesce(F.nullif(F.size(k), F.lit(-1)), F.lit(1)), keys, F.lit(1).cast("bigint")
+        lambda a, k: a * F.when(F.col(k).isNotNull(), F.size(k)).otherwise(F.lit(1)), keys, F.lit(1).cast("bigint")
     )
     # constraints that cut a request down to the same cube count once
     return found.select(id_column, *keys).distinct().groupBy(id_column).agg(F.sum(product).alias("n_granules"))
@@ -90,12 +91,16 @@ def estimate_fields(
 
 
 def fill_missing_keys(
-    requests: DataFrame, form: DataFrame, keys: Sequence[str], scope: Sequence[str] = ("dataset",)
+    requests: DataFrame,
+    form: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
 ) -> DataFrame:
     """Give every absent key its first allowed value, so that a size can be worked out."""
     first = form.where(F.col("key").isin(list(keys))).groupBy(*scope).pivot("key", list(keys)).agg(F.min("value"))
     first = first.withColumnsRenamed({k: f"_first_{k}" for k in keys})
-    filled = requests.join(first, list(scope), "left")
+    filled = salted_join(requests, first, scope, [id_column], 8, "left")
     return filled.withColumns(
         {k: F.coalesce(F.col(k), F.array(F.col(f"_first_{k}"))) for k in keys}
     ).drop(*[f"_first_{k}" for k in keys])
@@ -110,7 +115,7 @@ def precise_size(
     scope: Sequence[str] = ("dataset",),
     id_column: str = "request_id",
 ) -> DataFrame:
-    filled = fill_missing_keys(requests, form, keys, scope)
+    filled = fill_missing_keys(requests, form, keys, scope, id_column)
     counted = count_granules(granules(filled, constraints, keys, scope, id_column), id_column)
     sized = requests.select(id_column).join(counted, id_column, "left")
     return sized.select(id_column, (F.coalesce("n_granules", F.lit(0)) * weight).alias("precise_size"))

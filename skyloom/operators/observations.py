@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.errors import ConfigurationError, NoData
-from skyloom.operators.scale import union_all
+from skyloom.operators.scale import salted_join, union_all
 from skyloom.tables import literal_map
 
 COORDINATES = ("latitude", "longitude")
@@ -110,8 +110,8 @@ def decode(df: DataFrame, column: str, labels: Mapping[int, str]) -> Column:
 
 
 def decode_by_table(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
-    """Labels through a code table (code, label)."""
-    return df.join(codes.withColumnRenamed("code", column), column, "left")
+    """Labels through a code table (code, label); a common code is spread over tasks."""
+    return salted_join(df, codes.withColumnRenamed("code", column), [column], df.columns, 8, "left")
 
 
 def extract_summary(df: DataFrame, order: str = "observation_id") -> DataFrame:

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from skyloom.errors import ConfigurationError
 from skyloom.functions import dates as D
 from skyloom.functions import text as X
-from skyloom.tables import literal_map, literal_rows
+from skyloom.operators.scale import salted_join
+from skyloom.tables import literal_map
 
 DOWNLOAD_FORMATS = ["zip", "tgz", "as_source"]  # fixed values
+SALTS = 8
 
 
 # --- value mapping -----------------------------------------------------------
@@ -46,9 +48,10 @@ def remap_scalar(value: Column, mapping: Mapping[str, str]) -> Column:
 
 
 def remap_by_table(fields: DataFrame, key: str, mapping: DataFrame) -> DataFrame:
-    """Map a scalar key through a table (old, new) of any size; the optimiser picks the join."""
+    """Map a scalar key through a table (old, new); a value that most fields share is spread over tasks."""
     table = mapping.select(F.col("old").alias(key), F.col("new").alias("_new"))
-    return fields.join(table, key, "left").withColumn(key, F.coalesce("_new", key)).drop("_new")
+    joined = salted_join(fields, table, [key], fields.columns, SALTS, "left")
+    return joined.withColumn(key, F.coalesce("_new", key)).drop("_new")
 
 
 def rename_keys(requests: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -214,22 +217,24 @@ def embargo(
     soon as something was held back or cut at the limit.  A request without any
     row left is found by an anti join.
     """
-    back = days + 0
-    moment = as_of - F.make_dt_interval(days=F.lit(back), hours=F.lit(hours))
+    moment = as_of - F.make_dt_interval(days=F.lit(days), hours=F.lit(hours))
     if months:
         moment = moment - F.make_dt_interval(days=D.months_back_in_days(F.to_date(as_of), months))
     requests = requests.withColumn("_limit", moment).withColumn("_day", F.to_date("_limit"))
     whole = F.filter(date, lambda d: (d < F.col("_day")) if filter_times else (d <= F.col("_day")))
     touched = F.exists(date, lambda d: (d >= F.col("_day")) if filter_times else (d > F.col("_day")))
     on_limit = F.lit(filter_times) & F.array_contains(date, F.col("_day"))
-    early = F.filter(X.split_all(F.col(time), "/"), lambda t: D.clock_seconds(t) / 3600 <= F.hour("_limit"))
+    # only requests that reach the limit have their times read
+    early = F.when(
+        on_limit, F.filter(X.split_all(F.col(time), "/"), lambda t: D.clock_seconds(t) / 3600 <= F.hour("_limit"))
+    )
     pieces = F.array(
         F.struct(F.lit("before").alias("piece"), whole.alias("dates"), F.col(time).alias("times"), (F.size(whole) > 0).alias("keep")),
         F.struct(
             F.lit("limit").alias("piece"),
             F.array(F.col("_day")).alias("dates"),
             early.alias("times"),
-            (on_limit & (F.size(early) > 0)).alias("keep"),
+            F.coalesce(F.size(early) > 0, F.lit(False)).alias("keep"),
         ),
     )
     rest = [c for c in requests.columns if c not in (date, time, "_limit", "_day")]

@@ -4,6 +4,12 @@
 * joins that emit only pairs with a value in common,
 * range joins through coarse cells instead of nested loops,
 * salting for a key that holds a large part of the rows.
+
+Salting copies the smaller side, so it is used where that side is a lookup:
+constraints, codes, axes, group sizes.  Where both sides are tables of fields
+the join is left to Spark, whose adaptive execution splits a skewed partition
+of the left side at run time.  No join here carries a broadcast hint: Spark
+broadcasts a side only when its measured size is below the session's limit.
 """
 
 from collections.abc import Sequence
@@ -97,11 +103,13 @@ def interval_pairs(
     scope: Sequence[str],
     left_range: tuple[str, str],
     right_range: tuple[str, str],
+    spread_by: Sequence[str],
+    salts: int = 8,
 ) -> DataFrame:
     """Pairs of rows whose date ranges, both ends included, overlap.
 
     Ranges are cut into calendar months; a pair is kept in the month where the
-    later of the two starts lies.
+    later of the two starts lies.  The left side is the large one.
     """
 
     def months(start: str, end: str) -> Column:
@@ -113,7 +121,8 @@ def interval_pairs(
     rights = right.where(F.col(rs) <= F.col(re)).withColumn("_month", months(rs, re))
     overlap = (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le))
     first_common = F.col("_month") == F.trunc(F.greatest(ls, rs), "month")
-    return lefts.join(rights, [*scope, "_month"]).where(overlap & first_common).drop("_month")
+    joined = salted_join(lefts, rights, [*scope, "_month"], spread_by, salts)
+    return joined.where(overlap & first_common).drop("_month")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyloom.operators.scale import salted_join
+
 
 def consecutive_in_order(dates: Column) -> Column:
     """Whether each date of the list is the day after the one before it, in the given order."""
@@ -58,17 +60,18 @@ def overlapping_validity(fields: DataFrame, by: Sequence[str], base: str, steps:
 def validity_axis(messages: DataFrame, by: Sequence[str], base: str, step_hours: str) -> DataFrame:
     """Validity time, hours since the first base time, and how often the pair of times occurs.
 
-    The first base time comes from an aggregate and a join, so a large file is
-    not one window.
+    Equal times are counted first; the first base time comes from an aggregate
+    and a salted join, so a large file is neither one window nor one task.
     """
     first = messages.groupBy(*by).agg(F.min(base).alias("_first"))
-    timed = messages.join(first, list(by)).withColumn(
+    times = messages.select(*by, base, step_hours).groupBy(*by, base, step_hours).agg(F.count(F.lit(1)).alias("_times"))
+    timed = salted_join(times, first, by, [base, step_hours], 8).withColumn(
         "valid_time", F.col(base) + F.make_dt_interval(hours=F.col(step_hours))
     )
     reference = F.timestamp_diff("HOUR", F.col("_first"), F.col(base))
     return (
         timed.withColumn("reference_hours", reference.cast("bigint"))
         .groupBy(*by, base, "valid_time", "reference_hours")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_times").alias("n"))
         .withColumn("unique", F.col("n") == 1)
     )

@@ -70,8 +70,8 @@ def s7(spark, d):
     variables = [{"name": "ozone", "flag": "A", "status": "F"}, {"name": "dust", "flag": "A"}, {"name": "ozone", "flag": "N"}]
     types = [{"name": "ANALYSIS", "status": "F"}, {"name": "FORECAST", "status": "O"}]
     columns = {"flag": F.col("flag"), "status": F.col("status")}
-    variable = H.classify(variables, {"flag": "string", "status": "string"}, columns)
-    kind = H.classify(types, {"status": "string"}, {"status": F.col("status")})
+    variable = H.classify(variables, columns)
+    kind = H.classify(types, columns)
     step = F.when(kind == "ANALYSIS", F.lit("0")).otherwise(F.col("forecast_time").cast("string"))
     return head.select(
         "file_id",
@@ -88,7 +88,7 @@ def s7(spark, d):
     "SELECT flag, status, count(*) AS n FROM v_header WHERE flag = 'R' GROUP BY 1, 2",
 )
 def s7_unknown(spark, d):
-    variable = H.classify([{"name": "ozone", "flag": "A"}, {"name": "dust", "flag": "N"}], {"flag": "string"}, {"flag": F.col("flag")})
+    variable = H.classify([{"name": "ozone", "flag": "A"}, {"name": "dust", "flag": "N"}], {"flag": F.col("flag")})
     head = v_header(spark, d).where(variable.isNull())
     return head.groupBy("flag", "status").agg(F.count(F.lit(1)).alias("n"))
 
@@ -274,7 +274,7 @@ def j5_none(spark, d):
 )
 def t2(spark, d):
     pairs = K.overlapping_features(v_area(spark, d), features(spark, d))
-    return K.first_features(pairs, ["request_id"], "site_id", 2)
+    return K.first_features(pairs, ["request_id"], "site_id", 2).select("request_id", "site_id")
 
 
 @query(

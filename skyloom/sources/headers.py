@@ -5,24 +5,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.tables import literal_rows
 
-
-def classify(encodings: Sequence[Mapping[str, object]], types: Mapping[str, str], headers: Mapping[str, Column]) -> Column:
+def classify(encodings: Sequence[Mapping[str, object]], headers: Mapping[str, Column]) -> Column:
     """Name of the first encoding whose keys all agree with the header; NULL when none does.
 
     An encoding is a row of ``name`` and header keys; a missing key agrees with
-    anything.  The definitions are a constant, so no join is needed.
+    anything.  The definitions become one CASE expression, so no join is needed.
     """
-    rows = literal_rows([dict(e) for e in encodings], {"name": "string", **types})
-
-    def agrees(row: Column) -> Column:
-        test = F.lit(True)
-        for key, column in headers.items():
-            test = test & (row[key].isNull() | (row[key] == column))
-        return test
-
-    return F.get(F.filter(rows, agrees), 0)["name"]
+    name = F.lit(None).cast("string")
+    for encoding in reversed(encodings):
+        agrees = F.lit(True)
+        for key, value in encoding.items():
+            if key != "name":
+                agrees = agrees & (headers[key] == F.lit(value))
+        name = F.when(agrees, F.lit(encoding["name"])).otherwise(name)
+    return name
 
 
 def split_tags(
