@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyloom.functions import text as X
 
@@ -45,7 +46,11 @@ def register_message(format_name: str, message: Message) -> None:
 
 @dataclass(frozen=True)
 class Rule:
-    """What one key must look like.  The key is a column of array<string>, or of string when ``scalar``."""
+    """What one key must look like.
+
+    The column may hold lists or scalars, text or numbers; ``scalar`` and
+    ``kind`` say what comes out.
+    """
 
     key: str
     required: bool = False
@@ -126,9 +131,25 @@ def unknown_keys(request: Column, names: Sequence[str], patterns: Sequence[str]
 # --- compiling a rule -------------------------------------------------------------
 
 
-def repaired(rule: Rule) -> Column:
-    """The repaired list of a key."""
-    values = scalar_to_list(F.col(rule.key)) if rule.scalar else F.col(rule.key)
+def as_text_list(rule: Rule, dtype: T.DataType) -> Column:
+    """A key of any declared type as a list of text: scalars are wrapped and numbers written out."""
+    values = F.col(rule.key)
+    element = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+    if not isinstance(dtype, T.ArrayType):
+        values = scalar_to_list(values)
+    if isinstance(element, T.StringType):
+        return values
+
+    def text(v: Column) -> Column:
+        whole = X.integer_from_double(v)  # 1.0 may stand for an integer
+        return F.coalesce(whole.cast("string"), number_text(v)) if rule.kind == "integer" else number_text(v)
+
+    return F.transform(values, text)
+
+
+def repaired(rule: Rule, dtype: T.DataType) -> Column:
+    """The repaired list of a key, as text."""
+    values = as_text_list(rule, dtype)
     if rule.default is not None:
         values = F.coalesce(values, F.array(*[F.lit(v) for v in rule.default]))
     if rule.split_on:
@@ -146,6 +167,15 @@ def repaired(rule: Rule) -> Column:
     return values
 
 
+def typed(rule: Rule, values: Column) -> Column:
+    """A repaired list in the type the rule asks for; a scalar rule gives its only element."""
+    if rule.kind == "integer":
+        values = F.transform(values, X.integer)
+    elif rule.kind == "number":
+        values = F.transform(values, X.number)
+    return F.get(values, 0) if rule.scalar else values
+
+
 def path(key: str, place: Column | None = None) -> Column:
     start = F.lit(f"request['{key}']")
     return start if place is None else F.concat(start, F.lit("["), place.cast("string"), F.lit("]"))
@@ -232,10 +262,10 @@ def first_repeated(values: Column) -> Column:
 
 def check(requests: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Requests with repaired keys and ``errors``, the messages in order of the rules."""
-    fixed = requests.withColumns({f"_{r.key}": repaired(r) for r in rules})
-    errors = F.concat(*[problems(r, F.col(f"_{r.key}")) for r in rules])
-    fixed = fixed.withColumn("errors", F.array_distinct(errors))
-    final = {r.key: F.get(F.col(f"_{r.key}"), 0) if r.scalar else F.col(f"_{r.key}") for r in rules}
+    types = {f.name: f.dataType for f in requests.schema}
+    fixed = requests.withColumns({f"_{r.key}": repaired(r, types[r.key]) for r in rules})
+    fixed = fixed.withColumn("errors", F.array_distinct(F.concat(*[problems(r, F.col(f"_{r.key}")) for r in rules])))
+    final = {r.key: typed(r, F.col(f"_{r.key}")) for r in rules}
     return fixed.withColumns(final).drop(*[f"_{r.key}" for r in rules])
 
 

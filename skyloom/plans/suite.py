@@ -4,6 +4,7 @@ from skyloom.plans import (  # noqa: F401
     suite_catalogue,
     suite_cubes,
     suite_grid,
+    suite_lifecycle,
     suite_observations,
     suite_planning,
     suite_requests,
