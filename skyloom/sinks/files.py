@@ -117,6 +117,6 @@ def write_csv(observations: DataFrame, path: str, dataset: str, source: str, lic
     header = csv_header(summary, pairs, uncertain, dataset, source, licences)
     texts = observations.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in observations.columns])
     texts.write.mode("overwrite").option("header", True).csv(f"{path}/body")
-    spark.createDataFrame([(header,)], "value string").coalesce(1).write.mode("overwrite").option(
-        "lineSep", ""
-    ).text(f"{path}/header")
+    spark.createDataFrame([(header.rstrip("\n"),)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path}/header"
+    )
