@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions.space import cell_of_point, cells_of_box
+from skyloom.operators.cubes import compare
 from skyloom.operators.scale import group_ordinals, matching_pairs, salted_join
 
 EDGES = ("north", "west", "south", "east")
@@ -79,13 +80,10 @@ def delivered_or_missing(wanted: DataFrame, delivered: DataFrame, keys: Sequence
     Delivered and missing add up to what was wanted; a field that was not asked
     for is unexpected.
     """
-    marked = wanted.select(*keys, F.lit(True).alias("_w"), F.lit(False).alias("_d")).unionByName(
-        delivered.select(*keys, F.lit(False).alias("_w"), F.lit(True).alias("_d"))
-    )
-    seen = marked.groupBy(*keys).agg(F.bool_or("_w").alias("_w"), F.bool_or("_d").alias("_d"))
-    state = F.when(~F.col("_w"), "unexpected").when(F.col("_d"), "delivered").otherwise("missing")
-    backend = F.when(state == "missing", "archived")
-    return seen.select(*keys, state.alias("state"), backend.alias("backend"))
+    side = F.col("side")
+    state = F.when(side == "right", "unexpected").when(side == "both", "delivered").otherwise("missing")
+    sides = compare(wanted, delivered, keys)
+    return sides.select(*keys, state.alias("state"), F.when(side == "left", "archived").alias("backend"))
 
 
 def split_by_store(fields: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

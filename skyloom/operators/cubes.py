@@ -93,6 +93,42 @@ def same_fields(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequ
     return sides.groupBy(*by).agg(same) if by else sides.agg(same)
 
 
+def unfold_open(cubes: DataFrame, keys: str = "keys", field: str = "field") -> DataFrame:
+    """Cubes with keys of their own (a map of key to list) to single fields.
+
+    A field is a list of (key, value) in order of keys, so fields of different
+    key sets never compare equal.  Keys are unfolded one after the other; how
+    many passes that takes is the largest number of keys in a request.
+    """
+    entries = cubes.withColumn("_entries", F.array_sort(F.map_entries(keys))).drop(keys)
+    most = entries.agg(F.max(F.size("_entries"))).first()[0] or 0
+    fields = entries.withColumn(field, F.array().cast("array<struct<key:string,value:string>>"))
+    for i in range(most):
+        entry = F.get("_entries", i)
+        pairs = F.transform(entry["value"], lambda v: F.struct(entry["key"].alias("key"), v.alias("value")))
+        rest = [c for c in fields.columns if c != "_pair"]
+        fields = fields.select(*rest, F.explode_outer(pairs).alias("_pair"))
+        longer = F.concat(field, F.array("_pair"))
+        fields = fields.withColumn(field, F.when(F.col("_pair").isNotNull(), longer).otherwise(F.col(field))).drop("_pair")
+    return fields.drop("_entries")
+
+
+def field_text(field: Column) -> Column:
+    """A field with keys of its own as ``key=value`` text."""
+    return F.array_join(F.transform(field, lambda p: F.concat(p["key"], F.lit("="), p["value"])), ";")
+
+
+def key_set(keys: Column) -> Column:
+    """The sorted key names of an open-keyed request."""
+    return F.array_sort(F.map_keys(keys))
+
+
+def unequal_key_sets(requests: DataFrame, by: Sequence[str], keys: str = "keys") -> DataFrame:
+    """Groups whose requests do not all have the same keys, which rules out one envelope for them."""
+    n = F.count_distinct(key_set(F.col(keys)))
+    return requests.groupBy(*by).agg(n.alias("n_key_sets")).where("n_key_sets > 1")
+
+
 def merge(fields: DataFrame, keys: Sequence[str], scope: Sequence[str] = (), barred: Sequence[str] = ()) -> DataFrame:
     """Join fields back into few cubes, one pass per key.
 
@@ -100,10 +136,11 @@ def merge(fields: DataFrame, keys: Sequence[str], scope: Sequence[str] = (), bar
     keeps one value per cube.  An array holds at most the distinct values of
     its key.
     """
-    cubes = fields.select(*scope, *[F.array(k).alias(k) for k in keys]).distinct()
-    for key in keys:
-        if key in barred:
-            continue
+    cubes = fields.select(*scope, *[F.array(k).alias(k) for k in keys])
+    passes = [k for k in keys if k not in barred]
+    if not passes:
+        return cubes.distinct()
+    for key in passes:  # the first pass also drops repeated fields
         others = [*scope, *[k for k in keys if k != key]]
         cubes = cubes.groupBy(*others).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(key)))).alias(key))
     return cubes.select(*scope, *keys)

@@ -23,12 +23,30 @@ from skyloom.session import checkpointed
 ABSENT = "\u0000absent"  # token of a key that one side leaves open
 
 
+POSITION_BITS = 33  # monotonically_increasing_id keeps the row number of a partition in its lower bits
+
+
+def row_ordinals(df: DataFrame, order: Sequence[str], name: str = "ordinal") -> DataFrame:
+    """Number all rows from 0 in the given order.
+
+    One range shuffle sorts the rows over the cluster.  They are then written
+    once, so that a second read sees the same partitions and positions.  Only
+    the size of each partition is brought together.
+    """
+    ranged = checkpointed(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    )
+    part = F.shiftright("_at", POSITION_BITS).cast("int")
+    base = _bases(ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("total")))
+    place = F.col("_at").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    return ranged.withColumn(name, F.get(base, part) + place).drop("_at")
+
+
 def running_offsets(df: DataFrame, order: Sequence[str], weight: Column, name: str = "offset") -> DataFrame:
-    """Add the sum of ``weight`` over all rows before this one in the given order.
+    """Add the sum of ``weight`` over all rows before this one in the given order, which should be unique.
 
-    The rows are range-partitioned and written once, so that a second read sees
-    the same partitions.  Each partition adds up its own rows; only one total
-    per partition is ever brought together.  The order should be unique.
+    As for :func:`row_ordinals`; a window inside each range partition adds up
+    its own rows.
     """
     ranged = checkpointed(
         df.withColumn("_weight", weight.cast("bigint"))
@@ -36,22 +54,24 @@ def running_offsets(df: DataFrame, order: Sequence[str], weight: Column, name: s
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
     )
-    # one row per partition: this window's size is the number of partitions
-    parts = ranged.groupBy("_part").agg(F.sum("_weight").alias("_total"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    base = _bases(ranged.groupBy(F.col("_part").alias("part")).agg(F.sum("_weight").alias("total")))
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranged.withColumn("_local", F.coalesce(F.sum("_weight").over(within), F.lit(0)))
-        .join(parts, "_part")
-        .withColumn(name, F.col("_base") + F.col("_local"))
-        .drop("_part", "_weight", "_local", "_base")
-    )
+    local = F.coalesce(F.sum("_weight").over(within), F.lit(0))
+    return ranged.withColumn(name, F.get(base, F.col("_part")) + local).drop("_part", "_weight")
 
 
-def row_ordinals(df: DataFrame, order: Sequence[str], name: str = "ordinal") -> DataFrame:
-    """Number all rows from 0 in the given order."""
-    return running_offsets(df, order, F.lit(1), name)
+def _bases(totals: DataFrame) -> Column:
+    """Sum of all earlier partitions by partition number, as one constant array.
+
+    One number per partition comes to the driver, however many rows there are.
+    """
+    sizes = {row["part"]: row["total"] for row in totals.collect()}
+    bases, running = [], 0
+    for part in range(max(sizes, default=-1) + 1):
+        bases.append(running)
+        running += sizes.get(part, 0)
+    text = ",".join(map(str, bases)) or "0"
+    return F.split(F.lit(text), ",").cast("array<bigint>")
 
 
 def salted_join(

@@ -3,7 +3,8 @@
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyloom.plans.views import SQL_VIEWS
 
@@ -50,3 +51,8 @@ def with_views(sql: str) -> str:
     if sql.upper().startswith("WITH "):
         return "WITH " + ",\n".join(views) + ",\n" + sql[5:]
     return "WITH " + ",\n".join(views) + "\n" + sql
+
+
+def near(value: Column) -> Column:
+    """Six places, with exact halves moved off the edge where the order of a sum would decide."""
+    return F.round(value + 1e-9, 6)

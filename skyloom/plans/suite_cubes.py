@@ -1,11 +1,10 @@
 """Queries on cubes and fields: set algebra, splitting, merging and runs of dates."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyloom.operators import cubes as C
 from skyloom.plans.registry import query
-from skyloom.plans.views import v_cube, v_field, v_req, v_stored
+from skyloom.plans.views import v_con, v_cube, v_field, v_req, v_sel, v_stored
 
 KEYS = ["param", "type", "d"]
 FIELD = "request_id, param, type, d"
@@ -28,6 +27,36 @@ def h1(spark, d):
     return C.compare(v_field(spark, d), v_stored(spark, d), KEYS)
 
 
+def open_keyed(df):
+    """Requests as maps; a key that is NULL is not in the map."""
+    keys = F.map_from_arrays(F.array(F.lit("param"), F.lit("type")), F.array("param", "type"))
+    return df.select("dataset", F.map_filter(keys, lambda _, v: v.isNotNull()).alias("keys"))
+
+
+@query(
+    "h1_fields_with_keys_of_their_own",
+    """
+WITH l AS (SELECT DISTINCT dataset, 'param=' || p || coalesce(';type=' || t, '') AS field FROM
+ (SELECT dataset, p, unnest(coalesce(type, [NULL])) AS t FROM (SELECT dataset, unnest(param) AS p, type FROM v_sel))),
+r AS (SELECT DISTINCT dataset, 'param=' || p || coalesce(';type=' || t, '') AS field FROM
+ (SELECT dataset, p, unnest(coalesce(type, [NULL])) AS t FROM (SELECT dataset, unnest(param) AS p, type FROM v_con)))
+SELECT coalesce(l.dataset, r.dataset) AS dataset, coalesce(l.field, r.field) AS field,
+ CASE WHEN r.field IS NULL THEN 'left' WHEN l.field IS NULL THEN 'right' ELSE 'both' END AS side
+FROM l FULL JOIN r ON l.dataset = r.dataset AND l.field = r.field""",
+)
+def h1_open(spark, d):
+    left, right = (C.unfold_open(open_keyed(v(spark, d))) for v in (v_sel, v_con))
+    return C.compare(left, right, ["dataset", "field"]).withColumn("field", C.field_text(F.col("field")))
+
+
+@query(
+    "h11_unequal_key_sets",
+    """SELECT dataset, count(DISTINCT type IS NULL) AS n_key_sets FROM v_sel GROUP BY 1 HAVING count(DISTINCT type IS NULL) > 1""",
+)
+def h11_unequal(spark, d):
+    return C.unequal_key_sets(open_keyed(v_sel(spark, d)), ["dataset"])
+
+
 @query(
     "h2_same_fields",
     """

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from skyloom.operators import grid as G
-from skyloom.plans.registry import query
+from skyloom.plans.registry import near, query
 from skyloom.plans.views import v_area, v_grid, v_site
 from skyloom.sources.gridstore import scan
 from skyloom.tables import table
@@ -18,18 +18,18 @@ def shown(df, *extra):
         F.date_format("valid_time", DAY).alias("valid_time"),
         "latitude",
         "longitude",
-        F.round("value", 6).alias("value"),
+        near(F.col("value")).alias("value"),
         *extra,
     )
 
 
-SHOWN = """variable, strftime(valid_time, '%Y-%m-%d %H:%M') AS valid_time, latitude, longitude, round(value, 6) AS value"""
+SHOWN = """variable, strftime(valid_time, '%Y-%m-%d %H:%M') AS valid_time, latitude, longitude, round(value + 1e-9, 6) AS value"""
 
 
 @query(
     "flagship_daily_mean_in_box",
     """
-SELECT variable, latitude, longitude, CAST(valid_time + INTERVAL 5 HOUR AS DATE) AS day, round(avg(value), 6) AS value
+SELECT variable, latitude, longitude, CAST(valid_time + INTERVAL 5 HOUR AS DATE) AS day, round(avg(value) + 1e-9, 6) AS value
 FROM v_grid WHERE variable = 'view' AND latitude BETWEEN -20 AND 50 AND longitude BETWEEN 30 AND 210
  AND valid_time >= TIMESTAMP '2024-01-09' AND valid_time < TIMESTAMP '2024-01-14'
 GROUP BY 1, 2, 3, 4 HAVING day BETWEEN DATE '2024-01-10' AND DATE '2024-01-12' ORDER BY 1, 2, 3, 4""",
@@ -38,7 +38,7 @@ def flagship(spark, d):
     cells = G.slice_box(G.slice_time(v_grid(spark, d), "2024-01-09", "2024-01-13"), 50, 30, -20, 210)
     daily = G.daily_reduce(cells.where("variable = 'view'"), "mean", shift_hours=5)
     kept = G.keep_dates(daily, ["2024-01-10", "2024-01-11", "2024-01-12"])
-    return kept.withColumn("value", F.round("value", 6)).orderBy("variable", "latitude", "longitude", "day")
+    return kept.withColumn("value", near(F.col("value"))).orderBy("variable", "latitude", "longitude", "day")
 
 
 @query(
@@ -95,7 +95,7 @@ def f11(spark, d):
 
 @query(
     "f12_exact_box_in_microdegrees",
-    """SELECT variable, strftime(valid_time, '%Y-%m-%d %H:%M') AS valid_time, lat_micro, lon_micro, round(value, 6) AS value
+    """SELECT variable, strftime(valid_time, '%Y-%m-%d %H:%M') AS valid_time, lat_micro, lon_micro, round(value + 1e-9, 6) AS value
 FROM (SELECT *, CAST(latitude * 1000000 AS BIGINT) AS lat_micro,
  CASE WHEN longitude >= 180 THEN CAST((longitude - 360) * 1000000 AS BIGINT) ELSE CAST(longitude * 1000000 AS BIGINT) END AS lon_micro
  FROM v_grid) WHERE lat_micro BETWEEN -45000000 AND 45000000 AND lon_micro BETWEEN -90000000 AND 90000000""",
@@ -121,12 +121,12 @@ def f12_complete(spark, d):
 
 @query(
     "f13_drop_partial_periods",
-    """SELECT variable, latitude, longitude, CAST(valid_time AS DATE) AS day, round(max(value), 6) AS value FROM v_grid
+    """SELECT variable, latitude, longitude, CAST(valid_time AS DATE) AS day, round(max(value) + 1e-9, 6) AS value FROM v_grid
 WHERE CAST(valid_time AS DATE) IN (DATE '2024-01-03', DATE '2024-01-05', DATE '2024-01-20') GROUP BY 1, 2, 3, 4""",
 )
 def f13(spark, d):
     daily = G.daily_reduce(v_grid(spark, d), "max")
-    return G.keep_dates(daily, ["2024-01-03", "2024-01-05", "2024-01-20"]).withColumn("value", F.round("value", 6))
+    return G.keep_dates(daily, ["2024-01-03", "2024-01-05", "2024-01-20"]).withColumn("value", near(F.col("value")))
 
 
 @query(
@@ -140,8 +140,8 @@ FROM near JOIN v_grid USING (latitude, longitude) GROUP BY 1, 2, 3, 4""",
 )
 def j3(spark, d):
     points = v_site(spark, d).select("site_id", "latitude", "longitude")
-    near = G.select_nearest(v_grid(spark, d), points)
-    return near.groupBy("site_id", "latitude", "longitude", "variable").agg(
+    found = G.select_nearest(v_grid(spark, d), points)
+    return found.groupBy("site_id", "latitude", "longitude", "variable").agg(
         F.count(F.lit(1)).alias("n_times"), F.round(F.sum("value"), 4).alias("total")
     )
 
@@ -151,12 +151,12 @@ def j3(spark, d):
     """
 WITH centre AS (SELECT request_id, (north + south) / 2 AS lat, (west + east) / 2 AS lon FROM v_area),
 ax AS (SELECT DISTINCT latitude AS x FROM v_grid)
-SELECT request_id, round(lat, 6) AS latitude, (SELECT x FROM ax ORDER BY abs(x - lat), x DESC LIMIT 1) AS near_lat FROM centre""",
+SELECT request_id, round(lat + 1e-9, 6) AS latitude, (SELECT x FROM ax ORDER BY abs(x - lat), x DESC LIMIT 1) AS near_lat FROM centre""",
 )
 def j3_areas(spark, d):
     centre = v_area(spark, d).select("request_id", ((F.col("north") + F.col("south")) / 2).alias("latitude"))
-    near = G.nearest_points(v_grid(spark, d), centre, "latitude", "near_lat")
-    return near.select("request_id", F.round("latitude", 6).alias("latitude"), "near_lat")
+    located = G.nearest_points(v_grid(spark, d), centre, "latitude", "near_lat")
+    return located.select("request_id", near(F.col("latitude")).alias("latitude"), "near_lat")
 
 
 @query(
@@ -187,7 +187,7 @@ def j10(spark, d):
 def _reduced(spark, d, how, period):
     reduce = G.daily_reduce if period == "day" else G.monthly_reduce
     data = table(spark, d, "events")
-    return reduce(data, how, by=["event_type"], time="ts").withColumn("value", F.round("value", 6))
+    return reduce(data, how, by=["event_type"], time="ts").withColumn("value", near(F.col("value")))
 
 
 SQL_HOW = {"mean": "avg", "median": "median", "min": "min", "max": "max", "std": "stddev_pop", "sum": "sum"}
@@ -195,31 +195,31 @@ SQL_HOW = {"mean": "avg", "median": "median", "min": "min", "max": "max", "std":
 for _how, _fn in SQL_HOW.items():
     query(
         f"a1_daily_{_how}",
-        f"SELECT event_type, CAST(ts AS DATE) AS day, round({_fn}(value), 6) AS value FROM events GROUP BY 1, 2",
+        f"SELECT event_type, CAST(ts AS DATE) AS day, round({_fn}(value) + 1e-9, 6) AS value FROM events GROUP BY 1, 2",
     )(lambda spark, d, how=_how: _reduced(spark, d, how, "day"))
     if _how != "sum":
         query(
             f"a2_monthly_{_how}",
-            f"SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, round({_fn}(value), 6) AS value FROM events GROUP BY 1, 2",
+            f"SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, round({_fn}(value) + 1e-9, 6) AS value FROM events GROUP BY 1, 2",
         )(lambda spark, d, how=_how: _reduced(spark, d, how, "month"))
 
 
 @query(
     "a1_daily_median_ranked",
-    "SELECT variable, latitude, CAST(valid_time AS DATE) AS day, round(median(value), 6) AS value FROM v_grid GROUP BY 1, 2, 3",
+    "SELECT variable, latitude, CAST(valid_time AS DATE) AS day, round(median(value) + 1e-9, 6) AS value FROM v_grid GROUP BY 1, 2, 3",
 )
 def a1_ranked(spark, d):
     cells = v_grid(spark, d).withColumn("day", F.to_date("valid_time"))
-    return G.ranked_median(cells, ["variable", "latitude", "day"], "value").withColumn("value", F.round("value", 6))
+    return G.ranked_median(cells, ["variable", "latitude", "day"], "value").withColumn("value", near(F.col("value")))
 
 
 @query(
     "a1_daily_mean_per_cell_shifted",
-    """SELECT variable, latitude, longitude, CAST(valid_time - INTERVAL 3 HOUR AS DATE) AS day, round(avg(value), 6) AS value
+    """SELECT variable, latitude, longitude, CAST(valid_time - INTERVAL 3 HOUR AS DATE) AS day, round(avg(value) + 1e-9, 6) AS value
 FROM v_grid GROUP BY 1, 2, 3, 4""",
 )
 def a1_shifted(spark, d):
-    return G.daily_reduce(v_grid(spark, d), "mean", shift_hours=-3).withColumn("value", F.round("value", 6))
+    return G.daily_reduce(v_grid(spark, d), "mean", shift_hours=-3).withColumn("value", near(F.col("value")))
 
 
 @query(
@@ -227,7 +227,7 @@ def a1_shifted(spark, d):
     """
 WITH shifted AS (SELECT variable, value, valid_time, CASE WHEN variable IN ('purchase', 'signup') THEN 2 ELSE 5 END AS shift FROM v_grid
  WHERE valid_time >= TIMESTAMP '2024-01-04' AND valid_time < TIMESTAMP '2024-01-22')
-SELECT variable, CAST(valid_time + to_hours(shift) AS DATE) AS day, round(avg(value), 6) AS value
+SELECT variable, CAST(valid_time + to_hours(shift) AS DATE) AS day, round(avg(value) + 1e-9, 6) AS value
 FROM shifted WHERE (hour(valid_time) - shift % 3 + 24) % 3 = 0 GROUP BY 1, 2
 HAVING day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
 )
@@ -242,7 +242,7 @@ def a3(spark, d):
         accumulated=["purchase"],
         mean_rates=["signup"],
         by=["variable"],
-    ).withColumn("value", F.round("value", 6))
+    ).withColumn("value", near(F.col("value")))
 
 
 @query(

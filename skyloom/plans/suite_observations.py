@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyloom.functions import dates as D
 from skyloom.operators import observations as O
 from skyloom.operators import windows as W
-from skyloom.plans.registry import query
+from skyloom.plans.registry import near, query
 from skyloom.plans.views import VARIABLE_CODES, v_obs
 from skyloom.sources import assets as A
 from skyloom.tables import table
@@ -295,7 +295,7 @@ def p15(spark, d):
 
 @query(
     "k2_long_table_export",
-    """SELECT variable, strftime(valid_time, '%Y-%m-%d %H:%M:%S') AS valid_time, latitude, longitude, round(value, 6) AS value
+    """SELECT variable, strftime(valid_time, '%Y-%m-%d %H:%M:%S') AS valid_time, latitude, longitude, round(value + 1e-9, 6) AS value
 FROM v_grid WHERE latitude BETWEEN -45 AND 45""",
 )
 def k2(spark, d):
@@ -304,13 +304,13 @@ def k2(spark, d):
 
     cells = v_grid(spark, d).where("latitude BETWEEN -45 AND 45").withColumnRenamed("valid_time", "time")
     return long_table(cells).withColumn("valid_time", F.date_format("valid_time", MOMENT)).withColumn(
-        "value", F.round("value", 6)
+        "value", near(F.col("value"))
     )
 
 
 @query(
     "k3_cubes_by_tag",
-    """SELECT variable || '_daily-mean' AS tag, CAST(valid_time AS DATE) AS day, latitude, longitude, round(avg(value), 6) AS value
+    """SELECT variable || '_daily-mean' AS tag, CAST(valid_time AS DATE) AS day, latitude, longitude, round(avg(value) + 1e-9, 6) AS value
 FROM v_grid GROUP BY 1, 2, 3, 4""",
 )
 def k3(spark, d):
@@ -318,12 +318,12 @@ def k3(spark, d):
     from skyloom.plans.views import v_grid
 
     cubes = run_steps(v_grid(spark, d).withColumn("tag", F.col("variable")), [{"method": "daily_mean"}, {"method": "unknown"}])
-    return cubes.select("tag", "day", "latitude", "longitude", F.round("value", 6).alias("value"))
+    return cubes.select("tag", "day", "latitude", "longitude", near(F.col("value")).alias("value"))
 
 
 @query(
     "p18_named_steps",
-    """SELECT variable || '_monthly-max' AS tag, CAST(date_trunc('month', valid_time) AS DATE) AS month, latitude, longitude, round(max(value), 6) AS value
+    """SELECT variable || '_monthly-max' AS tag, CAST(date_trunc('month', valid_time) AS DATE) AS month, latitude, longitude, round(max(value) + 1e-9, 6) AS value
 FROM v_grid GROUP BY 1, 2, 3, 4""",
 )
 def p18(spark, d):
@@ -331,7 +331,7 @@ def p18(spark, d):
     from skyloom.plans.views import v_grid
 
     cubes = run_steps(v_grid(spark, d).withColumn("tag", F.col("variable")), [{"method": "monthly_max"}])
-    return cubes.select("tag", "month", "latitude", "longitude", F.round("value", 6).alias("value"))
+    return cubes.select("tag", "month", "latitude", "longitude", near(F.col("value")).alias("value"))
 
 
 @query(
@@ -353,7 +353,7 @@ def u2(spark, d):
 
 @query(
     "u4_dataset_by_configuration",
-    f"""SELECT primary_station_id, observed_variable, count(*) AS n, round(avg(observation_value), 6) AS mean_value FROM v_obs
+    f"""SELECT primary_station_id, observed_variable, count(*) AS n, round(avg(observation_value) + 1e-9, 6) AS mean_value FROM v_obs
 WHERE day(report_timestamp) IN (2, 3) AND observed_variable_code IN (1, 3) GROUP BY 1, 2""",
 )
 def u4(spark, d):
@@ -367,7 +367,7 @@ def u4(spark, d):
         ),
         steps=[
             lambda df: df.groupBy("primary_station_id", "observed_variable").agg(
-                F.count(F.lit(1)).alias("n"), F.round(F.avg("observation_value"), 6).alias("mean_value")
+                F.count(F.lit(1)).alias("n"), near(F.avg("observation_value")).alias("mean_value")
             )
         ],
     )

@@ -104,24 +104,24 @@ def _dataset() -> Column:
     return (F.col("c_nationkey") * 10000 + F.year("o_orderdate")).cast("bigint")
 
 
-def v_field(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _orders_with_nation(spark, folder)
-        .select(
-            _dataset().alias("dataset"),
-            (F.col("o_custkey") * 10000 + F.year("o_orderdate")).cast("bigint").alias("request_id"),
-            F.col("o_orderpriority").alias("param"),
-            F.col("o_orderstatus").alias("type"),
-            F.to_date("o_orderdate").alias("d"),
-        )
-        .distinct()
+def _asked(spark: SparkSession, folder: str) -> DataFrame:
+    return _orders_with_nation(spark, folder).select(
+        _dataset().alias("dataset"),
+        (F.col("o_custkey") * 10000 + F.year("o_orderdate")).cast("bigint").alias("request_id"),
+        F.col("o_orderpriority").alias("param"),
+        F.col("o_orderstatus").alias("type"),
+        F.to_date("o_orderdate").alias("d"),
     )
 
 
+def v_field(spark: SparkSession, folder: str) -> DataFrame:
+    return _asked(spark, folder).distinct()
+
+
 def v_req(spark: SparkSession, folder: str) -> DataFrame:
     """Requests as cubes: one sorted array of distinct values per key."""
     return (
-        v_field(spark, folder)
+        _asked(spark, folder)
         .groupBy("dataset", "request_id")
         .agg(*[F.array_sort(F.collect_set(k)).alias(k) for k in ("param", "type", "d")])
     )

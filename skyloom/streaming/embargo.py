@@ -8,7 +8,6 @@ batch that runs again after a failure writes the same folders again.
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +22,8 @@ class MovingEmbargo:
         self.date = date
 
     def held_after(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            return spark.read.parquet(f"{self.path}/held/batch={batch_id}")
-        except AnalysisException:
-            return None
+        """What a batch held back; nothing before the first one.  A folder that is gone is an error."""
+        return None if batch_id < 0 else spark.read.parquet(f"{self.path}/held/batch={batch_id}")
 
     def __call__(self, arrived: DataFrame, batch_id: int) -> None:
         spark = arrived.sparkSession
