@@ -10,14 +10,14 @@ from skyloom.operators.cubes import compare
 from skyloom.operators.scale import group_ordinals, matching_pairs, salted_join
 
 EDGES = ("north", "west", "south", "east")
-SALTS = 8  # many boxes may lie over one place
 
 
 def points_strictly_inside(areas: DataFrame, points: DataFrame, cell: float = 10.0) -> DataFrame:
     """Pairs of a request box and a configured point strictly inside it.
 
     Points with malformed coordinates are dropped.  Boxes are laid over coarse
-    cells, which turns the range join into an equality join.
+    cells, which turns the range join into an equality join; ``cell`` in degrees
+    should be about the size of a box.
     """
     located = (
         points.withColumn("_lat", F.col("latitude").try_cast("double"))
@@ -35,7 +35,8 @@ def points_strictly_inside(areas: DataFrame, points: DataFrame, cell: float = 10
         & (F.col("_lat") > F.col("south"))
         & (F.col("_lon") < F.col("east"))
     )
-    return salted_join(boxes, located, ["_cell"], areas.columns, SALTS).where(inside).drop("_cell").withColumnsRenamed({"_lat": "latitude", "_lon": "longitude"})
+    pairs = salted_join(boxes, located, ["_cell"], areas.columns).where(inside)  # many boxes may lie over one place
+    return pairs.drop("_cell").withColumnsRenamed({"_lat": "latitude", "_lon": "longitude"})
 
 
 def map_areas_to_values(areas: DataFrame, points: DataFrame, value: str, order: str) -> DataFrame:
@@ -61,7 +62,8 @@ def overlapping_features(areas: DataFrame, features: DataFrame, cell: float = 10
         & (F.col("f_east") >= F.col("west"))
     )
     corner = cell_of_point(F.greatest("south", "f_south"), F.greatest("west", "f_west"), cell)
-    return salted_join(boxes, placed, ["_cell"], areas.columns, SALTS).where(meets & (F.col("_cell") == corner)).drop("_cell")
+    pairs = salted_join(boxes, placed, ["_cell"], areas.columns)
+    return pairs.where(meets & (F.col("_cell") == corner)).drop("_cell")
 
 
 def first_features(pairs: DataFrame, by: Sequence[str], order: str, n: int) -> DataFrame:
@@ -206,7 +208,7 @@ def receipts(jobs: DataFrame, collections: DataFrame, results: DataFrame) -> Dat
     only when there is a result.
     """
     # a collection may have most of the jobs
-    named = salted_join(jobs, collections, ["collection_id"], ["request_id"], SALTS)
+    named = salted_join(jobs, collections, ["collection_id"], ["request_id"])
     joined = named.join(results, "request_id", "left")
     return joined.withColumn("licence", F.transform("licences", lambda l: licence_text(l["title"], l["revision"])))
 

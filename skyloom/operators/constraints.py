@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from skyloom.functions.dates import range_struct
 from skyloom.operators.scale import ABSENT, interval_pairs, matching_pairs, salted_join, union_all
 
-SALTS = 8  # a dataset may hold a large part of all requests
-
 
 def _con(key: str) -> str:
     return f"c_{key}"
@@ -114,8 +112,7 @@ def _pairs(
         _tokens({k: F.col(k) for k in deciding}, ranges, absent_matches, True),
         _tokens({k: F.col(_con(k)) for k in deciding}, ranges, absent_matches, False),
         keep,
-        spread_by=[id_column],
-        salts=SALTS,
+        spread_by=[id_column],  # a dataset may have a large part of all requests
     )
 
 
@@ -155,7 +152,7 @@ def intersect_date_ranges(requests: DataFrame, constraints: DataFrame, scope: Se
     ``requests`` has start and end, ``constraints`` has d_start and d_end.
     """
     pairs = interval_pairs(
-        requests, constraints, scope, ("start", "end"), ("d_start", "d_end"), requests.columns, SALTS
+        requests, constraints, scope, ("start", "end"), ("d_start", "d_end"), requests.columns
     )
     return pairs.withColumn("start", F.greatest("start", "d_start")).withColumn("end", F.least("end", "d_end")).drop(
         "d_start", "d_end"
@@ -239,7 +236,7 @@ def form_state_mixed(
     ]
     lone = F.array_compact(F.array(*[F.when(whole_range(k), F.lit(k)) for k in keys]))
     asked = selections.select(*scope, id_column, F.explode(lone).alias("key"))
-    whole = salted_join(asked, form, [*scope, "key"], [id_column], SALTS)
+    whole = salted_join(asked, form, [*scope, "key"], [id_column])
     return union_all([*opened, whole.select(id_column, "key", "value")])
 
 
@@ -264,7 +261,7 @@ def _opened(
     anything = F.coalesce(*[F.col(k) for k in deciding]).isNotNull() if deciding else F.lit(False)
     # nothing decides: every constraint of the dataset counts, and its values are already together
     everything = form_of_constraints(wanted, opened, scope)
-    whole = salted_join(selections.where(~anything), everything, scope, [id_column], SALTS)
+    whole = salted_join(selections.where(~anything), everything, scope, [id_column])
     whole = whole.select(id_column, "key", "value")
     if not deciding:
         return whole

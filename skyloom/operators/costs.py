@@ -100,7 +100,7 @@ def fill_missing_keys(
     """Give every absent key its first allowed value, so that a size can be worked out."""
     first = form.where(F.col("key").isin(list(keys))).groupBy(*scope).pivot("key", list(keys)).agg(F.min("value"))
     first = first.withColumnsRenamed({k: f"_first_{k}" for k in keys})
-    filled = salted_join(requests, first, scope, [id_column], 8, "left")
+    filled = salted_join(requests, first, scope, [id_column], "left")
     return filled.withColumns(
         {k: F.coalesce(F.col(k), F.array(F.col(f"_first_{k}"))) for k in keys}
     ).drop(*[f"_first_{k}" for k in keys])

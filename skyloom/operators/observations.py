@@ -111,7 +111,7 @@ def decode(df: DataFrame, column: str, labels: Mapping[int, str]) -> Column:
 
 def decode_by_table(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     """Labels through a code table (code, label); a common code is spread over tasks."""
-    return salted_join(df, codes.withColumnRenamed("code", column), [column], df.columns, 8, "left")
+    return salted_join(df, codes.withColumnRenamed("code", column), [column], df.columns, "left")
 
 
 def extract_summary(df: DataFrame, order: str = "observation_id") -> DataFrame:

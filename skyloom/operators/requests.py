@@ -15,7 +15,6 @@ from skyloom.operators.scale import salted_join
 from skyloom.tables import literal_map
 
 DOWNLOAD_FORMATS = ["zip", "tgz", "as_source"]  # fixed values
-SALTS = 8
 
 
 # --- value mapping -----------------------------------------------------------
@@ -50,7 +49,7 @@ def remap_scalar(value: Column, mapping: Mapping[str, str]) -> Column:
 def remap_by_table(fields: DataFrame, key: str, mapping: DataFrame) -> DataFrame:
     """Map a scalar key through a table (old, new); a value that most fields share is spread over tasks."""
     table = mapping.select(F.col("old").alias(key), F.col("new").alias("_new"))
-    joined = salted_join(fields, table, [key], fields.columns, SALTS, "left")
+    joined = salted_join(fields, table, [key], fields.columns, "left")
     return joined.withColumn(key, F.coalesce("_new", key)).drop("_new")
 
 

@@ -74,14 +74,27 @@ def _bases(totals: DataFrame) -> Column:
     return F.split(F.lit(text), ",").cast("array<bigint>")
 
 
+def default_salts(df: DataFrame) -> int:
+    """Copies of the small side: a few on a small session, 64 at most on a large one."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(8, min(64, partitions // 16))
+
+
 def salted_join(
-    big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int, how: str = "inner"
+    big: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+    salts: int | None = None,
 ) -> DataFrame:
     """Equality join that spreads each key of ``big`` over ``salts`` tasks.
 
     ``small`` is copied once per salt.  Right for inner, left, semi and anti
-    joins, where every row of ``big`` must meet all rows of its key.
+    joins, where every row of ``big`` must meet all rows of its key.  How many
+    salts there are follows from the session's shuffle partitions.
     """
+    salts = salts or default_salts(big)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a {how} join cannot be salted on its left side")
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
@@ -97,7 +110,7 @@ def matching_pairs(
     right_tokens: Column,
     keep: Column | None = None,
     spread_by: Sequence[str] = (),
-    salts: int = 1,
+    salts: int | None = None,
 ) -> DataFrame:
     """Pairs of rows in the same scope with at least one token in common, each pair once.
 
@@ -109,9 +122,7 @@ def matching_pairs(
     lefts = left.withColumn(l_set, left_tokens).withColumn(token, F.explode(l_set))
     rights = right.withColumn(r_set, right_tokens).withColumn(token, F.explode(r_set))
     on = [*scope, token]
-    joined = (
-        salted_join(lefts, rights, on, spread_by, salts) if salts > 1 else lefts.join(rights, on)
-    )
+    joined = salted_join(lefts, rights, on, spread_by, salts=salts) if spread_by else lefts.join(rights, on)
     once = F.array_min(F.array_intersect(l_set, r_set)) == F.col(token)
     joined = joined.where(once if keep is None else once & keep)
     return joined.drop(l_set, r_set, token)
@@ -124,7 +135,7 @@ def interval_pairs(
     left_range: tuple[str, str],
     right_range: tuple[str, str],
     spread_by: Sequence[str],
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """Pairs of rows whose date ranges, both ends included, overlap.
 
@@ -141,7 +152,7 @@ def interval_pairs(
     rights = right.where(F.col(rs) <= F.col(re)).withColumn("_month", months(rs, re))
     overlap = (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le))
     first_common = F.col("_month") == F.trunc(F.greatest(ls, rs), "month")
-    joined = salted_join(lefts, rights, [*scope, "_month"], spread_by, salts)
+    joined = salted_join(lefts, rights, [*scope, "_month"], spread_by, salts=salts)
     return joined.where(overlap & first_common).drop("_month")
 
 
@@ -150,7 +161,7 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def group_ordinals(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "ordinal", salts: int = 16
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "ordinal", salts: int | None = None
 ) -> DataFrame:
     """Number the rows of each group from 0, also when one group holds most rows.
 
@@ -159,5 +170,5 @@ def group_ordinals(
     """
     ranked = row_ordinals(df, [*by, *order], "_rank")
     firsts = ranked.groupBy(*by).agg(F.min("_rank").alias("_first"))
-    placed = salted_join(ranked, firsts, by, order, salts)
+    placed = salted_join(ranked, firsts, by, order, salts=salts)
     return placed.withColumn(name, F.col("_rank") - F.col("_first")).drop("_rank", "_first")

@@ -65,7 +65,7 @@ def validity_axis(messages: DataFrame, by: Sequence[str], base: str, step_hours:
     """
     first = messages.groupBy(*by).agg(F.min(base).alias("_first"))
     times = messages.select(*by, base, step_hours).groupBy(*by, base, step_hours).agg(F.count(F.lit(1)).alias("_times"))
-    timed = salted_join(times, first, by, [base, step_hours], 8).withColumn(
+    timed = salted_join(times, first, by, [base, step_hours]).withColumn(
         "valid_time", F.col(base) + F.make_dt_interval(hours=F.col(step_hours))
     )
     reference = F.timestamp_diff("HOUR", F.col("_first"), F.col(base))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from skyloom.errors import ConfigurationError
 from skyloom.operators import catalogue, constraints, costs
+from skyloom.operators.scale import salted_join
 
 
 def apply_constraints(
@@ -37,7 +38,7 @@ def apply_constraints(
         raise ConfigurationError(f"{method} is not a recognised way to apply constraints")
     free = constraints.unconstrained_values(form, constrained, scope)
     asked = selections.select(*scope, id_column)
-    always = constraints.salted_join(asked, free, scope, [id_column], constraints.SALTS)
+    always = salted_join(asked, free, scope, [id_column])
     return state.unionByName(always.select(id_column, "key", "value"))
 
 

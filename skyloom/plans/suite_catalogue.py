@@ -342,13 +342,13 @@ def j9(spark, d):
 
 @query(
     "p16_facet_ids",
-    """SELECT p_partkey, concat_ws('.', 'c3s', CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END, p_brand,
+    """SELECT p_partkey, concat_ws('.', 'open', CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END, p_brand,
  concat_ws('-', CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_name END, CAST(p_size AS VARCHAR))) AS facet_id FROM part""",
 )
 def p16(spark, d):
     key = F.col("p_partkey")
     dashed = [F.when(key % 3 != 0, F.col("p_name")), F.col("p_size").cast("string")]
-    dotted = [F.lit("c3s"), F.when(key % 4 != 0, F.col("p_type")), F.col("p_brand")]
+    dotted = [F.lit("open"), F.when(key % 4 != 0, F.col("p_type")), F.col("p_brand")]
     return table(spark, d, "part").select("p_partkey", K.facet_id(dashed, dotted).alias("facet_id"))
 
 

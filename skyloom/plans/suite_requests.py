@@ -95,7 +95,7 @@ def p7(spark, d):
 
 
 @query(
-    "p_full_mapping",
+    "plan_full_mapping",
     f"""SELECT request_id, string_agg({REMAP_SQL}, ',' ORDER BY param) AS variables, 'A' AS types, '00:00' AS times FROM
  (SELECT request_id, unnest(param) AS param FROM v_req) GROUP BY 1""",
 )

@@ -44,7 +44,7 @@ def test_salted_join(spark):
     small = spark.createDataFrame([(k, f"n{k}") for k in range(0, 40)], "k int, name string")
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = big.join(small, ["k"], how)
-        salted = S.salted_join(big, small, ["k"], ["id"], 8, how).select(*plain.columns)
+        salted = S.salted_join(big, small, ["k"], ["id"], how, 8).select(*plain.columns)
         assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
 
 
