@@ -142,13 +142,20 @@ def facet_id(dashed: Sequence[Column], dotted: Sequence[Column]) -> Column:
 
 
 def facet_candidates(
-    requests: DataFrame, candidates: DataFrame, keys: Sequence[str], groups: Mapping[str, Mapping[str, Sequence[str]]]
+    requests: DataFrame,
+    candidates: DataFrame,
+    keys: Sequence[str],
+    groups: Mapping[str, Mapping[str, Sequence[str]]],
+    searches: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Candidates whose values, seen through their groups, hold every value a request names.
 
     A request may leave a key open; it is matched on the first key through join
-    tokens, and on the others by value.
+    tokens, and on the others by value.  ``searches`` gives patterns such as
+    ``^{period}$`` that a facet must match once the request's value is put in.
     """
+    searches = searches or {}
+    candidates = candidates.withColumnsRenamed({k: f"c_{k}" for k in searches})
     for key, named in groups.items():
         grouped = F.col(key)
         for group, members in named.items():
@@ -160,6 +167,10 @@ def facet_candidates(
     keep = F.lit(True)
     for key in others:
         keep = keep & (F.col(key).isNull() | (F.col(key) == F.col(f"c_{key}")))
+    for key, template in searches.items():
+        before, _, after = template.partition("{" + key + "}")
+        pattern = F.concat(F.lit(before), F.col(key), F.lit(after))
+        keep = keep & (F.col(key).isNull() | F.rlike(F.col(f"c_{key}"), pattern))
     return matching_pairs(
         requests,
         renamed,

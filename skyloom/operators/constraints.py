@@ -6,7 +6,7 @@ dataset, and of those only the ones with a value in common on a chosen key, so
 no join lists all pairs.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -185,7 +185,12 @@ def possible_values(
     id_column: str = "request_id",
 ) -> DataFrame:
     """Values still open, homogeneous rule: a constraint counts when it has every selected key with a common value."""
-    return _opened(selections, constraints, keys, keys, scope, id_column, None, False)
+    return _once_per_selection(
+        selections,
+        [*scope, *keys],
+        id_column,
+        lambda asked: _opened(asked, constraints, keys, keys, scope, SELECTION, None, False),
+    )
 
 
 def form_state(
@@ -196,8 +201,13 @@ def form_state(
     id_column: str = "request_id",
 ) -> DataFrame:
     """Open values per key, homogeneous rule, with that key left out of the selection."""
-    return union_all(
-        [_opened(selections, constraints, keys, [k], scope, id_column, k, False) for k in keys]
+    return _once_per_selection(
+        selections,
+        [*scope, *keys],
+        id_column,
+        lambda asked: union_all(
+            [_opened(asked, constraints, keys, [k], scope, SELECTION, k, False) for k in keys]
+        ),
     )
 
 
@@ -209,18 +219,62 @@ def form_state_mixed(
     scope: Sequence[str] = ("dataset",),
     id_column: str = "request_id",
     ranges: Sequence[str] = (),
+    on_map: Sequence[str] = ("location_x", "location_y"),
 ) -> DataFrame:
     """Open values per key, mixed rule.
 
     A key does not decide for itself.  Its values are open where every other
     selected key has a common value or is not in the constraint.  The only
     selected key gets its whole range, and so does every key when nothing is
-    selected.
+    selected.  Coordinates picked on the map decide nothing; a selection of
+    only them opens nothing.
     """
+    columns = [*scope, *keys, *[k for k in on_map if k in selections.columns]]
+    return _once_per_selection(
+        selections,
+        columns,
+        id_column,
+        lambda asked: _mixed(asked, constraints, keys, form, scope, SELECTION, ranges, on_map),
+    )
+
+
+SELECTION = "_selection"
+
+
+def _once_per_selection(
+    selections: DataFrame, columns: Sequence[str], id_column: str, solve: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Solve each distinct selection once and give its values to every request that makes it.
+
+    Requests repeat each other, so this is done before any constraint is met.
+    The values of a selection travel as one row, which the form bounds.  A
+    selection that most requests make is a skewed join key, which adaptive
+    execution splits.
+    """
+    named = selections.select(id_column, *columns).withColumn(SELECTION, F.sha2(F.to_json(F.struct(*columns)), 256))
+    solved = solve(named.select(SELECTION, *columns).dropDuplicates([SELECTION]))
+    listed = solved.groupBy(SELECTION).agg(F.collect_list(F.struct("key", "value")).alias("_values"))
+    joined = named.select(id_column, SELECTION).join(listed, SELECTION)
+    return joined.select(id_column, F.explode("_values").alias("_v")).select(id_column, "_v.key", "_v.value")
+
+
+def _mixed(
+    selections: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    form: DataFrame,
+    scope: Sequence[str],
+    id_column: str,
+    ranges: Sequence[str],
+    on_map: Sequence[str],
+) -> DataFrame:
     n_selected = F.lit(0)
     for key in keys:
         n_selected = n_selected + F.col(key).isNotNull().cast("int")
     nothing = n_selected == 0
+    for key in on_map:
+        if key in selections.columns:
+            nothing = nothing & F.col(key).isNull()
     if ranges:  # date ranges that are shown but left empty count as no selection at all
         blank = F.lit(True)
         for key in ranges:
@@ -231,7 +285,9 @@ def form_state_mixed(
         return nothing | ((n_selected == 1) & F.col(key).isNotNull())
 
     opened = [
-        _opened(selections.where(~whole_range(k)), constraints, keys, [k], scope, id_column, k, True, ranges)
+        _opened(
+            selections.where((n_selected > 0) & ~whole_range(k)), constraints, keys, [k], scope, id_column, k, True, ranges
+        )
         for k in keys
     ]
     lone = F.array_compact(F.array(*[F.when(whole_range(k), F.lit(k)) for k in keys]))

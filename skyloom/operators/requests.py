@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skyloom.errors import ConfigurationError
 from skyloom.functions import dates as D
 from skyloom.functions import text as X
+from skyloom.functions.space import RegularGrid, snap_inwards
 from skyloom.operators.scale import salted_join
 from skyloom.tables import literal_map
 
@@ -310,6 +311,39 @@ def box_problems(
     )
 
 
+def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str = "keys") -> DataFrame:
+    """Open-keyed requests as if the data lay on a regular grid.
+
+    A request that names a grid stays as it is.  Others get the grid's spacing,
+    and their area, if any, is snapped inwards.  Key names are read by prefix;
+    ``problem`` tells of two keys for one meaning or an area without a point.
+    """
+
+    def named(key: str) -> Column:
+        return F.filter(F.map_keys(keys), lambda k: X.is_key(k, key))
+
+    area_key = F.get(named("area"), 0)
+    values = X.split_all(F.try_element_at(keys, area_key), "/")
+    edges = [X.number(F.get(values, i)) for i in range(4)]
+    snapped = snap_inwards(*edges, grid)
+    box = F.array(*[snapped[e].cast("string") for e in ("north", "west", "south", "east")])
+    spacing = F.create_map(F.lit("grid"), F.array(F.lit(str(grid.delta_lon)), F.lit(str(grid.delta_lat))))
+    without_area = F.map_filter(keys, lambda k, _: ~X.is_key(k, "area"))
+    changed = (
+        F.when(area_key.isNotNull(), F.map_concat(without_area, F.create_map(area_key, box), spacing))
+        .otherwise(F.map_concat(F.col(keys), spacing))
+    )
+    has_grid = F.size(named("grid")) > 0
+    problem = (
+        F.when(F.size(named("grid")) > 1, "request contains more than one grid key")
+        .when(has_grid, None)
+        .when(F.size(named("area")) > 1, "request contains more than one area key")
+        .when(area_key.isNotNull() & ~F.coalesce(snapped["has_points"], F.lit(False)), "request area contains no grid points")
+    )
+    usable = problem.isNull() & ~has_grid
+    return requests.withColumn("problem", problem).withColumn(keys, F.when(usable, changed).otherwise(F.col(keys)))
+
+
 def key_matches(keys: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
     """The key of a request that is read as the given one; two of them are an error."""
     hits = keys.where(X.is_key(F.col("key"), key))

@@ -26,9 +26,14 @@ def apply_constraints(
 ) -> DataFrame:
     """(id, key, value) of everything that can still be selected.
 
-    Form keys without any constraint keep all their values.
+    Form keys without any constraint in their dataset keep all their values,
+    and what is selected of them does not count.
     """
     constrained = constraints.constrained_keys(rules, keys, scope)
+    per_dataset = constrained.groupBy(*scope).agg(F.collect_set("key").alias("_constrained"))
+    selections = salted_join(selections, per_dataset, scope, [id_column], "left")
+    counts = {k: F.when(F.array_contains("_constrained", k), F.col(k)) for k in keys}
+    selections = selections.withColumns(counts).drop("_constrained")
     own_form = form.join(constrained, [*scope, "key"], "left_semi")
     if method == "mixed":
         state = constraints.form_state_mixed(selections, rules, keys, own_form, scope, id_column, ranges)
@@ -53,6 +58,7 @@ class Costing:
     last_class: str | None = None
     based_on: str = "size"  # a cost name, or highest_cost_limit_ratio
     resolution: tuple[float, float] = (0.25, 0.25)
+    weight_by_area: bool = True
 
 
 def estimate_costs(
@@ -72,7 +78,7 @@ def estimate_costs(
     """
     boxed = {"north", "west", "south", "east"} <= set(requests.columns)
     edges = [F.col(e) if boxed else F.lit(None).cast("double") for e in ("north", "west", "south", "east")]
-    weight = costs.grid_area_weight(*edges, *costing.resolution)
+    weight = costs.grid_area_weight(*edges, *costing.resolution) if costing.weight_by_area else F.lit(1)
     fast = costs.estimate_fields([*keys, *counted], costing.weighted_values, costing.weighted_keys)
     sizes = requests.select(id_column, weight.alias("_weight"), fast.alias("_fields"))
     bare = requests.select(*scope, id_column, *keys)

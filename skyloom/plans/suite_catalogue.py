@@ -306,7 +306,8 @@ WITH c AS (SELECT p_partkey, CASE WHEN p_brand IN ('Brand#1', 'Brand#2', 'Brand#
 r AS (SELECT s_suppkey AS request_id, CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN 'low' ELSE 'Brand#' || (s_suppkey % 25 + 1) END AS brand,
  CASE WHEN s_suppkey % 3 = 0 THEN NULL WHEN s_suppkey % 3 = 1 THEN 'SMALL' ELSE 'LARGE' END AS kind FROM supplier)
 SELECT request_id, count(*) AS n_candidates, min(p_partkey) AS first_candidate FROM r JOIN c
- ON (r.brand IS NULL OR r.brand = c.brand) AND (r.kind IS NULL OR r.kind = c.kind) WHERE regexp_matches(p_name, '^(small|red)') GROUP BY 1""",
+ ON (r.brand IS NULL OR r.brand = c.brand) AND (r.kind IS NULL OR r.kind = c.kind) WHERE regexp_matches(p_name, '^(small|red)')
+ AND (r.request_id % 5 > 0 OR regexp_matches(p_name, 'ring$')) GROUP BY 1""",
 )
 def j8(spark, d):
     candidates = table(spark, d, "part").select(
@@ -315,10 +316,13 @@ def j8(spark, d):
     key = F.col("s_suppkey")
     brand = F.when(key % 4 == 1, F.lit("low")).when(key % 4 > 1, F.concat(F.lit("Brand#"), (key % 25 + 1).cast("string")))
     kind = F.when(key % 3 == 1, F.lit("SMALL")).when(key % 3 == 2, F.lit("LARGE"))
-    wanted = table(spark, d, "supplier").select(key.alias("request_id"), brand.alias("brand"), kind.alias("kind"))
+    noun = F.when(key % 5 == 0, F.lit("ring"))
+    wanted = table(spark, d, "supplier").select(
+        key.alias("request_id"), brand.alias("brand"), kind.alias("kind"), noun.alias("p_name")
+    )
     named = candidates.where(F.col("p_name").rlike("^(small|red)"))
     groups = {"brand": {"low": ["Brand#1", "Brand#2", "Brand#3"]}}
-    pairs = K.facet_candidates(wanted, named, ["brand", "kind"], groups)
+    pairs = K.facet_candidates(wanted, named, ["brand", "kind"], groups, {"p_name": "{p_name}$"})
     return pairs.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("n_candidates"), F.min("p_partkey").alias("first_candidate")
     )

@@ -300,6 +300,21 @@ def w5(spark, d):
     )
 
 
+@query(
+    "k6_reuse_of_results",
+    """
+WITH done AS (SELECT DISTINCT param, type FROM v_req WHERE d[1] < DATE '1995-01-15')
+SELECT request_id, done.param IS NOT NULL AS hit FROM v_req LEFT JOIN done ON v_req.param = done.param AND v_req.type = done.type""",
+)
+def k6_reuse(spark, d):
+    from skyloom.operators.requests import fingerprint, reusable_results
+
+    keys = F.create_map(F.lit("type"), F.col("type"), F.lit("param"), F.col("param"))
+    requests = v_req(spark, d).withColumn("fingerprint", fingerprint(keys, F.lit(False)))
+    done = requests.where(F.col("d")[0] < F.lit("1995-01-15").cast("date")).select("fingerprint").distinct()
+    return reusable_results(requests, done.withColumn("result", F.lit("file"))).select("request_id", "hit")
+
+
 @query(
     "k6_request_fingerprints",
     """SELECT array_to_string(param, ',') AS params, array_to_string(type, ',') AS types, count(*) AS group_size, 1 AS n_fingerprints

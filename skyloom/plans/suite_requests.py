@@ -473,6 +473,30 @@ def g1(spark, d):
     return v_area(spark, d).select("request_id", *[v.alias(k) for k, v in snapped.items()])
 
 
+@query(
+    "g1_simulate_preinterpolation",
+    """
+SELECT request_id, CASE WHEN request_id % 4 = 0 THEN '1.0/1.0' ELSE '0.5/0.25' END AS grid,
+ CASE WHEN request_id % 4 = 0 THEN round(north, 3) ELSE floor(round(north / 0.25, 9)) * 0.25 END AS north,
+ CASE WHEN request_id % 4 = 0 THEN round(west, 3) ELSE ceil(round(west / 0.5, 9)) * 0.5 END AS west FROM v_area""",
+)
+def g1_preinterpolation(spark, d):
+    box = F.array(*[F.round(F.col(e), 3).cast("string") for e in EDGES])
+    area = F.create_map(F.lit(" AreaX"), box)
+    given = F.map_concat(area, F.create_map(F.lit("GRID"), F.array(F.lit("1.0"), F.lit("1.0"))))
+    keys = F.when(F.col("request_id") % 4 == 0, given).otherwise(area)
+    raw = v_area(spark, d).select("request_id", keys.alias("keys"))
+    ready = R.simulate_preinterpolation(raw, S.RegularGrid(delta_lat=0.25, delta_lon=0.5)).where("problem IS NULL")
+    spacing = F.coalesce(F.try_element_at("keys", F.lit("grid")), F.try_element_at("keys", F.lit("GRID")))
+    place = F.try_element_at("keys", F.lit(" AreaX"))
+    return ready.select(
+        "request_id",
+        F.array_join(spacing, "/").alias("grid"),
+        place[0].cast("double").alias("north"),
+        place[1].cast("double").alias("west"),
+    )
+
+
 @query(
     "g1_upside_down_boxes_keep_order",
     """SELECT request_id, round(ceil(round(south, 9)), 9) AS north, round(floor(round(north, 9)), 9) AS south FROM v_area""",
