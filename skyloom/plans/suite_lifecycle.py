@@ -47,9 +47,10 @@ def doc_constraints(spark, d):
 @query(
     "plan_apply_constraints_homogeneous",
     f"""
-WITH {FORM_SQL.strip()}, extra AS (SELECT DISTINCT dataset, 'day' AS key, strftime(d, '%d') AS value FROM v_field)
-SELECT DISTINCT request_id, 'param' AS key, unnest(c.param) AS value FROM v_sel r JOIN v_con c USING (dataset)
- WHERE r.type IS NULL OR (c.type IS NOT NULL AND list_has_any(r.type, c.type))
+WITH {FORM_SQL.strip()}, extra AS (SELECT DISTINCT dataset, 'day' AS key, strftime(d, '%d') AS value FROM v_field),
+mentions AS (SELECT dataset, count(type) > 0 AS typed FROM v_con GROUP BY 1)
+SELECT DISTINCT request_id, 'param' AS key, unnest(c.param) AS value FROM v_sel r JOIN v_con c USING (dataset) JOIN mentions USING (dataset)
+ WHERE r.type IS NULL OR NOT typed OR (c.type IS NOT NULL AND list_has_any(r.type, c.type))
 UNION SELECT DISTINCT request_id, 'type', unnest(c.type) FROM v_sel r JOIN v_con c USING (dataset)
  WHERE r.param IS NULL OR list_has_any(r.param, c.param)
 UNION ALL SELECT request_id, key, value FROM v_sel JOIN extra USING (dataset)""",
