@@ -62,9 +62,8 @@ def is_date_or_range(text: Column) -> Column:
     parts = F.split(text, "/")
     days = F.transform(parts, lambda p: F.when(is_iso_date(p), F.try_to_date(p, "yyyy-M-d")))
     all_days = F.forall(days, lambda d: d.isNotNull())
-    ordered = (F.size(parts) == 1) | (
-        (F.size(parts) == 2) & F.coalesce(F.try_element_at(days, F.lit(1)) <= F.try_element_at(days, F.lit(2)), F.lit(False))
-    )
+    in_order = F.coalesce(F.get(days, 0) <= F.get(days, 1), F.lit(False))
+    ordered = (F.size(parts) == 1) | ((F.size(parts) == 2) & in_order)
     return all_days & ordered
 
 

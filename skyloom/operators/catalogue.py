@@ -101,7 +101,9 @@ def backend_calls(fields: DataFrame, by: Sequence[str], order: Sequence[str], si
     return placed.withColumn("call", F.floor(F.col("_place") / size).cast("bigint")).drop("_place")
 
 
-def conditional_tags(fields: DataFrame, conditions: Mapping[str, Sequence[Mapping[str, Sequence[str]]]], by: Sequence[str]) -> DataFrame:
+def conditional_tags(
+    fields: DataFrame, conditions: Mapping[str, Sequence[Mapping[str, Sequence]]], by: Sequence[str]
+) -> DataFrame:
     """Tags that apply to a request: every field of it lies in some condition cube of the tag.
 
     Keys a condition lacks are ignored.  Conditions are configuration, so they

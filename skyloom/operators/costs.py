@@ -121,14 +121,22 @@ def precise_size(
     return sized.select(id_column, (F.coalesce("n_granules", F.lit(0)) * weight).alias("precise_size"))
 
 
-def grid_area_weight(north: Column, west: Column, south: Column, east: Column, d_lat: float = 0.25, d_lon: float = 0.25) -> Column:
+def grid_area_weight(
+    north: Column, west: Column, south: Column, east: Column, d_lat: float = 0.25, d_lon: float = 0.25
+) -> Column:
     """Grid points of a box for the grid store: signed extent, never negative, 1 without a box."""
     points = points_in_box(north, west, south, east, d_lat, d_lon, least=0, signed=True)
     return F.when(north.isNull(), F.lit(1)).otherwise(points)
 
 
 def observation_area_weight(
-    north: Column, west: Column, south: Column, east: Column, has_stations: Column, d_lat: float = 1.0, d_lon: float = 1.0
+    north: Column,
+    west: Column,
+    south: Column,
+    east: Column,
+    has_stations: Column,
+    d_lat: float = 1.0,
+    d_lon: float = 1.0,
 ) -> Column:
     """The same for observations: absolute extent, at least 1, the globe without a box, 1 for stations."""
     n, w = F.coalesce(north, F.lit(90.0)), F.coalesce(west, F.lit(-180.0))

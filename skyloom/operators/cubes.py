@@ -40,7 +40,8 @@ def unfold_with_ordinal(cubes: DataFrame, keys: Sequence[str], name: str = "ordi
     sort and no window, however large the cube is.
     """
     sizes = {k: f"_size_{k}" for k in keys}
-    cubes = cubes.withColumns({sizes[k]: F.size(k).cast("bigint") for k in keys}).withColumn(name, F.lit(0).cast("bigint"))
+    cubes = cubes.withColumns({sizes[k]: F.size(k).cast("bigint") for k in keys})
+    cubes = cubes.withColumn(name, F.lit(0).cast("bigint"))
     for key in keys:
         rest = [c for c in cubes.columns if c != key]
         cubes = cubes.select(*rest, F.posexplode(key).alias("_place", key)).withColumn(
@@ -50,7 +51,9 @@ def unfold_with_ordinal(cubes: DataFrame, keys: Sequence[str], name: str = "ordi
     return cubes.drop(*sizes.values())
 
 
-def count_fields(cubes: DataFrame, keys: Sequence[str], by: Sequence[str] = (), ignore: Sequence[str] = ()) -> DataFrame:
+def count_fields(
+    cubes: DataFrame, keys: Sequence[str], by: Sequence[str] = (), ignore: Sequence[str] = ()
+) -> DataFrame:
     """How many fields the cubes hold, without unfolding them."""
     counted = F.sum(field_count([k for k in keys if k not in ignore])).alias("n_fields")
     return cubes.groupBy(*by).agg(counted) if by else cubes.agg(counted)
@@ -109,7 +112,8 @@ def unfold_open(cubes: DataFrame, keys: str = "keys", field: str = "field") -> D
         rest = [c for c in fields.columns if c != "_pair"]
         fields = fields.select(*rest, F.explode_outer(pairs).alias("_pair"))
         longer = F.concat(field, F.array("_pair"))
-        fields = fields.withColumn(field, F.when(F.col("_pair").isNotNull(), longer).otherwise(F.col(field))).drop("_pair")
+        fields = fields.withColumn(field, F.when(F.col("_pair").isNotNull(), longer).otherwise(F.col(field)))
+        fields = fields.drop("_pair")
     return fields.drop("_entries")
 
 
@@ -193,13 +197,10 @@ def envelope(cubes: DataFrame, keys: Sequence[str], by: Sequence[str], position:
     The first place of each value is found before anything is listed, so a list
     holds distinct values only.
     """
-    entries = cubes.select(
-        *by,
-        position,
-        F.explode(
-            F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.col(k).cast("array<string>") for k in keys]))
-        ).alias("key", "_values"),
-    ).select(*by, "key", position, F.posexplode("_values").alias("_place", "value"))
+    lists = F.array(*[F.col(k).cast("array<string>") for k in keys])
+    by_key = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), lists)
+    entries = cubes.select(*by, position, F.explode(by_key).alias("key", "_values"))
+    entries = entries.select(*by, "key", position, F.posexplode("_values").alias("_place", "value"))
     firsts = entries.groupBy(*by, "key", "value").agg(F.min(F.struct(position, "_place")).alias("_first"))
     listed = firsts.groupBy(*by, "key").agg(F.array_sort(F.collect_list(F.struct("_first", "value"))).alias("_list"))
     return listed.select(*by, "key", F.col("_list.value").alias("values"))

@@ -75,7 +75,9 @@ def require_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def lite_columns(df: DataFrame, mandatory: Sequence[str], optional: Sequence[str], disabled: Sequence[str] = ()) -> DataFrame:
+def lite_columns(
+    df: DataFrame, mandatory: Sequence[str], optional: Sequence[str], disabled: Sequence[str] = ()
+) -> DataFrame:
     """Only the columns of the lite data model, variants of a name from other tables included."""
     keep = (set(mandatory) | set(optional)) - set(disabled)
     chosen = [c for c in df.columns if c not in disabled and c.split("|")[0] in keep]

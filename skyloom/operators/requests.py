@@ -140,14 +140,10 @@ def separate_processing(
 ) -> tuple[DataFrame, DataFrame]:
     """Selection keys and processing parameters apart; a parameter has one value or its default."""
     selection = requests.drop(*processing)
-    parameters = requests.select(
-        id_column,
-        *[F.coalesce(F.get(F.col(k), 0), F.lit(v)).alias(k) for k, v in processing.items()],
-        F.array_compact(
-            F.array(*[F.when(~single_valued(F.col(k)), F.lit(f"Multiple {k} values in a single request is not supported.")) for k in processing])
-        ).alias("errors"),
-    )
-    return selection, parameters
+    values = [F.coalesce(F.get(F.col(k), 0), F.lit(v)).alias(k) for k, v in processing.items()]
+    text = "Multiple {} values in a single request is not supported."
+    errors = F.array(*[F.when(~single_valued(F.col(k)), F.lit(text.format(k))) for k in processing])
+    return selection, requests.select(id_column, *values, F.array_compact(errors).alias("errors"))
 
 
 def form_values(widgets: DataFrame) -> DataFrame:
@@ -229,7 +225,12 @@ def embargo(
         on_limit, F.filter(X.split_all(F.col(time), "/"), lambda t: D.clock_seconds(t) / 3600 <= F.hour("_limit"))
     )
     pieces = F.array(
-        F.struct(F.lit("before").alias("piece"), whole.alias("dates"), F.col(time).alias("times"), (F.size(whole) > 0).alias("keep")),
+        F.struct(
+            F.lit("before").alias("piece"),
+            whole.alias("dates"),
+            F.col(time).alias("times"),
+            (F.size(whole) > 0).alias("keep"),
+        ),
         F.struct(
             F.lit("limit").alias("piece"),
             F.array(F.col("_day")).alias("dates"),
@@ -298,7 +299,13 @@ def clean_selection(selections: DataFrame, key: str = "key") -> DataFrame:
 
 
 def box_problems(
-    north: Column, west: Column, south: Column, east: Column, max_lat: float = 1.0, max_lon: float = 1.0, has_point: Column | None = None
+    north: Column,
+    west: Column,
+    south: Column,
+    east: Column,
+    max_lat: float = 1.0,
+    max_lon: float = 1.0,
+    has_point: Column | None = None,
 ) -> Column:
     """What is wrong with a request's place, as text; NULL when it is fine."""
     has_box = north.isNotNull() & west.isNotNull() & south.isNotNull() & east.isNotNull()
@@ -338,7 +345,10 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
         F.when(F.size(named("grid")) > 1, "request contains more than one grid key")
         .when(has_grid, None)
         .when(F.size(named("area")) > 1, "request contains more than one area key")
-        .when(area_key.isNotNull() & ~F.coalesce(snapped["has_points"], F.lit(False)), "request area contains no grid points")
+        .when(
+            area_key.isNotNull() & ~F.coalesce(snapped["has_points"], F.lit(False)),
+            "request area contains no grid points",
+        )
     )
     usable = problem.isNull() & ~has_grid
     return requests.withColumn("problem", problem).withColumn(keys, F.when(usable, changed).otherwise(F.col(keys)))

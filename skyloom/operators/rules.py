@@ -124,8 +124,15 @@ def remove_unknown_keys(
 
 
 def unknown_keys(request: Column, names: Sequence[str], patterns: Sequence[str] = ()) -> Column:
-    known = lambda k: k.isin(list(names)) | (F.lit(False) if not patterns else F.exists(F.array(*[F.lit(p) for p in patterns]), lambda p: k.rlike(p)))
-    return F.array_sort(F.filter(F.map_keys(request), lambda k: ~known(k)))
+    """Sorted key names that are neither named nor match a pattern."""
+
+    def unknown(k: Column) -> Column:
+        known = k.isin(list(names))
+        for pattern in patterns:
+            known = known | k.rlike(pattern)
+        return ~known
+
+    return F.array_sort(F.filter(F.map_keys(request), unknown))
 
 
 # --- compiling a rule -------------------------------------------------------------
@@ -186,42 +193,51 @@ def quoted_list(values: Column) -> Column:
 
 
 def item_message(rule: Rule, value: Column, place: Column) -> Column:
-    """What is wrong with one element, NULL when nothing is."""
-    message = F.lit(None).cast("string")
-
-    def wrong(test: Column, text: Column) -> Column:
-        return F.when(message.isNull() & test, text).otherwise(message)
-
+    """What is wrong with one element, NULL when nothing is.  The wording is a set of fixed values."""
+    tests: list[tuple[Column, Column]] = []  # the first that fails is reported
     if rule.kind in ("number", "integer"):
-        reader = X.number if rule.kind == "number" else X.integer
-        message = wrong(reader(value).isNull(), F.format_string(f"'%s' is not a valid {rule.kind}", value))
+        number = X.number(value) if rule.kind == "number" else X.integer(value)
+        tests.append((number.isNull(), _quoted(value, f"' is not a valid {rule.kind}")))
         for at, low in rule.minimum.items():
-            message = wrong((place == at) & (X.number(value) < low), F.format_string(f"%s is less than the minimum of {low}", X.number(value).cast("string")))
+            text = F.concat(X.number(value).cast("string"), F.lit(f" is less than the minimum of {low}"))
+            tests.append(((place == at) & (X.number(value) < low), text))
         for at, high in rule.maximum.items():
-            message = wrong((place == at) & (X.number(value) > high), F.format_string(f"%s is greater than the maximum of {high}", X.number(value).cast("string")))
+            text = F.concat(X.number(value).cast("string"), F.lit(f" is greater than the maximum of {high}"))
+            tests.append(((place == at) & (X.number(value) > high), text))
     if rule.min_length is not None:
-        text = f"'%s': string is too short. Should have at least {rule.min_length} character(s)"
-        message = wrong(F.length(value) < rule.min_length, F.format_string(text, value))
+        text = f"': string is too short. Should have at least {rule.min_length} character(s)"
+        tests.append((F.length(value) < rule.min_length, _quoted(value, text)))
     if rule.max_length is not None:
-        text = f"'%s': string is too long. Should have no more than {rule.max_length} character(s)"
-        message = wrong(F.length(value) > rule.max_length, F.format_string(text, value))
+        text = f"': string is too long. Should have no more than {rule.max_length} character(s)"
+        tests.append((F.length(value) > rule.max_length, _quoted(value, text)))
     if rule.allowed is not None:
-        shown = "[" + ", ".join(f"'{a}'" for a in rule.allowed) + "]"
-        message = wrong(~value.isin(list(rule.allowed)), F.concat(F.lit("'"), value, F.lit(f"' is not one of {shown}")))
+        tests.append((~value.isin(list(rule.allowed)), _quoted(value, f"' is not one of {list(rule.allowed)}")))
     if rule.pattern is not None:
         text = F.concat(F.lit("invalid value: '"), value, F.lit("'"))
         if rule.show_pattern:
             text = F.concat(text, F.lit(f". Valid values must match regular expression '{rule.pattern}'"))
-        message = wrong(~value.rlike(rule.pattern), text)
+        tests.append((~value.rlike(rule.pattern), text))
     if rule.format is not None:
-        if rule.format in MESSAGES:
-            text = MESSAGES[rule.format](value, rule)
-        elif rule.format == "date":
-            text = F.concat(F.lit('"'), value, F.lit('" is not a valid date. Expected format is yyyy-mm-dd'))
-        else:
-            text = F.concat(F.lit("'"), value, F.lit(f"' is not a valid {rule.format}"))
-        message = wrong(~F.coalesce(FORMATS[rule.format](value), F.lit(False)), text)
-    return F.when(message.isNotNull(), F.concat(path(rule.key, None if rule.scalar else place), F.lit(": "), message))
+        valid = F.coalesce(FORMATS[rule.format](value), F.lit(False))
+        tests.append((~valid, _format_message(rule, value)))
+    if not tests:
+        return F.lit(None).cast("string")
+    message = F.lit(None).cast("string")
+    for failed, text in reversed(tests):
+        message = F.when(failed, text).otherwise(message)
+    return F.concat(path(rule.key, None if rule.scalar else place), F.lit(": "), message)
+
+
+def _quoted(value: Column, rest: str) -> Column:
+    return F.concat(F.lit("'"), value, F.lit(rest))
+
+
+def _format_message(rule: Rule, value: Column) -> Column:
+    if rule.format in MESSAGES:
+        return MESSAGES[rule.format](value, rule)
+    if rule.format == "date":
+        return F.concat(F.lit('"'), value, F.lit('" is not a valid date. Expected format is yyyy-mm-dd'))
+    return _quoted(value, f"' is not a valid {rule.format}")
 
 
 def length_text(rule: Rule, too_few: bool) -> str:
@@ -234,25 +250,24 @@ def length_text(rule: Rule, too_few: bool) -> str:
 
 
 def problems(rule: Rule, values: Column) -> Column:
-    """All messages about a repaired list."""
-    found = [
-        F.when(values.isNull(), F.lit(f"request: missing mandatory key: '{rule.key}'")) if rule.required else None,
-        F.when(F.size(values) < rule.min_items, F.concat(path(rule.key), F.lit(": "), quoted_list(values), F.lit(length_text(rule, True))))
-        if rule.min_items is not None
-        else None,
-        F.when(F.size(values) > rule.max_items, F.concat(path(rule.key), F.lit(": "), quoted_list(values), F.lit(length_text(rule, False))))
-        if rule.max_items is not None
-        else None,
-        F.when(F.size(values) > F.size(F.array_distinct(values)), F.concat(path(rule.key), F.lit(": has repeated values in the list, e.g. '"), first_repeated(values), F.lit("'")))
-        if rule.unique == "reject"
-        else None,
-        F.when(F.size(values) > 1, F.concat(path(rule.key), F.lit(": "), quoted_list(values), F.lit(" is not of type 'string'")))
-        if rule.scalar
-        else None,
-    ]
-    whole = F.array_compact(F.array(*[f.cast("string") for f in found if f is not None])).cast("array<string>")
-    items = F.array_compact(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v, i: item_message(rule, v, i)))
-    return F.array_distinct(F.concat(whole, items))
+    """All messages about a repaired list: first about the list, then about its elements."""
+    start = F.concat(path(rule.key), F.lit(": "))
+    listed = F.concat(start, quoted_list(values))
+    found: list[Column] = []
+    if rule.required:
+        found.append(F.when(values.isNull(), F.lit(f"request: missing mandatory key: '{rule.key}'")))
+    if rule.min_items is not None:
+        found.append(F.when(F.size(values) < rule.min_items, F.concat(listed, F.lit(length_text(rule, True)))))
+    if rule.max_items is not None:
+        found.append(F.when(F.size(values) > rule.max_items, F.concat(listed, F.lit(length_text(rule, False)))))
+    if rule.unique == "reject":
+        example = F.concat(start, F.lit("has repeated values in the list, e.g. '"), first_repeated(values), F.lit("'"))
+        found.append(F.when(F.size(values) > F.size(F.array_distinct(values)), example))
+    if rule.scalar:
+        found.append(F.when(F.size(values) > 1, F.concat(listed, F.lit(" is not of type 'string'"))))
+    nothing = F.array().cast("array<string>")
+    items = F.transform(F.coalesce(values, nothing), lambda v, i: item_message(rule, v, i))
+    return F.array_distinct(F.concat(F.array_compact(F.array(*found).cast("array<string>")), F.array_compact(items)))
 
 
 def first_repeated(values: Column) -> Column:
@@ -274,7 +289,8 @@ def enforce(requests: DataFrame, rules: Sequence[Rule], id_column: str = "reques
     checked = check(requests, rules)
     good = checked.where(F.size("errors") == 0).drop("errors")
     rejects = checked.select(id_column, F.posexplode("errors").alias("place", "message"))
-    return good, rejects.select(id_column, F.lit("rules").alias("rule_id"), F.lit("invalid request").alias("reason_group"), "place", "message")
+    labels = [F.lit("rules").alias("rule_id"), F.lit("invalid request").alias("reason_group")]
+    return good, rejects.select(id_column, *labels, "place", "message")
 
 
 # --- rule sets --------------------------------------------------------------------
@@ -283,7 +299,10 @@ NON_BLANK = r"^[ \t]*[\S ]*\S[\S ]*[ \t]*$"
 
 
 def archive_problems(
-    request: Column, exempt: Sequence[str] = ("grid", "area"), key_pattern: str = NON_BLANK, value_pattern: str = NON_BLANK
+    request: Column,
+    exempt: Sequence[str] = ("grid", "area"),
+    key_pattern: str = NON_BLANK,
+    value_pattern: str = NON_BLANK,
 ) -> Column:
     """Messages about an archive request, a map of key to list of text.
 
@@ -315,8 +334,8 @@ def archive_problems(
         )
         return F.concat(whole, items)
 
-    empty = F.when(F.size(entries) == 0, F.array(F.lit("request: {} should be non-empty"))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(empty, F.array_compact(F.flatten(F.transform(entries, about)))))
+    empty = F.array(F.when(F.size(entries) == 0, F.lit("request: {} should be non-empty")))
+    return F.array_distinct(F.array_compact(F.concat(empty, F.flatten(F.transform(entries, about)))))
 
 
 REGIONAL_KEYS = ["variable", "model", "level", "date", "type", "time", "step", "format"]  # fixed values

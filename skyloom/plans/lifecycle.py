@@ -64,7 +64,8 @@ def prepare(
     mapped = translate.apply_mapping(good, config.mapping)
     if config.embargo is not None:
         open_ = translate.embargo(mapped, as_of, date=date, time=time, **config.embargo)
-        held = mapped.select("request_id").distinct().join(open_.select("request_id").distinct(), "request_id", "left_anti")
+        released = open_.select("request_id").distinct()
+        held = mapped.select("request_id").distinct().join(released, "request_id", "left_anti")
         turned_down.append(
             reject(held, "embargo", "invalid request", "None of the data you have requested is available yet")
         )

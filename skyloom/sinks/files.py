@@ -78,7 +78,14 @@ def write_fields(fields: DataFrame, path: str) -> None:
 RULE = "#" * 88
 
 
-def csv_header(summary: dict, variables: Sequence[tuple[str, str]], uncertainties: Sequence[tuple[str, str]], dataset: str, source: str, licences: Sequence[str]) -> str:
+def csv_header(
+    summary: dict,
+    variables: Sequence[tuple[str, str]],
+    uncertainties: Sequence[tuple[str, str]],
+    dataset: str,
+    source: str,
+    licences: Sequence[str],
+) -> str:
     """Text of the header from one summary row and the distinct variables with their units."""
     area = "{min_lat:.2f}/{max_lat:.2f}/{min_lon:.2f}/{max_lon:.2f}".format(**summary)
     legend = [f"# {name} {text}" for name, text in uncertainties] or [

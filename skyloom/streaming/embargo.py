@@ -30,8 +30,8 @@ class MovingEmbargo:
         limit = F.date_sub(F.lit(self.clock(batch_id).date().isoformat()).cast("date"), self.delay_days)
         waiting = self.held_after(spark, batch_id - 1)
         fields = arrived if waiting is None else arrived.unionByName(waiting)
-        fields.where(F.col(self.date) <= limit).write.mode("overwrite").parquet(f"{self.path}/released/batch={batch_id}")
-        fields.where(F.col(self.date) > limit).write.mode("overwrite").parquet(f"{self.path}/held/batch={batch_id}")
+        for folder, test in (("released", F.col(self.date) <= limit), ("held", F.col(self.date) > limit)):
+            fields.where(test).write.mode("overwrite").parquet(f"{self.path}/{folder}/batch={batch_id}")
 
 
 def run(fields: DataFrame, embargo: MovingEmbargo, checkpoint: str):
