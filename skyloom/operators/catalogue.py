@@ -10,6 +10,7 @@ from skyloom.operators.cubes import compare
 from skyloom.operators.scale import group_ordinals, matching_pairs, salted_join
 
 EDGES = ("north", "west", "south", "east")
+FIELDS_PER_CALL = 50  # fixed value: most fields of one backend call
 
 
 def points_strictly_inside(areas: DataFrame, points: DataFrame, cell: float = 10.0) -> DataFrame:
@@ -95,7 +96,9 @@ def split_by_store(fields: DataFrame, stored: DataFrame, keys: Sequence[str]) ->
     return joined.withColumn("backend", F.when(F.col("_fast"), "latest").otherwise("archived")).drop("_fast")
 
 
-def backend_calls(fields: DataFrame, by: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
+def backend_calls(
+    fields: DataFrame, by: Sequence[str], order: Sequence[str], size: int = FIELDS_PER_CALL
+) -> DataFrame:
     """Fields of a group numbered into calls of at most ``size``."""
     placed = group_ordinals(fields, by, order, "_place")
     return placed.withColumn("call", F.floor(F.col("_place") / size).cast("bigint")).drop("_place")

@@ -14,6 +14,10 @@ from skyloom.functions.dates import range_struct
 from skyloom.operators.scale import running_offsets
 
 
+FAST_STORE_CHUNK = 5000  # fixed values: fields of one call to either store
+SLOW_STORE_CHUNK = 900
+
+
 def expand_dates(texts: Column) -> Column:
     """Dates and ``a/b`` ranges, as text, to a list of dates in the given order."""
     return F.flatten(

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from skyloom.operators import constraints, requests as translate
 from skyloom.operators.rules import Rule, enforce
 from skyloom.operators.scale import union_all
+from skyloom.tables import REJECTS, conform
 
 
 @dataclass(frozen=True)
 class Preparation:
-    """Configuration of one dataset."""
+    """Configuration of one dataset: at least one of rules, constraints and embargo."""
 
     rules: Sequence[Rule] = ()
     constrained: Sequence[str] = ()
@@ -78,4 +79,4 @@ def prepare(
     )
     reusable = F.col("cacheable") & F.lit(not config.avoid_cache)
     mapped = mapped.withColumn("fingerprint", translate.fingerprint(as_map, ~reusable))
-    return Prepared(mapped, union_all(turned_down))
+    return Prepared(mapped, conform(union_all(turned_down), REJECTS))

@@ -116,7 +116,7 @@ def h7(spark, d):
     f"""SELECT {FIELD}, (row_number() OVER (ORDER BY request_id, param, type, d) - 1) // 900 AS chunk FROM v_cube""",
 )
 def h8(spark, d):
-    return C.chunk(v_req(spark, d), KEYS, ["request_id"], 900).select("request_id", *KEYS, "chunk")
+    return C.chunk(v_req(spark, d), KEYS, ["request_id"], C.SLOW_STORE_CHUNK).select("request_id", *KEYS, "chunk")
 
 
 @query(
@@ -125,7 +125,7 @@ def h8(spark, d):
 SELECT chunk, count(*) AS n_fields, min(request_id) AS first_request, max(request_id) AS last_request FROM c WHERE chunk < 3 GROUP BY 1""",
 )
 def h8_max(spark, d):
-    fields = C.chunk(v_req(spark, d), KEYS, ["request_id"], 5000, max_groups=3)
+    fields = C.chunk(v_req(spark, d), KEYS, ["request_id"], C.FAST_STORE_CHUNK, max_groups=3)
     return fields.groupBy("chunk").agg(
         F.count(F.lit(1)).alias("n_fields"),
         F.min("request_id").alias("first_request"),
@@ -173,7 +173,7 @@ def h10(spark, d):
     from skyloom.operators.catalogue import backend_calls
 
     fields = v_field(spark, d).withColumn("layer", F.when(F.col("param") < "3", "sfc").otherwise("upper"))
-    calls = backend_calls(fields, ["dataset", "type", "layer", "param"], ["request_id", "d"], 50)
+    calls = backend_calls(fields, ["dataset", "type", "layer", "param"], ["request_id", "d"])
     return calls.groupBy("dataset", "type", "layer", "param", "call").agg(F.count(F.lit(1)).alias("n_fields"))
 
 

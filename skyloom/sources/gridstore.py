@@ -4,14 +4,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyloom.errors import InvalidRequest, NoData
 from skyloom.operators.grid import select_nearest, slice_box, slice_time
-from skyloom.tables import missing_as_null
+from skyloom.functions.dates import partial_date_bounds
+from skyloom.tables import GRID, conform, missing_as_null
 
 
 def write_store(grid: DataFrame, path: str) -> None:
-    dated = missing_as_null(grid, "value").withColumn("valid_date", F.to_date("valid_time"))
+    dated = missing_as_null(conform(grid, GRID), "value").withColumn("valid_date", F.to_date("valid_time"))
     (
         dated.repartitionByRange("variable", "valid_date", "latitude", "longitude")
         .sortWithinPartitions("variable", "valid_date", "latitude", "longitude")
@@ -22,7 +24,8 @@ def write_store(grid: DataFrame, path: str) -> None:
 
 
 def open_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The store with its known columns, so that no file is opened to find them."""
+    return spark.read.schema(T.StructType([*GRID, T.StructField("valid_date", T.DateType())])).parquet(path)
 
 
 def scan(
@@ -40,14 +43,15 @@ def scan(
     if (box is None) == (points is None):
         raise InvalidRequest("`area` and `location` are mutually exclusive, and one of them is required.")
     wanted = sorted(set(variables))
-    chosen = grid.where(F.col("variable").isin(wanted))
-    # on a store partitioned by variable this reads file names only
-    found = {r[0] for r in chosen.select("variable").distinct().collect()}
-    if set(wanted) - found:
-        raise InvalidRequest(f"Invalid variable: {sorted(set(wanted) - found)}")
-    if "valid_date" in chosen.columns and len(start) == len(end) == 10:
-        chosen = chosen.where(F.col("valid_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    chosen = slice_time(chosen, start, end)
+    # one row of one folder each, on a store partitioned by variable
+    missing = [v for v in wanted if grid.where(F.col("variable") == v).isEmpty()]
+    if missing:
+        raise InvalidRequest(f"Invalid variable: {missing}")
+    chosen = slice_time(grid.where(F.col("variable").isin(wanted)), start, end)
+    if "valid_date" in chosen.columns:  # the same period on the partition column
+        low, after = partial_date_bounds(start, end)
+        last = after - F.make_dt_interval(secs=F.lit(0.000001))
+        chosen = chosen.where(F.col("valid_date").between(F.to_date(low), F.to_date(last)))
     if box is not None:
         chosen = slice_box(chosen, *box)
     else:

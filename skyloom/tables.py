@@ -51,6 +51,7 @@ REJECTS = T.StructType(
         T.StructField("request_id", T.LongType(), False),
         T.StructField("rule_id", T.StringType(), False),
         T.StructField("reason_group", T.StringType()),
+        T.StructField("place", T.IntegerType()),
         T.StructField("message", T.StringType()),
     ]
 )
@@ -60,6 +61,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a core table in its types, other columns after them."""
+    core = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    names = set(schema.names)
+    return df.select(*core, *[F.col(f"`{c}`") for c in df.columns if c not in names])
+
+
 def missing_as_null(df: DataFrame, *columns: str) -> DataFrame:
     """NaN stands for a missing value in grids; NULL does in every aggregate here."""
     return df.withColumns({c: nan_to_null(F.col(c)) for c in columns})

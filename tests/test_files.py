@@ -137,3 +137,12 @@ def test_manifest_uses_half_open_coverages(spark, folder):
     extent = assets.manifest(v_obs(spark, folder), ["observed_variable"])
     test = assets.can_hold((dt.datetime(2023, 1, 1), dt.datetime(2024, 1, 1)), (-90.0, 90.0), (-180.0, 180.0))
     assert extent.where(test).count() == 0
+
+
+def test_partial_dates_prune_the_store_too(spark, folder, tmp_path):
+    path = str(tmp_path / "store")
+    gridstore.write_store(v_grid(spark, folder), path)
+    found = gridstore.scan(gridstore.open_store(spark, path), ["click"], "2024-01-30", "2024-01", box=(75, 30, -75, 330))
+    assert {r[0].day for r in found.select("valid_date").distinct().collect()} == {30}
+    whole = gridstore.scan(gridstore.open_store(spark, path), ["click"], "2024", "2024-01-10", box=(75, 30, -75, 330))
+    assert whole.agg(F.max("valid_time")).first()[0] < dt.datetime(2024, 1, 11)
