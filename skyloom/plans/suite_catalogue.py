@@ -39,7 +39,7 @@ def s5(spark, d):
     "s6_fetch_outcome",
     """
 WITH o AS (SELECT request_id, CASE WHEN status = 404 OR failure = 'ftp_550' THEN 'skipped' WHEN status >= 400 OR failure <> '' THEN 'fatal' ELSE 'ok' END AS r FROM v_fetch)
-SELECT request_id, count_if(r = 'ok') AS n_ok, count_if(r = 'skipped') AS n_skipped,
+SELECT request_id, count(*) FILTER (WHERE r = 'ok') AS n_ok, count(*) FILTER (WHERE r = 'skipped') AS n_skipped,
  CASE WHEN bool_or(r = 'fatal') OR count_if(r = 'ok') = 0 THEN 'failed' WHEN count_if(r = 'skipped') > 0 THEN 'partial' ELSE 'complete' END AS result
 FROM o GROUP BY 1""",
 )
@@ -51,7 +51,7 @@ def s6(spark, d):
     "s6_timeouts_tolerated",
     """
 WITH o AS (SELECT request_id, CASE WHEN status = 404 OR failure IN ('ftp_550', 'read_timeout') THEN 'skipped' WHEN status >= 400 THEN 'fatal' ELSE 'ok' END AS r FROM v_fetch)
-SELECT request_id, count_if(r = 'ok') AS n_ok, count_if(r = 'skipped') AS n_skipped,
+SELECT request_id, count(*) FILTER (WHERE r = 'ok') AS n_ok, count(*) FILTER (WHERE r = 'skipped') AS n_skipped,
  CASE WHEN bool_or(r = 'fatal') OR count_if(r = 'ok') = 0 THEN 'failed' WHEN count_if(r = 'skipped') > 0 THEN 'partial' ELSE 'complete' END AS result
 FROM o GROUP BY 1""",
 )

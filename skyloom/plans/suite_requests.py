@@ -129,7 +129,7 @@ def p9(spark, d):
 
 @query(
     "p9_download_format",
-    """SELECT l_shipdate::DATE AS d, count_if(l_linestatus = 'F') AS n_zip, count_if(l_linestatus <> 'F') AS n_as_source FROM lineitem GROUP BY 1""",
+    """SELECT l_shipdate::DATE AS d, count(*) FILTER (WHERE l_linestatus = 'F') AS n_zip, count(*) FILTER (WHERE l_linestatus <> 'F') AS n_as_source FROM lineitem GROUP BY 1""",
 )
 def p9_download(spark, d):
     lines = table(spark, d, "lineitem").withColumn("asked", F.when(F.col("l_linestatus") == "F", "rar").otherwise("as_source"))

@@ -47,3 +47,12 @@ def test_time_filter_reaches_the_scan(spark, folder):
 def test_unused_columns_are_not_read(spark, folder):
     plan = QUERIES["a1_daily_mean"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "props" not in plan.split("ReadSchema")[1]
+
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_types_agree_with_sql(spark, con, folder, name):
+    got = {f.name: TYPES[f.dataType.simpleString()] for f in QUERIES[name](spark, folder).schema}
+    assert got == {r[0]: r[1] for r in con.execute("DESCRIBE " + ORACLES[name]).fetchall()}
