@@ -167,10 +167,10 @@ def facet_candidates(
             grouped = F.when(F.col(key).isin(list(members)), group).otherwise(grouped)
         candidates = candidates.withColumn(key, grouped)
     renamed = candidates.withColumnsRenamed({k: f"c_{k}" for k in keys})
-    first, *others = keys
+    first = keys[0]
     open_mark = F.lit("\u0000open")
     keep = F.lit(True)
-    for key in others:
+    for key in keys:
         keep = keep & (F.col(key).isNull() | (F.col(key) == F.col(f"c_{key}")))
     for key, template in searches.items():
         before, _, after = template.partition("{" + key + "}")

@@ -108,24 +108,28 @@ def matching_pairs(
     scope: Sequence[str],
     left_tokens: Column,
     right_tokens: Column,
-    keep: Column | None = None,
+    keep: Column,
     spread_by: Sequence[str] = (),
     salts: int | None = None,
 ) -> DataFrame:
-    """Pairs of rows in the same scope with at least one token in common, each pair once.
+    """Pairs of rows in the same scope with at least one token in common that ``keep`` accepts, each pair once.
 
     Both sides are exploded on their tokens, which makes this an equality join.
     A pair that meets on several tokens is kept on the smallest one only, so
-    nothing has to be made distinct afterwards.
+    nothing has to be made distinct afterwards.  Tokens are joined by hash;
+    ``keep`` must test the pair itself, which also drops chance meetings.
     """
     l_set, r_set, token = "_left_tokens", "_right_tokens", "_token"
-    lefts = left.withColumn(l_set, left_tokens).withColumn(token, F.explode(l_set))
-    rights = right.withColumn(r_set, right_tokens).withColumn(token, F.explode(r_set))
+    lefts = left.withColumn(l_set, _hashed(left_tokens)).withColumn(token, F.explode(l_set))
+    rights = right.withColumn(r_set, _hashed(right_tokens)).withColumn(token, F.explode(r_set))
     on = [*scope, token]
     joined = salted_join(lefts, rights, on, spread_by, salts=salts) if spread_by else lefts.join(rights, on)
     once = F.array_min(F.array_intersect(l_set, r_set)) == F.col(token)
-    joined = joined.where(once if keep is None else once & keep)
-    return joined.drop(l_set, r_set, token)
+    return joined.where(once & keep).drop(l_set, r_set, token)
+
+
+def _hashed(tokens: Column) -> Column:
+    return F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t)))
 
 
 def interval_pairs(

@@ -54,7 +54,7 @@ def test_matching_pairs_against_brute_force(spark):
     left, right = make(60), make(40)
     l = spark.createDataFrame(left, "i int, s int, lv array<string>")
     r = spark.createDataFrame(right, "j int, s int, rv array<string>")
-    got = S.matching_pairs(l, r, ["s"], F.col("lv"), F.col("rv"), None, ["i"], 4)
+    got = S.matching_pairs(l, r, ["s"], F.col("lv"), F.col("rv"), F.arrays_overlap("lv", "rv"), ["i"], 4)
     want = sorted((a[0], b[0]) for a in left for b in right if a[1] == b[1] and set(a[2]) & set(b[2]))
     assert sorted((x["i"], x["j"]) for x in got.collect()) == want
 
