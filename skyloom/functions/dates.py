@@ -167,6 +167,12 @@ def partial_date_bounds(start: str, end: str) -> tuple[Column, Column]:
     return low, F.lit(end + fill).cast("timestamp_ntz") + unit
 
 
+def clock_seconds_since_1970(time: Column) -> Column:
+    """Seconds since 1970 on the clock the time is written in, whatever the session's zone."""
+    day_seconds = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    return F.unix_date(F.to_date(time)).cast("bigint") * 86400 + day_seconds
+
+
 def relative_range(text: str, as_of: Column) -> tuple[Column, Column]:
     """Ends of a range such as ``current-30/current``, either end relative or a plain date."""
     first, _, last = text.partition("/")

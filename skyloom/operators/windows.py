@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyloom.functions.dates import clock_seconds_since_1970
 from skyloom.operators.scale import salted_join
 
 
@@ -68,9 +69,9 @@ def validity_axis(messages: DataFrame, by: Sequence[str], base: str, step_hours:
     timed = salted_join(times, first, by, [base, step_hours]).withColumn(
         "valid_time", F.col(base) + F.make_dt_interval(hours=F.col(step_hours))
     )
-    reference = F.timestamp_diff("HOUR", F.col("_first"), F.col(base))
+    seconds = clock_seconds_since_1970(F.col(base)) - clock_seconds_since_1970(F.col("_first"))
     return (
-        timed.withColumn("reference_hours", reference.cast("bigint"))
+        timed.withColumn("reference_hours", (seconds / 3600).cast("bigint"))
         .groupBy(*by, base, "valid_time", "reference_hours")
         .agg(F.sum("_times").alias("n"))
         .withColumn("unique", F.col("n") == 1)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.errors import ConfigurationError
+from skyloom.functions.dates import clock_seconds_since_1970
 from skyloom.operators.grid import REDUCERS
 from skyloom.tables import nan_to_null
 
@@ -28,8 +29,8 @@ def daily_windows(
     unknown = [h for h in how if h not in REDUCERS]
     if unknown:
         raise ConfigurationError(f"not incremental: {unknown}")
-    # event time must be a timestamp for the watermark; the session runs in UTC
-    moved = (F.col(time) + F.make_dt_interval(hours=F.lit(shift_hours))).cast("timestamp")
+    # a watermark needs an instant; the clock is read as UTC, so that days are cut the same in every session
+    moved = F.timestamp_seconds(clock_seconds_since_1970(F.col(time)) + shift_hours * 3600)
     timed = rows.withColumn("event_time", moved)
     if rows.isStreaming:
         timed = timed.withWatermark("event_time", watermark)
@@ -37,7 +38,8 @@ def daily_windows(
     reduced = timed.groupBy(F.window("event_time", "1 day").alias("_w"), *by).agg(
         *[REDUCERS[h](known).alias(h) for h in how], F.count(known).alias("n")
     )
-    return reduced.select(*by, F.to_date("_w.start").alias("day"), *how, "n")
+    day = F.date_from_unix_date((F.unix_seconds("_w.start") / 86400).cast("int"))
+    return reduced.select(*by, day.alias("day"), *how, "n")
 
 
 def write_closed_days(days: DataFrame, path: str, checkpoint: str):

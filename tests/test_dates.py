@@ -137,3 +137,24 @@ def test_range_embargo(spark):
     assert [(r["end"], r["clipped"], r["rejected"]) for r in got] == [
         (DAY(2020, 2, 1), True, False), (DAY(2020, 3, 2), False, True), (DAY(2020, 1, 5), False, False),
     ]
+
+
+def test_days_do_not_depend_on_the_session_zone(spark):
+    from skyloom.streaming.daily import daily_windows
+
+    times = ["2024-03-10 01:30:00", "2024-03-10 02:30:00", "2024-03-10 23:59:59", "2024-03-11 00:00:00"]
+    rows = spark.createDataFrame([(t, 1.0) for t in times], "t string, value double")
+    rows = rows.select(F.col("t").cast("timestamp_ntz").alias("ts"), "value", F.lit("a").alias("k"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        found = []
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            days = daily_windows(rows, ["sum"], ["k"])
+            axis = W.validity_axis(rows.withColumn("step", F.lit(1)), ["k"], "ts", "step")
+            hours = sorted(r["reference_hours"] for r in axis.collect())
+            found.append((sorted((r["day"], r["sum"]) for r in days.collect()), hours))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found[0] == ([(DAY(2024, 3, 10), 3.0), (DAY(2024, 3, 11), 1.0)], [0, 1, 22, 22])
+    assert found[1] == found[0] and found[2] == found[0]
