@@ -14,6 +14,7 @@ from skyloom.session import get_session
 HEADLINE = [
     "flagship_daily_mean_in_box",
     "s1_grid_store_scan",
+    "s1_many_requests_at_once",
     "s2_scan_many_assets",
     "s4_urls_from_fields",
     "s7_classify_headers",

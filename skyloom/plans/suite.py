@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from skyloom.plans import (  # noqa: F401
+    suite_bulk,
     suite_catalogue,
     suite_cubes,
     suite_grid,

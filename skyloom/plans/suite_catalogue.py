@@ -113,14 +113,14 @@ PHRASES = {"no data": ["the of", "que de"], "bad request": ["AND THE", "un la"]}
     "s9_classify_service_errors",
     """
 WITH g AS (SELECT doc_id // 2 AS request_id, CASE WHEN contains(lower(text), 'un la') OR contains(lower(text), 'and the') THEN 'bad request'
- WHEN contains(lower(text), 'que de') OR contains(lower(text), 'the of') THEN 'no data' END AS g FROM documents WHERE source <> '')
+ WHEN contains(lower(text), 'que de') OR contains(lower(text), 'the of') THEN 'no data' END AS g FROM documents)
 SELECT request_id, count(*) AS n_errors, CASE WHEN count(*) = 1 AND min(g) IS NOT NULL THEN min(g) ELSE 'retry' END AS verdict FROM g GROUP BY 1
 UNION ALL SELECT -1 - doc_id, 1, coalesce(CASE WHEN contains(lower(text), 'un la') OR contains(lower(text), 'and the') THEN 'bad request'
  WHEN contains(lower(text), 'que de') OR contains(lower(text), 'the of') THEN 'no data' END, 'retry') FROM documents""",
 )
 def s9(spark, d):
     documents = table(spark, d, "documents")
-    pairs = documents.where("source <> ''").select(F.floor(F.col("doc_id") / 2).cast("bigint").alias("request_id"), "text")
+    pairs = documents.select(F.floor(F.col("doc_id") / 2).cast("bigint").alias("request_id"), "text")
     singles = documents.select((-1 - F.col("doc_id")).alias("request_id"), "text")
     log = pairs.unionByName(singles)
     return E.classify_errors(log, ["request_id"], "text", PHRASES).drop("shown")

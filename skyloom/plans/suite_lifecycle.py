@@ -47,7 +47,7 @@ def doc_constraints(spark, d):
 @query(
     "plan_apply_constraints_homogeneous",
     f"""
-WITH {FORM_SQL.strip()}, extra AS (SELECT DISTINCT dataset, 'day' AS key, strftime(d, '%d') AS value FROM v_field),
+WITH {FORM_SQL.strip()}, extra AS (SELECT DISTINCT dataset, 'month' AS key, strftime(d, '%m') AS value FROM v_field),
 mentions AS (SELECT dataset, count(type) > 0 AS typed FROM v_con GROUP BY 1)
 SELECT DISTINCT request_id, 'param' AS key, unnest(c.param) AS value FROM v_sel r JOIN v_con c USING (dataset) JOIN mentions USING (dataset)
  WHERE r.type IS NULL OR NOT typed OR (c.type IS NOT NULL AND list_has_any(r.type, c.type))
@@ -57,8 +57,8 @@ UNION ALL SELECT request_id, key, value FROM v_sel JOIN extra USING (dataset)"""
 )
 def plan_constraints(spark, d):
     con = v_con(spark, d)
-    days = v_field(spark, d).select("dataset", F.lit("day").alias("key"), F.date_format("d", "dd").alias("value")).distinct()
-    form = N.form_of_constraints(con, KEYS).unionByName(days)
+    month = [F.lit("month").alias("key"), F.date_format("d", "MM").alias("value")]
+    form = N.form_of_constraints(con, KEYS).unionByName(v_field(spark, d).select("dataset", *month).distinct())
     return P.apply_constraints(v_sel(spark, d), con, form, KEYS, method="homogeneous")
 
 

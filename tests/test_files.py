@@ -146,3 +146,17 @@ def test_partial_dates_prune_the_store_too(spark, folder, tmp_path):
     assert {r[0].day for r in found.select("valid_date").distinct().collect()} == {30}
     whole = gridstore.scan(gridstore.open_store(spark, path), ["click"], "2024", "2024-01-10", box=(75, 30, -75, 330))
     assert whole.agg(F.max("valid_time")).first()[0] < dt.datetime(2024, 1, 11)
+
+
+def test_requests_prune_the_folders_of_the_store(spark, folder, tmp_path):
+    from skyloom.operators.bulk import answer_from_grid
+    from skyloom.plans.suite_bulk import asked
+
+    path, asks = str(tmp_path / "store"), str(tmp_path / "requests")
+    gridstore.write_store(v_grid(spark, folder), path)
+    asked(spark, folder).write.parquet(asks)
+    some = spark.read.parquet(asks).where("request_id < 40")
+    answers = answer_from_grid(gridstore.open_store(spark, path), some)
+    assert "dynamicpruning" in answers._jdf.queryExecution().executedPlan().toString()
+    direct = answer_from_grid(v_grid(spark, folder), some)
+    assert answers.count() == direct.count() > 0
