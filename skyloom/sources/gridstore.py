@@ -1,4 +1,8 @@
-"""The gridded store: Parquet in long form, partitioned by variable and day."""
+"""The gridded store: Parquet in long form, partitioned by variable and day.
+
+Its coordinates lie beside the cells in ``_axes``, which a scan of the cells
+does not see.
+"""
 
 from collections.abc import Sequence
 
@@ -7,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyloom.errors import InvalidRequest, NoData
-from skyloom.operators.grid import select_nearest, slice_box, slice_time
+from skyloom.operators.grid import axes_of, select_nearest, slice_box, slice_time
 from skyloom.functions.dates import partial_date_bounds
 from skyloom.tables import GRID, conform, missing_as_null
 
@@ -21,6 +25,11 @@ def write_store(grid: DataFrame, path: str) -> None:
         .partitionBy("variable", "valid_date")
         .parquet(path)
     )
+    axes_of(grid).repartition(1).write.mode("overwrite").parquet(f"{path}/_axes")
+
+
+def open_axes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/_axes")
 
 
 def open_store(spark: SparkSession, path: str) -> DataFrame:
@@ -35,6 +44,7 @@ def scan(
     end: str,
     box: tuple[float, float, float, float] | None = None,
     points: DataFrame | None = None,
+    axes: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the variables in a period, in a box (N, W, S, E) or at the nearest points.
 
@@ -55,7 +65,7 @@ def scan(
     if box is not None:
         chosen = slice_box(chosen, *box)
     else:
-        chosen = select_nearest(chosen, points)
+        chosen = select_nearest(chosen, points, axes)
     if chosen.isEmpty():
         raise NoData(f"No data found for {start}/{end} and {box or 'points'}.")
     return chosen

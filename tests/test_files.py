@@ -160,3 +160,17 @@ def test_requests_prune_the_folders_of_the_store(spark, folder, tmp_path):
     assert "dynamicpruning" in answers._jdf.queryExecution().executedPlan().toString()
     direct = answer_from_grid(v_grid(spark, folder), some)
     assert answers.count() == direct.count() > 0
+
+
+def test_coordinates_lie_beside_the_cells(spark, folder, tmp_path):
+    from skyloom.operators.grid import select_area
+
+    path = str(tmp_path / "store")
+    gridstore.write_store(v_grid(spark, folder), path)
+    store, axes = gridstore.open_store(spark, path), gridstore.open_axes(spark, path)
+    assert store.count() == v_grid(spark, folder).count() and axes.count() == 12
+    known, read = select_area(store, 50, -60, -50, 100, axes), select_area(store, 50, -60, -50, 100)
+    assert known.count() == read.count() > 0
+    point = spark.createDataFrame([(10.0, 100.0)], "latitude double, longitude double")
+    found = gridstore.scan(store, ["view"], "2024", "2024", points=point, axes=axes)
+    assert {(r["latitude"], r["longitude"]) for r in found.select("latitude", "longitude").distinct().collect()} == {(15.0, 90.0)}
