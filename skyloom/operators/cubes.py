@@ -5,7 +5,7 @@ operator stays on the arrays.  Set operations join on all keys of a field, so
 no key can be hot.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from skyloom.functions.dates import range_struct
 from skyloom.operators.scale import running_offsets
 
 
+LARGE_CUBE = 1_000_000  # a cube of more fields is not unfolded in one task
 FAST_STORE_CHUNK = 5000  # fixed values: fields of one call to either store
 SLOW_STORE_CHUNK = 900
 
@@ -32,9 +33,15 @@ def expand_dates(texts: Column) -> Column:
 
 def unfold(cubes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Cubes to single fields, one scalar column per key."""
-    for key in keys:
-        cubes = cubes.withColumn(key, F.explode(key))
-    return cubes
+
+    def unfolded(some: DataFrame, spread: bool) -> DataFrame:
+        for key in keys:
+            some = some.withColumn(key, F.explode(key))
+            if spread and key != keys[-1]:
+                some = _spread(some)
+        return some
+
+    return _by_size(cubes, keys, unfolded)
 
 
 def unfold_with_ordinal(cubes: DataFrame, keys: Sequence[str], name: str = "ordinal") -> DataFrame:
@@ -44,15 +51,32 @@ def unfold_with_ordinal(cubes: DataFrame, keys: Sequence[str], name: str = "ordi
     sort and no window, however large the cube is.
     """
     sizes = {k: f"_size_{k}" for k in keys}
-    cubes = cubes.withColumns({sizes[k]: F.size(k).cast("bigint") for k in keys})
-    cubes = cubes.withColumn(name, F.lit(0).cast("bigint"))
-    for key in keys:
-        rest = [c for c in cubes.columns if c != key]
-        cubes = cubes.select(*rest, F.posexplode(key).alias("_place", key)).withColumn(
-            name, F.col(name) * F.col(sizes[key]) + F.col("_place")
-        )
-        cubes = cubes.drop("_place")
-    return cubes.drop(*sizes.values())
+
+    def unfolded(some: DataFrame, spread: bool) -> DataFrame:
+        some = some.withColumns({sizes[k]: F.size(k).cast("bigint") for k in keys})
+        some = some.withColumn(name, F.lit(0).cast("bigint"))
+        for key in keys:
+            rest = [c for c in some.columns if c != key]
+            some = some.select(*rest, F.posexplode(key).alias("_place", key))
+            some = some.withColumn(name, F.col(name) * F.col(sizes[key]) + F.col("_place")).drop("_place")
+            if spread and key != keys[-1]:
+                some = _spread(some)
+        return some.drop(*sizes.values())
+
+    return _by_size(cubes, keys, unfolded)
+
+
+def _by_size(cubes: DataFrame, keys: Sequence[str], unfolded: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """Unfold cubes where they lie, and those of many fields over the cluster, one key at a time."""
+    n_fields = field_count(keys)
+    usual = unfolded(cubes.where(n_fields <= LARGE_CUBE), False)
+    return usual.unionByName(unfolded(cubes.where(n_fields > LARGE_CUBE), True))
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Deal rows out by their scalar columns.  A given number of partitions is not made smaller at run time."""
+    scalars = [c for c, t in rows.dtypes if not t.startswith(("array", "map", "struct"))]
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *scalars)
 
 
 def count_fields(

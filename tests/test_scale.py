@@ -129,3 +129,18 @@ def test_limit_per_group_is_taken_before_the_shuffle(spark):
 
     plan = first_features(skewed(spark), ["k"], "id", 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_one_large_cube_is_unfolded_over_the_cluster(spark, monkeypatch):
+    from skyloom.operators import cubes as C
+
+    values = lambda n: [f"{i:03d}" for i in range(n)]
+    rows = [(1, values(30), values(20), values(10)), (2, ["a"], ["b"], ["c", "d"])]
+    cubes = spark.createDataFrame(rows, "i int, a array<string>, b array<string>, c array<string>")
+    want = {tuple(r) for r in C.unfold_with_ordinal(cubes, ["a", "b", "c"]).select("i", "a", "b", "c", "ordinal").collect()}
+    monkeypatch.setattr(C, "LARGE_CUBE", 100)
+    fields = C.unfold_with_ordinal(cubes, ["a", "b", "c"])
+    assert {tuple(r) for r in fields.select("i", "a", "b", "c", "ordinal").collect()} == want
+    assert len(want) == 6002
+    tasks = C.unfold(cubes.where("i = 1"), ["a", "b", "c"]).select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1
