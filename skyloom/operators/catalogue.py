@@ -47,6 +47,15 @@ def map_areas_to_values(areas: DataFrame, points: DataFrame, value: str, order:
     return listed.select("request_id", F.col(f"_l.{value}").alias("values"))
 
 
+def append_values(requests: DataFrame, mapped: DataFrame, key: str) -> DataFrame:
+    """Put the values found for a request after those it already has under a key."""
+    joined = requests.join(mapped.select("request_id", F.col("values").alias("_found")), "request_id", "left")
+    nothing = F.array().cast("array<string>")
+    both = F.concat(F.coalesce(F.col(key), nothing), F.col("_found")) if key in requests.columns else F.col("_found")
+    known = F.col(key) if key in requests.columns else F.lit(None).cast("array<string>")
+    return joined.withColumn(key, F.when(F.col("_found").isNotNull(), both).otherwise(known)).drop("_found")
+
+
 def overlapping_features(areas: DataFrame, features: DataFrame, cell: float = 10.0) -> DataFrame:
     """Pairs of a request box and a feature whose bounding box meets it.
 

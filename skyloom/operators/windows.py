@@ -58,6 +58,18 @@ def overlapping_validity(fields: DataFrame, by: Sequence[str], base: str, steps:
     )
 
 
+def export_groups(fields: DataFrame, by: Sequence[str], base: str, steps: str) -> DataFrame:
+    """Fields that fit into one output with a single time axis, under one group name.
+
+    Base times are kept apart only where their validity times overlap.
+    """
+    flags = overlapping_validity(fields, by, base, steps)
+    flagged = salted_join(fields, flags, by, [base, steps])
+    apart = F.when(F.col("overlapping"), F.date_format(base, "yyyy-MM-dd"))
+    names = [F.col(c).cast("string") for c in by]
+    return flagged.withColumn("group", F.concat_ws("_", *names, apart)).drop("overlapping")
+
+
 def validity_axis(messages: DataFrame, by: Sequence[str], base: str, step_hours: str) -> DataFrame:
     """Validity time, hours since the first base time, and how often the pair of times occurs.
 

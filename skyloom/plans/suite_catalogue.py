@@ -417,6 +417,27 @@ def w3(spark, d):
     return W.overlapping_validity(fields, ["request_id"], "base", "step")
 
 
+@query(
+    "h10_export_groups",
+    """
+WITH f AS (SELECT request_id, type, CAST(d AS TIMESTAMP) AS base, CAST(ascii(param) % 5 AS BIGINT) * 240 AS step FROM v_field),
+s AS (SELECT request_id, type, base, min(base + to_hours(step)) AS first, max(base + to_hours(step)) AS last FROM f GROUP BY 1, 2, 3),
+n AS (SELECT *, lead(first) OVER (PARTITION BY request_id, type ORDER BY base) AS next FROM s),
+o AS (SELECT request_id, type, coalesce(bool_or(last >= next), false) AS apart FROM n GROUP BY 1, 2)
+SELECT request_id || '_' || type || CASE WHEN apart THEN '_' || strftime(base, '%Y-%m-%d') ELSE '' END AS "group", count(*) AS n_fields
+FROM f JOIN o USING (request_id, type) GROUP BY 1""",
+)
+def h10_export(spark, d):
+    fields = v_field(spark, d).select(
+        "request_id",
+        "type",
+        F.col("d").cast("timestamp_ntz").alias("base"),
+        ((F.ascii("param") % 5) * 240).cast("int").alias("step"),
+    )
+    grouped = W.export_groups(fields, ["request_id", "type"], "base", "step")
+    return grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n_fields"))
+
+
 @query(
     "w6_validity_axis",
     """

@@ -50,7 +50,7 @@ def field_path(columns: Sequence[str], tier: Column, test_server: bool = False)
     NULL when a value has characters that do not belong in a path.
     """
     rank = {k: str(i) for i, k in enumerate(FIELD_KEYS)} | {k: f"ZZZ{i}" for i, k in enumerate(AREA_KEYS)}
-    keys = sorted((c for c in columns if c != "date"), key=lambda c: rank.get(c, c))
+    keys = sorted((c for c in columns if c not in ("date", "_backend")), key=lambda c: rank.get(c, c))
     parts = [F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]
     folder = F.concat(tier, F.lit("_esuite")) if test_server else tier
     safe = F.lit(True)

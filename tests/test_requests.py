@@ -151,3 +151,12 @@ def test_scan_errors(spark):
         scan(grid, ["t"], "2020", "2020", box=(5.0, 0.0, 0.0, 5.0))
     with pytest.raises(InvalidRequest):
         scan(grid, ["t"], "2020", "2020")
+
+
+def test_values_found_on_the_map_come_after_the_given_ones(spark):
+    requests = spark.createDataFrame([(1, ["ground"]), (2, ["ground"]), (3, None)], "request_id int, source array<string>")
+    found = spark.createDataFrame([(1, ["satellite"]), (3, ["ship"])], "request_id int, values array<string>")
+    got = {r["request_id"]: r["source"] for r in K.append_values(requests, found, "source").collect()}
+    assert got == {1: ["ground", "satellite"], 2: ["ground"], 3: ["ship"]}
+    fresh = {r["request_id"]: r["country"] for r in K.append_values(requests, found, "country").collect()}
+    assert fresh == {1: ["satellite"], 2: None, 3: ["ship"]}
