@@ -5,7 +5,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm import mixing, packing, sharding
+from skyloom.llm import mixing, neardup, packing, sharding
 from skyloom.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -59,3 +59,8 @@ def op3_virtual_slot_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), TOKENIZER)
+
+
+@query()
+def op4_multi_index_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"), 3, (85, 100))

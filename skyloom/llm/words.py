@@ -85,11 +85,6 @@ def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
     return value, where
 
 
-def distinct_by_text(values: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values of each text, and where each text's begin."""
-    text = np.repeat(np.arange(len(where) - 1), np.diff(where))
-    order = np.lexsort((values, text))
-    values, text = values[order], text[order]
-    new = np.ones(len(values), bool)
-    new[1:] = (values[1:] != values[:-1]) | (text[1:] != text[:-1])
-    return values[new], np.concatenate([[0], np.cumsum(np.bincount(text[new], minlength=len(where) - 1))]).astype(np.int64)
+def distinct_by_text(values: np.ndarray, where: np.ndarray) -> list[np.ndarray]:
+    """The sorted distinct values of each text."""
+    return [np.unique(values[a:b]) for a, b in zip(where[:-1].tolist(), where[1:].tolist(), strict=True)]
