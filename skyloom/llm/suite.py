@@ -5,7 +5,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm import mixing, neardup, packing, sharding, topk, vectors
+from skyloom.llm import mixing, neardup, packing, quality, sharding, topk, vectors
 from skyloom.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -90,3 +90,8 @@ def op9_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_spherical_cells(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query()
+def op5_naive_bayes_support_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
