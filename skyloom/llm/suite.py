@@ -4,8 +4,9 @@ import os
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyloom.llm import mixing, neardup, packing, quality, sharding, topk, vectors
+from skyloom.llm import mixing, neardup, packing, quality, sharding, templates, topk, vectors, warczip
 from skyloom.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -95,3 +96,59 @@ def op10_spherical_cells(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_naive_bayes_support_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT h, max(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(p.h, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN m ON p.h = m.h
+"""
+
+
+@query(WARC_SQL)
+def op6_zip_archives(spark: SparkSession, folder: str) -> DataFrame:
+    read = warczip.round_trip(table(spark, folder, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+TEMPLATE_SQL = r"""
+WITH d AS (SELECT doc_id, text, row_number() OVER (PARTITION BY doc_id, text) AS nth FROM documents),
+raw AS (SELECT DISTINCT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS raw FROM d WHERE nth = 1),
+l AS (SELECT DISTINCT doc_id, text, trim(regexp_replace(regexp_replace(raw, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line FROM raw),
+k AS (SELECT doc_id, text, line, CASE WHEN line = '' THEN [] ELSE string_split(line, ' ') END AS t FROM l),
+j AS (SELECT *, len(t) AS n, array_to_string(t[1:3], ' ') AS lead FROM k WHERE len(t) >= 3),
+leaf AS (SELECT n, lead FROM j GROUP BY n, lead HAVING count(*) >= 10),
+o AS (SELECT j.* FROM j SEMI JOIN leaf ON j.n = leaf.n AND j.lead = leaf.lead),
+s AS (SELECT n, lead, line, t, count(*) AS c FROM o GROUP BY ALL),
+a AS (SELECT n, lead, line, c, unnest(t) AS token, unnest(range(1, CAST(n AS BIGINT) + 1)) AS pos FROM s),
+f AS (SELECT n, lead, pos, token FROM a GROUP BY ALL HAVING sum(c) >= 10),
+g AS (SELECT a.n, a.lead, a.line, list(CASE WHEN f.token IS NULL THEN '<*>' ELSE a.token END ORDER BY a.pos) AS template
+      FROM a LEFT JOIN f ON a.n = f.n AND a.lead = f.lead AND a.pos = f.pos AND a.token = f.token GROUP BY a.n, a.lead, a.line),
+h AS (SELECT * FROM g WHERE 2 * len(list_filter(template, lambda x: x = '<*>')) <= n),
+i AS (SELECT o.doc_id, o.text, o.line, o.n, h.template FROM o JOIN h ON o.line = h.line),
+r1 AS (SELECT template FROM (SELECT DISTINCT doc_id, text, template FROM i) GROUP BY template HAVING count(*) >= 10),
+w AS (SELECT doc_id, text, sum(len(t)) AS every FROM k GROUP BY ALL),
+y AS (SELECT i.doc_id, i.text, sum(i.n) AS same FROM i SEMI JOIN r1 ON i.template = r1.template GROUP BY ALL),
+z AS (SELECT y.doc_id, y.text FROM y JOIN w ON y.doc_id IS NOT DISTINCT FROM w.doc_id AND y.text = w.text WHERE 2 * y.same > w.every),
+q AS (SELECT i.* FROM i ANTI JOIN z ON i.doc_id IS NOT DISTINCT FROM z.doc_id AND i.text = z.text),
+r2 AS (SELECT template FROM (SELECT DISTINCT doc_id, text, template FROM q) GROUP BY template HAVING count(*) >= 10),
+x AS (SELECT q.doc_id, q.text, list(DISTINCT q.line) AS gone FROM q SEMI JOIN r2 ON q.template = r2.template GROUP BY ALL),
+e AS (SELECT documents.doc_id, documents.text, string_split(coalesce(documents.text, ''), chr(10)) AS raws, coalesce(x.gone, []) AS gone
+      FROM documents LEFT JOIN x ON documents.doc_id IS NOT DISTINCT FROM x.doc_id AND documents.text = x.text),
+b AS (SELECT doc_id, text, raws, list_filter(raws, lambda u: NOT list_contains(gone,
+        trim(regexp_replace(regexp_replace(u, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' '))) AS kept FROM e)
+SELECT doc_id, CAST(CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(raws) END AS BIGINT) AS n_lines,
+       CAST(len(raws) - len(kept) AS BIGINT) AS n_dropped, md5(array_to_string(kept, chr(10))) AS kept_md5
+FROM b
+"""
+
+
+@query(TEMPLATE_SQL)
+def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
+    rows = templates.without_recurring_lines(table(spark, folder, "documents"))
+    return rows.select("row.doc_id", "n_lines", "n_dropped", F.md5(F.coalesce("kept_text", F.lit(""))).alias("kept_md5"))
