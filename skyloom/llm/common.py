@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -110,7 +111,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a slice have about ``most_bytes``; a longer text stands alone."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if i > start and total + size > most_bytes:

@@ -9,64 +9,109 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.llm.common import block_count, running_before, slices, written
-from skyloom.llm.words import span_hashes, text_bytes, word_spans
+from skyloom.llm.words import lowered, span_hashes, text_bytes, word_spans
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class WordTokens:
-    """Token ids of whole texts, where each word is given to the tokenizer once.
+    """Token ids of whole texts, where each distinct word is given to the tokenizer once.
 
-    The tokenizer drops white space and never joins what stands on two sides of it, so the ids of a text are
-    those of its words, one after the other.  The memory of words is emptied when it holds ``most`` of them.
+    For tokenizers that drop white space and mark the ends of words, so that the ids of a text are those of its
+    words, one after the other.  A word of letters, with or without one full stop or comma behind it, is looked up in
+    lower case and without that sign, which is a token of its own; all other words are looked up as they are.  The
+    memory of words is sorted arrays; it is emptied when it holds ``most`` of them.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        suffix = self.tokenizer.model.end_of_word_suffix
+        if not suffix:
+            raise ValueError("the tokenizer does not mark the ends of words")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.signs = np.array([0, *(self.tokenizer.encode(x, add_special_tokens=False).ids[0] for x in ".,")], np.uint32)
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.lengths = np.zeros(0, np.int64)
+        self.hashes = np.zeros(0, np.uint64)
+        self.entries = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def learn(self, hashes: list[int], words: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        base = len(self.ids)
-        self.known.update(zip(hashes, range(len(self.lengths), len(self.lengths) + len(found)), strict=True))
-        self.starts = np.concatenate([self.starts, base + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))])
+    def learn(self, hashes: np.ndarray, plain: list[str], others: list[str]) -> None:
+        """Add words: ``hashes`` has those of ``plain`` (one run of letters each) first, then those of ``others``."""
+        texts = [" ".join(plain[i : i + 200]) for i in range(0, len(plain), 200)]
+        runs = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate([*runs, np.zeros(0, np.uint32)])
+        lengths = np.diff(np.flatnonzero(self.ends[flat]), prepend=-1)
+        if len(lengths) != len(plain):
+            raise ValueError("a run of letters is not one word to the tokenizer")
+        rest = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        lengths = np.concatenate([lengths, np.array([len(x) for x in rest], np.int64)])
+        at, entry = np.searchsorted(self.hashes, hashes), len(self.lengths) + np.arange(len(hashes))
+        order = np.argsort(hashes)
+        self.hashes = np.insert(self.hashes, at[order], hashes[order])
+        self.entries = np.insert(self.entries, at[order], entry[order])
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, flat, *rest])
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after each other, each followed by ``end``, and where each text's ids begin."""
         data, at = text_bytes(texts)
         starts, stops, first = word_spans(data, at)
-        hashes = span_hashes(data, starts, stops)
+        low = lowered(data)
+        tail = np.zeros(len(starts), np.int64)
+        if len(starts):
+            sign = data[stops - 1]
+            tail = np.where(stops - starts > 1, (sign == 46) + 2 * (sign == 44), 0)
+        upto = np.concatenate([[0], np.cumsum(_letters(low))])
+        core = stops - (tail > 0)
+        plain = upto[core] - upto[starts] == core - starts
+        tail[~plain] = 0
+        hashes = np.where(plain, span_hashes(low, starts, core), ~span_hashes(data, starts, stops))
         unique, example, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > self.most:
+        if len(self.hashes) + len(unique) > self.most:
             self.clear()
-        keys = unique.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.known]
-        if new:
-            raw, where = data.tobytes(), example[new]
-            words = [raw[a:b].decode() for a, b in zip(starts[where].tolist(), stops[where].tolist(), strict=True)]
-            self.learn([keys[i] for i in new], words)
-        entry = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[back]
-        lengths = self.lengths[entry]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
+        found = np.searchsorted(self.hashes, unique)
+        new = np.ones(len(unique), bool)
+        inside = found < len(self.hashes)
+        new[inside] = self.hashes[found[inside]] != unique[inside]
+        if new.any():
+            where = example[new]
+            order = np.argsort(~plain[where], kind="stable")
+            where, letters = where[order], int(plain[where].sum())
+            words = [raw[a:b].decode() for raw, part, stop in ((low.tobytes(), where[:letters], core), (data.tobytes(), where[letters:], stops)) for a, b in zip(starts[part].tolist(), stop[part].tolist(), strict=True)]
+            self.learn(unique[new][order], words[:letters], words[letters:])
+            found = np.searchsorted(self.hashes, unique)
+        entry = self.entries[found][back]
+        lengths = self.lengths[entry].astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(lengths + (tail > 0))])
         begin = upto[first] + np.arange(len(first))
         ids = np.full(begin[-1], end, np.uint32)
         text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        place = np.repeat(upto[:-1] + text, lengths) + _counting(lengths)
-        ids[place] = self.ids[np.repeat(self.starts[entry], lengths) + _counting(lengths)]
+        count = _counting(lengths)
+        ids[np.repeat(upto[:-1] + text, lengths) + count] = self.ids[np.repeat(self.starts[entry], lengths) + count]
+        signed = tail > 0
+        ids[(upto[1:] + text - 1)[signed]] = self.signs[tail[signed]]
         return ids, begin
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Bytes of lower-case ASCII letters and of the letters U+00C0 to U+00FF in UTF-8, which stand for themselves in NFC."""
+    second = (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
+    lead = data == 0xC3
+    pair = np.zeros(len(data), bool)
+    pair[1:] = second[1:] & lead[:-1]
+    both = pair.copy()
+    both[:-1] |= pair[1:]
+    return both | ((data >= 97) & (data <= 122))
+
+
 def _counting(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... anew for each length."""
     upto = np.cumsum(lengths)

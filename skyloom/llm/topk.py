@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def choose_pivots(rows: DataFrame, count: int, sample: int = SAMPLE) -> dict[int
     some = rows.select("v", "dim", F.xxhash64("vec_id", "v").alias("h")).orderBy("h").limit(sample).select("v", "dim").toArrow()
     found = {}
     for dim in set(some.column("dim").to_pylist()):
-        points = matrix(some.filter(pa.compute.equal(some.column("dim"), dim)).column("v").combine_chunks())
+        points = matrix(some.filter(pc.equal(some.column("dim"), dim)).column("v").combine_chunks())
         chosen = [0]
         far = ((points - points[0]) ** 2).sum(1)
         while len(chosen) < min(count, len(points)) and far.max() > 0:
@@ -108,7 +109,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16,
         )
 
     def judge(group: pa.Table) -> pa.Table:
-        sides = [group.filter(pa.compute.equal(group.column("side"), side)) for side in (0, 1)]
+        sides = [group.filter(pc.equal(group.column("side"), side)) for side in (0, 1)]
         out = ([], [], [])
         if sides[0].num_rows and sides[1].num_rows:
             wanted, points = (matrix(side.column("v").combine_chunks()) for side in sides)

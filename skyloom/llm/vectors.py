@@ -5,6 +5,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def centroids(classes: DataFrame, count: int, sample: int = SAMPLE, rounds: int
     rows = classes.select("vector", F.size("vector").alias("dim"), "node").orderBy("node").limit(sample).select("vector", "dim").toArrow()
     found = {}
     for dim in set(rows.column("dim").to_pylist()):
-        points = unit(rows.filter(pa.compute.equal(rows.column("dim"), dim)).column("vector").combine_chunks())
+        points = unit(rows.filter(pc.equal(rows.column("dim"), dim)).column("vector").combine_chunks())
         k = min(count, len(points))
         centres = points[:: max(1, len(points) // k)][:k].copy()
         for _ in range(rounds):
@@ -95,7 +96,7 @@ def _compared(cells: DataFrame, similarity: float) -> DataFrame:
     every = known.select(*place, upto("hs").alias("i"), block("ns").alias("j"), F.lit(1).alias("side"), "node", "vector", "copies")
 
     def judge(group: pa.Table) -> pa.Table:
-        sides = [group.filter(pa.compute.equal(group.column("side"), side)) for side in (0, 1)]
+        sides = [group.filter(pc.equal(group.column("side"), side)) for side in (0, 1)]
         a, b = (side.column("node").to_numpy() for side in sides)
         out = ([], [], [])
         if len(a) and len(b):

@@ -7,6 +7,7 @@ prefix sums, so no Python loop runs over words.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -34,7 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts after each other, and where each begins; a null is an empty text."""
-    texts = pa.compute.fill_null(texts.cast(pa.large_binary()), b"")
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     _, at, data = texts.buffers()
     at = np.frombuffer(at, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
