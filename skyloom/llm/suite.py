@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import mixing, neardup, packing, quality, sharding, templates, topk, vectors, warczip
+from skyloom.llm import mixing, neardup, packing, quality, repeats, sharding, templates, topk, vectors, warczip
 from skyloom.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -152,3 +152,9 @@ FROM b
 def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
     rows = templates.without_recurring_lines(table(spark, folder, "documents"))
     return rows.select("row.doc_id", "n_lines", "n_dropped", F.md5(F.coalesce("kept_text", F.lit(""))).alias("kept_md5"))
+
+
+@query()
+def op2_prefix_free_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
