@@ -112,9 +112,8 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
         F.col("epochs") + F.when(F.col("last") == F.col("size"), 1).otherwise(0)
     )
     part = (F.col("last") > 0) & (F.col("last") < F.col("size"))
-    cut = F.expr(
-        r"regexp_extract(row.text, concat('^[\\x20\\x09-\\x0D]*+(?:[^\\x20\\x09-\\x0D]++[\\x20\\x09-\\x0D]*+){', last, '}'), 0)"
-    )
+    words = F.regexp_extract_all("row.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.array_join(F.slice(words, 1, F.col("last").cast("int")), "")
     copies = taken.select(
         "row",
         F.explode(
