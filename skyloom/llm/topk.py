@@ -48,31 +48,44 @@ def pivot_distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
-def best(query: np.ndarray, own: int, near: np.ndarray, points: np.ndarray, squares: np.ndarray, table: np.ndarray, ids: np.ndarray, k: int, wave: int = 64):
+def upper_bounds(wanted: np.ndarray, near: np.ndarray, table: np.ndarray, squares: np.ndarray) -> np.ndarray:
+    """By query and candidate, what their inner product cannot exceed.
+
+    Their distance is at least the largest difference of their distances to a pivot.
+    """
+    lower = np.abs(near[:, :1] - table[None, :, 0])
+    for pivot in range(1, table.shape[1]):
+        np.maximum(lower, np.abs(near[:, pivot : pivot + 1] - table[None, :, pivot]), out=lower)
+    bound = ((wanted * wanted).sum(1)[:, None] + squares[None, :] - lower * lower) / 2
+    return bound + 1e-6 * (1 + np.abs(bound) + squares[None, :])
+
+
+def best(query: np.ndarray, own: int, bound: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int, wave: int = 64):
     """The k best of a block of candidates for one query, as (scores, ids).
 
-    The distance to a candidate is at least the largest difference of their distances to a pivot, which bounds the
-    inner product from above.  Candidates are scored in the order of that bound until it falls below the k-th best
-    score; a candidate that may still tie is scored too.
+    Candidates are scored in waves, in the order of their bounds, until these fall below the k-th best score; a
+    candidate that may still tie is scored too.
     """
-    lower = np.abs(table - near[None, :]).max(1)
-    bound = (float(query @ query) + squares - lower * lower) / 2
-    bound += 1e-6 * (1 + np.abs(bound) + squares)
-    order = np.argsort(-bound, kind="stable")
-    scores, found = np.empty(0, np.int64), np.empty(0, np.int64)
-    for start in range(0, len(order), wave):
+    order = np.argsort(-bound)
+    scores, found, start = np.empty(0), np.empty(0, np.int64), 0
+    while start < len(order):
         at = order[start : start + wave]
-        if len(scores) >= k and bound[at[0]] < scores[-1]:
-            break
-        at = at[ids[at] != own]
-        scores = np.concatenate([scores, np.rint(points[at] @ query).astype(np.int64)])
-        found = np.concatenate([found, ids[at]])
+        start, wave = start + wave, 4 * wave
+        if len(scores) >= k:
+            at = at[bound[at] >= scores[-1]]
+            if not len(at):
+                break
+        score = points[at] @ query
+        if len(scores) >= k:
+            at, score = at[score >= scores[-1]], score[score >= scores[-1]]
+        other = ids[at] != own
+        scores, found = np.concatenate([scores, score[other]]), np.concatenate([found, ids[at][other]])
         top = np.lexsort((found, -scores))[:k]
         scores, found = scores[top], found[top]
-    return scores, found
+    return scores.astype(np.int64), found
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16, block: int = 2_048, scale: int = 256) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16, block: int = 4_096, scale: int = 256) -> DataFrame:
     """The ``k`` rows of ``vectors`` (vec_id, embedding) with the highest integer inner product, for each of ``queries``.
 
     Distances of all rows to the pivots are worked out once and kept in a table.  Queries and candidates meet in
@@ -115,10 +128,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16,
             wanted, points = (matrix(side.column("v").combine_chunks()) for side in sides)
             near, table = (matrix(side.column("away").combine_chunks()) for side in sides)
             ids, squares = sides[1].column("vec_id").to_numpy(), (points * points).sum(1)
-            for row, own in enumerate(sides[0].column("vec_id").to_pylist()):
-                scores, found = best(wanted[row], own, near[row], points, squares, table, ids, k)
-                for whole, part in zip(out, ([own] * len(found), found.tolist(), scores.tolist()), strict=True):
-                    whole.extend(part)
+            owns = sides[0].column("vec_id").to_pylist()
+            for start in range(0, len(owns), 32):
+                few = slice(start, start + 32)
+                bounds = upper_bounds(wanted[few], near[few], table, squares)
+                for query, own, bound in zip(wanted[few], owns[few], bounds, strict=True):
+                    scores, found = best(query, own, bound, points, ids, k)
+                    for whole, part in zip(out, ([own] * len(found), found.tolist(), scores.tolist()), strict=True):
+                        whole.extend(part)
         return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
     left = dealt(asking, "q", asks, "c", blocks, 0)
