@@ -141,6 +141,29 @@ def intersect(
     return pairs.withColumns(cut).drop(*[_con(k) for k in keys])
 
 
+def of_unconstrained_datasets(
+    requests: DataFrame, constraints: DataFrame, scope: Sequence[str] = ("dataset",)
+) -> DataFrame:
+    """Requests of datasets that have no constraint at all: everything they ask for is valid."""
+    return requests.join(constraints.select(*scope).distinct(), list(scope), "left_anti")
+
+
+def intersect_or_pass(
+    requests: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
+    ranges: Sequence[str] = (),
+) -> DataFrame:
+    """:func:`intersect`, with the requests of datasets without constraints as they are.
+
+    Other columns of the constraints are NULL there.
+    """
+    cut = intersect(requests, constraints, keys, scope, id_column, ranges)
+    return cut.unionByName(of_unconstrained_datasets(requests, constraints, scope), allowMissingColumns=True)
+
+
 def without_valid_combination(requests: DataFrame, intersected: DataFrame, id_column: str = "request_id") -> DataFrame:
     """Requests that no constraint allows any part of."""
     return requests.join(intersected.select(id_column).distinct(), id_column, "left_anti")

@@ -56,7 +56,7 @@ def prepare(
     good, rejects = enforce(raw, config.rules) if config.rules else (raw, None)
     turned_down = [] if rejects is None else [rejects]
     if rules is not None and config.constrained:
-        cut = constraints.intersect(good, rules, config.constrained, ranges=config.ranges)
+        cut = constraints.intersect_or_pass(good, rules, config.constrained, ranges=config.ranges)
         nothing = constraints.without_valid_combination(good, cut)
         turned_down.append(
             reject(nothing, "constraints", "invalid request", "Request has not produced a valid combination of values")

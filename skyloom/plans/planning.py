@@ -73,7 +73,8 @@ def estimate_costs(
 ) -> DataFrame:
     """Size, precise size, the deciding cost and the cost class of every request.
 
-    ``keys`` are the constrained keys, ``counted`` the others that make fields.
+    ``keys`` are the constrained keys, ``counted`` the others that make fields;
+    those of them that the form has count in the precise size too.
     A request with north, west, south and east is weighted by its grid points.
     """
     boxed = {"north", "west", "south", "east"} <= set(requests.columns)
@@ -81,8 +82,11 @@ def estimate_costs(
     weight = costs.grid_area_weight(*edges, *costing.resolution) if costing.weight_by_area else F.lit(1)
     fast = costs.estimate_fields([*keys, *counted], costing.weighted_values, costing.weighted_keys)
     sizes = requests.select(id_column, weight.alias("_weight"), fast.alias("_fields"))
-    bare = requests.select(*scope, id_column, *keys)
-    precise = costs.precise_size(bare, rules, form, keys, 1, scope, id_column)
+    form_keys = [*keys, *counted]
+    bare = requests.select(*scope, id_column, *[F.col(k).cast("array<string>").alias(k) for k in form_keys])
+    precise = costs.precise_size(
+        bare, rules, form, form_keys, 1, scope, id_column, costing.weighted_values, costing.weighted_keys
+    )
     report = sizes.join(precise, id_column).select(
         id_column,
         (F.col("_fields") * F.col("_weight")).alias("size"),

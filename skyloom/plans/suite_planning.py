@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from skyloom.operators import constraints as N
 from skyloom.operators import costs as P
 from skyloom.operators import cubes as C
+from skyloom.plans.planning import Costing, estimate_costs
 from skyloom.plans.registry import query
 from skyloom.plans.views import v_area, v_con, v_field, v_req, v_sel
 from skyloom.tables import table
@@ -50,6 +51,35 @@ def j1_rejects(spark, d):
     return N.without_valid_combination(requests, N.intersect(requests, typed, KEYS)).select("request_id")
 
 
+def early_con(spark, d):
+    """Constraints that ended before 1996, so that later datasets have none."""
+    return v_con(spark, d).where("d_end < DATE'1996-01-01'")
+
+
+EARLY_SQL = "early AS (SELECT * FROM v_con WHERE d_end < DATE '1996-01-01')"
+
+
+@query(
+    "j1_dataset_without_constraints",
+    f"""
+WITH {EARLY_SQL}
+SELECT r.request_id, c.constraint_id, array_to_string(list_sort(list_intersect(r.param, c.param)), ',') AS params,
+ CASE WHEN c.type IS NULL THEN '' ELSE array_to_string(list_sort(list_intersect(r.type, c.type)), ',') END AS types, len(r.d) AS n_days
+FROM v_req r JOIN early c USING (dataset) WHERE list_has_any(r.param, c.param) AND (c.type IS NULL OR list_has_any(r.type, c.type))
+UNION ALL SELECT request_id, CAST(-1 AS BIGINT), array_to_string(param, ','), array_to_string(type, ','), len(d)
+FROM v_req ANTI JOIN early USING (dataset)""",
+)
+def j1_unconstrained(spark, d):
+    cut = N.intersect_or_pass(v_req(spark, d), early_con(spark, d).drop("d_start", "d_end"), KEYS)
+    return cut.select(
+        "request_id",
+        F.coalesce("constraint_id", F.lit(-1).cast("bigint")).alias("constraint_id"),
+        text("param").alias("params"),
+        text("type").alias("types"),
+        F.size("d").cast("bigint").alias("n_days"),
+    )
+
+
 @query(
     "j2_intersect_date_ranges",
     """
@@ -141,6 +171,28 @@ def a5(spark, d):
     return P.count_granules(P.granules(v_req(spark, d), v_con(spark, d), KEYS))
 
 
+@query(
+    "a5_without_constraints",
+    f"""
+WITH {EARLY_SQL},
+hit AS (SELECT r.request_id, list_intersect(r.param, c.param) AS param,
+  CASE WHEN c.type IS NULL THEN ['-'] ELSE list_intersect(r.type, c.type) END AS type
+ FROM v_req r JOIN early c USING (dataset) WHERE list_has_any(r.param, c.param) AND (c.type IS NULL OR list_has_any(r.type, c.type))
+ UNION ALL SELECT request_id, param, type FROM v_req ANTI JOIN early USING (dataset)),
+granule AS (SELECT DISTINCT request_id, param, unnest(type) AS type FROM (SELECT request_id, unnest(param) AS param, type FROM hit))
+SELECT request_id, count(*) AS n_granules FROM granule GROUP BY 1""",
+)
+def a5_unconstrained(spark, d):
+    # The type is a constrained key of every early dataset but the few whose constraints all lack it.
+    con = early_con(spark, d)
+    typed = con.where("type IS NOT NULL").select("dataset").distinct()
+    requests = v_req(spark, d)
+    left_out = con.select("dataset").distinct().join(typed, "dataset", "left_anti")
+    plain = P.granules(requests.join(left_out, "dataset", "left_anti"), con, KEYS)
+    rest = P.granules(requests.join(left_out, "dataset", "left_semi"), con, ["param"]).withColumn("type", F.lit("-"))
+    return P.count_granules(plain.unionByName(rest))
+
+
 @query(
     "a5_count_granules_roughly",
     f"""WITH {GRANULES_SQL.strip()} SELECT request_id, CAST(sum(len(param) * len(type)) AS BIGINT) AS n_granules
@@ -191,6 +243,69 @@ def a8(spark, d):
     return P.precise_size(v_sel(spark, d), con, N.form_of_constraints(con, KEYS), KEYS, weight=2)
 
 
+SELECTED_SQL = f"""{FORM_SQL.strip()}, firsts AS (SELECT dataset, min(value) AS t FROM form WHERE key = 'type' GROUP BY 1),
+r AS (SELECT s.dataset, request_id, param, coalesce(type, [t]) AS type FROM v_sel s LEFT JOIN firsts USING (dataset)),
+hit AS (SELECT r.request_id, list_intersect(r.param, c.param) AS param,
+  CASE WHEN c.type IS NULL THEN ['-'] ELSE list_intersect(r.type, c.type) END AS type
+ FROM r JOIN v_con c USING (dataset) WHERE list_has_any(r.param, c.param) AND (c.type IS NULL OR list_has_any(r.type, c.type))),
+granule AS (SELECT DISTINCT request_id, param, unnest(type) AS type FROM (SELECT request_id, unnest(param) AS param, type FROM hit)),
+weighted AS (SELECT request_id, sum(CASE param WHEN '1-URGENT' THEN 5 WHEN '5-LOW' THEN 2 ELSE 1 END
+ * CASE type WHEN 'F' THEN 3 ELSE 1 END * 4) AS w FROM granule WHERE type <> '-' GROUP BY 1)"""
+WEIGHTS = {"param": PARAM_WEIGHTS, "type": TYPE_WEIGHTS}
+
+
+@query(
+    "a8_precise_size_weighted",
+    f"""WITH {SELECTED_SQL}
+SELECT request_id, CAST(2 * coalesce(w, 0) AS BIGINT) AS precise_size FROM v_sel LEFT JOIN weighted USING (request_id)""",
+)
+def a8_weighted(spark, d):
+    con = v_con(spark, d)
+    form = N.form_of_constraints(con, KEYS)
+    return P.precise_size(v_sel(spark, d), con, form, KEYS, 2, weighted_values=WEIGHTS, weighted_keys={"type": 4})
+
+
+def dated(spark, d):
+    """Requests whose days are a key of the form that no constraint mentions, and that form."""
+    requests = v_req(spark, d).withColumn("d", F.col("d").cast("array<string>"))
+    days = v_field(spark, d).select("dataset", F.lit("d").alias("key"), F.col("d").cast("string").alias("value")).distinct()
+    return requests, N.form_of_constraints(v_con(spark, d), KEYS).unionByName(days)
+
+
+@query(
+    "a8_precise_size_free_keys",
+    f"""WITH {GRANULES_SQL.strip()}, n AS (SELECT request_id, count(*) AS n FROM granule GROUP BY 1)
+SELECT request_id, CAST(coalesce(n, 0) * len(d) AS BIGINT) AS precise_size FROM v_req LEFT JOIN n USING (request_id)""",
+)
+def a8_free(spark, d):
+    requests, form = dated(spark, d)
+    return P.precise_size(requests, v_con(spark, d), form, [*KEYS, "d"])
+
+
+@query(
+    "a10_cost_report_weighted",
+    f"""
+WITH {GRANULES_SQL.strip()}, weighted AS (SELECT request_id, sum(CASE param WHEN '1-URGENT' THEN 5 WHEN '5-LOW' THEN 2 ELSE 1 END
+ * CASE type WHEN 'F' THEN 3 ELSE 1 END * 3) AS w FROM granule WHERE type <> '-' GROUP BY 1),
+costs AS (SELECT request_id, CAST({SIZE_SQL} AS BIGINT) AS size, CAST(coalesce(w, 0) * len(d) AS BIGINT) AS precise_size
+ FROM v_req LEFT JOIN weighted USING (request_id)),
+ranked AS (SELECT *, CASE WHEN size / 400.0 >= precise_size / 300.0 THEN 'size' ELSE 'precise_size' END AS deciding_cost FROM costs)
+SELECT request_id, size, precise_size, deciding_cost, CASE WHEN (CASE WHEN deciding_cost = 'size' THEN size ELSE precise_size END) <= 60 THEN 'small'
+ WHEN (CASE WHEN deciding_cost = 'size' THEN size ELSE precise_size END) <= 400 THEN 'medium' ELSE 'large' END AS cost_class FROM ranked""",
+)
+def a10_weighted(spark, d):
+    requests, form = dated(spark, d)
+    costing = Costing(
+        weighted_values=WEIGHTS,
+        weighted_keys={"type": 3},
+        limits={"size": 400, "precise_size": 300},
+        bounds={"small": 60, "medium": 400},
+        last_class="large",
+        based_on="highest_cost_limit_ratio",
+    )
+    return estimate_costs(requests, v_con(spark, d), form, KEYS, costing, counted=["d"])
+
+
 @query(
     "a9_area_weight_of_grid",
     """SELECT request_id, greatest(0, CAST(trunc((north - south) / 0.25 * (east - west) / 0.25) AS BIGINT)) AS grid_points FROM v_area""",
