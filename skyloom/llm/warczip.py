@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from skyloom.llm.common import new_folder, written
 
 PACKAGE_BYTES = 16 << 20
+MOST_TASKS = 20_000
 # Fixed values of the ZIP format.
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
 ALL16, ALL32 = 0xFFFF, 0xFFFFFFFF
@@ -231,7 +232,9 @@ def read_packages(packages: DataFrame, folder: str, most_bytes: int = 8 << 20) -
                             rows, total = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return packages.select("package").repartition("package").mapInArrow(read, READ)
+    # A fixed number of tasks: the rows are few and small, so Spark would put them all into one.
+    tasks = max(1, min(packages.count(), MOST_TASKS))
+    return packages.select("package").repartition(tasks).mapInArrow(read, READ)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
