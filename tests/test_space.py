@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,42 +8,32 @@ from skyloom.operators import catalogue as K
 from skyloom.operators import grid as G
 
 TENTH = S.RegularGrid(0.1, 0.1)
-SNAPS = [
-    ((90, -180, -90, 180), (90.0, -180.0, -90.0, 180.0)),
-    ((-90, -180, 90, 180), (-90.0, -180.0, 90.0, 180.0)),
-    ((90, 180, -90, -180), (90.0, 180.0, -90.0, -180.0)),
-    ((-90, 180, 90, -180), (-90.0, 180.0, 90.0, -180.0)),
-    ((90, 0, -90, 720), (90.0, 0.0, -90.0, 720.0)),
-    ((90, 360, -90, -720), (90.0, 360.0, -90.0, -720.0)),
-    ((90, -1, -90, 359), (90.0, -1.0, -90.0, 359.0)),
-    ((90.0, 0.05, -90, 360.05), (90.0, 0.1, -90.0, 360.0)),
-    ((90.0, -0.05, -90, 359.95), (90.0, 0.0, -90.0, 359.9)),
-    ((90.0, -179.05, -90, 180.05), (90.0, -179.0, -90.0, 180.0)),
-    ((90, 10, -90, 10), (90.0, 10.0, -90.0, 10.0)),
-    ((1, 2, 1, 2), (1.0, 2.0, 1.0, 2.0)),
-    ((0.1, 0.2, 0.3, 0.4), (0.1, 0.2, 0.3, 0.4)),
-    ((-0.1, -0.2, -0.3, -0.4), (-0.1, -0.2, -0.3, -0.4)),
-    ((80.1, -170.2, -80.3, 170.4), (80.1, -170.2, -80.3, 170.4)),
-    ((10.123, -20.345, -30.456, 40.789), (10.1, -20.3, -30.4, 40.7)),
-    ((-10.123, 20.345, -30.456, 40.789), (-10.2, 20.4, -30.4, 40.7)),
-    ((80.123, -120.345, 30.456, -40.789), (80.1, -120.3, 30.5, -40.8)),
-]
-OFFSET = S.RegularGrid(delta_lat=0.2, delta_lon=0.1, lat0=0.1, lon0=0.05)
-OFFSET_SNAPS = [
-    ((10.123, -20.345, -30.456, 40.789), (10.1, -20.25, -30.3, 40.75)),
-    ((-10.123, 20.345, -30.456, 40.789), (-10.3, 20.35, -30.3, 40.75)),
-    ((80.123, -120.345, 30.456, -40.789), (80.1, -120.25, 30.5, -40.85)),
-]
-
-
-@pytest.mark.parametrize("grid, cases", [(TENTH, SNAPS), (OFFSET, OFFSET_SNAPS)])
-def test_snapping(spark, grid, cases):
-    df = spark.createDataFrame([tuple(map(float, c)) for c, _ in cases], "n double, w double, s double, e double")
+GRIDS = [TENTH, S.RegularGrid(delta_lat=0.3, delta_lon=0.7, lat0=0.05, lon0=0.2), S.RegularGrid(delta_lat=2.0, delta_lon=1.5)]
+
+
+@pytest.mark.parametrize("grid", GRIDS)
+def test_snapped_boxes_are_the_largest_on_the_grid_inside(spark, grid):
+    rng = random.Random(31)
+    boxes = []
+    for _ in range(150):
+        south, west = rng.uniform(-80, 70), rng.uniform(-170, 150)
+        boxes.append((south + rng.uniform(3, 9), west, south, west + rng.uniform(3, 20)))
+    df = spark.createDataFrame(boxes, "n double, w double, s double, e double")
     snapped = S.snap_inwards(*[F.col(c) for c in "nwse"], grid)
-    got = df.select(*[snapped[k] for k in ("north", "west", "south", "east")], snapped["has_points"]).collect()
-    for (box, want), row in zip(cases, got):
-        assert tuple(row)[:4] == want, box
-        assert row[4]
+    rows = df.select("*", *[snapped[k].alias(k) for k in ("north", "west", "south", "east", "has_points")]).collect()
+    for r in rows:
+        assert r.has_points and r.s <= r.south + 1e-9 and r.north <= r.n + 1e-9 and r.w <= r.west + 1e-9 and r.east <= r.e + 1e-9
+        for edge, first, step in ((r.north, grid.lat0, grid.delta_lat), (r.south, grid.lat0, grid.delta_lat), (r.west, grid.lon0, grid.delta_lon), (r.east, grid.lon0, grid.delta_lon)):
+            steps = (edge - first) / step
+            assert abs(steps - round(steps)) < 1e-6
+        assert r.n - r.north < grid.delta_lat and r.south - r.s < grid.delta_lat
+        assert r.west - r.w < grid.delta_lon and r.e - r.east < grid.delta_lon
+
+
+def test_boxes_on_the_grid_stay(spark):
+    df = spark.createDataFrame([(7.3, -4.2, 1.9, 12.0)], "n double, w double, s double, e double")
+    snapped = S.snap_inwards(*[F.col(c) for c in "nwse"], TENTH)
+    assert tuple(df.select(*[snapped[k] for k in ("north", "west", "south", "east")]).first()) == (7.3, -4.2, 1.9, 12.0)
 
 
 def test_box_between_grid_points(spark):
