@@ -1,5 +1,6 @@
 """Best-two-fit packing of tokenized documents into sequences of a fixed length."""
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,6 +25,8 @@ class WordTokens:
     """
 
     def __init__(self, path: str, most: int = 1_500_000):
+        # A task has one core; the library's own threads would also each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
