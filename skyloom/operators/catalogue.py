@@ -1,10 +1,12 @@
 """Matching requests with catalogues: boxes, features, stored fields, facets, tags and receipts."""
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyloom.functions.dates import relative_range
 from skyloom.functions.space import cell_of_point, cells_of_box
 from skyloom.operators.cubes import compare
 from skyloom.operators.scale import group_ordinals, matching_pairs, salted_join
@@ -114,20 +116,26 @@ def backend_calls(
 
 
 def conditional_tags(
-    fields: DataFrame, conditions: Mapping[str, Sequence[Mapping[str, Sequence]]], by: Sequence[str]
+    fields: DataFrame,
+    conditions: Mapping[str, Sequence[Mapping[str, Sequence]]],
+    by: Sequence[str],
+    as_of: Column | None = None,
 ) -> DataFrame:
     """Tags that apply to a request: every field of it lies in some condition cube of the tag.
 
-    Keys a condition lacks are ignored.  Conditions are configuration, so they
-    are tested as expressions and the fields are read once for all tags.
+    Keys a condition lacks are ignored; a condition on a key the fields lack
+    holds nowhere.  A text such as ``current-30/current`` is a range of dates
+    as seen from ``as_of``, the current moment if not given.  Conditions are configuration, so
+    they are tested as expressions and the fields are read once for all tags.
     """
+    moment = F.current_timestamp() if as_of is None else as_of
     hits = {}
     for tag, cubes in conditions.items():
         hit = F.lit(False)
         for cube in cubes:
             inside = F.lit(True)
             for key, values in cube.items():
-                inside = inside & _in_condition(F.col(key), values)
+                inside = inside & (_in_condition(F.col(key), values, moment) if key in fields.columns else F.lit(False))
             hit = hit | inside
         hits[tag] = hit
     judged = fields.groupBy(*by).agg(*[F.bool_and(hit).alias(tag) for tag, hit in hits.items()])
@@ -135,10 +143,13 @@ def conditional_tags(
     return judged.select(*by, F.explode(tags).alias("tag"))
 
 
-def _in_condition(column: Column, values: Sequence) -> Column:
+def _in_condition(column: Column, values: Sequence, as_of: Column) -> Column:
     hit = F.lit(False)
     for value in values:
-        if isinstance(value, tuple):
+        if isinstance(value, str) and re.match(r" *current|.*/ *current", value):
+            low, high = relative_range(value, as_of)
+            hit = hit | column.cast("date").between(low, high)
+        elif isinstance(value, tuple):
             low, high = value
             hit = hit | column.between(low, high)
         else:

@@ -5,7 +5,7 @@ operator stays on the arrays.  Set operations join on all keys of a field, so
 no key can be hot.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from skyloom.functions.dates import range_struct
 from skyloom.operators.scale import running_offsets
 
 
-LARGE_CUBE = 1_000_000  # a cube of more fields is not unfolded in one task
+PIECE = 100_000  # fields that one row unfolds to at most
 FAST_STORE_CHUNK = 5000  # fixed values: fields of one call to either store
 SLOW_STORE_CHUNK = 900
 
@@ -31,46 +31,46 @@ def expand_dates(texts: Column) -> Column:
     )
 
 
-def unfold(cubes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cubes to single fields, one scalar column per key."""
+def unreadable_dates(texts: Column) -> Column:
+    """Texts that :func:`expand_dates` cannot read: no date, or a range that runs backwards."""
+    return F.filter(texts, lambda t: range_struct(t).isNull())
 
-    def unfolded(some: DataFrame, spread: bool) -> DataFrame:
-        for key in keys:
-            some = some.withColumn(key, F.explode(key))
-            if spread and key != keys[-1]:
-                some = _spread(some)
-        return some
 
-    return _by_size(cubes, keys, unfolded)
+def unfold(cubes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cubes to single fields, one scalar column per key."""
+    return unfold_with_ordinal(cubes, keys, "_ordinal").drop("_ordinal")
 
 
 def unfold_with_ordinal(cubes: DataFrame, keys: Sequence[str], name: str = "ordinal") -> DataFrame:
     """Single fields with their position in the cube, the last key running fastest.
 
-    The position follows from the places of the values alone, so it needs no
-    sort and no window, however large the cube is.
+    A cube of any size is cut into ranges of positions, which are dealt out over
+    the cluster before they are unfolded.  A field follows from its position
+    alone (mixed radix), so it needs no sort and no window.  A cube of
+    more fields than a bigint can count is an error.
     """
-    sizes = {k: f"_size_{k}" for k in keys}
-
-    def unfolded(some: DataFrame, spread: bool) -> DataFrame:
-        some = some.withColumns({sizes[k]: F.size(k).cast("bigint") for k in keys})
-        some = some.withColumn(name, F.lit(0).cast("bigint"))
-        for key in keys:
-            rest = [c for c in some.columns if c != key]
-            some = some.select(*rest, F.posexplode(key).alias("_place", key))
-            some = some.withColumn(name, F.col(name) * F.col(sizes[key]) + F.col("_place")).drop("_place")
-            if spread and key != keys[-1]:
-                some = _spread(some)
-        return some.drop(*sizes.values())
-
-    return _by_size(cubes, keys, unfolded)
-
-
-def _by_size(cubes: DataFrame, keys: Sequence[str], unfolded: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
-    """Unfold cubes where they lie, and those of many fields over the cluster, one key at a time."""
-    n_fields = field_count(keys)
-    usual = unfolded(cubes.where(n_fields <= LARGE_CUBE), False)
-    return usual.unionByName(unfolded(cubes.where(n_fields > LARGE_CUBE), True))
+    if not keys:
+        return cubes.withColumn(name, F.lit(0).cast("bigint"))
+    total = F.coalesce(field_count(keys), F.when(_any_absent(keys), F.lit(0)).otherwise(F.raise_error(F.lit("a cube has too many fields"))))
+    pieces = cubes.withColumn("_total", total.cast("bigint")).where("_total > 0")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_total") - 1, F.lit(PIECE).cast("bigint"))
+    spread = _spread(pieces.withColumn("_from", F.explode(starts)))
+    upto = F.least(F.col("_total"), F.col("_from") + PIECE) - 1
+    fields = spread.withColumn(name, F.explode(F.sequence(F.col("_from"), upto))).drop("_from", "_total")
+    place, picked = F.col(name), {}
+    for key in reversed(keys):
+        size = F.size(key).cast("bigint")
+        picked[key] = F.get(F.col(key), F.pmod(place, size).cast("int"))
+        place = F.expr(f"{name} div ({' * '.join(f'size(`{k}`)' for k in keys[keys.index(key):])})") if len(keys) > 1 else place
+    order = [c for c in cubes.columns]
+    return fields.select(*[picked[c].alias(c) if c in picked else F.col(c) for c in order], name)
+
+
+def _any_absent(keys: Sequence[str]) -> Column:
+    absent = F.lit(False)
+    for key in keys:
+        absent = absent | F.col(key).isNull()
+    return absent
 
 
 def _spread(rows: DataFrame) -> DataFrame:
@@ -88,9 +88,10 @@ def count_fields(
 
 
 def field_count(keys: Sequence[str]) -> Column:
+    """Fields of a cube; NULL where a bigint cannot count them or a key is absent."""
     product = F.lit(1).cast("bigint")
     for key in keys:
-        product = product * F.size(key)
+        product = F.try_multiply(product, F.when(F.col(key).isNotNull(), F.size(key).cast("bigint")))
     return product
 
 
@@ -138,6 +139,7 @@ def unfold_open(cubes: DataFrame, keys: str = "keys", field: str = "field") -> D
         entry = F.get("_entries", i)
         pairs = F.transform(entry["value"], lambda v: F.struct(entry["key"].alias("key"), v.alias("value")))
         rest = [c for c in fields.columns if c != "_pair"]
+        fields = fields.where(entry.isNull() | (F.size(pairs) > 0))  # an empty list stands for no field
         fields = fields.select(*rest, F.explode_outer(pairs).alias("_pair"))
         longer = F.concat(field, F.array("_pair"))
         fields = fields.withColumn(field, F.when(F.col("_pair").isNotNull(), longer).otherwise(F.col(field)))

@@ -146,8 +146,8 @@ def separate_processing(
     return selection, requests.select(id_column, *values, F.array_compact(errors).alias("errors"))
 
 
-def form_values(widgets: DataFrame) -> DataFrame:
-    """Allowed values of a form: (key, value) of its widgets, nested groups included.
+def form_values(widgets: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Allowed values of forms: (name, value) of their widgets by ``scope``, nested groups included.
 
     ``widgets`` has name, type, values, groups (array of arrays), min_start and
     max_end.  A date range gives one ``min/max`` value; other kinds are dropped.
@@ -156,9 +156,9 @@ def form_values(widgets: DataFrame) -> DataFrame:
     nested = widgets.where(F.col("type") == "StringListArrayWidget")
     ranges = widgets.where(F.col("type") == "DateRangeWidget")
     return (
-        listed.select("name", F.explode("values").alias("value"))
-        .unionByName(nested.select("name", F.explode(F.flatten("groups")).alias("value")))
-        .unionByName(ranges.select("name", F.concat_ws("/", "min_start", "max_end").alias("value")))
+        listed.select(*scope, "name", F.explode("values").alias("value"))
+        .unionByName(nested.select(*scope, "name", F.explode(F.flatten("groups")).alias("value")))
+        .unionByName(ranges.select(*scope, "name", F.concat_ws("/", "min_start", "max_end").alias("value")))
         .distinct()
     )
 
@@ -208,15 +208,15 @@ def embargo(
 ) -> DataFrame:
     """Cut dates and times that are not out yet.
 
+    Times that cannot be read are never out; :func:`unreadable_times` finds
+    the requests that have some, which are to be rejected before.
+
     Each request gives up to two rows: the dates before the limit, and the day
     of the limit with the times up to its hour.  ``cacheable`` turns false as
     soon as something was held back or cut at the limit.  A request without any
     row left is found by an anti join.
     """
-    moment = as_of - F.make_dt_interval(days=F.lit(days), hours=F.lit(hours))
-    if months:
-        moment = moment - F.make_dt_interval(days=D.months_back_in_days(F.to_date(as_of), months))
-    requests = requests.withColumn("_limit", moment).withColumn("_day", F.to_date("_limit"))
+    requests = requests.withColumn("_limit", embargo_limit(as_of, days, hours, months)).withColumn("_day", F.to_date("_limit"))
     whole = F.filter(date, lambda d: (d < F.col("_day")) if filter_times else (d <= F.col("_day")))
     touched = F.exists(date, lambda d: (d >= F.col("_day")) if filter_times else (d > F.col("_day")))
     on_limit = F.lit(filter_times) & F.array_contains(date, F.col("_day"))
@@ -244,6 +244,23 @@ def embargo(
     ).select(*rest, "cacheable", F.col("_p.piece"), F.col("_p.dates").alias(date), F.col("_p.times").alias(time))
 
 
+def unreadable_times(
+    requests: DataFrame, as_of: Column, days: int = 0, hours: int = 0, months: int = 0, date: str = "d", time: str = "time"
+) -> DataFrame:
+    """Requests on the day of the limit with a time that cannot be read, as ``unreadable``.
+
+    Times of requests that do not reach the limit are not looked at.
+    """
+    day = F.to_date(embargo_limit(as_of, days, hours, months))
+    wrong = F.filter(X.split_all(F.col(time), "/"), lambda t: D.clock_seconds(t).isNull())
+    return requests.where(F.array_contains(date, day)).withColumn("unreadable", wrong).where(F.size("unreadable") > 0)
+
+
+def embargo_limit(as_of: Column, days: int, hours: int, months: int) -> Column:
+    moment = as_of - F.make_dt_interval(days=F.lit(days), hours=F.lit(hours))
+    return moment - F.make_dt_interval(days=D.months_back_in_days(F.to_date(as_of), months)) if months else moment
+
+
 def clip_range_to_embargo(requests: DataFrame, start: str, end: str, limit: Column) -> DataFrame:
     """A single date range: ends put in order, the end cut at the limit, a start after it rejected."""
     low, high = F.least(start, F.coalesce(end, start)), F.greatest(start, F.coalesce(end, start))
@@ -323,7 +340,8 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
 
     A request that names a grid stays as it is.  Others get the grid's spacing,
     and their area, if any, is snapped inwards.  Key names are read by prefix;
-    ``problem`` tells of two keys for one meaning or an area without a point.
+    ``problem`` tells of two keys for one meaning, of an area that is not four
+    numbers with latitudes up to 90 degrees, or of one without a point.
     """
 
     def named(key: str) -> Column:
@@ -332,6 +350,8 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
     area_key = F.get(named("area"), 0)
     values = X.split_all(F.try_element_at(keys, area_key), "/")
     edges = [X.number(F.get(values, i)) for i in range(4)]
+    not_numbers = edges[0].isNull() | edges[1].isNull() | edges[2].isNull() | edges[3].isNull()
+    beyond = (F.abs(edges[0]) > 90) | (F.abs(edges[2]) > 90)
     snapped = snap_inwards(*edges, grid)
     box = F.array(*[snapped[e].cast("string") for e in ("north", "west", "south", "east")])
     spacing = F.create_map(F.lit("grid"), F.array(F.lit(str(grid.delta_lon)), F.lit(str(grid.delta_lat))))
@@ -345,6 +365,9 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
         F.when(F.size(named("grid")) > 1, "request contains more than one grid key")
         .when(has_grid, None)
         .when(F.size(named("area")) > 1, "request contains more than one area key")
+        .when(area_key.isNotNull() & (F.size(values) != 4), "area must have four items")
+        .when(area_key.isNotNull() & not_numbers, "area must hold numbers")
+        .when(area_key.isNotNull() & beyond, "area latitude must be from -90 to 90")
         .when(
             area_key.isNotNull() & ~F.coalesce(snapped["has_points"], F.lit(False)),
             "request area contains no grid points",

@@ -64,6 +64,10 @@ def prepare(
         good = cut
     mapped = translate.apply_mapping(good, config.mapping)
     if config.embargo is not None:
+        limits = {k: v for k, v in config.embargo.items() if k in ("days", "hours", "months")}
+        unread = translate.unreadable_times(mapped, as_of, date=date, time=time, **limits).select("request_id").distinct()
+        turned_down.append(reject(unread, "embargo", "invalid request", "A time of the request cannot be read"))
+        mapped = mapped.join(unread, "request_id", "left_anti")
         open_ = translate.embargo(mapped, as_of, date=date, time=time, **config.embargo)
         released = open_.select("request_id").distinct()
         held = mapped.select("request_id").distinct().join(released, "request_id", "left_anti")

@@ -210,7 +210,17 @@ for _how, _fn in SQL_HOW.items():
 )
 def a1_ranked(spark, d):
     cells = v_grid(spark, d).withColumn("day", F.to_date("valid_time"))
-    return G.ranked_median(cells, ["variable", "latitude", "day"], "value").withColumn("value", near(F.col("value")))
+    return G.exact_median(cells, ["variable", "latitude", "day"], "value").withColumn("value", near(F.col("value")))
+
+
+@query(
+    "a1_daily_median_mostly_zero",
+    """SELECT variable, CAST(valid_time AS DATE) AS day, round(median(CASE WHEN longitude = 150 THEN value ELSE 0 END) + 1e-9, 6) AS value
+FROM v_grid GROUP BY 1, 2""",
+)
+def a1_mostly_zero(spark, d):
+    rain = v_grid(spark, d).withColumn("value", F.when(F.col("longitude") == 150, F.col("value")).otherwise(0.0))
+    return G.daily_reduce(rain, "median", ["variable"]).withColumn("value", near(F.col("value"))).select("variable", "day", "value")
 
 
 @query(

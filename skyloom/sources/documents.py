@@ -10,10 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDGETS = """array<struct<name: string, label: string, type: string, details: struct<
- values: array<string>, minStart: string, maxEnd: string,
- groups: array<struct<values: array<string>, details: struct<
-  groups: array<struct<values: array<string>, details: struct<
-   groups: array<struct<values: array<string>>>>>>>>>>>>"""
+ values: array<string>, minStart: string, maxEnd: string, groups: array<string>>>>"""
 
 
 def open_keys(text: Column) -> Column:
@@ -49,27 +46,30 @@ def constraints(documents: DataFrame, text: str, keep: Sequence[str]) -> DataFra
 
 
 def forms(documents: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """Widgets of a form as rows, the values of nested groups put together."""
+    """Widgets of a form as rows, the values of nested groups of any depth put together."""
     opened = documents.select(*keep, F.explode(F.from_json(F.col(text), WIDGETS)).alias("w"))
-
-    def own(groups: Column) -> Column:
-        return F.flatten(F.transform(groups, lambda g: F.coalesce(g["values"], F.array().cast("array<string>"))))
-
-    def inner(groups: Column) -> Column:
-        """Groups one level down, of groups without values of their own."""
-        nested = F.filter(groups, lambda g: g["values"].isNull() & g["details"]["groups"].isNotNull())
-        return F.flatten(F.transform(nested, lambda g: g["details"]["groups"]))
-
-    first = F.col("w.details.groups")
-    second = inner(first)
-    third = inner(second)
-    groups = F.array_compact(F.array(own(first), own(second), own(third)))
+    listed = "array<string>"
+
+    def inside(group: Column, path: str) -> Column:
+        return F.from_json(F.get_json_object(group, path), listed)
+
+    def deeper(state: Column, _: Column) -> Column:
+        values = F.flatten(F.array_compact(F.transform(state["open"], lambda g: inside(g, "$.values"))))
+        plain = F.filter(state["open"], lambda g: F.get_json_object(g, "$.values").isNull())
+        groups = F.flatten(F.array_compact(F.transform(plain, lambda g: inside(g, "$.details.groups"))))
+        return F.struct(groups.alias("open"), F.concat(state["found"], F.array(values)).alias("found"))
+
+    groups = F.col("w.details.groups")
+    # no group lies deeper than the word stands in the text of the groups
+    levels = F.sequence(F.lit(0), F.regexp_count(F.to_json(groups), F.lit("groups")))
+    start = F.struct(groups.alias("open"), F.array().cast("array<array<string>>").alias("found"))
+    found = F.when(groups.isNotNull(), F.aggregate(levels, start, deeper, lambda s: s["found"]))
     return opened.select(
         *keep,
         F.col("w.name").alias("name"),
         F.col("w.type").alias("type"),
         F.col("w.details.values").alias("values"),
-        groups.alias("groups"),
+        found.alias("groups"),
         F.col("w.details.minStart").alias("min_start"),
         F.col("w.details.maxEnd").alias("max_end"),
     )

@@ -5,6 +5,7 @@ import itertools
 import random
 import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from skyloom.operators import grid as G
@@ -77,9 +78,25 @@ def test_median_of_a_hot_group(spark):
     for r in data.where("NOT isnan(value)").collect():
         groups.setdefault(r["k"], []).append(r["value"])
     want = {k: statistics.median(v) for k, v in groups.items()}
-    for limit in (10, 100, 10_000):  # ranked for all, for the hot group, for none
-        got = {r["k"]: r["value"] for r in G.exact_median(data, ["k"], "value", limit).collect()}
-        assert got == want
+    assert {r["k"]: r["value"] for r in G.exact_median(data, ["k"], "value").collect()} == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_median_of_any_numbers(spark, seed):
+    rng = random.Random(seed)
+    draw = [lambda: rng.gauss(0, 1e-3), lambda: rng.choice([-1e300, 0.0, -0.0, 1e-320, 999.9999999999999, 1000.0]), lambda: rng.expovariate(1) ** 9, lambda: float(rng.randint(-3, 3))]
+    rows = [(k, draw[seed]()) for k in range(3) for _ in range(rng.randint(1, 400))]
+    want = {k: statistics.median([v for i, v in rows if i == k]) for k in range(3)}
+    got = G.exact_median(spark.createDataFrame(rows, "k int, v double"), ["k"], "v")
+    assert {r["k"]: r["v"] for r in got.collect()} == want
+
+
+def test_median_of_mostly_zeros_spreads_evenly(spark):
+    data = spark.range(200_000, numPartitions=8).select((F.col("id") % 2).alias("k"), F.when(F.rand(1) > 0.9, F.rand(2)).otherwise(0.0).alias("v"))
+    counted = data.groupBy("k", "v").agg(F.count("v").alias("n"))
+    sizes = [r["count"] for r in counted.repartition(8, "k", "v").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * sum(sizes) / 8
+    assert {r["k"]: r["v"] for r in G.exact_median(data, ["k"], "v").collect()} == {0: 0.0, 1: 0.0}
 
 
 def test_group_without_any_value_keeps_its_row(spark):
@@ -138,9 +155,26 @@ def test_one_large_cube_is_unfolded_over_the_cluster(spark, monkeypatch):
     rows = [(1, values(30), values(20), values(10)), (2, ["a"], ["b"], ["c", "d"])]
     cubes = spark.createDataFrame(rows, "i int, a array<string>, b array<string>, c array<string>")
     want = {tuple(r) for r in C.unfold_with_ordinal(cubes, ["a", "b", "c"]).select("i", "a", "b", "c", "ordinal").collect()}
-    monkeypatch.setattr(C, "LARGE_CUBE", 100)
+    monkeypatch.setattr(C, "PIECE", 100)
     fields = C.unfold_with_ordinal(cubes, ["a", "b", "c"])
     assert {tuple(r) for r in fields.select("i", "a", "b", "c", "ordinal").collect()} == want
     assert len(want) == 6002
     tasks = C.unfold(cubes.where("i = 1"), ["a", "b", "c"]).select(F.spark_partition_id()).distinct().count()
     assert tasks > 1
+
+
+def test_unfolding_reads_its_input_once(spark, folder):
+    from skyloom.operators import cubes as C
+
+    cubes = spark.read.parquet(f"{folder}/events.parquet").select(F.array("event_type").alias("a"), F.array("user_id").alias("b"))
+    plan = C.unfold(cubes, ["a", "b"])._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+
+
+def test_cubes_too_large_to_count(spark):
+    from skyloom.operators import cubes as C
+
+    cubes = spark.range(1).select(*[F.sequence(F.lit(1), F.lit(100_000)).alias(k) for k in "abcd"])
+    assert cubes.select(C.field_count(list("abcd")).alias("n")).first()["n"] is None
+    with pytest.raises(Exception, match="too many fields"):
+        C.unfold(cubes, list("abcd")).count()
