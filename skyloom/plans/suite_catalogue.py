@@ -140,12 +140,12 @@ def s9_tidy(spark, d):
     """
 WITH keep AS (SELECT * FROM v_stored)
 SELECT request_id, CASE WHEN keep.param IS NULL THEN 'temporary' ELSE 'permanent' END || '/' || strftime(f.d, '%Y-%m-%d') || '/type=' || f.type
- || '_variable=' || substr(f.param, 1, 1) AS path FROM v_field f LEFT JOIN keep ON f.param = keep.param AND f.type = keep.type AND f.d = keep.d""",
+ || '_variable=' || md5(f.param) AS path FROM v_field f LEFT JOIN keep ON f.param = keep.param AND f.type = keep.type AND f.d = keep.d""",
 )
 def k4(spark, d):
     fields = files.tier_of(v_field(spark, d), v_stored(spark, d), KEYS)
     named = fields.select(
-        "request_id", "tier", F.col("d").alias("date"), "type", F.substring("param", 1, 1).alias("variable")
+        "request_id", "tier", F.col("d").alias("date"), "type", F.md5("param").alias("variable")
     )
     return named.select("request_id", files.field_path(["date", "type", "variable"], F.col("tier")).alias("path"))
 
@@ -344,6 +344,30 @@ def j9(spark, d):
     return K.conditional_tags(v_field(spark, d), conditions, ["request_id"])
 
 
+@query(
+    "j9_relative_dates",
+    """
+SELECT request_id, 'recent' AS tag FROM v_field GROUP BY 1 HAVING bool_and(d BETWEEN DATE '1998-01-02' AND DATE '1998-06-01')
+UNION ALL SELECT request_id, 'since' FROM v_field GROUP BY 1 HAVING bool_and(d BETWEEN DATE '1996-02-01' AND DATE '1998-05-30' AND type = 'O')""",
+)
+def j9_relative(spark, d):
+    conditions = {
+        "recent": [{"d": ["current-150/current"]}],
+        "since": [{"d": ["1996-02-01/current-2"], "type": ["O"]}],
+    }
+    as_of = F.lit("1998-06-01 09:30:00").cast("timestamp")
+    return K.conditional_tags(v_field(spark, d), conditions, ["request_id"], as_of)
+
+
+@query(
+    "j9_missing_key",
+    """SELECT request_id, 'urgent' AS tag FROM v_field GROUP BY 1 HAVING bool_and(param = '1-URGENT')""",
+)
+def j9_missing(spark, d):
+    conditions = {"deep": [{"depth": ["5"], "type": ["O"]}], "urgent": [{"depth": ["5"]}, {"param": ["1-URGENT"]}]}
+    return K.conditional_tags(v_field(spark, d), conditions, ["request_id"])
+
+
 @query(
     "p16_facet_ids",
     """SELECT p_partkey, concat_ws('.', 'open', CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_type END, p_brand,

@@ -49,6 +49,17 @@ def h1_open(spark, d):
     return C.compare(left, right, ["dataset", "field"]).withColumn("field", C.field_text(F.col("field")))
 
 
+@query(
+    "h1_empty_lists",
+    """SELECT DISTINCT dataset, 'param=' || p || ';type=' || t AS field FROM
+ (SELECT dataset, p, unnest(type) AS t FROM (SELECT dataset, unnest(param) AS p, type FROM v_sel WHERE type IS NOT NULL))""",
+)
+def h1_empty(spark, d):
+    some = v_sel(spark, d).withColumn("type", F.coalesce("type", F.array().cast("array<string>")))
+    fields = C.unfold_open(open_keyed(some)).select("dataset", "field")
+    return fields.distinct().withColumn("field", C.field_text(F.col("field")))
+
+
 @query(
     "h11_unequal_key_sets",
     """SELECT dataset, count(DISTINCT type IS NULL) AS n_key_sets FROM v_sel GROUP BY 1 HAVING count(DISTINCT type IS NULL) > 1""",
@@ -192,15 +203,15 @@ def h11(spark, d):
 
 @query(
     "h12_canonical_sort",
-    """SELECT dataset, string_agg(request_id // 10000, ',' ORDER BY request_id // 10000) AS numbers,
+    """SELECT dataset, string_agg(DISTINCT request_id // 10000, ',' ORDER BY request_id // 10000) AS numbers,
  string_agg(DISTINCT param, ',' ORDER BY param) AS words
-FROM (SELECT DISTINCT dataset, request_id, param[1] AS param FROM v_req) GROUP BY dataset""",
+FROM (SELECT DISTINCT dataset, request_id, unnest(param) AS param FROM v_req) GROUP BY dataset""",
 )
 def h12(spark, d):
     first = v_req(spark, d).select(
         "dataset",
         F.floor(F.col("request_id") / 10000).cast("string").alias("number"),
-        F.col("param")[0].alias("word"),
+        F.explode("param").alias("word"),
     )
     listed = first.groupBy("dataset").agg(F.collect_set("number").alias("number"), F.collect_set("word").alias("word"))
     return listed.select(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from skyloom.operators import constraints as N
+from skyloom.operators import requests as R
 from skyloom.operators.grid import longitude_part_columns, read_axis
 from skyloom.operators.rules import Rule
 from skyloom.plans import lifecycle as L
@@ -12,16 +13,40 @@ from skyloom.plans.suite_catalogue import features
 from skyloom.plans.suite_planning import FORM_SQL
 from skyloom.plans.views import v_area, v_con, v_field, v_grid, v_req, v_sel
 from skyloom.sources import documents as J
+from skyloom.tables import table
 
 KEYS = ["param", "type"]
 
 
+def deep_forms(spark, d):
+    """A form per part, of the dataset that its size names, with values two and five groups down."""
+    down, up = '{"label":"group","details":{"groups":[', "]}}"
+    two = F.concat(F.lit(down + '{"values":["'), F.col("p_brand"), F.lit('"]}' + up))
+    five = F.concat(F.lit(4 * down + '{"values":["'), F.col("p_name"), F.lit('"]}' + 4 * up))
+    head = F.concat(F.lit('[{"name":"'), F.col("p_type"), F.lit('","type":"StringListArrayWidget","details":{"groups":['))
+    text = F.concat(head, two, F.lit(","), five, F.lit("]}}]"))
+    return J.forms(table(spark, d, "part").select(F.col("p_size").alias("dataset"), text.alias("text")), "text", ["dataset"])
+
+
+@query("p14_deep_forms", "SELECT p_type AS name, p_brand AS value FROM part UNION SELECT p_type, p_name FROM part")
+def p14_deep(spark, d):
+    return R.form_values(deep_forms(spark, d))
+
+
+@query(
+    "p14_forms_of_datasets",
+    "SELECT p_size AS dataset, p_type AS name, p_brand AS value FROM part UNION SELECT p_size, p_type, p_name FROM part",
+)
+def p14_datasets(spark, d):
+    return R.form_values(deep_forms(spark, d), ["dataset"])
+
+
 @query(
     "doc_requests_from_json",
-    """SELECT request_id, 'param' AS key, unnest(param) AS value FROM v_req UNION ALL SELECT request_id, 'type', type[1] FROM v_req""",
+    """SELECT request_id, 'param' AS key, unnest(param) AS value FROM v_req UNION ALL SELECT request_id, 'type', unnest(type) FROM v_req""",
 )
 def doc_requests(spark, d):
-    text = F.to_json(F.struct("param", F.col("type")[0].alias("type")))
+    text = F.to_json(F.struct("param", "type"))
     documents = v_req(spark, d).select("request_id", text.alias("text"))
     opened = J.requests(documents, "text", ["request_id"])
     return opened.select("request_id", F.explode("keys").alias("key", "values")).select(

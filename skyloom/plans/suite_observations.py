@@ -18,7 +18,7 @@ ROW = """observation_id, strftime(report_timestamp, '%Y-%m-%d %H:%M:%S') AS repo
  observed_variable, observation_value, latitude, longitude"""
 
 
-def row(df):
+def row(df, *more):
     return df.select(
         "observation_id",
         F.date_format("report_timestamp", MOMENT).alias("report_timestamp"),
@@ -27,6 +27,7 @@ def row(df):
         "observation_value",
         "latitude",
         "longitude",
+        *more,
     )
 
 
@@ -49,9 +50,8 @@ def s2(spark, d):
         stations=["3", "8", "21", "46"], time=(datetime(2024, 1, 5), datetime(2024, 1, 25)), latitude=(-60.0, 60.0)
     )
     found = O.retrieve([old, new], wanted, CODES)
-    return row(found).join(
-        found.select("observation_id", F.coalesce("processing_level", F.lit(-1)).alias("processing_level")), "observation_id"
-    )
+    level = F.coalesce("processing_level", F.lit(-1)).alias("processing_level")
+    return row(found.withColumn("_level", level), F.col("_level").alias("processing_level"))
 
 
 @query(

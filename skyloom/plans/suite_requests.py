@@ -50,18 +50,14 @@ def p3_lists(spark, d):
 
 @query(
     "p3_remap_by_large_table",
-    """SELECT request_id, coalesce(n_name, param) AS param, d FROM v_field
-LEFT JOIN nation ON CAST(n_nationkey AS VARCHAR) || '-' = substr(param, 1, 2)""",
+    """WITH renamed AS (SELECT DISTINCT o_orderpriority AS old, 'as ' || lower(o_orderpriority) AS new FROM orders WHERE o_orderstatus = 'P')
+SELECT request_id, coalesce(new, param) AS param, d FROM v_field LEFT JOIN renamed ON old = param""",
 )
 def p3_table(spark, d):
-    prefix = F.substring("param", 1, 2)
-    names = table(spark, d, "nation").select(
-        F.concat(F.col("n_nationkey").cast("string"), F.lit("-")).alias("old"), F.col("n_name").alias("new")
-    )
-    fields = v_field(spark, d).withColumn("code", prefix)
-    mapped = R.remap_by_table(fields, "code", names)
-    kept = F.when(F.col("code") == F.substring("param", 1, 2), F.col("param")).otherwise(F.col("code"))
-    return mapped.select("request_id", kept.alias("param"), "d")
+    late = table(spark, d, "orders").where("o_orderstatus = 'P'")
+    old = F.col("o_orderpriority")
+    names = late.select(old.alias("old"), F.concat(F.lit("as "), F.lower(old)).alias("new")).distinct()
+    return R.remap_by_table(v_field(spark, d), "param", names).select("request_id", "param", "d")
 
 
 @query("p4_rename_keys", "SELECT request_id, param AS variable, type AS product_type, d AS date FROM v_field")
@@ -561,3 +557,30 @@ def g5(spark, d):
         key.alias("request_id"), F.explode(F.array(first, F.col("p_type"), last)).alias("key")
     )
     return R.key_matches(keys, "area", ["request_id"])
+
+
+@query(
+    "f16_unreadable_times",
+    """SELECT request_id, 'noon' AS unreadable FROM v_req WHERE list_contains(type, 'P')""",
+)
+def f16_unreadable(spark, d):
+    clock = F.transform("type", lambda t: F.when(t == "P", "noon").when(t == "O", "12:00").otherwise("06"))
+    asked = v_req(spark, d).select("request_id", "d", clock.alias("time"))
+    as_of = F.date_add(F.element_at("d", -1), 1).cast("timestamp")  # the limit is the last day that each request asks for
+    found = R.unreadable_times(asked, as_of, days=1)
+    return found.select("request_id", F.array_join("unreadable", ",").alias("unreadable"))
+
+
+@query(
+    "g1_bad_areas",
+    """SELECT c_custkey AS request_id, CASE WHEN c_acctbal < 0 THEN 'area must have four items' WHEN c_mktsegment = 'BUILDING' THEN 'area must hold numbers'
+ WHEN north + 30 > 90 THEN 'area latitude must be from -90 to 90' ELSE 'fine' END AS problem FROM customer JOIN v_area ON c_custkey = request_id""",
+)
+def g1_bad(spark, d):
+    box = [(F.col("north") + 30).cast("string"), *[F.col(e).cast("string") for e in ("west", "south", "east")]]
+    words = [box[0], F.lit("west"), *box[2:]]
+    area = F.when(F.col("c_acctbal") < 0, F.array(*box, F.lit("0"))).when(F.col("c_mktsegment") == "BUILDING", F.array(*words)).otherwise(F.array(*box))
+    asked = v_area(spark, d).join(table(spark, d, "customer"), F.col("request_id") == F.col("c_custkey"))
+    raw = asked.select("request_id", F.create_map(F.lit("area"), area).alias("keys"))
+    judged = R.simulate_preinterpolation(raw, S.RegularGrid(delta_lat=0.25, delta_lon=0.5))
+    return judged.select("request_id", F.coalesce("problem", F.lit("fine")).alias("problem"))

@@ -3,11 +3,15 @@
 They run in batch form here; the tests run them as streams and compare.
 """
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from skyloom.plans.registry import near, query
 from skyloom.plans.views import v_field
+from skyloom.session import scratch
 from skyloom.streaming.daily import closed_before, daily_windows
+from skyloom.streaming.embargo import MovingEmbargo
 from skyloom.tables import table
 
 
@@ -29,9 +33,16 @@ def x1(spark, d):
 
 @query(
     "x2_moving_embargo",
-    """SELECT request_id, param, type, d, CASE WHEN d <= DATE '1999-12-25' THEN 'released' ELSE 'held' END AS state FROM v_field""",
+    """SELECT request_id, param, type, d, CASE WHEN d <= DATE '1997-06-30' THEN 0 WHEN d <= DATE '1999-12-25' THEN 1 ELSE -1 END AS batch FROM v_field""",
 )
 def x2(spark, d):
-    limit = F.date_sub(F.lit("1999-12-30").cast("date"), 5)
-    state = F.when(F.col("d") <= limit, "released").otherwise("held")
-    return v_field(spark, d).select("request_id", "param", "type", "d", state.alias("state"))
+    """Two batches through the sink: the first brings all fields, the second only the passing of time."""
+    path = scratch(spark, "embargo")
+    sink = MovingEmbargo(path, 5, lambda batch: (datetime(1997, 7, 5), datetime(1999, 12, 30))[batch])
+    fields = v_field(spark, d).select("request_id", "param", "type", "d")
+    sink(fields, 0)
+    sink(fields.where("false"), 1)
+    batch = F.lit(0)
+    released = [spark.read.schema(fields.schema).parquet(f"{path}/released/batch={n}").withColumn("batch", batch + n) for n in (0, 1)]
+    held = sink.held_after(spark, 1).select(*fields.columns).withColumn("batch", batch - 1)
+    return released[0].unionByName(released[1]).unionByName(held)

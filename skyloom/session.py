@@ -1,6 +1,7 @@
 """Session settings and the one place where lineage is cut."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,28 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; where it is unset, as in tests, one of this session."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.skyloom.scratch", None)
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        named = "file://" + tempfile.mkdtemp(prefix="skyloom-")
+        spark.conf.set("spark.skyloom.scratch", named)
+    return named.rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; it goes when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  A
-    scratch folder is only made in local mode, where no cluster has named one.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder")
-            named = tempfile.mkdtemp(prefix="skyloom-checkpoint-")
-        context.setCheckpointDir(named)
+        context.setCheckpointDir(scratch(df.sparkSession, "checkpoints"))
     return df.checkpoint(eager=True)

@@ -8,8 +8,9 @@ batch that runs again after a failure writes the same folders again.
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class MovingEmbargo:
@@ -20,18 +21,38 @@ class MovingEmbargo:
         self.delay_days = delay_days
         self.clock = clock
         self.date = date
+        self.schema: T.StructType | None = None
 
     def held_after(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """What a batch held back; nothing before the first one.  A folder that is gone is an error."""
-        return None if batch_id < 0 else spark.read.parquet(f"{self.path}/held/batch={batch_id}")
+        """What is still held after a batch; nothing before the first one.  A folder that is gone is an error."""
+        if batch_id < 0:
+            return None
+        return self._held(spark).where((F.col("since") <= batch_id) & (F.col(self.date) > self._limit(batch_id))).drop("since")
+
+    def _held(self, spark: SparkSession) -> DataFrame:
+        reader = spark.read.option("basePath", f"{self.path}/held")
+        if self.schema is not None:  # folders of batches that held nothing have no file to tell the columns
+            reader = reader.schema(T.StructType([*self.schema.fields, T.StructField("since", T.IntegerType())]))
+        return reader.parquet(f"{self.path}/held/since=*")
+
+    def _limit(self, batch_id: int) -> Column:
+        return F.date_sub(F.lit(self.clock(batch_id).date().isoformat()).cast("date"), self.delay_days)
 
     def __call__(self, arrived: DataFrame, batch_id: int) -> None:
-        spark = arrived.sparkSession
-        limit = F.date_sub(F.lit(self.clock(batch_id).date().isoformat()).cast("date"), self.delay_days)
-        waiting = self.held_after(spark, batch_id - 1)
-        fields = arrived if waiting is None else arrived.unionByName(waiting)
-        for folder, test in (("released", F.col(self.date) <= limit), ("held", F.col(self.date) > limit)):
-            fields.where(test).write.mode("overwrite").parquet(f"{self.path}/{folder}/batch={batch_id}")
+        """Give out what a batch brings and what the limit has passed since the last one.
+
+        Held fields are written once, by the batch that brought them and by the day that releases them, so a later batch
+        reads only the days it gives out and rewrites nothing.
+        """
+        spark, day = arrived.sparkSession, F.col(self.date)
+        self.schema, limit = arrived.schema, self._limit(batch_id)
+        out = arrived.where(day <= limit)
+        if batch_id > 0:
+            due = self._held(spark).where((F.col("since") < batch_id) & (day > self._limit(batch_id - 1)) & (day <= limit)).drop("since")
+            out = out.unionByName(due.select(*arrived.columns))
+        kept = arrived.where(day > limit)
+        kept.repartition(day).write.mode("overwrite").partitionBy(self.date).parquet(f"{self.path}/held/since={batch_id}")
+        out.write.mode("overwrite").parquet(f"{self.path}/released/batch={batch_id}")
 
 
 def run(fields: DataFrame, embargo: MovingEmbargo, checkpoint: str):

@@ -55,3 +55,22 @@ def test_embargo_batch_can_run_again(spark, tmp_path):
     embargo(arrived, 0)
     embargo(arrived, 0)
     assert spark.read.parquet(str(tmp_path / "store" / "released")).count() == 1
+
+
+def test_embargo_that_holds_nothing(spark, tmp_path):
+    embargo = MovingEmbargo(str(tmp_path / "store"), 5, lambda batch: dt.datetime(2024, 3, 1))
+    arrived = spark.createDataFrame([("a", dt.date(2024, 1, 1))], "name string, d date")
+    embargo(arrived, 0)
+    embargo(arrived.where("false"), 1)
+    assert embargo.held_after(spark, 1).isEmpty()
+    assert spark.read.parquet(str(tmp_path / "store" / "released")).count() == 1
+
+
+def test_embargo_releases_a_field_once(spark, tmp_path):
+    embargo = MovingEmbargo(str(tmp_path / "store"), 0, lambda batch: dt.datetime(2024, 1, 1) + dt.timedelta(days=10 * batch))
+    schema = "name string, d date"
+    for batch in range(4):
+        rows = [(f"{batch}-{k}", dt.date(2024, 1, 1) + dt.timedelta(days=7 * k)) for k in range(5)] if batch < 2 else []
+        embargo(spark.createDataFrame(rows, schema), batch)
+    released = [r["name"] for r in spark.read.parquet(str(tmp_path / "store" / "released")).collect()]
+    assert len(released) == len(set(released)) == 10 - embargo.held_after(spark, 3).count()
