@@ -1,34 +1,14 @@
 """What several operators of this package share: tables in the shared folder, ranks by blocks, components, slices."""
 
 import math
-import tempfile
-import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; where it is unset, as in tests, one of this session."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.skyloom.scratch", None)
-    if named is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        named = "file://" + tempfile.mkdtemp(prefix="skyloom-")
-        spark.conf.set("spark.skyloom.scratch", named)
-    return named.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; it goes when the session's JVM ends."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return path
+from skyloom.session import scratch
 
 
 def written(df: DataFrame, name: str = "step") -> DataFrame:
@@ -38,7 +18,7 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     reader does not compute the rows again.
     """
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import new_folder, written
+from skyloom.llm.common import written
+from skyloom.session import scratch
 
 SLOTS = 4096
 ROW_BYTES = 16
@@ -99,7 +100,7 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
     spark = docs.sparkSession
     placed = written(records(docs, slots), "records")
     sizes = written(slot_sizes(placed), "slots")
-    store = new_folder(spark, "slot-map")
+    store = scratch(spark, "slot-map")
     first = first_map(spark, slots, shards)
     first.write.mode("append").partitionBy("version").parquet(store)
     rebalanced(first, sizes, shards).write.mode("append").partitionBy("version").parquet(store)

@@ -19,7 +19,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.llm.common import new_folder, written
+from skyloom.llm.common import written
+from skyloom.session import scratch
 
 PACKAGE_BYTES = 16 << 20
 MOST_TASKS = 20_000
@@ -245,5 +246,5 @@ def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     are responses too; a null page_id stands below all others; a null url is left out; an empty
     table gives an empty one; other columns are not looked at.
     """
-    folder = new_folder(pages.sparkSession, "archives")
+    folder = scratch(pages.sparkSession, "archives")
     return read_packages(write_packages(typed(pages, least_bytes), folder), folder)

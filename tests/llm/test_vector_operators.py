@@ -11,7 +11,8 @@ import pytest
 from compare import compare, duck
 
 from skyloom.llm import suite, topk, vectors, warczip
-from skyloom.llm.common import components, new_folder
+from skyloom.llm.common import components
+from skyloom.session import scratch
 
 SCHEMA = "vec_id long, embedding array<float>, label int, node string, v int, side int, dim string"
 
@@ -133,7 +134,7 @@ def test_small_payloads_need_not_be_revisits(pages):
 
 def test_packages_are_zip_files(spark, pages, tmp_path):
     _, df = pages
-    folder = new_folder(spark, "archives")
+    folder = scratch(spark, "archives")
     found = warczip.write_packages(warczip.typed(df), folder, most_bytes=2000).collect()
     assert len(found) > 2 and sum(r.records for r in found) == df.count()
     with zipfile.ZipFile(found[0].package) as z:
