@@ -87,16 +87,108 @@ def expand_dimensions(df: DataFrame, scalars: Mapping[str, object], order: Seque
     return wide.select(*order, *[c for c in wide.columns if c not in order])
 
 
+# The two sets of date keys that every dataset may use.
+DATE_KEYS = (
+    {"date": "date", "year": "year", "month": "month", "day": "day", "format": "date_format"},
+    {"date": "hdate", "year": "hyear", "month": "hmonth", "day": "hday", "format": "hdate_format"},
+)
+DATE_FIELDS = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%j": "DDD"}
+
+
 def apply_mapping(requests: DataFrame, mapping: Mapping) -> DataFrame:
-    """The whole translation of a dataset: defaults, remap, patches, rename, force."""
+    """The whole translation of a dataset: defaults, lists, remap, patches, rename, force, dates.
+
+    ``options`` may ask for lists (``wants_lists``), for dates made of years, months and days or of ranges
+    (``wants_dates``, with a format for each set of date keys), for intervals (``wants_intervals``) and for seconds since an
+    epoch (``seconds_since_epoch``, ``add_hours_to_date``).  Where dates are asked for, ``mapping_problem`` says what is wrong with
+    a request's dates, else NULL.
+    """
+    options, rename = mapping.get("options", {}), mapping.get("rename", {})
     requests = set_defaults(requests, mapping.get("defaults", {}))
+    for key in options.get("wants_lists", []):
+        if key in requests.columns and not requests.schema[key].dataType.simpleString().startswith("array"):
+            requests = requests.withColumn(key, as_list(F.col(key)))
     for key, values in mapping.get("remap", {}).items():
         if key in requests.columns:
             requests = requests.withColumn(key, remap_list(F.col(key), values))
     for patch in mapping.get("patches", []):
         requests = requests.withColumn(patch["to"], remap_list(F.col(patch["from"]), patch["mapping"]))
-    requests = rename_keys(requests, mapping.get("rename", {}))
-    return force_values(requests, mapping.get("force", {}))
+    requests = rename_keys(requests, rename)
+    requests = force_values(requests, mapping.get("force", {}))
+    problems = []
+    for keys in options.get("date_keys", DATE_KEYS):
+        parts = [k if k in mapping.get("force", {}) else rename.get(k, k) for k in (keys["year"], keys["month"], keys["day"])]
+        if options.get("wants_dates"):
+            requests, problem = _with_dates(requests, keys["date"], parts, options.get(keys["format"], "%Y-%m-%d"))
+            problems += problem
+        if keys["date"] not in requests.columns:
+            continue
+        date = F.col(keys["date"]).cast("array<string>")
+        if options.get("wants_intervals"):
+            requests = requests.withColumn(keys["date"], F.transform(date, D.to_interval))
+        if options.get("seconds_since_epoch") is not None:
+            epoch = F.lit(options["seconds_since_epoch"]).cast("date")
+            hours = options.get("add_hours_to_date", 0)
+            requests = requests.withColumn(keys["date"], F.transform(date, lambda v: D.seconds_since(D.parse_date(v), epoch, hours)))
+    if options.get("wants_dates"):
+        requests = requests.withColumn("mapping_problem", F.coalesce(*problems, F.lit(None).cast("string")))
+        requests = requests.drop(*[c for c in requests.columns if c.startswith("_problem_")])
+    return requests
+
+
+def date_pattern(strftime: str) -> str:
+    """A date format as configuration writes it, in Spark's letters."""
+    pattern = strftime
+    for field, letters in DATE_FIELDS.items():
+        pattern = pattern.replace(field, letters)
+    if "%" in pattern:
+        raise ConfigurationError(f"{strftime} has a field that is no year, month or day")
+    return pattern
+
+
+def _with_dates(requests: DataFrame, date: str, parts: Sequence[str], strftime: str) -> tuple[DataFrame, list[Column]]:
+    """Dates and ranges of ``date`` as sorted single dates; where it is absent, those of the years, months and days."""
+    pattern, texts = date_pattern(strftime), "array<string>"
+    made, problems = [], []
+    if date in requests.columns:
+        given = F.transform(F.col(date).cast(texts), lambda t: F.trim(t))
+
+        def opened(text: Column) -> Column:
+            ends = F.split(text, "/")
+            first, last = D.parse_date(F.trim(ends[0])), D.parse_date(F.trim(F.element_at(ends, -1)))
+            days = F.transform(D.date_range(first, last), lambda d: F.date_format(d, pattern))
+            return F.when(text == "", F.array(text)).otherwise(F.coalesce(days, F.array().cast(texts)))
+
+        def malformed(text: Column) -> Column:
+            ends = F.transform(F.split(text, "/"), lambda e: D.parse_date(F.trim(e)))
+            return (text != "") & ((F.size(ends) > 2) | F.exists(ends, lambda e: e.isNull()))
+
+        made.append(F.array_sort(F.array_distinct(F.flatten(F.transform(given, opened)))))
+        problems.append(F.when(F.exists(given, malformed), F.lit("a date or date range cannot be read")))
+    if all(p in requests.columns for p in parts):
+        kind = {p: requests.schema[p].dataType.simpleString().startswith("array") for p in parts}
+        numbers = [F.transform(F.col(p) if kind[p] else F.array(p), lambda v: v.try_cast("int")) for p in parts]
+
+        def of_month(y: Column, m: Column) -> Column:
+            return F.transform(numbers[2], lambda d: D.valid_date(y, m, d))
+
+        days = F.flatten(F.flatten(F.transform(numbers[0], lambda y: F.transform(numbers[1], lambda m: of_month(y, m)))))
+        found = F.transform(F.array_sort(F.array_distinct(F.array_compact(days))), lambda d: F.date_format(d, pattern))
+        asked = F.size(numbers[0]) * F.size(numbers[1]) * F.size(numbers[2]) > 0
+        used = asked & F.col(date).isNull() if date in requests.columns else asked
+        made.append(F.when(asked, found))
+        problems.append(F.when(used & (F.size(found) == 0), F.lit("no valid dates from year, month and day")))
+        cleared = {p: F.when(~F.coalesce(used, F.lit(False)), F.col(p)) for p in parts}
+        rest = [F.col(f"`{c}`") for c in requests.columns if c not in (date, *parts)]
+        changed = {"_new_" + k: v for k, v in {date: F.coalesce(*made), **cleared}.items()}
+        changed[f"_problem_{date}"] = F.coalesce(*problems)
+        made_of = requests.select(*rest, *[v.alias(k) for k, v in changed.items()])
+        return made_of.withColumnsRenamed({k: k.removeprefix("_new_") for k in changed}), [F.col(f"_problem_{date}")]
+    if made:
+        rest = [F.col(f"`{c}`") for c in requests.columns if c != date]
+        requests = requests.select(*rest, made[0].alias("_new"), problems[0].alias(f"_problem_{date}")).withColumnRenamed("_new", date)
+        return requests, [F.col(f"_problem_{date}")]
+    return requests, []
 
 
 # --- formats -----------------------------------------------------------------

@@ -63,6 +63,10 @@ def prepare(
         )
         good = cut
     mapped = translate.apply_mapping(good, config.mapping)
+    if "mapping_problem" in mapped.columns:
+        wrong = mapped.where("mapping_problem IS NOT NULL").select("request_id", "mapping_problem")
+        turned_down.append(reject(wrong, "mapping", "invalid request", "The dates of the request are not valid"))
+        mapped = mapped.where("mapping_problem IS NULL").drop("mapping_problem")
     if config.embargo is not None:
         limits = {k: v for k, v in config.embargo.items() if k in ("days", "hours", "months")}
         unread = translate.unreadable_times(mapped, as_of, date=date, time=time, **limits).select("request_id").distinct()

@@ -584,3 +584,41 @@ def g1_bad(spark, d):
     raw = asked.select("request_id", F.create_map(F.lit("area"), area).alias("keys"))
     judged = R.simulate_preinterpolation(raw, S.RegularGrid(delta_lat=0.25, delta_lon=0.5))
     return judged.select("request_id", F.coalesce("problem", F.lit("fine")).alias("problem"))
+
+
+PARTS_SQL = """parts AS (SELECT request_id, list_sort(list_distinct(list_transform(d, lambda x: year(x)))) AS y,
+ list_sort(list_distinct(list_transform(d, lambda x: month(x)))) AS m, list_sort(list_distinct(list_transform(d, lambda x: day(x)))) AS n FROM v_req),
+made AS (SELECT request_id, TRY_CAST(printf('%04d-%02d-%02d', y, m, n) AS DATE) AS day FROM
+ (SELECT request_id, y, m, unnest(n) AS n FROM (SELECT request_id, y, unnest(m) AS m, n FROM (SELECT request_id, unnest(y) AS y, m, n FROM parts))))"""
+
+
+@query(
+    "plan_full_mapping_with_dates",
+    f"""WITH {PARTS_SQL}
+SELECT request_id, string_agg(strftime(day, '%Y%m%d'), ',' ORDER BY day) AS hdates, 0 AS left_over, '' AS problem FROM made WHERE day IS NOT NULL GROUP BY 1""",
+)
+def full_mapping_with_dates(spark, d):
+    def numbers(part):
+        return F.array_sort(F.array_distinct(F.transform("d", lambda x: part(x)))).cast("array<string>")
+
+    raw = v_req(spark, d).select("request_id", numbers(F.year).alias("years"), numbers(F.month).alias("hmonth"), numbers(F.dayofmonth).alias("hday"))
+    mapping = {"rename": {"years": "hyear"}, "options": {"wants_dates": True, "hdate_format": "%Y%m%d"}}
+    mapped = R.apply_mapping(raw, mapping)
+    return mapped.select(
+        "request_id",
+        joined("hdate").alias("hdates"),
+        (F.coalesce(F.size("hyear"), F.lit(0)) + F.coalesce(F.size("hday"), F.lit(0))).alias("left_over"),
+        F.coalesce("mapping_problem", F.lit("")).alias("problem"),
+    )
+
+
+@query(
+    "p1_mapping_of_ranges_to_seconds",
+    """SELECT request_id, list_aggregate(list_transform(range(CAST(d_end - d_start AS BIGINT) + 1), lambda i: CAST((d_start - DATE '1990-01-01' + i) * 86400 + 10800 AS VARCHAR)), 'string_agg', ',') AS seconds
+FROM (SELECT constraint_id AS request_id, d_start, d_end FROM v_con)""",
+)
+def mapping_to_seconds(spark, d):
+    span = F.concat_ws(" / ", F.col("d_start").cast("string"), F.col("d_end").cast("string"))
+    raw = v_con(spark, d).select(F.col("constraint_id").alias("request_id"), span.alias("date"))
+    options = {"wants_lists": ["date"], "wants_dates": True, "seconds_since_epoch": "1990-01-01", "add_hours_to_date": 3}
+    return R.apply_mapping(raw, {"options": options}).select("request_id", joined("date").alias("seconds"))

@@ -41,6 +41,27 @@ def test_mapping_order(spark):
     assert (row["param"], row["levtype"], row["t"]) == (["b", "z"], ["sfc", "z"], ["12"])
 
 
+def test_dates_of_a_mapping(spark):
+    rows = [
+        (1, ["2011-02-03", "2011-02-01/2011-02-02", ""], None, None, None),
+        (2, None, ["2011"], ["2", "3"], ["28", "30"]),
+        (3, None, ["2011"], ["2"], ["30"]),
+        (4, ["2011-02-03/x"], None, None, None),
+        (5, None, ["2011"], None, ["1"]),
+        (6, ["1/2/3"], ["2011"], ["1"], ["1"]),
+    ]
+    df = spark.createDataFrame(rows, "request_id int, date array<string>, year array<string>, m array<string>, day array<string>")
+    mapping = {"rename": {"m": "month"}, "options": {"wants_dates": True, "wants_intervals": True, "date_format": "%d.%m.%Y"}}
+    got = {r["request_id"]: r for r in R.apply_mapping(df, mapping).collect()}
+    assert got[1]["date"] == ["/", "01.02.2011/01.02.2011", "02.02.2011/02.02.2011", "03.02.2011/03.02.2011"]
+    assert got[2]["date"] == ["28.02.2011/28.02.2011", "28.03.2011/28.03.2011", "30.03.2011/30.03.2011"] and got[2]["year"] is None
+    assert got[3]["mapping_problem"] == "no valid dates from year, month and day"
+    assert got[4]["mapping_problem"] == got[6]["mapping_problem"] == "a date or date range cannot be read"
+    assert got[5]["date"] is None and got[5]["day"] == ["1"] and got[5]["mapping_problem"] is None
+    with pytest.raises(ConfigurationError):
+        R.apply_mapping(df, {"options": {"wants_dates": True, "date_format": "%y"}})
+
+
 def test_safe_rename(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert R.safe_rename(df, {"a": "c", "b": "a"}).columns == ["c", "a"]
