@@ -66,8 +66,8 @@ def _months(texts: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(texts, of)))
 
 
-def _tokens(columns: dict[str, Column], ranges: Sequence[str], absent_matches: bool, first_only: bool) -> Column:
-    """Join tokens ``key=value``: of all keys, or of the first key that has values.
+def _tokens(columns: dict[str, Column], ranges: Sequence[str], absent_matches: bool, first: int | None) -> Column:
+    """Join tokens ``key=value``: of all keys, or of the ``first`` so many keys that have values.
 
     Where an absent key matches too, it stands as a token of its own, which the
     other side carries next to its values.  Date ranges meet in the months they
@@ -78,12 +78,12 @@ def _tokens(columns: dict[str, Column], ranges: Sequence[str], absent_matches: b
         values = _months(values) if key in ranges else values
         absent = F.array(F.lit(f"{key}={ABSENT}"))
         named = F.transform(values, lambda v: F.concat(F.lit(f"{key}="), v))
-        if first_only:
+        if first:
             per_key.append(F.concat(named, absent) if absent_matches else named)
         else:
             missing = absent if absent_matches else F.array().cast("array<string>")
             per_key.append(F.coalesce(named, missing))
-    return F.coalesce(*per_key) if first_only else F.concat(*per_key)
+    return F.flatten(F.slice(F.array_compact(F.array(*per_key)), 1, first)) if first else F.concat(*per_key)
 
 
 def _pairs(
@@ -109,8 +109,8 @@ def _pairs(
         requests,
         _named(constraints, keys),
         scope,
-        _tokens({k: F.col(k) for k in deciding}, ranges, absent_matches, True),
-        _tokens({k: F.col(_con(k)) for k in deciding}, ranges, absent_matches, False),
+        _tokens({k: F.col(k) for k in deciding}, ranges, absent_matches, 1),
+        _tokens({k: F.col(_con(k)) for k in deciding}, ranges, absent_matches, None),
         keep,
         spread_by=[id_column],  # a dataset may have a large part of all requests
     )
@@ -228,9 +228,7 @@ def form_state(
         selections,
         [*scope, *keys],
         id_column,
-        lambda asked: union_all(
-            [_opened(asked, constraints, keys, [k], scope, SELECTION, k, False) for k in keys]
-        ),
+        lambda asked: _state(asked, constraints, keys, scope),
     )
 
 
@@ -307,16 +305,68 @@ def _mixed(
     def whole_range(key: str) -> Column:
         return nothing | ((n_selected == 1) & F.col(key).isNotNull())
 
-    opened = [
-        _opened(
-            selections.where((n_selected > 0) & ~whole_range(k)), constraints, keys, [k], scope, id_column, k, True, ranges
-        )
-        for k in keys
-    ]
+    deciding = selections.where((n_selected > 0) & ~nothing)
+    opened = _opened_by_others(deciding, constraints, keys, scope, id_column, True, ranges)
     lone = F.array_compact(F.array(*[F.when(whole_range(k), F.lit(k)) for k in keys]))
     asked = selections.select(*scope, id_column, F.explode(lone).alias("key"))
     whole = salted_join(asked, form, [*scope, "key"], [id_column])
-    return union_all([*opened, whole.select(id_column, "key", "value")])
+    return opened.unionByName(whole.select(id_column, "key", "value"))
+
+
+def _state(selections: DataFrame, constraints: DataFrame, keys: Sequence[str], scope: Sequence[str]) -> DataFrame:
+    """Open values per key, homogeneous rule; where no other key is selected every constraint of the dataset counts."""
+    free = F.array(*[F.when(_selected([k2 for k2 in keys if k2 != k]) == 0, F.lit(k)) for k in keys])
+    asked = selections.select(*scope, SELECTION, F.explode(F.array_compact(free)).alias("key"))
+    whole = salted_join(asked, form_of_constraints(constraints, keys, scope), [*scope, "key"], [SELECTION])
+    opened = _opened_by_others(selections, constraints, keys, scope, SELECTION, False, ())
+    return opened.unionByName(whole.select(SELECTION, "key", "value"))
+
+
+def _selected(keys: Sequence[str]) -> Column:
+    count = F.lit(0)
+    for key in keys:
+        count = count + F.col(key).isNotNull().cast("int")
+    return count
+
+
+def _opened_by_others(
+    selections: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str],
+    id_column: str,
+    absent_votes: bool,
+    ranges: Sequence[str],
+) -> DataFrame:
+    """(id, key, value) where a constraint agrees with every selected key but perhaps the one it opens.
+
+    One join whatever the number of keys.  A pair opens a key when no other key disagrees, so at most one may, and the pair
+    has a value in common on one of the first two selected keys.  Keys that nothing else decides are left to
+    the caller.
+    """
+    wanted = constraints.select(*scope, *keys).distinct()
+    against = F.lit(0)
+    bad = {}
+    for key in keys:
+        absent = F.col(_con(key)).isNull() if absent_votes else F.lit(False)
+        bad[key] = (F.col(key).isNotNull() & ~absent & ~_overlaps(key, ranges)).cast("int")
+        against = against + bad[key]
+    pairs = matching_pairs(
+        selections.select(*scope, id_column, *keys),
+        _named(wanted, keys),
+        scope,
+        _tokens({k: F.col(k) for k in keys}, ranges, absent_votes, 2),
+        _tokens({k: F.col(_con(k)) for k in keys}, ranges, absent_votes, None),
+        against <= 1,
+        spread_by=[id_column],
+    )
+    listed = []
+    for key in keys:
+        opens = (against == bad[key]) & (_selected([k for k in keys if k != key]) > 0)
+        values = F.transform(F.col(_con(key)), lambda v: F.struct(F.lit(key).alias("key"), v.alias("value")))
+        listed.append(F.when(opens, values))
+    found = pairs.select(id_column, F.explode(F.flatten(F.array_compact(F.array(*listed)))).alias("_v"))
+    return found.select(id_column, "_v.key", "_v.value").distinct()
 
 
 def _opened(
