@@ -82,16 +82,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -40, 40)))
 
 
-def descend(rows: list[np.ndarray], signs: np.ndarray, ratio: np.ndarray, cost: float, rounds: int, seed: int) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the linear hinge loss over indicators scaled by ``ratio``; the bias is a feature of 1."""
-    values = [ratio[row] for row in rows]
-    squares = np.array([float(v @ v) + 1.0 for v in values])
-    alpha, weights, bias = np.zeros(len(rows)), np.zeros(len(ratio)), 0.0
+def descend(
+    features: np.ndarray, where: np.ndarray, learn: np.ndarray, signs: np.ndarray, ratio: np.ndarray, cost: float, rounds: int, seed: int
+) -> tuple[np.ndarray, float]:
+    """Dual coordinate descent for the linear hinge loss over indicators scaled by ``ratio``; the bias is a feature of 1.
+
+    Text ``i`` has the features ``where[i]`` to ``where[i + 1]``; those of ``learn`` are learnt from.
+    """
+    values = ratio.astype(np.float32)[features]
+    bounds = list(zip(where[learn].tolist(), where[learn + 1].tolist(), strict=True))
+    squares = [float(values[a:b] @ values[a:b]) + 1.0 for a, b in bounds]
+    alpha, weights, bias = np.zeros(len(learn)), np.zeros(len(ratio)), 0.0
     shuffled = np.random.default_rng(seed)
     for _ in range(rounds):
         moved = 0.0
-        for i in shuffled.permutation(len(rows)):
-            row, value, sign = rows[i], values[i], signs[i]
+        for i in shuffled.permutation(len(learn)).tolist():
+            a, b = bounds[i]
+            row, value, sign = features[a:b], values[a:b], signs[i]
             slope = sign * (float(weights[row] @ value) + bias) - 1
             new = min(max(alpha[i] - slope / squares[i], 0.0), cost)
             if new != alpha[i]:
@@ -135,18 +142,21 @@ def fit(texts: pa.Array, good: np.ndarray, cost: float = 1.0, smooth: float = 1.
     part = np.arange(len(good)) % 5 == 4
     if min(good[~part].sum(), (~good[~part]).sum()) == 0 or not part.any():
         return flat
-    rows: list[np.ndarray] = []
-    for start in range(0, len(texts), 200):
-        features, where = indicators(texts.slice(start, 200))
-        rows += [features[a:b].astype(np.int32) for a, b in zip(where[:-1], where[1:], strict=True)]
-    learn = np.flatnonzero(~part)
-    counts = {}
-    for kind in (True, False):
-        own = [rows[i] for i in learn if good[i] == kind]
-        counts[kind] = smooth + np.bincount(np.concatenate(own), minlength=size)
+    found, where = [], [np.zeros(1, np.int64)]
+    counts = {True: np.full(size, smooth), False: np.full(size, smooth)}
+    for start in range(0, len(texts), 100):
+        features, at = indicators(texts.slice(start, 100))
+        found.append(features.astype(np.int32))
+        where.append(at[1:] + where[-1][-1])
+        for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True), start):
+            if not part[row]:
+                counts[bool(good[row])][features[a:b]] += 1  # a text has each feature once
+    features, where = np.concatenate(found), np.concatenate(where)
+    del found, texts
     ratio = np.log(counts[True] / counts[True].sum()) - np.log(counts[False] / counts[False].sum())
-    weights, bias = descend([rows[i] for i in learn], np.where(good[learn], 1.0, -1.0), ratio, cost, rounds, seed)
-    margin = np.array([weights[rows[i]].sum() + bias for i in np.flatnonzero(part)])
+    learn = np.flatnonzero(~part)
+    weights, bias = descend(features, where, learn, np.where(good[learn], 1.0, -1.0), ratio, cost, rounds, seed)
+    margin = np.array([weights[features[where[i] : where[i + 1]]].sum() + bias for i in np.flatnonzero(part)])
     slope, shift = calibrated(margin, good[part])
     return Model(weights, bias, slope, shift) if slope > 0 else flat
 
