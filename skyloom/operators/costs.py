@@ -12,7 +12,7 @@ from skyloom.operators.scale import salted_join
 from skyloom.tables import literal_map
 
 
-def granules(
+def available(
     requests: DataFrame,
     constraints: DataFrame,
     keys: Sequence[str],
@@ -20,13 +20,7 @@ def granules(
     id_column: str = "request_id",
     free_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Distinct available field combinations of every request.
-
-    A key that other constraints of the dataset have and this one lacks is not
-    part of the combination.  Keys that no constraint of the dataset mentions,
-    and ``free_keys``, are part of every one.  Without any constraint for its
-    dataset the whole selection counts.
-    """
+    """The parts of every request that are there, as cubes that may overlap; see :func:`granules`."""
     unsaid = [k for k in keys if k not in constraints.columns]
     constraints = constraints.withColumns({k: F.lit(None).cast("array<string>") for k in unsaid})
     named = constrained_keys(constraints, keys, scope).groupBy(*scope).agg(F.collect_set("key").alias("_constrained"))
@@ -37,7 +31,25 @@ def granules(
     found = found.withColumns({k: F.coalesce(F.col(k), F.col(f"_free_{k}")) for k in keys})
     whole = of_unconstrained_datasets(requests, constraints, scope)
     columns = [id_column, *keys, *free_keys]
-    found = found.select(*columns).unionByName(whole.select(*columns))
+    return found.select(*columns).unionByName(whole.select(*columns))
+
+
+def granules(
+    requests: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
+    free_keys: Sequence[str] = (),
+) -> DataFrame:
+    """Distinct available field combinations of every request.
+
+    A key that other constraints of the dataset have and this one lacks is not
+    part of the combination.  Keys that no constraint of the dataset mentions,
+    and ``free_keys``, are part of every one.  Without any constraint for its
+    dataset the whole selection counts.
+    """
+    found = available(requests, constraints, keys, scope, id_column, free_keys)
     # an absent key must survive the unfolding as NULL
     for key in [*keys, *free_keys]:
         found = found.withColumn(key, F.explode_outer(key))
@@ -56,7 +68,7 @@ def count_granules_roughly(
     id_column: str = "request_id",
 ) -> DataFrame:
     """Sum of the products over the constraints, overlaps counted more than once."""
-    found = intersect(requests, constraints, keys, scope, id_column)
+    found = available(requests, constraints, keys, scope, id_column)
     product = reduce(
         lambda a, k: a * F.when(F.col(k).isNotNull(), F.size(k)).otherwise(F.lit(1)), keys, F.lit(1).cast("bigint")
     )
