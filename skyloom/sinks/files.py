@@ -44,15 +44,15 @@ def write_cubes(cells: DataFrame, path: str, tag: str = "tag") -> None:
 # --- field-addressed layout --------------------------------------------------------
 
 
-def field_path(columns: Sequence[str], tier: Column, test_server: bool = False) -> Column:
+def field_path(columns: Sequence[str], tier: Column, suffix: str = "") -> Column:
     """``tier/date/key=value_...`` with the keys in their fixed order, area keys last.
 
-    NULL when a value has characters that do not belong in a path.
+    ``suffix`` goes to the tier, as for a server of its own.  NULL when a value has characters that do not belong in a path.
     """
     rank = {k: str(i) for i, k in enumerate(FIELD_KEYS)} | {k: f"ZZZ{i}" for i, k in enumerate(AREA_KEYS)}
     keys = sorted((c for c in columns if c not in ("date", "_backend")), key=lambda c: rank.get(c, c))
     parts = [F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]
-    folder = F.concat(tier, F.lit("_esuite")) if test_server else tier
+    folder = F.concat(tier, F.lit(suffix))
     safe = F.lit(True)
     for name in columns:
         safe = safe & F.col(name).cast("string").rlike(SAFE_TEXT)

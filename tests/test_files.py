@@ -91,8 +91,8 @@ def test_field_folders(spark, folder, tmp_path):
 
 def test_field_path_order(spark):
     df = spark.createDataFrame([("2020-01-01", "24", "m", "o3", "0", "1.5")], "date string, step string, model string, variable string, level string, north string")
-    path = files.field_path(df.columns, F.lit("permanent"), test_server=True)
-    assert df.select(path).first()[0] == "permanent_esuite/2020-01-01/model=m_variable=o3_level=0_step=24_north=1.5"
+    path = files.field_path(df.columns, F.lit("permanent"), suffix="_trial")
+    assert df.select(path).first()[0] == "permanent_trial/2020-01-01/model=m_variable=o3_level=0_step=24_north=1.5"
 
 
 def test_request_order(spark):
