@@ -1,6 +1,6 @@
 """Quality of texts by naive Bayes support vectors: n-gram indicators, scaled by log-count ratios, in a linear hinge model."""
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -130,31 +130,31 @@ def calibrated(margin: np.ndarray, good: np.ndarray, rounds: int = 100) -> tuple
     return float(beta[0]) / scale, float(beta[1])
 
 
-def fit(texts: pa.Array, good: np.ndarray, cost: float = 1.0, smooth: float = 1.0, rounds: int = 20, seed: int = 7) -> Model:
-    """Learn from texts and whether each is good.
+def fit(texts: Iterable[pa.Array], labels: Iterable[np.ndarray], cost: float = 1.0, smooth: float = 1.0, rounds: int = 20, seed: int = 7) -> Model:
+    """Learn from texts, some at a time, and whether each is good; only their n-grams are kept.
 
     One text in five is kept from the descent and only calibrates the scores.  With one class or no texts the score
     is the share of good texts, with one added to both.
     """
-    size = 1 << BITS
+    size, found, where, good = 1 << BITS, [], [np.zeros(1, np.int64)], []
+    for some, marks in zip(texts, labels, strict=True):
+        features, at = indicators(some)
+        found.append(features.astype(np.int32))
+        where.append(at[1:] + where[-1][-1])
+        good.append(marks)
+    features = np.concatenate([*found, np.zeros(0, np.int32)])
+    del found
+    where, good = np.concatenate(where), np.concatenate([*good, np.zeros(0, bool)])
     prior = (good.sum() + 1) / (len(good) + 2)
     flat = Model(np.zeros(size), 0.0, 0.0, float(np.log(prior / (1 - prior))))
     part = np.arange(len(good)) % 5 == 4
-    if min(good[~part].sum(), (~good[~part]).sum()) == 0 or not part.any():
+    learn = np.flatnonzero(~part)
+    if min(good[learn].sum(), (~good[learn]).sum()) == 0 or not part.any():
         return flat
-    found, where = [], [np.zeros(1, np.int64)]
     counts = {True: np.full(size, smooth), False: np.full(size, smooth)}
-    for start in range(0, len(texts), 100):
-        features, at = indicators(texts.slice(start, 100))
-        found.append(features.astype(np.int32))
-        where.append(at[1:] + where[-1][-1])
-        for row, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True), start):
-            if not part[row]:
-                counts[bool(good[row])][features[a:b]] += 1  # a text has each feature once
-    features, where = np.concatenate(found), np.concatenate(where)
-    del found, texts
+    for i in learn.tolist():
+        counts[bool(good[i])][features[where[i] : where[i + 1]]] += 1  # a text has each feature once
     ratio = np.log(counts[True] / counts[True].sum()) - np.log(counts[False] / counts[False].sum())
-    learn = np.flatnonzero(~part)
     weights, bias = descend(features, where, learn, np.where(good[learn], 1.0, -1.0), ratio, cost, rounds, seed)
     margin = np.array([weights[features[where[i] : where[i + 1]]].sum() + bias for i in np.flatnonzero(part)])
     slope, shift = calibrated(margin, good[part])
@@ -173,11 +173,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
-    """Fit on a bounded sample (``most`` ids); a table with ids that repeat gives the first ``most`` rows of them."""
-    table = training_rows(docs, labels, most).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(most).toArrow().combine_chunks()
-    texts = table.column("text")
-    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
-    return fit(texts, table.column("_quality").to_numpy() == 1)
+    """Fit on a bounded sample (``most`` ids; of ids that repeat, the first ``most`` rows).
+
+    One task holds the sample; the driver sees the model only, a fixed number of weights.
+    """
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [part for batch in batches for part in slices(batch, "text")]
+        model = fit((p.column("text") for p in parts), (p.column("_quality").to_numpy() == 1 for p in parts))
+        numbers = [pa.array([x], pa.float64()) for x in (model.bias, model.slope, model.shift)]
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), *numbers], names=["weights", "bias", "slope", "shift"])
+
+    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+    sample = training_rows(docs, labels, most).orderBy(*order).limit(most).select("text", "_quality")
+    rows = sample.mapInArrow(learn, "weights binary, bias double, slope double, shift double").collect()
+    if not rows:
+        return fit([], [])
+    return Model(np.frombuffer(rows[0].weights), rows[0].bias, rows[0].slope, rows[0].shift)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
