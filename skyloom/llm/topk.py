@@ -10,18 +10,24 @@ from skyloom.llm.common import written
 from skyloom.llm.vectors import takes_part
 
 LARGEST = 1 << 20
+LONGEST = 1 << 13
 SAMPLE = 2_048
+LIMB = 45
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """vec_id and the vector of floor(scale * x); rows that take no part are left out.
 
-    Null vectors, and those with null or non-finite components, take no part, nor do those with a whole number of
-    more than 2^20 in size, for which sums in 64 bits would not be certain to be exact.
+    Null vectors, and those with null or non-finite components, take no part, nor do those with a component whose
+    whole number is none of 64 bits, as it is no BIGINT in SQL either.  ``plain`` rows have whole numbers of at
+    most 2^20 in size and at most 2^13 of them: sums of their products are exact in float64.
     """
-    scaled = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(x * scale))
-    rows = vectors.where(takes_part(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"))
-    return rows.where(F.forall("v", lambda x: F.abs(x) <= LARGEST)).withColumn("dim", F.size("v"))
+    scaled = F.transform(F.col("embedding").cast("array<double>"), lambda x: x * scale)
+    rows = vectors.where(takes_part(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("scaled"))
+    rows = rows.where(F.forall("scaled", lambda x: (x >= -(2.0**63)) & (x < 2.0**63)))
+    rows = rows.select("vec_id", F.transform("scaled", lambda x: F.floor(x)).alias("v")).withColumn("dim", F.size("v"))
+    small = F.forall("v", lambda x: x.between(-LARGEST, LARGEST))
+    return rows.withColumn("plain", small & (F.col("dim") <= LONGEST))
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -29,8 +35,8 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 
 def choose_pivots(rows: DataFrame, count: int, sample: int = SAMPLE) -> dict[int, np.ndarray]:
-    """Pivots far from each other, by dimension, from the ``sample`` rows with the smallest hashes (the bound)."""
-    some = rows.select("v", "dim", F.xxhash64("vec_id", "v").alias("h")).orderBy("h").limit(sample).select("v", "dim").toArrow()
+    """Pivots far from each other, by dimension, from the ``sample`` plain rows with the smallest hashes (the bound)."""
+    some = rows.where("plain").select("v", "dim", F.xxhash64("vec_id", "v").alias("h")).orderBy("h").limit(sample).select("v", "dim").toArrow()
     found = {}
     for dim in set(some.column("dim").to_pylist()):
         points = matrix(some.filter(pc.equal(some.column("dim"), dim)).column("v").combine_chunks())
@@ -57,7 +63,7 @@ def upper_bounds(wanted: np.ndarray, near: np.ndarray, table: np.ndarray, square
     for pivot in range(1, table.shape[1]):
         np.maximum(lower, np.abs(near[:, pivot : pivot + 1] - table[None, :, pivot]), out=lower)
     bound = ((wanted * wanted).sum(1)[:, None] + squares[None, :] - lower * lower) / 2
-    return bound + 1e-6 * (1 + np.abs(bound) + squares[None, :])
+    return bound + 1e-6 * (1 + np.abs(bound) + squares[None, :]) + 1e-9 * (wanted * wanted).sum(1)[:, None]
 
 
 def best(query: np.ndarray, own: int, bound: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int, wave: int = 64):
@@ -85,6 +91,33 @@ def best(query: np.ndarray, own: int, bound: np.ndarray, points: np.ndarray, ids
     return scores.astype(np.int64), found
 
 
+def whole_matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def best_of_large(query: np.ndarray, own: int, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[list[int], list[int]]:
+    """The k best for one query where sums may leave float64 or 64 bits, as (scores, ids).
+
+    Sums in float64 with their error bounds rule out candidates; what is left is scored in Python's whole numbers.
+    """
+    points, ids = points[ids != own], ids[ids != own]
+    about, sizes = points.astype(np.float64), query.astype(np.float64)
+    score = about @ sizes
+    error = 2.0**-50 * (len(query) + 4) * (np.abs(about) @ np.abs(sizes))
+    if len(ids) > k:
+        least = np.partition(score - error, -k)[-k]
+        near = score + error >= least
+        points, ids = points[near], ids[near]
+    exact = [int(x) for x in points.astype(object) @ query.astype(object)] if len(ids) else []
+    top = sorted(zip((-x for x in exact), ids.tolist(), strict=True))[:k]
+    return [-x for x, _ in top], [i for _, i in top]
+
+
+def limbs(score: int) -> tuple[int, int, int]:
+    """Parts of 64 bits that stand in the order of their whole number, which may have up to 150 bits."""
+    return score >> 2 * LIMB, score >> LIMB & (1 << LIMB) - 1, score & (1 << LIMB) - 1
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16, block: int = 4_096, scale: int = 256) -> DataFrame:
     """The ``k`` rows of ``vectors`` (vec_id, embedding) with the highest integer inner product, for each of ``queries``.
 
@@ -94,7 +127,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16,
 
     Returns query_id, rank from 1, vec_id and score; ties go to the smaller vec_id.  A query's own vec_id is no
     candidate.  Vectors of other lengths are no candidates.  Rows without a vec_id take no part; a row that is
-    repeated is one candidate and one query; an empty table gives an empty one.
+    repeated is one candidate and one query; an empty table gives an empty one.  Scores are exact; one that leaves
+    64 bits keeps its rank and is given as the nearest whole number of 64 bits.
     """
     rows = whole_numbers(vectors, scale).where(F.col("vec_id").isNotNull()).distinct()
     asked = whole_numbers(queries, scale).where(F.col("vec_id").isNotNull()).distinct()
@@ -107,39 +141,56 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16,
                 part = batch.filter(pa.array(dims == dim))
                 far = pivot_distances(matrix(part.column(1)), centre.get(int(dim), np.zeros((1, int(dim)))))
                 away = pa.ListArray.from_arrays(pa.array(np.arange(0, far.size + 1, far.shape[1], dtype=np.int32)), pa.array(far.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), away], names=["vec_id", "v", "dim", "away"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(3), away], names=["vec_id", "v", "dim", "plain", "away"])
 
-    schema = "vec_id long, v array<long>, dim int, away array<double>"
-    candidates = written(rows.select("vec_id", "v", "dim").mapInArrow(measured, schema), "pivot-table")
-    asking = written(asked.select("vec_id", "v", "dim").mapInArrow(measured, schema), "queries")
+    schema = "vec_id long, v array<long>, dim int, plain boolean, away array<double>"
+    candidates = written(rows.select("vec_id", "v", "dim", "plain").mapInArrow(measured, schema), "pivot-table")
+    asking = written(asked.select("vec_id", "v", "dim", "plain").mapInArrow(measured, schema), "queries")
     blocks, asks = max(1, -(-candidates.count() // block)), max(1, -(-asking.count() // block))
 
     def dealt(df: DataFrame, own: str, parts: int, other: str, others: int, side: int) -> DataFrame:
         return df.select(
             F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias(own),
             F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
-            F.lit(side).alias("side"), "vec_id", "v", "dim", "away",
+            F.lit(side).alias("side"), "vec_id", "v", "dim", "plain", "away",
         )
 
     def judge(group: pa.Table) -> pa.Table:
         sides = [group.filter(pc.equal(group.column("side"), side)) for side in (0, 1)]
+        plain = [side.filter(side.column("plain")) for side in sides]
         out = ([], [], [])
-        if sides[0].num_rows and sides[1].num_rows:
-            wanted, points = (matrix(side.column("v").combine_chunks()) for side in sides)
-            near, table = (matrix(side.column("away").combine_chunks()) for side in sides)
-            ids, squares = sides[1].column("vec_id").to_numpy(), (points * points).sum(1)
-            owns = sides[0].column("vec_id").to_pylist()
+
+        def add(own: int, found: list[int], scores: list[int]) -> None:
+            for whole, part in zip(out, ([own] * len(found), found, scores), strict=True):
+                whole.extend(part)
+
+        if plain[0].num_rows and plain[1].num_rows:
+            wanted, points = (matrix(side.column("v").combine_chunks()) for side in plain)
+            near, table = (matrix(side.column("away").combine_chunks()) for side in plain)
+            ids, squares = plain[1].column("vec_id").to_numpy(), (points * points).sum(1)
+            owns = plain[0].column("vec_id").to_pylist()
             for start in range(0, len(owns), 32):
                 few = slice(start, start + 32)
                 bounds = upper_bounds(wanted[few], near[few], table, squares)
                 for query, own, bound in zip(wanted[few], owns[few], bounds, strict=True):
                     scores, found = best(query, own, bound, points, ids, k)
-                    for whole, part in zip(out, ([own] * len(found), found.tolist(), scores.tolist()), strict=True):
-                        whole.extend(part)
-        return pa.table([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
+                    add(own, found.tolist(), scores.tolist())
+        # Pairs with a row that is not plain: such candidates for plain queries, all candidates for other queries.
+        large = sides[1].filter(pc.invert(sides[1].column("plain")))
+        others = sides[0].filter(pc.invert(sides[0].column("plain")))
+        for asking, offered in ((plain[0], large), (others, sides[1])):
+            if asking.num_rows and offered.num_rows:
+                points, ids = whole_matrix(offered.column("v").combine_chunks()), offered.column("vec_id").to_numpy()
+                for query, own in zip(whole_matrix(asking.column("v").combine_chunks()), asking.column("vec_id").to_pylist(), strict=True):
+                    scores, found = best_of_large(query, own, points, ids, k)
+                    add(own, found, scores)
+        parts = [limbs(x) for x in out[2]]
+        held = [min(max(x, -(1 << 63)), (1 << 63) - 1) for x in out[2]]
+        columns = [out[0], out[1], held, *([p[i] for p in parts] for i in range(3))]
+        return pa.table([pa.array(x, pa.int64()) for x in columns], names=["query_id", "vec_id", "score", "high", "middle", "low"])
 
     left = dealt(asking, "q", asks, "c", blocks, 0)
     right = dealt(candidates, "c", blocks, "q", asks, 1)
-    found = left.unionByName(right).groupBy("dim", "q", "c").applyInArrow(judge, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.unionByName(right).groupBy("dim", "q", "c").applyInArrow(judge, "query_id long, vec_id long, score long, high long, middle long, low long")
+    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("middle"), F.desc("low"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -6,6 +6,7 @@ import io
 import zipfile
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from compare import compare, duck
@@ -55,6 +56,35 @@ def test_top_k_equals_brute_force(spark, rows):
     assert topk.search(table(spark, []), table(spark, [])).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(8)
+    schema = "vec_id long, embedding array<double>"
+    size = [1.0, 5e3, 1e6, 1e9, 1e13, 3e16]
+    rows = [(i, (rng.normal(size=6).clip(-1, 1) * size[i % 6]).tolist()) for i in range(240)]
+    rows += [(300 + i, [5000.0, 0.0, 0.0, 0.0, 0.0, i % 3 / 256]) for i in range(8)]  # scores that float64 cannot tell apart
+    rows += [(400 + i, [3e16, 3e16, 0.0, 0.0, 0.0, i % 3 / 256]) for i in range(8)]
+    rows += [(500, [-1e300] * 6), (501, [-3.7e16] * 6), (502, [1e308] * 6), (503, [4097.0] * 6)]
+    df = spark.createDataFrame(rows, schema)
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if max(map(abs, v)) < 2**55}
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.search(df, df.where("vec_id % 10 = 0"), block=64).collect()}
+    want = {}
+    for q in (i for i in whole if i % 10 == 0):
+        ranked = sorted((-sum(a * b for a, b in zip(whole[q], c, strict=True)), i) for i, c in whole.items() if i != q)
+        want |= {(q, n + 1): (i, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, i) in enumerate(ranked[:5])}
+    assert got == want and any(s == 2**63 - 1 for _, s in want.values())
+
+
+def test_top_k_of_components_beyond_float_sums_equals_sql(spark, tmp_path):
+    con = duckdb.connect()
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=8) * (1e6 if i % 4 == 0 else 1.0)]) for i in range(120)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    name = "op9_pivot_top_k"
+    ok, note, n = compare(spark, con, str(tmp_path), name, suite.QUERIES[name], suite.ORACLES[name])
+    assert ok and n == 15, note
+
+
 def test_top_k_query_equals_sql(spark, folder):
     name = "op9_pivot_top_k"
     ok, note, _ = compare(spark, duck(folder), folder, name, suite.QUERIES[name], suite.ORACLES[name])
