@@ -202,6 +202,28 @@ def k7(spark, d):
 FROM orders JOIN customer ON o_custkey = c_custkey""",
 )
 def k7_json(spark, d):
+    results = table(spark, d, "orders").select(F.col("o_orderkey").alias("request_id")).where("false")
+    return K.receipt_json(receipts_of(spark, d, results))
+
+
+@query(
+    "k7_receipt_json_of_results",
+    """WITH r AS (SELECT l_orderkey, 'order-' || l_orderkey || '.zip' AS file_name, CAST(sum(l_quantity) AS BIGINT) AS download_size FROM lineitem
+ JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'F' GROUP BY l_orderkey)
+SELECT o_orderkey AS request_id, '{"request_id":' || o_orderkey || ',"collection_id":' || o_custkey || ',"status":"' || o_orderstatus || '"'
+ || CASE WHEN o_orderstatus = 'F' THEN ',"message":"no data"' ELSE '' END || ',"licence":["' || c_mktsegment || ' (version 2)"]'
+ || CASE WHEN r.file_name IS NULL THEN '' ELSE ',"file_name":"' || r.file_name || '","download_size":' || r.download_size END || '}' AS receipt
+FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN r ON o_orderkey = l_orderkey""",
+)
+def k7_json_of_results(spark, d):
+    delivered = table(spark, d, "orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("request_id"))
+    lines = table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "request_id").join(delivered, "request_id")
+    results = lines.groupBy("request_id").agg(F.sum("l_quantity").cast("bigint").alias("download_size"))
+    name = F.concat(F.lit("order-"), F.col("request_id").cast("string"), F.lit(".zip"))
+    return K.receipt_json(receipts_of(spark, d, results.select("request_id", name.alias("file_name"), "download_size")))
+
+
+def receipts_of(spark, d, results):
     orders, customer = table(spark, d, "orders"), table(spark, d, "customer")
     jobs = orders.select(
         F.col("o_orderkey").alias("request_id"),
@@ -211,9 +233,8 @@ def k7_json(spark, d):
     )
     licence = F.struct(F.col("c_mktsegment").alias("title"), F.lit(2).alias("revision"))
     collections = customer.select(F.col("c_custkey").alias("collection_id"), F.array(licence).alias("licences"))
-    results = orders.select(F.col("o_orderkey").alias("request_id")).where("false")
-    receipt = K.receipts(jobs, collections, results)
-    return K.receipt_json(receipt.select("request_id", "collection_id", "status", "message", "licence"))
+    held = [c for c in results.columns if c != "request_id"]
+    return K.receipts(jobs, collections, results).select("request_id", "collection_id", "status", "message", "licence", *held)
 
 
 @query(

@@ -88,6 +88,24 @@ SELECT request_id, unnest(['request: missing mandatory key: ''step''',
  'request[''name'']: ''ab'': string is too short. Should have at least 3 character(s)']) AS message FROM v_req WHERE len(type) < 4""",
 )
 def v2_wording(spark, d):
+    return wording(spark, d, F.slice("param", 1, 1), F.slice("d", 1, 1))
+
+
+@query(
+    "v2_wording_of_every_value",
+    """
+SELECT request_id, unnest(list_concat(['request: missing mandatory key: ''step''',
+ 'request[''type'']: [''' || array_to_string(type, ''', ''') || ''']: list has too few items. Should have exactly 4'],
+ list_transform(param, lambda x, i: 'request[''param''][' || (i - 1) || ']: invalid value: ''' || x || '''. Valid values must match regular expression ''^x'''),
+ list_transform(d, lambda x, i: 'request[''d''][' || (i - 1) || ']: "' || strftime(x, '%Y%m%d') || '" is not a valid date. Expected format is yyyy-mm-dd'),
+ ['request[''hour''][0]: ''x' || (request_id % 7) || ''' is not a valid number',
+ 'request[''name'']: ''ab'': string is too short. Should have at least 3 character(s)'])) AS message FROM v_req WHERE len(type) < 4""",
+)
+def v2_every_value(spark, d):
+    return wording(spark, d, F.col("param"), F.col("d"))
+
+
+def wording(spark, d, param, days):
     rules = [
         V.Rule("step", required=True),
         V.Rule("type", min_items=4, max_items=4),
@@ -100,8 +118,8 @@ def v2_wording(spark, d):
         "request_id",
         F.lit(None).cast("array<string>").alias("step"),
         "type",
-        F.slice("param", 1, 1).alias("param"),
-        F.array(F.date_format(F.col("d")[0], "yyyyMMdd")).alias("d"),
+        param.alias("param"),
+        F.transform(days, lambda x: F.date_format(x, "yyyyMMdd")).alias("d"),
         F.array(F.concat(F.lit("x"), (F.col("request_id") % 7).cast("string"))).alias("hour"),
         F.lit("ab").alias("name"),
     )
