@@ -99,7 +99,7 @@ def _keys(classes: DataFrame, chunks: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The sets of the nodes in ``wanted``, which grow with the documents: they are merged with the texts, never broadcast."""
+    """The sets of the nodes in ``wanted``, one by node; they grow with the documents: they are merged with the texts, never broadcast."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,7 +107,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 sets = text_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
 
-    texts = _keyed(docs).select(F.col("row_key").alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
+    # Rows repeated with the same doc_id and text are one node; most of them go before the shuffle.
+    texts = _keyed(docs).select(F.col("row_key").alias("node"), "text").dropDuplicates(["node"])
+    texts = texts.join(wanted.hint("merge"), "node", "left_semi")
     return texts.mapInArrow(scan, "node long, members binary")
 
 

@@ -194,6 +194,15 @@ def test_one_of_each_group_stays(docs, prose):
     assert neardup.one_of_each(docs([])).count() == 0 and neardup.near_duplicates(docs([])).count() == 0
 
 
+def test_repeated_rows_have_one_set(docs):
+    text = " ".join(f"w{i}" for i in range(30))
+    table = docs([(1, text, "s")] * 40 + [(None, text, "s")] * 40 + [(2, text + " more", "s")])
+    nodes = neardup._keyed(table).select(F.col("row_key").alias("node")).distinct()
+    assert Counter(r.node for r in neardup._sets(table, nodes, 3).collect()) == Counter(r.node for r in nodes.collect())
+    found = neardup.near_duplicates(table, 3, (85, 100)).collect()
+    assert len(found) == 81 and {r.component_id for r in found} == {1}
+
+
 def test_blocks_link_what_the_pivot_does_not(docs, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 8)
     rng = random.Random(1)
