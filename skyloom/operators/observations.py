@@ -116,9 +116,9 @@ def decode_by_table(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
     return salted_join(df, codes.withColumnRenamed("code", column), [column], df.columns, "left")
 
 
-def extract_summary(df: DataFrame, order: str = "observation_id") -> DataFrame:
-    """Extent of an extract, with first and last report by an explicit row order."""
-    return df.agg(
+def extract_summary(df: DataFrame, order: str = "observation_id", by: Sequence[str] = ()) -> DataFrame:
+    """Extent of an extract, or of each group of ``by``, with first and last report by an explicit row order."""
+    return df.groupBy(*by).agg(
         F.min("latitude").alias("min_lat"),
         F.max("latitude").alias("max_lat"),
         F.min("longitude").alias("min_lon"),

@@ -91,6 +91,19 @@ def h5(spark, d):
     return C.unfold(cubes, KEYS).select("request_id", *KEYS)
 
 
+@query(
+    "h5_merge_counts_cubes",
+    """
+WITH one AS (SELECT request_id, type, d, list_sort(list(DISTINCT param)) AS param FROM v_field GROUP BY 1, 2, 3),
+two AS (SELECT request_id, d, param, list_sort(list(type)) AS type FROM one GROUP BY 1, 2, 3),
+three AS (SELECT request_id, param, type FROM two GROUP BY 1, 2, 3)
+SELECT request_id, count(*) AS n_cubes FROM three GROUP BY 1""",
+)
+def h5_counts(spark, d):
+    cubes = C.merge(v_field(spark, d), KEYS, scope=["request_id"])
+    return cubes.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_cubes"))
+
+
 @query(
     "h5_merge_with_barred_key",
     """

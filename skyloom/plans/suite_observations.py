@@ -206,12 +206,8 @@ def k1(spark, d):
  strftime(arg_max(report_timestamp, observation_id), '%Y%m%d') AS time_end FROM v_obs GROUP BY 1""",
 )
 def a14(spark, d):
-    return v_obs(spark, d).groupBy("primary_station_id").agg(
-        F.min("latitude").alias("min_lat"),
-        F.max("longitude").alias("max_lon"),
-        F.date_format(F.min_by("report_timestamp", "observation_id"), "yyyyMMdd").alias("time_start"),
-        F.date_format(F.max_by("report_timestamp", "observation_id"), "yyyyMMdd").alias("time_end"),
-    )
+    summary = O.extract_summary(v_obs(spark, d), by=["primary_station_id"])
+    return summary.select("primary_station_id", "min_lat", "max_lon", "time_start", "time_end")
 
 
 @query("a14_variables_and_units", f"SELECT DISTINCT observed_variable, {UNITS} AS units FROM v_obs")
