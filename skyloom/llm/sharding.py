@@ -8,22 +8,29 @@ from skyloom.session import scratch
 
 SLOTS = 4096
 ROW_BYTES = 16
+RUN = 4096
 
 
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """doc_id, size in bytes, text_crc32 and virtual slot of each row; a null text has no bytes.
 
     The slot comes from a hash of id and text, so copies of a text with ids of their own spread over all slots.
+    Rows equal in both are counted first and take one slot after the other, in runs that are dealt out.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     spread = F.xxhash64("doc_id", "text")
-    return docs.select(
+    rows = docs.select(
         "doc_id",
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
-        F.pmod(spread, F.lit(slots)).cast("int").alias("virtual_slot"),
         spread.alias("spread"),
     )
+    equal = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN)))
+    runs = equal.withColumn("run", run).repartition("spread", "run")
+    nth = F.explode(F.sequence(F.col("run") * RUN, F.least((F.col("run") + 1) * RUN, "n") - 1))
+    slot = F.pmod(F.pmod("spread", F.lit(slots)) + F.col("nth"), F.lit(slots)).cast("int")
+    return runs.withColumn("nth", nth).select("doc_id", "size", "text_crc32", slot.alias("virtual_slot"), "spread")
 
 
 def slot_sizes(placed: DataFrame) -> DataFrame:
@@ -94,7 +101,7 @@ def shard(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
     Bytes are summed by virtual slot, version 0 of the map is edited by them, both versions are stored in the
     shared folder, and the last one is read back and joined.  ``slot`` is the row's place in its shard, from 0 without gaps: rows before
     its virtual slot, by sums of slots, and rows before it inside the slot.  Rows that are equal in
-    all columns share a virtual slot; a null text counts 16 bytes; an empty table gives an empty one; other
+    id and text take one virtual slot after the other; a null text counts 16 bytes; an empty table gives an empty one; other
     columns are not looked at.
     """
     spark = docs.sparkSession

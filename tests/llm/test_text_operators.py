@@ -138,6 +138,15 @@ def test_shards_are_near_equal_and_gapless(spark, docs, prose):
     assert sharding.shard(docs([])).count() == 0
 
 
+def test_repeated_rows_spread_over_shards(docs):
+    rows = [(None, "one text", "s")] * 9000 + [(i, f"text {i}", "s") for i in range(50)] + [(7, "text 7", "s")]
+    found = sharding.shard(docs(rows)).collect()
+    assert Counter((r.doc_id, r.size) for r in found) == Counter((i, len(t) + 16) for i, t, _ in rows)
+    held = Counter(r.shard for r in found)
+    assert len(held) == 40 and max(held.values()) < 1.05 * len(rows) / 40
+    assert sorted((r.shard, r.slot) for r in found) == [(s, n) for s in sorted(held) for n in range(held[s])]
+
+
 def test_a_grown_map_moves_slots_to_the_new_shard_only(spark, docs, prose):
     placed = sharding.records(docs(prose), 256)
     sizes = sharding.slot_sizes(placed)
