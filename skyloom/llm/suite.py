@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.llm import mixing, neardup, packing, quality, repeats, sharding, templates, topk, vectors, warczip
+from skyloom.llm import merkle, mixing, neardup, packing, quality, recipes, repair, repeats, sharding, templates, topk, vectors, warczip
 from skyloom.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -158,3 +158,33 @@ def op7_line_templates(spark: SparkSession, folder: str) -> DataFrame:
 def op2_prefix_free_repeats(spark: SparkSession, folder: str) -> DataFrame:
     rows = repeats.without_repeats(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op11_midstate_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    offered = F.when(changed, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle.manifest(table(spark, folder, "documents"), offered)
+    names = {"leaf": "leaf", "subroot": "subroot", "root": "root", "proof_sha256": "proof", "folded_root": "folded"}
+    digests = [F.lower(F.hex(column)).alias(name) for name, column in names.items()]
+    return rows.select("doc_id", *digests, (F.col("folded") == F.col("root")).alias("verified"))
+
+
+@query()
+def op12_ranked_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.repairs(repair.damaged(conversations), conversations)
+
+
+RECIPE_SQL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size,
+       (doc_id IS NOT DISTINCT FROM keep_id) AND row_number() OVER (PARTITION BY n.t, doc_id) = 1 AS kept, sha256(n.t) AS text_sha256
+FROM n JOIN g ON n.t = g.t
+"""
+
+
+@query(RECIPE_SQL)
+def op13_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.duplicates(table(spark, folder, "documents"))
