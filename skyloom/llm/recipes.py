@@ -68,10 +68,15 @@ def duplicates(docs: DataFrame, bits: int = 64, least: int = LEAST, most: int =
     )
     rows = written(listed, "recipes")
     groups = rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    copied = written(groups.where("group_size > 1"), "groups")
     equal = rows.groupBy("doc_id", "recipe", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
-    nth = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
+    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return (
-        equal.join(groups, "recipe")
-        .withColumn("nth", nth)
-        .select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256")
-    )
+        equal.join(copied, "recipe", "left")
+        .withColumn("keep_id", keep)
+        .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+        .select(
+            "doc_id", "keep_id", F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256",
+        )
+    )
