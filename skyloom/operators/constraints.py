@@ -182,6 +182,31 @@ def intersect_date_ranges(requests: DataFrame, constraints: DataFrame, scope: Se
     )
 
 
+RULES = "_rules"
+MOST_RULES = 256
+
+
+def has(key: str) -> str:
+    return f"_has_{key}"
+
+
+def packed(
+    constraints: DataFrame, keys: Sequence[str], scope: Sequence[str] = ("dataset",), most: int = MOST_RULES
+) -> DataFrame:
+    """The distinct constraints of each dataset as lists of about ``most`` structs, and which keys any of them has.
+
+    A dataset with many constraints has many rows, so no list grows with them.
+    """
+    distinct = constraints.select(*scope, *keys).distinct()
+    counted = distinct.groupBy(*scope).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.bool_or(F.col(k).isNotNull()).alias(has(k)) for k in keys]
+    )
+    part = F.pmod(F.xxhash64(*keys), F.ceil(F.col("_n") / most)).alias("_part")
+    placed = distinct.join(counted, list(scope)).withColumn("_part", part)
+    listed = placed.groupBy(*scope, *[has(k) for k in keys], "_part").agg(F.collect_list(F.struct(*keys)).alias(RULES))
+    return listed.drop("_part")
+
+
 def unconstrained_values(allowed: DataFrame, constraint_keys: DataFrame, scope: Sequence[str] = ("dataset",)) -> DataFrame:
     """Form values of keys that no constraint of the dataset mentions: they stay valid."""
     return allowed.join(constraint_keys, [*scope, "key"], "left_anti")

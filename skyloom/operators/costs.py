@@ -1,15 +1,15 @@
 """What requests cost: fields, weighted fields, grid points and cost classes."""
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.space import points_in_box
-from skyloom.operators.constraints import constrained_keys, intersect, of_unconstrained_datasets
+from skyloom.operators import boxes
+from skyloom.operators.constraints import RULES, has, packed
+from skyloom.operators.cubes import unfold
 from skyloom.operators.scale import salted_join
-from skyloom.tables import literal_map
 
 
 def available(
@@ -20,21 +20,30 @@ def available(
     id_column: str = "request_id",
     free_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """The parts of every request that are there, as cubes that may overlap; see :func:`granules`."""
+    """The parts of every request that are there, as one list of cubes that may overlap: id, ``cubes`` and the free keys.
+
+    A key that other constraints of the dataset have and this one lacks is not
+    part of the combination.  Keys that no constraint of the dataset mentions,
+    and ``free_keys``, are part of every one.  Without any constraint for its
+    dataset the whole selection counts.
+
+    A request meets its dataset's constraints as lists of a few hundred, so no row is made for a pair.
+    """
     unsaid = [k for k in keys if k not in constraints.columns]
     constraints = constraints.withColumns({k: F.lit(None).cast("array<string>") for k in unsaid})
-    named = constrained_keys(constraints, keys, scope).groupBy(*scope).agg(F.collect_set("key").alias("_constrained"))
-    asked = salted_join(requests, named, scope, [id_column], "left")
-    free = {f"_free_{k}": F.when(~F.array_contains("_constrained", k), F.col(k)) for k in keys}
-    asked = asked.withColumns(free).drop("_constrained")
-    found = intersect(asked, constraints, keys, scope, id_column)
-    found = found.withColumns({k: F.coalesce(F.col(k), F.col(f"_free_{k}")) for k in keys})
-    whole = of_unconstrained_datasets(requests, constraints, scope)
-    columns = [id_column, *keys, *free_keys]
-    return found.select(*columns).unionByName(whole.select(*columns))
+    asked = salted_join(requests.select(*scope, id_column, *keys, *free_keys), packed(constraints, keys, scope), scope, [id_column], "left")
+    cut = ", ".join(
+        f"CASE WHEN c.`{k}` IS NOT NULL THEN array_intersect(`{k}`, c.`{k}`) WHEN {has(k)} THEN array(NULL) ELSE whole.`{k}` END AS `{k}`"
+        for k in keys
+    )
+    allowed = f"filter(transform({RULES}, c -> struct({cut})), c -> {boxes.holds_fields('c', keys)})"
+    cubes = F.expr(f"IF({RULES} IS NULL, array(whole), array_distinct({allowed}))")
+    asked = asked.withColumn("whole", F.expr(boxes.box(keys)))
+    listed = asked.select(id_column, *free_keys, cubes.alias("cubes")).groupBy(id_column)
+    return listed.agg(F.array_distinct(F.flatten(F.collect_list("cubes"))).alias("cubes"), *[F.first(k).alias(k) for k in free_keys])
 
 
-def granules(
+def granule_boxes(
     requests: DataFrame,
     constraints: DataFrame,
     keys: Sequence[str],
@@ -42,22 +51,34 @@ def granules(
     id_column: str = "request_id",
     free_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Distinct available field combinations of every request.
-
-    A key that other constraints of the dataset have and this one lacks is not
-    part of the combination.  Keys that no constraint of the dataset mentions,
-    and ``free_keys``, are part of every one.  Without any constraint for its
-    dataset the whole selection counts.
-    """
+    """Distinct available field combinations of every request as disjoint cubes: id and ``cubes``; see :func:`available`."""
     found = available(requests, constraints, keys, scope, id_column, free_keys)
-    # an absent key must survive the unfolding as NULL
-    for key in [*keys, *free_keys]:
-        found = found.withColumn(key, F.explode_outer(key))
-    return found.distinct()
+    cubes = boxes.disjoint("cubes", keys)
+    if free_keys:
+        free = F.expr(boxes.box(free_keys))
+        cubes = F.transform(
+            cubes, lambda c: F.struct(*[c[k].alias(k) for k in keys], *[free[k].alias(k) for k in free_keys])
+        )
+    return found.select(id_column, cubes.alias("cubes"))
 
 
-def count_granules(found: DataFrame, id_column: str = "request_id") -> DataFrame:
-    return found.groupBy(id_column).agg(F.count(F.lit(1)).alias("n_granules"))
+def granules(
+    requests: DataFrame,
+    constraints: DataFrame,
+    keys: Sequence[str],
+    scope: Sequence[str] = ("dataset",),
+    id_column: str = "request_id",
+    free_keys: Sequence[str] = (),
+) -> DataFrame:
+    """The combinations themselves, one row each, where they are wanted as rows; counts and weights need none."""
+    cubes = granule_boxes(requests, constraints, keys, scope, id_column, free_keys).select(id_column, F.explode("cubes").alias("c"))
+    columns = [*keys, *free_keys]
+    return unfold(cubes.select(id_column, *[F.col(f"c.{k}").alias(k) for k in columns]), columns)
+
+
+def count_granules(found: DataFrame, keys: Sequence[str], id_column: str = "request_id") -> DataFrame:
+    """How many granules disjoint cubes have, from the sizes of their lists."""
+    return found.select(id_column, boxes.volume("cubes", keys).alias("n_granules")).where("n_granules > 0")
 
 
 def count_granules_roughly(
@@ -67,29 +88,29 @@ def count_granules_roughly(
     scope: Sequence[str] = ("dataset",),
     id_column: str = "request_id",
 ) -> DataFrame:
-    """Sum of the products over the constraints, overlaps counted more than once."""
+    """Sum of the products over the constraints, overlaps counted more than once.
+
+    Constraints that cut a request down to the same cube count once.
+    """
     found = available(requests, constraints, keys, scope, id_column)
-    product = reduce(
-        lambda a, k: a * F.when(F.col(k).isNotNull(), F.size(k)).otherwise(F.lit(1)), keys, F.lit(1).cast("bigint")
-    )
-    # constraints that cut a request down to the same cube count once
-    return found.select(id_column, *keys).distinct().groupBy(id_column).agg(F.sum(product).alias("n_granules"))
+    return count_granules(found, keys, id_column)
 
 
 def weigh_granules(
     found: DataFrame,
+    keys: Sequence[str],
     weighted_values: Mapping[str, Mapping[str, int]],
     weighted_keys: Mapping[str, int],
     id_column: str = "request_id",
 ) -> DataFrame:
-    """Sum over granules of their value weights times the key weights; a granule without a weighted key is dropped."""
-    weight = F.lit(1).cast("bigint")
-    for key, weights in weighted_values.items():
-        weight = weight * F.coalesce(F.try_element_at(literal_map(dict(weights)), F.coalesce(key, F.lit(""))), F.lit(1))
-    for key, factor in weighted_keys.items():
-        found = found.where(F.col(key).isNotNull())
-        weight = weight * factor
-    return found.groupBy(id_column).agg(F.sum(weight).alias("weighted_granules"))
+    """Sum over the granules of disjoint cubes of their value weights times the key weights.
+
+    Granules without a weighted key are dropped.
+    """
+    known = ", ".join(f"array_compact(c.`{k}`) AS `{k}`" if k in weighted_keys else f"c.`{k}`" for k in keys)
+    kept = F.expr(f"filter(transform(cubes, c -> struct({known})), c -> {boxes.holds_fields('c', keys)})")
+    weighed = found.withColumn("cubes", kept).where(F.size("cubes") > 0)
+    return weighed.select(id_column, boxes.volume("cubes", keys, weighted_values, weighted_keys).alias("weighted_granules"))
 
 
 def estimate_fields(
@@ -152,8 +173,8 @@ def precise_size(
     not have makes no granules, and an absent key stands for one value.
     """
     filled = fill_missing_keys(requests, form, keys, scope, id_column, form_only=True)
-    found = granules(filled, constraints, keys, scope, id_column)
-    counted = weigh_granules(found, weighted_values, weighted_keys, id_column)
+    found = granule_boxes(filled, constraints, keys, scope, id_column)
+    counted = weigh_granules(found, keys, weighted_values, weighted_keys, id_column)
     sized = requests.select(id_column).join(counted, id_column, "left")
     return sized.select(id_column, (F.coalesce("weighted_granules", F.lit(0)) * weight).alias("precise_size"))
 

@@ -175,7 +175,7 @@ VALID_SQL = GRANULES_SQL.replace(
     f"WITH {VALID_SQL.strip()} SELECT request_id, count(*) AS n_granules FROM granule GROUP BY 1",
 )
 def a5(spark, d):
-    return P.count_granules(P.granules(v_req(spark, d), v_con(spark, d), KEYS))
+    return P.count_granules(P.granule_boxes(v_req(spark, d), v_con(spark, d), KEYS), KEYS)
 
 
 @query(
@@ -190,7 +190,7 @@ granule AS (SELECT DISTINCT request_id, param, unnest(type) AS type FROM (SELECT
 SELECT request_id, count(*) AS n_granules FROM granule GROUP BY 1""",
 )
 def a5_unconstrained(spark, d):
-    return P.count_granules(P.granules(v_req(spark, d), early_con(spark, d), KEYS))
+    return P.count_granules(P.granule_boxes(v_req(spark, d), early_con(spark, d), KEYS), KEYS)
 
 
 @query(
@@ -208,8 +208,8 @@ def a5_rough(spark, d):
  * CASE type WHEN 'F' THEN 3 ELSE 1 END * 4) AS BIGINT) AS weighted_granules FROM granule WHERE type <> '-' GROUP BY 1""",
 )
 def a6(spark, d):
-    found = P.granules(v_req(spark, d), v_con(spark, d), KEYS)
-    return P.weigh_granules(found, {"param": PARAM_WEIGHTS, "type": TYPE_WEIGHTS}, {"type": 4})
+    found = P.granule_boxes(v_req(spark, d), v_con(spark, d), KEYS)
+    return P.weigh_granules(found, KEYS, {"param": PARAM_WEIGHTS, "type": TYPE_WEIGHTS}, {"type": 4})
 
 
 SIZE_SQL = """(len(param) + CASE WHEN list_contains(param, '1-URGENT') THEN 4 ELSE 0 END + CASE WHEN list_contains(param, '5-LOW') THEN 1 ELSE 0 END)

@@ -15,6 +15,8 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # lists of small groups are put together in memory instead of by a sort, up to so many groups a task
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "20000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
