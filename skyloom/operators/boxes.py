@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.operators.scale import matching_pairs
+from skyloom.operators.scale import matching_pairs, union_all
 
 # Expressions are put together as SQL text, as Spark reads one long text much faster than it takes many small calls.
 
@@ -143,8 +143,35 @@ def _opened(found: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> Da
     return cubes.select(*[F.col(f"_cube.{c}").alias(c) if c in keys else F.col(c) for c in columns])
 
 
-def without_repeated_fields(cubes: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Disjoint cubes with the fields of all cubes of a group, which come together as lists: a group is what one request or asset says."""
-    listed = cubes.groupBy(*by).agg(F.collect_set(F.expr(box(keys))).alias("_cubes"))
-    opened = listed.select(*by, F.explode(disjoint("_cubes", keys)).alias("_cube"))
-    return opened.select(*by, *[F.col(f"_cube.{k}").alias(k) for k in keys])
+def without_repeated_fields(cubes: DataFrame, keys: Sequence[str], by: Sequence[str], most: int = 256) -> DataFrame:
+    """Disjoint cubes with the fields of all cubes of a group, numbered by ``place``.
+
+    Equal cubes are put together first, then about ``most`` of them at a time are made
+    disjoint, and what that leaves is made disjoint once more.  So a list holds what the parts of a group
+    come to, which repeated and overlapping cubes do not lengthen.
+    """
+    equal = cubes.select(*by, F.expr(box(keys)).alias("_cube")).distinct()
+    counted = equal.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.pmod(F.xxhash64("_cube"), F.ceil(F.col("_n") / most))
+    parted = equal.join(counted, list(by)).withColumn("_part", part)
+    first = _disjoint_lists(parted, keys, [*by, "_part"]).select(*by, F.explode("_cubes").alias("_cube"))
+    opened = _disjoint_lists(first, keys, by).select(*by, F.posexplode("_cubes").alias("place", "_cube"))
+    return opened.select(*by, "place", *[F.col(f"_cube.{k}").alias(k) for k in keys])
+
+
+def _disjoint_lists(cubes: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    listed = cubes.groupBy(*by).agg(F.array_sort(F.collect_set("_cube")).alias("_cubes"))
+    return listed.withColumn("_cubes", disjoint("_cubes", keys))
+
+
+def compare(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str], meet_on: str) -> DataFrame:
+    """The fields of two sets as disjoint cubes with ``side``: those of both, of the left one only and of the right one only."""
+    named = F.struct(*by, "place")
+    lefts, rights = (without_repeated_fields(side, keys, by).withColumn("_id", named).drop("place") for side in (left, right))
+    sides = {
+        "both": common(lefts, rights, keys, "_id", meet_on, by),
+        "left": subtract(lefts, rights, keys, "_id", meet_on, by),
+        "right": subtract(rights, lefts, keys, "_id", meet_on, by),
+    }
+    found = [cubes.select(*by, *keys, F.lit(side).alias("side")) for side, cubes in sides.items()]
+    return union_all(found)

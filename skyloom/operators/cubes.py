@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions.dates import range_struct
-from skyloom.operators.scale import running_offsets
+from skyloom.operators.scale import running_offsets, union_all
+from skyloom.session import checkpointed
 
 
 PIECE = 100_000  # fields that one row unfolds to at most
@@ -180,6 +181,47 @@ def merge(fields: DataFrame, keys: Sequence[str], scope: Sequence[str] = (), bar
     return cubes.select(*scope, *keys)
 
 
+def merge_cubes(cubes: DataFrame, keys: Sequence[str], scope: Sequence[str], place: str, barred: Sequence[str] = ()) -> DataFrame:
+    """Merge cubes that differ in one key at most, again and again until none do; no field is listed.
+
+    In each round every scope takes the key that saves most cubes, the earlier one on a tie.  A merged
+    cube stands at the smallest ``place`` of its parts, and its values in the order in which they are first seen.  Cubes without
+    values in common stay apart as long as they differ in two keys.  A list holds distinct values only, and the driver
+    sees one number a round.
+    """
+    free = [k for k in keys if k not in barred]
+    columns = [*scope, place, *keys]
+    open_, done = cubes.select(*columns), cubes.select(*columns).where("false")
+    while free:
+        others = {k: F.xxhash64(*[F.array_sort(o) for o in keys if o != k], F.lit(k)) for k in free}
+        saved = [(F.count(F.lit(1)) - F.count_distinct(c)).alias(f"_saved_{k}") for k, c in others.items()]
+        counts = open_.groupBy(*scope).agg(*saved)
+        best = F.greatest(F.lit(0), *[F.col(f"_saved_{k}") for k in free])
+        chosen = F.coalesce(*[F.when((best > 0) & (F.col(f"_saved_{k}") == best), F.lit(k)) for k in free])
+        marked = checkpointed(open_.join(counts.select(*scope, chosen.alias("_key")), list(scope)))
+        done = done.unionByName(marked.where("_key IS NULL").select(*columns))
+        going = marked.where("_key IS NOT NULL")
+        if going.isEmpty():
+            break
+        open_ = union_all([_merged_on(going.where(F.col("_key") == k), k, keys, scope, place) for k in free])
+    return done if free else open_
+
+
+def _merged_on(cubes: DataFrame, key: str, keys: Sequence[str], scope: Sequence[str], place: str) -> DataFrame:
+    """One cube for all that agree in the other keys, whatever the order of their values."""
+    same = {f"_same_{k}": F.array_sort(k) for k in keys if k != key}
+    by = [*scope, *same]
+    named = cubes.withColumns(same)
+    # the other keys as the first of the cubes has them
+    first = named.groupBy(*by).agg(F.min(F.struct(place, *[k for k in keys if k != key])).alias("_first"))
+    values = named.select(*by, place, F.posexplode(key).alias("_at", "_value"))
+    seen = values.groupBy(*by, "_value").agg(F.min(F.struct(place, "_at")).alias("_seen"))
+    listed = seen.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_seen", "_value"))).alias("_list"))
+    fields = {k: F.col("_list._value") if k == key else F.col(f"_first.{k}") for k in keys}
+    merged = first.join(listed, by)
+    return merged.select(*scope, F.col(f"_first.{place}").alias(place), *[c.alias(k) for k, c in fields.items()])
+
+
 def split(cubes: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
     """Fields of each cube with the number of the piece they fall in; no piece exceeds ``size``."""
     return unfold_with_ordinal(cubes, keys).withColumn("piece", F.floor(F.col("ordinal") / size).cast("bigint"))

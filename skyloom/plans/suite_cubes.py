@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from skyloom.operators import boxes as B
 from skyloom.operators import cubes as C
 from skyloom.plans.registry import query
 from skyloom.plans.views import v_con, v_cube, v_field, v_req, v_sel, v_stored
@@ -85,12 +86,78 @@ def h4(spark, d):
     return C.difference(v_field(spark, d), v_stored(spark, d), KEYS).select("request_id", *KEYS)
 
 
+@query("h4_subtract_as_cubes", f"SELECT {FIELD} FROM v_cube ANTI JOIN v_stored USING (param, type, d)")
+def h4_cubes(spark, d):
+    stored = C.merge(v_stored(spark, d), KEYS)
+    left = B.subtract(v_req(spark, d), stored, KEYS, "request_id", meet_on="d")
+    return C.unfold(left, KEYS).select("request_id", *KEYS)
+
+
+@query(
+    "h1_cubes_of_both_sides",
+    """
+WITH l AS (SELECT DISTINCT dataset, param, type FROM v_cube),
+r AS (SELECT DISTINCT dataset, param, unnest(type) AS type FROM (SELECT dataset, unnest(param) AS param, type FROM v_con WHERE type IS NOT NULL))
+SELECT coalesce(l.dataset, r.dataset) AS dataset, coalesce(l.param, r.param) AS param, coalesce(l.type, r.type) AS type,
+ CASE WHEN l.dataset IS NULL THEN 'right' WHEN r.dataset IS NULL THEN 'left' ELSE 'both' END AS side
+FROM l FULL JOIN r ON l.dataset = r.dataset AND l.param = r.param AND l.type = r.type""",
+)
+def h1_cubes(spark, d):
+    keys = ["param", "type"]
+    sides = B.compare(v_req(spark, d), v_con(spark, d).where("type IS NOT NULL"), keys, ["dataset"], meet_on="param")
+    return C.unfold(sides, keys).select("dataset", *keys, "side")
+
+
+@query("h6_repeated_fields_as_cubes", "SELECT DISTINCT dataset, param, type, d FROM v_cube")
+def h6_cubes(spark, d):
+    cubes = B.without_repeated_fields(v_req(spark, d), KEYS, ["dataset"])
+    return C.unfold(cubes, KEYS).select("dataset", *KEYS)
+
+
 @query("h5_merge_keeps_fields", f"SELECT {FIELD} FROM v_field")
 def h5(spark, d):
     cubes = C.merge(v_field(spark, d), KEYS, scope=["request_id"])
     return C.unfold(cubes, KEYS).select("request_id", *KEYS)
 
 
+def _merge_rounds(rounds: int) -> str:
+    """SQL of so many rounds of merging; once nothing merges, a round changes nothing."""
+    parts = [
+        """c0 AS (SELECT dataset, request_id AS place, CASE WHEN request_id % 2 = 1 THEN list_reverse(param) ELSE param END AS param, type FROM v_req)"""
+    ]
+    for i in range(rounds):
+        a, b = f"c{i}", f"c{i + 1}"
+        parts += [
+            f"""k{i} AS (SELECT dataset, count(*) - count(DISTINCT list_sort(type)) AS sp, count(*) - count(DISTINCT list_sort(param)) AS st FROM {a} GROUP BY 1)""",
+            f"""t{i} AS (SELECT {a}.*, CASE WHEN greatest(sp, st) = 0 THEN '' WHEN sp >= st THEN 'param' ELSE 'type' END AS k FROM {a} JOIN k{i} USING (dataset))""",
+            f"""p{i} AS (SELECT dataset, list_sort(type) AS g, v, min(place * 100 + nth) AS seen FROM (SELECT dataset, place, type, unnest(param) AS v, generate_subscripts(param, 1) AS nth FROM t{i} WHERE k = 'param') GROUP BY 1, 2, 3)""",
+            f"""q{i} AS (SELECT dataset, list_sort(param) AS g, v, min(place * 100 + nth) AS seen FROM (SELECT dataset, place, param, unnest(type) AS v, generate_subscripts(type, 1) AS nth FROM t{i} WHERE k = 'type') GROUP BY 1, 2, 3)""",
+            f"""{b} AS (SELECT dataset, place, param, type FROM t{i} WHERE k = ''
+ UNION ALL SELECT f.dataset, f.place, l.param, f.type FROM (SELECT dataset, list_sort(type) AS g, min(place) AS place, arg_min(type, place) AS type FROM t{i} WHERE k = 'param' GROUP BY 1, 2) f
+  JOIN (SELECT dataset, g, list(v ORDER BY seen) AS param FROM p{i} GROUP BY 1, 2) l ON f.dataset = l.dataset AND f.g = l.g
+ UNION ALL SELECT f.dataset, f.place, f.param, l.type FROM (SELECT dataset, list_sort(param) AS g, min(place) AS place, arg_min(param, place) AS param FROM t{i} WHERE k = 'type' GROUP BY 1, 2) f
+  JOIN (SELECT dataset, g, list(v ORDER BY seen) AS type FROM q{i} GROUP BY 1, 2) l ON f.dataset = l.dataset AND f.g = l.g)""",
+        ]
+    return ",\n".join(parts)
+
+
+@query(
+    "h5_merge_to_fixpoint",
+    f"""WITH {_merge_rounds(6)}
+SELECT dataset, place AS first_request, array_to_string(param, ',') AS params, array_to_string(type, ',') AS types FROM c6""",
+)
+def h5_fixpoint(spark, d):
+    given = F.when(F.col("request_id") % 2 == 1, F.reverse("param")).otherwise(F.col("param"))
+    cubes = v_req(spark, d).withColumn("param", given)
+    merged = C.merge_cubes(cubes, ["param", "type"], ["dataset"], "request_id")
+    return merged.select(
+        "dataset",
+        F.col("request_id").alias("first_request"),
+        F.array_join("param", ",").alias("params"),
+        F.array_join("type", ",").alias("types"),
+    )
+
+
 @query(
     "h5_merge_counts_cubes",
     """
