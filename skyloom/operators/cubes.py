@@ -193,7 +193,7 @@ def merge_cubes(cubes: DataFrame, keys: Sequence[str], scope: Sequence[str], pla
     columns = [*scope, place, *keys]
     open_, done = cubes.select(*columns), cubes.select(*columns).where("false")
     while free:
-        others = {k: F.xxhash64(*[F.array_sort(o) for o in keys if o != k], F.lit(k)) for k in free}
+        others = {k: F.struct(*[F.array_sort(o) for o in keys if o != k], F.lit(k)) for k in free}
         saved = [(F.count(F.lit(1)) - F.count_distinct(c)).alias(f"_saved_{k}") for k, c in others.items()]
         counts = open_.groupBy(*scope).agg(*saved)
         best = F.greatest(F.lit(0), *[F.col(f"_saved_{k}") for k in free])

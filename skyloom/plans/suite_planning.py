@@ -156,6 +156,21 @@ def a13(spark, d):
     return N.form_state_mixed(v_sel(spark, d), con, KEYS, N.form_of_constraints(con, KEYS))
 
 
+@query(
+    "a11_unknown_key",
+    f"""
+WITH {EARLY_SQL}, known AS (SELECT DISTINCT dataset, 'param' AS key FROM early UNION SELECT DISTINCT dataset, 'type' FROM early WHERE type IS NOT NULL),
+asked AS (SELECT dataset, request_id, 'param' AS key FROM v_sel WHERE param IS NOT NULL UNION ALL SELECT dataset, request_id, 'type' FROM v_sel WHERE type IS NOT NULL
+ UNION ALL SELECT dataset, request_id, 'd' FROM v_req)
+SELECT request_id, key, 'invalid param ' || chr(39) || key || chr(39) AS message FROM asked SEMI JOIN known USING (dataset) ANTI JOIN known USING (dataset, key)""",
+)
+def a11_unknown(spark, d):
+    rules = early_con(spark, d)
+    asked = v_req(spark, d).withColumn("type", F.when(F.col("request_id") % 3 != 0, F.col("type")))
+    asked = asked.withColumn("d", F.col("d").cast("array<string>"))
+    return forms.unknown_keys(asked, rules, N.form_of_constraints(rules, KEYS), [*KEYS, "d"])
+
+
 GRANULES_SQL = """
 hit AS (SELECT r.request_id, list_intersect(r.param, c.param) AS param,
   CASE WHEN c.type IS NULL THEN ['-'] ELSE list_intersect(r.type, c.type) END AS type

@@ -177,3 +177,30 @@ def test_places_on_the_map_alone_open_nothing(spark):
     asked = spark.createDataFrame([(1, 0, None, ["4.5"]), (1, 1, None, None)], f"dataset int, request_id int, sensor {TEXTS}, location_x {TEXTS}")
     got = states(N.form_state_mixed(asked, rules, keys, form_table(spark, {"sensor": {"radar"}})), 2, keys)
     assert got == [{"sensor": set()}, {"sensor": {"radar"}}]
+
+
+def test_many_constraints_and_long_dictionaries(spark, monkeypatch):
+    """Lists of a few constraints and bitmaps of several words say the same."""
+    rng = random.Random(19)
+    domain = {"sensor": [f"s{i:03}" for i in range(150)], "band": [f"b{i}" for i in range(64)], "orbit": ["up", "down"]}
+    rules = [{k: rng.sample(v, rng.randint(1, min(12, len(v)))) for k, v in domain.items() if rng.random() > 0.2} for _ in range(60)]
+    rules = [r for r in rules if r]
+    selections = [{k: rng.sample(v, rng.randint(1, min(20, len(v)))) for k, v in domain.items() if rng.random() > 0.4} for _ in range(25)]
+    selections[0]["sensor"] = ["unheard of"]
+    form = {k: {v for r in rules for v in r.get(k, [])} for k in KEYS}
+    asked, allowed = rows(spark, selections, KEYS, "request_id"), rows(spark, rules, KEYS, "constraint_id")
+    want = [open_mixed(rules, form, s) for s in selections]
+    assert states(forms.form_state_mixed(asked, allowed, KEYS, form_table(spark, form)), len(selections), KEYS) == want
+    parts = forms.coded(allowed, KEYS, ["dataset"], most=7)
+    assert parts.count() > 5 and parts.selectExpr("max(size(_rules)) AS n").first().n < 25
+    whole = forms.coded
+    monkeypatch.setattr(forms, "coded", lambda *a, **o: whole(*a, **{**o, "most": 7}))
+    assert states(forms.form_state_mixed(asked, allowed, KEYS, form_table(spark, form)), len(selections), KEYS) == want
+
+
+def test_keys_that_no_form_has_are_rejected(spark):
+    keys = ["band", "orbit", "sensor"]
+    rules = rows(spark, [{"band": ["k1"]}], ["band"], "constraint_id")
+    form = form_table(spark, {"orbit": {"up"}})
+    asked = rows(spark, [{"band": ["k9"], "orbit": ["up"]}, {"sensor": ["radar"], "band": ["k1"]}, {}], keys, "request_id")
+    assert [tuple(r) for r in forms.unknown_keys(asked, rules, form, keys).collect()] == [(1, "sensor", "invalid param 'sensor'")]
