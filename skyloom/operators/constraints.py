@@ -6,7 +6,7 @@ dataset, and of those only the ones with a value in common on a chosen key, so
 no join lists all pairs.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +26,12 @@ def _named(constraints: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _overlaps(key: str, ranges: Sequence[str]) -> Column:
     if key in ranges:
-        met = F.exists(key, lambda a: F.exists(_con(key), lambda b: _ranges_meet(range_struct(a), range_struct(b))))
+        met = F.exists(key, lambda a: F.exists(_con(key), lambda b: ranges_meet(range_struct(a), range_struct(b))))
         return F.coalesce(met, F.lit(False))
     return F.coalesce(F.arrays_overlap(F.col(key), F.col(_con(key))), F.lit(False))
 
 
-def _ranges_meet(a: Column, b: Column) -> Column:
+def ranges_meet(a: Column, b: Column) -> Column:
     return F.coalesce((a["start"] <= b["end"]) & (b["start"] <= a["end"]), F.lit(False))
 
 
@@ -39,7 +39,7 @@ def _range_overlaps(asked: Column, allowed: Column) -> Column:
     """Overlap of every asked with every allowed range, as ``a/b`` text in the order asked."""
 
     def one(a: Column) -> Column:
-        met = F.filter(allowed, lambda b: _ranges_meet(range_struct(a), range_struct(b)))
+        met = F.filter(allowed, lambda b: ranges_meet(range_struct(a), range_struct(b)))
         return F.transform(
             met,
             lambda b: F.concat_ws(
@@ -223,205 +223,3 @@ def form_of_constraints(constraints: DataFrame, keys: Sequence[str], scope: Sequ
     return union_all(
         [constraints.select(*scope, F.lit(k).alias("key"), F.explode(k).alias("value")) for k in keys]
     ).distinct()
-
-
-def possible_values(
-    selections: DataFrame,
-    constraints: DataFrame,
-    keys: Sequence[str],
-    scope: Sequence[str] = ("dataset",),
-    id_column: str = "request_id",
-) -> DataFrame:
-    """Values still open, homogeneous rule: a constraint counts when it has every selected key with a common value."""
-    return _once_per_selection(
-        selections,
-        [*scope, *keys],
-        id_column,
-        lambda asked: _opened(asked, constraints, keys, keys, scope, SELECTION, None, False),
-    )
-
-
-def form_state(
-    selections: DataFrame,
-    constraints: DataFrame,
-    keys: Sequence[str],
-    scope: Sequence[str] = ("dataset",),
-    id_column: str = "request_id",
-) -> DataFrame:
-    """Open values per key, homogeneous rule, with that key left out of the selection."""
-    return _once_per_selection(
-        selections,
-        [*scope, *keys],
-        id_column,
-        lambda asked: _state(asked, constraints, keys, scope),
-    )
-
-
-def form_state_mixed(
-    selections: DataFrame,
-    constraints: DataFrame,
-    keys: Sequence[str],
-    form: DataFrame,
-    scope: Sequence[str] = ("dataset",),
-    id_column: str = "request_id",
-    ranges: Sequence[str] = (),
-    on_map: Sequence[str] = ("location_x", "location_y"),
-) -> DataFrame:
-    """Open values per key, mixed rule.
-
-    A key does not decide for itself.  Its values are open where every other
-    selected key has a common value or is not in the constraint.  The only
-    selected key gets its whole range, and so does every key when nothing is
-    selected.  Coordinates picked on the map decide nothing; a selection of
-    only them opens nothing.
-    """
-    columns = [*scope, *keys, *[k for k in on_map if k in selections.columns]]
-    return _once_per_selection(
-        selections,
-        columns,
-        id_column,
-        lambda asked: _mixed(asked, constraints, keys, form, scope, SELECTION, ranges, on_map),
-    )
-
-
-SELECTION = "_selection"
-
-
-def _once_per_selection(
-    selections: DataFrame, columns: Sequence[str], id_column: str, solve: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """Solve each distinct selection once and give its values to every request that makes it.
-
-    Requests repeat each other, so this is done before any constraint is met.
-    The values of a selection travel as one row, which the form bounds.  A
-    selection that most requests make is a skewed join key, which adaptive
-    execution splits.
-    """
-    named = selections.select(id_column, *columns).withColumn(SELECTION, F.sha2(F.to_json(F.struct(*columns)), 256))
-    solved = solve(named.select(SELECTION, *columns).dropDuplicates([SELECTION]))
-    listed = solved.groupBy(SELECTION).agg(F.collect_list(F.struct("key", "value")).alias("_values"))
-    joined = named.select(id_column, SELECTION).join(listed, SELECTION)
-    return joined.select(id_column, F.explode("_values").alias("_v")).select(id_column, "_v.key", "_v.value")
-
-
-def _mixed(
-    selections: DataFrame,
-    constraints: DataFrame,
-    keys: Sequence[str],
-    form: DataFrame,
-    scope: Sequence[str],
-    id_column: str,
-    ranges: Sequence[str],
-    on_map: Sequence[str],
-) -> DataFrame:
-    n_selected = F.lit(0)
-    for key in keys:
-        n_selected = n_selected + F.col(key).isNotNull().cast("int")
-    nothing = n_selected == 0
-    for key in on_map:
-        if key in selections.columns:
-            nothing = nothing & F.col(key).isNull()
-    if ranges:  # date ranges that are shown but left empty count as no selection at all
-        blank = F.lit(True)
-        for key in ranges:
-            blank = blank & F.coalesce(F.col(key) == F.array(F.lit("")), F.lit(False))
-        nothing = nothing | blank
-
-    def whole_range(key: str) -> Column:
-        return nothing | ((n_selected == 1) & F.col(key).isNotNull())
-
-    deciding = selections.where((n_selected > 0) & ~nothing)
-    opened = _opened_by_others(deciding, constraints, keys, scope, id_column, True, ranges)
-    lone = F.array_compact(F.array(*[F.when(whole_range(k), F.lit(k)) for k in keys]))
-    asked = selections.select(*scope, id_column, F.explode(lone).alias("key"))
-    whole = salted_join(asked, form, [*scope, "key"], [id_column])
-    return opened.unionByName(whole.select(id_column, "key", "value"))
-
-
-def _state(selections: DataFrame, constraints: DataFrame, keys: Sequence[str], scope: Sequence[str]) -> DataFrame:
-    """Open values per key, homogeneous rule; where no other key is selected every constraint of the dataset counts."""
-    free = F.array(*[F.when(_selected([k2 for k2 in keys if k2 != k]) == 0, F.lit(k)) for k in keys])
-    asked = selections.select(*scope, SELECTION, F.explode(F.array_compact(free)).alias("key"))
-    whole = salted_join(asked, form_of_constraints(constraints, keys, scope), [*scope, "key"], [SELECTION])
-    opened = _opened_by_others(selections, constraints, keys, scope, SELECTION, False, ())
-    return opened.unionByName(whole.select(SELECTION, "key", "value"))
-
-
-def _selected(keys: Sequence[str]) -> Column:
-    count = F.lit(0)
-    for key in keys:
-        count = count + F.col(key).isNotNull().cast("int")
-    return count
-
-
-def _opened_by_others(
-    selections: DataFrame,
-    constraints: DataFrame,
-    keys: Sequence[str],
-    scope: Sequence[str],
-    id_column: str,
-    absent_votes: bool,
-    ranges: Sequence[str],
-) -> DataFrame:
-    """(id, key, value) where a constraint agrees with every selected key but perhaps the one it opens.
-
-    One join whatever the number of keys.  A pair opens a key when no other key disagrees, so at most one may, and the pair
-    has a value in common on one of the first two selected keys.  Keys that nothing else decides are left to
-    the caller.
-    """
-    wanted = constraints.select(*scope, *keys).distinct()
-    against = F.lit(0)
-    bad = {}
-    for key in keys:
-        absent = F.col(_con(key)).isNull() if absent_votes else F.lit(False)
-        bad[key] = (F.col(key).isNotNull() & ~absent & ~_overlaps(key, ranges)).cast("int")
-        against = against + bad[key]
-    pairs = matching_pairs(
-        selections.select(*scope, id_column, *keys),
-        _named(wanted, keys),
-        scope,
-        _tokens({k: F.col(k) for k in keys}, ranges, absent_votes, 2),
-        _tokens({k: F.col(_con(k)) for k in keys}, ranges, absent_votes, None),
-        against <= 1,
-        spread_by=[id_column],
-    )
-    listed = []
-    for key in keys:
-        opens = (against == bad[key]) & (_selected([k for k in keys if k != key]) > 0)
-        values = F.transform(F.col(_con(key)), lambda v: F.struct(F.lit(key).alias("key"), v.alias("value")))
-        listed.append(F.when(opens, values))
-    found = pairs.select(id_column, F.explode(F.flatten(F.array_compact(F.array(*listed)))).alias("_v"))
-    return found.select(id_column, "_v.key", "_v.value").distinct()
-
-
-def _opened(
-    selections: DataFrame,
-    constraints: DataFrame,
-    keys: Sequence[str],
-    opened: Sequence[str],
-    scope: Sequence[str],
-    id_column: str,
-    left_out: str | None,
-    absent_votes: bool,
-    ranges: Sequence[str] = (),
-) -> DataFrame:
-    """(id, key, value) of the ``opened`` keys over constraints that match on all keys but ``left_out``."""
-    deciding = [k for k in keys if k != left_out]
-    # constraints that would open the same values are met only once
-    wanted = constraints.select(*scope, *keys).distinct()
-    if left_out is not None:
-        wanted = wanted.where(F.col(left_out).isNotNull())
-    selections = selections.select(*scope, id_column, *keys)
-    anything = F.coalesce(*[F.col(k) for k in deciding]).isNotNull() if deciding else F.lit(False)
-    # nothing decides: every constraint of the dataset counts, and its values are already together
-    everything = form_of_constraints(wanted, opened, scope)
-    whole = salted_join(selections.where(~anything), everything, scope, [id_column])
-    whole = whole.select(id_column, "key", "value")
-    if not deciding:
-        return whole
-    pairs = _pairs(selections.where(anything), wanted, keys, deciding, scope, absent_votes, id_column, ranges)
-    listed = [
-        F.transform(F.col(_con(k)), lambda v: F.struct(F.lit(k).alias("key"), v.alias("value"))) for k in opened
-    ]
-    values = F.explode(F.flatten(F.array_compact(F.array(*listed)))).alias("_v")
-    return pairs.select(id_column, values).select(id_column, "_v.key", "_v.value").unionByName(whole).distinct()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skyloom.functions.dates import range_struct
 from skyloom.operators.constraints import MOST_RULES, RULES, ranges_meet
 from skyloom.operators.scale import salted_join
+from skyloom.session import checkpointed
 
 SELECTION = "_selection"
 VALUES = "array<struct<key: string, value: string>>"
@@ -112,6 +113,7 @@ def _once_per_selection(
     execution splits.
     """
     named = selections.select(id_column, *columns).withColumn(SELECTION, F.sha2(F.to_json(F.struct(*columns)), 256))
+    named = checkpointed(named)  # read twice: whatever made the selections is done once
     solved = solve(named.select(SELECTION, *columns).dropDuplicates([SELECTION]))
     listed = solved.groupBy(SELECTION).agg(F.array_distinct(F.flatten(F.collect_list("_values"))).alias("_values"))
     joined = named.select(id_column, SELECTION).join(listed, SELECTION)
@@ -161,6 +163,14 @@ def _entry(key: str) -> Callable[[Column], Column]:
     return lambda v: F.struct(F.lit(key).alias("key"), v.alias("value"))
 
 
+def _listed(values: Column) -> Callable[[Column], Column]:
+    return lambda v: F.coalesce(F.array_contains(values, v), F.lit(False))
+
+
+def _meets(spans: Column) -> Callable[[Column], Column]:
+    return lambda v: F.exists(spans, lambda a: ranges_meet(a, range_struct(v)))
+
+
 def _with_bits(rows: DataFrame, keys: Sequence[str], ranges: Sequence[str], name: str) -> DataFrame:
     """Add ``name`` and key for each key: its values as bits of the dictionary, NULL where the key is absent.
 
@@ -168,13 +178,8 @@ def _with_bits(rows: DataFrame, keys: Sequence[str], ranges: Sequence[str], name
     """
     flags = {}
     for key in keys:
-        values = F.col(key)
-        if key in ranges:
-            spans = F.transform(values, range_struct)
-            listed = F.transform(_place(key), lambda v, s=spans: F.exists(s, lambda a: ranges_meet(a, range_struct(v))))
-        else:
-            listed = F.transform(_place(key), lambda v, c=values: F.coalesce(F.array_contains(c, v), F.lit(False)))
-        flags[f"_flags_{key}"] = F.when(values.isNotNull(), listed)
+        meets = _meets(F.transform(F.col(key), range_struct)) if key in ranges else _listed(F.col(key))
+        flags[f"_flags_{key}"] = F.when(F.col(key).isNotNull(), F.transform(_place(key), meets))
     rows = rows.withColumns(flags)
     words = {}
     for key in keys:
@@ -189,15 +194,15 @@ def _with_bits(rows: DataFrame, keys: Sequence[str], ranges: Sequence[str], name
 
 def coded(constraints: DataFrame, keys: Sequence[str], scope: Sequence[str], ranges: Sequence[str] = (), most: int = MOST_RULES) -> DataFrame:
     """Constraints of a dataset as lists of about ``most`` structs of bitmaps, each list with the dataset's dictionary."""
-    distinct = constraints.select(*scope, *keys).distinct()
+    distinct = checkpointed(constraints.select(*scope, *keys).distinct())  # a small table that is read three times
     counted = distinct.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n"))
-    places = dictionary(constraints, keys, scope)
-    part = F.pmod(F.xxhash64(*keys), F.ceil(F.col("_n") / most)).alias("_part")
-    rows = distinct.join(counted, list(scope)).withColumn("_part", part).join(places, list(scope))
-    bits = _with_bits(rows, keys, (), "_bits_").groupBy(*scope, "_part")
+    known = dictionary(distinct, keys, scope).join(counted, list(scope))
+    part = F.pmod(F.xxhash64(*keys), F.ceil(F.col("_n") / most))
+    rows = distinct.join(known, list(scope)).withColumn("_part", part)
     rule = F.struct(*[F.col(f"_bits_{k}").alias(k) for k in keys])
-    parts = bits.agg(F.collect_list(rule).alias(RULES)).drop("_part")
-    return parts.join(places, list(scope))
+    places = [F.first(_place(k)).alias(_place(k)) for k in keys]
+    listed = _with_bits(rows, keys, (), "_bits_").groupBy(*scope, "_part")
+    return listed.agg(F.collect_list(rule).alias(RULES), *places).drop("_part")
 
 
 def _voted(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.errors import ConfigurationError
-from skyloom.operators import catalogue, constraints, costs
+from skyloom.operators import catalogue, constraints, costs, forms
 from skyloom.operators.scale import salted_join
 
 
@@ -36,9 +36,9 @@ def apply_constraints(
     selections = selections.withColumns(counts).drop("_constrained")
     own_form = form.join(constrained, [*scope, "key"], "left_semi")
     if method == "mixed":
-        state = constraints.form_state_mixed(selections, rules, keys, own_form, scope, id_column, ranges)
+        state = forms.form_state_mixed(selections, rules, keys, own_form, scope, id_column, ranges)
     elif method == "homogeneous":
-        state = constraints.form_state(selections, rules, keys, scope, id_column)
+        state = forms.form_state(selections, rules, keys, scope, id_column)
     else:
         raise ConfigurationError(f"{method} is not a recognised way to apply constraints")
     free = constraints.unconstrained_values(form, constrained, scope)

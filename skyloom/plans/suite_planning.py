@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from skyloom.operators import constraints as N
 from skyloom.operators import costs as P
 from skyloom.operators import cubes as C
+from skyloom.operators import forms
 from skyloom.plans.planning import Costing, estimate_costs
 from skyloom.plans.registry import query
 from skyloom.plans.views import v_area, v_con, v_field, v_req, v_sel
@@ -126,7 +127,7 @@ SELECT DISTINCT request_id, 'param' AS key, unnest(param) AS value FROM hit
 UNION SELECT DISTINCT request_id, 'type', unnest(type) FROM hit""",
 )
 def a11(spark, d):
-    return N.possible_values(v_sel(spark, d), v_con(spark, d), KEYS)
+    return forms.possible_values(v_sel(spark, d), v_con(spark, d), KEYS)
 
 
 @query(
@@ -138,7 +139,7 @@ UNION SELECT DISTINCT request_id, 'type', unnest(c.type) FROM v_sel r JOIN v_con
  WHERE r.param IS NULL OR list_has_any(r.param, c.param)""",
 )
 def a12(spark, d):
-    return N.form_state(v_sel(spark, d), v_con(spark, d), KEYS)
+    return forms.form_state(v_sel(spark, d), v_con(spark, d), KEYS)
 
 
 @query(
@@ -153,7 +154,7 @@ UNION SELECT DISTINCT request_id, 'type', unnest(c.type) FROM v_sel r JOIN v_con
 )
 def a13(spark, d):
     con = v_con(spark, d)
-    return N.form_state_mixed(v_sel(spark, d), con, KEYS, N.form_of_constraints(con, KEYS))
+    return forms.form_state_mixed(v_sel(spark, d), con, KEYS, N.form_of_constraints(con, KEYS))
 
 
 @query(

@@ -7,6 +7,7 @@ import pytest
 
 from skyloom.errors import ConfigurationError
 from skyloom.operators import constraints as N
+from skyloom.operators import forms
 from skyloom.plans.planning import apply_constraints
 
 TEXTS = "array<string>"
@@ -68,7 +69,7 @@ def open_mixed(rules, form, selection):
 
 def test_mixed_rule(spark, world):
     rules, form, selections = world
-    df = N.form_state_mixed(rows(spark, selections, KEYS, "request_id"), rows(spark, rules, KEYS, "constraint_id"), KEYS, form_table(spark, form))
+    df = forms.form_state_mixed(rows(spark, selections, KEYS, "request_id"), rows(spark, rules, KEYS, "constraint_id"), KEYS, form_table(spark, form))
     assert states(df, len(selections), KEYS) == [open_mixed(rules, form, s) for s in selections]
 
 
@@ -85,9 +86,9 @@ def test_homogeneous_rule(spark, world):
 
     n = len(selections)
     possible = [{k: values(fitting(s), k) for k in KEYS} for s in selections]
-    assert states(N.possible_values(asked, allowed, KEYS), n, KEYS) == possible
+    assert states(forms.possible_values(asked, allowed, KEYS), n, KEYS) == possible
     state = [{k: values(fitting(s, k), k) for k in KEYS} for s in selections]
-    assert states(N.form_state(asked, allowed, KEYS), n, KEYS) == state
+    assert states(forms.form_state(asked, allowed, KEYS), n, KEYS) == state
 
 
 def test_intersection_keeps_the_order_of_the_request(spark, world):
@@ -142,7 +143,7 @@ def test_date_ranges_decide_by_overlap(spark):
         sensors = {v for r in by_date for v in r["sensor"]}
         when = {v for r in rules if has_common(r["sensor"], s["sensor"]) for v in r["when"]} if "sensor" in s else form["when"]
         want.append({"sensor": sensors, "when": when})
-    df = N.form_state_mixed(asked, allowed, keys, form_table(spark, form), ranges=["when"])
+    df = forms.form_state_mixed(asked, allowed, keys, form_table(spark, form), ranges=["when"])
     assert states(df, len(selections), keys) == want
     cut = N.intersect(asked, allowed, keys, ranges=["when"]).collect()
     for r in cut:
@@ -157,7 +158,7 @@ def test_dates_left_empty_are_no_selection(spark):
     rules = rows(spark, [{"orbit": ["up"], "when": ["2011-02-01/2011-03-01"]}], keys, "constraint_id")
     form = {"orbit": {"up", "down"}, "when": {"2011-02-01/2011-03-01"}}
     asked = rows(spark, [{"orbit": ["down"], "when": [""]}], keys, "request_id")
-    assert states(N.form_state_mixed(asked, rules, keys, form_table(spark, form), ranges=["when"]), 1, keys) == [form]
+    assert states(forms.form_state_mixed(asked, rules, keys, form_table(spark, form), ranges=["when"]), 1, keys) == [form]
 
 
 def test_keys_without_constraints_stay_open_and_do_not_count(spark):
@@ -175,7 +176,7 @@ def test_places_on_the_map_alone_open_nothing(spark):
     keys = ["sensor"]
     rules = rows(spark, [{"sensor": ["radar"]}], keys, "constraint_id")
     asked = spark.createDataFrame([(1, 0, None, ["4.5"]), (1, 1, None, None)], f"dataset int, request_id int, sensor {TEXTS}, location_x {TEXTS}")
-    got = states(N.form_state_mixed(asked, rules, keys, form_table(spark, {"sensor": {"radar"}})), 2, keys)
+    got = states(forms.form_state_mixed(asked, rules, keys, form_table(spark, {"sensor": {"radar"}})), 2, keys)
     assert got == [{"sensor": set()}, {"sensor": {"radar"}}]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyloom.operators import catalogue as K
 from skyloom.operators import constraints as N
 from skyloom.operators import cubes as C
+from skyloom.operators import forms
 from skyloom.operators import grid as G
 
 BOX = "north double, west double, south double, east double"
@@ -144,7 +145,7 @@ def test_mixed_form_state_of_random_selections(spark):
     selections = spark.createDataFrame(asked, f"request_id int, dataset int, {columns}")
     rules = spark.createDataFrame(allowed, f"constraint_id int, dataset int, {columns}")
     form = N.form_of_constraints(rules, keys)
-    got = {(r["request_id"], r["key"], r["value"]) for r in N.form_state_mixed(selections, rules, keys, form).collect()}
+    got = {(r["request_id"], r["key"], r["value"]) for r in forms.form_state_mixed(selections, rules, keys, form).collect()}
     want = set()
     for i, dataset, *values in asked:
         chosen = [k for k, v in zip(keys, values) if v is not None]
