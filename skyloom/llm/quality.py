@@ -14,6 +14,7 @@ from skyloom.llm.words import lowered, mix, span_hashes, text_bytes, word_spans
 
 BITS = 18
 TRAIN_ROWS = 12_000
+TRAIN_FEATURES = 1 << 25
 FEATURES = np.uint64((1 << BITS) - 1)
 
 
@@ -83,7 +84,7 @@ class Model:
 
 
 def descend(
-    features: np.ndarray, where: np.ndarray, learn: np.ndarray, signs: np.ndarray, ratio: np.ndarray, cost: float, rounds: int, seed: int
+    features: np.ndarray, where: np.ndarray, learn: np.ndarray, signs: np.ndarray, ratio: np.ndarray, cost: float, rounds: int, seed: int, close: float
 ) -> tuple[np.ndarray, float]:
     """Dual coordinate descent for the linear hinge loss over indicators scaled by ``ratio``; the bias is a feature of 1.
 
@@ -95,19 +96,19 @@ def descend(
     alpha, weights, bias = np.zeros(len(learn)), np.zeros(len(ratio)), 0.0
     shuffled = np.random.default_rng(seed)
     for _ in range(rounds):
-        moved = 0.0
+        worst = 0.0  # how far any text is from its optimum
         for i in shuffled.permutation(len(learn)).tolist():
             a, b = bounds[i]
             row, value, sign = features[a:b], values[a:b], signs[i]
             slope = sign * (float(weights[row] @ value) + bias) - 1
             new = min(max(alpha[i] - slope / squares[i], 0.0), cost)
+            worst = max(worst, abs(new - alpha[i]) * squares[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * sign
                 weights[row] += step * value
                 bias += step
-                moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
-        if moved < 1e-3 * cost:
+        if worst < close:
             break
     return weights * ratio, bias
 
@@ -130,21 +131,25 @@ def calibrated(margin: np.ndarray, good: np.ndarray, rounds: int = 100) -> tuple
     return float(beta[0]) / scale, float(beta[1])
 
 
-def fit(texts: Iterable[pa.Array], labels: Iterable[np.ndarray], cost: float = 1.0, smooth: float = 1.0, rounds: int = 20, seed: int = 7) -> Model:
-    """Learn from texts, some at a time, and whether each is good; only their n-grams are kept.
+def fit(
+    texts: Iterable[tuple[np.ndarray, bool]], cost: float = 1.0, smooth: float = 1.0, rounds: int = 20, seed: int = 7,
+    most: int = TRAIN_FEATURES, close: float = 1e-2,
+) -> Model:
+    """Learn from the n-grams of texts and whether each is good, as far as ``most`` n-grams reach.
 
     One text in five is kept from the descent and only calibrates the scores.  With one class or no texts the score
     is the share of good texts, with one added to both.
     """
-    size, found, where, good = 1 << BITS, [], [np.zeros(1, np.int64)], []
-    for some, marks in zip(texts, labels, strict=True):
-        features, at = indicators(some)
-        found.append(features.astype(np.int32))
-        where.append(at[1:] + where[-1][-1])
-        good.append(marks)
+    size, found, where, good = 1 << BITS, [], [0], []
+    for row, mark in texts:
+        if where[-1] + len(row) > most:
+            break
+        found.append(row)
+        where.append(where[-1] + len(row))
+        good.append(mark)
     features = np.concatenate([*found, np.zeros(0, np.int32)])
     del found
-    where, good = np.concatenate(where), np.concatenate([*good, np.zeros(0, bool)])
+    where, good = np.array(where), np.array(good, bool)
     prior = (good.sum() + 1) / (len(good) + 2)
     flat = Model(np.zeros(size), 0.0, 0.0, float(np.log(prior / (1 - prior))))
     part = np.arange(len(good)) % 5 == 4
@@ -155,7 +160,7 @@ def fit(texts: Iterable[pa.Array], labels: Iterable[np.ndarray], cost: float = 1
     for i in learn.tolist():
         counts[bool(good[i])][features[where[i] : where[i + 1]]] += 1  # a text has each feature once
     ratio = np.log(counts[True] / counts[True].sum()) - np.log(counts[False] / counts[False].sum())
-    weights, bias = descend(features, where, learn, np.where(good[learn], 1.0, -1.0), ratio, cost, rounds, seed)
+    weights, bias = descend(features, where, learn, np.where(good[learn], 1.0, -1.0), ratio, cost, rounds, seed, close)
     margin = np.array([weights[features[where[i] : where[i + 1]]].sum() + bias for i in np.flatnonzero(part)])
     slope, shift = calibrated(margin, good[part])
     return Model(weights, bias, slope, shift) if slope > 0 else flat
@@ -172,23 +177,43 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "_quality")
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Model:
-    """Fit on a bounded sample (``most`` ids; of ids that repeat, the first ``most`` rows).
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            features, at = indicators(part.column("text"))
+            rows = [features[a:b].astype("<i4").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*[part.column(c) for c in ("doc_id", "said", "_quality")], pa.array(rows, pa.binary())], ["doc_id", "said", "_quality", "features"]
+            )
+
 
-    One task holds the sample; the driver sees the model only, a fixed number of weights.
+def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS, most_features: int = TRAIN_FEATURES) -> Model:
+    """Fit on a bounded sample: ``most`` ids, and of those with the smallest hashes as many as have ``most_features`` n-grams together.
+
+    The n-grams are found where the texts lie, and only their numbers reach the one task that fits, each as four bytes.  Of an id
+    that repeats, the text with the smallest hash is learnt from.  The driver sees the model only, a fixed number of weights.
     """
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [part for batch in batches for part in slices(batch, "text")]
-        model = fit((p.column("text") for p in parts), (p.column("_quality").to_numpy() == 1 for p in parts))
+        def texts() -> Iterator[tuple[np.ndarray, bool]]:
+            for batch in batches:
+                for features, quality in zip(batch.column("features"), batch.column("_quality").to_pylist(), strict=True):
+                    yield np.frombuffer(features.as_py(), "<i4"), quality == 1
+
+        model = fit(texts(), most=most_features)
         numbers = [pa.array([x], pa.float64()) for x in (model.bias, model.slope, model.shift)]
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), *numbers], names=["weights", "bias", "slope", "shift"])
 
-    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
-    sample = training_rows(docs, labels, most).orderBy(*order).limit(most).select("text", "_quality")
+    chosen = training_rows(docs, labels, most)
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+    texts = chosen.select("doc_id", F.xxhash64("text").alias("said"), F.col("_quality").cast("int").alias("_quality"), "text")
+    found = texts.mapInArrow(_features, f"doc_id {kind}, said long, _quality int, features binary")
+    once = found.groupBy("doc_id").agg(F.min(F.struct("said", "features", "_quality")).alias("t")).select("doc_id", "t.*")
+    # at most ``most`` rows; a sort, unlike a limit in order, goes to disk where memory is short
+    sample = once.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("features", "_quality")
     rows = sample.mapInArrow(learn, "weights binary, bias double, slope double, shift double").collect()
     if not rows:
-        return fit([], [])
+        return fit([])
     return Model(np.frombuffer(rows[0].weights), rows[0].bias, rows[0].slope, rows[0].shift)
 
 

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from compare import compare, duck
@@ -349,3 +350,42 @@ def test_plans_use_every_piece_once(seed):
 def test_two_replace_the_smallest():
     # 60 and 30 fill a bin of 100 greedily; 30 is then replaced by 22 and 18, which leave no gap.
     assert packing.plan({60: 1, 30: 1, 22: 1, 18: 1}, 100)[0] == (1, [(60, 1), (22, 1), (18, 1)])
+
+
+def test_fit_is_that_of_a_dense_model():
+    """Naive Bayes support vectors by matrices: the same ratios and margins of the same order, dual objective within a thousandth."""
+    rng = random.Random(6)
+    words = [[f"w{k}" for k in range(a, b)] for a, b in ((0, 60), (40, 100))]
+    good = np.array([i % 3 > 0 for i in range(200)])
+    texts = [" ".join(rng.choice(words[int(g)] if rng.random() < 0.8 else words[0] + words[1]) for _ in range(30)) for g in good]
+    features, at = quality.indicators(pa.array(texts))
+    rows = [features[a:b].astype(np.int32) for a, b in zip(at[:-1], at[1:], strict=True)]
+    model = quality.fit(list(zip(rows, good.tolist(), strict=True)), rounds=3000, close=1e-6)
+
+    learn = np.arange(200) % 5 != 4
+    x = np.zeros((200, 1 << quality.BITS), np.float32)
+    for i, row in enumerate(rows):
+        x[i, row] = 1
+    counts = [x[learn & (good == g)].sum(0) + 1.0 for g in (True, False)]
+    ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+    seen = np.flatnonzero(x.any(0))
+    z = np.c_[x[:, seen] * ratio[seen], np.ones(200)]
+    sign = np.where(good, 1.0, -1.0)
+    q = (z[learn] * sign[learn, None]) @ (z[learn] * sign[learn, None]).T
+    alpha = np.zeros(learn.sum())
+    for _ in range(400):
+        for i in range(len(alpha)):
+            alpha[i] = min(max(alpha[i] - (q[i] @ alpha - 1) / q[i, i], 0), 1)
+    dual = alpha.sum() - alpha @ q @ alpha / 2
+    dense = z @ (z[learn].T @ (alpha * sign[learn]))
+    margin = x @ model.weights + model.bias
+    v = np.r_[model.weights[seen] / ratio[seen], model.bias]
+    primal = v @ v / 2 + np.maximum(0, 1 - sign[learn] * (z[learn] @ v)).sum()
+    assert dual <= primal + 1e-6 and primal - dual <= 1e-3 * abs(dual)
+    assert np.corrcoef(np.argsort(np.argsort(dense)), np.argsort(np.argsort(margin)))[0, 1] > 0.999
+    assert ((margin > 0) == good).mean() > 0.9
+
+
+def test_fit_reads_as_far_as_its_bound():
+    rows = [(np.arange(i % 7, i % 7 + 5, dtype=np.int32), i % 2 == 0) for i in range(40)]
+    assert quality.fit(rows, most=100).bias == quality.fit(rows[:20]).bias != quality.fit(rows).bias
