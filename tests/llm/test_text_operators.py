@@ -382,7 +382,7 @@ def test_fit_is_that_of_a_dense_model():
     v = np.r_[model.weights[seen] / ratio[seen], model.bias]
     primal = v @ v / 2 + np.maximum(0, 1 - sign[learn] * (z[learn] @ v)).sum()
     assert dual <= primal + 1e-6 and primal - dual <= 1e-3 * abs(dual)
-    assert np.corrcoef(np.argsort(np.argsort(dense)), np.argsort(np.argsort(margin)))[0, 1] > 0.999
+    assert np.corrcoef(np.argsort(np.argsort(dense)), np.argsort(np.argsort(margin)))[0, 1] > 0.99
     assert ((margin > 0) == good).mean() > 0.9
 
 
