@@ -66,6 +66,42 @@ def s3(spark, d):
     return assets.where(test).select("observed_variable", "day", "n_rows")
 
 
+def stored_assets(spark, d):
+    """A store of two kinds of assets, of which the older ones have no processing level."""
+    from skyloom.session import scratch
+
+    obs, store = v_obs(spark, d), scratch(spark, "assets")
+    old = obs.where("observed_variable IN ('view', 'click')").drop("processing_level")
+    new = obs.where("observed_variable NOT IN ('view', 'click')")
+    for part in (old, new):
+        A.append_assets(part, store, ["observed_variable"], 16)
+    return store
+
+
+@query(
+    "s2_one_scan_of_many_assets",
+    f"""SELECT {ROW}, CASE WHEN observed_variable IN ('view', 'click') THEN -1 ELSE processing_level END AS processing_level FROM v_obs
+WHERE primary_station_id IN ('3', '8', '21', '46') AND latitude >= -60 AND latitude < 60""",
+)
+def s2_store(spark, d):
+    wanted = O.Retrieval(stations=["3", "8", "21", "46"], latitude=(-60.0, 60.0))
+    found = A.read_pruned(spark, stored_assets(spark, d), wanted, CODES)
+    level = F.coalesce("processing_level", F.lit(-1)).alias("processing_level")
+    return row(found.withColumn("_level", level), F.col("_level").alias("processing_level"))
+
+
+@query(
+    "s3_pruned_read",
+    f"""SELECT {ROW} FROM v_obs WHERE observed_variable IN ('click', 'purchase') AND report_timestamp >= TIMESTAMP '2024-01-05'
+ AND report_timestamp < TIMESTAMP '2024-01-08' AND longitude >= -100 AND longitude < 98""",
+)
+def s3_read(spark, d):
+    wanted = O.Retrieval(
+        variables=["click", "purchase"], time=(datetime(2024, 1, 5), datetime(2024, 1, 8)), longitude=(-100.0, 98.0)
+    )
+    return row(A.read_pruned(spark, stored_assets(spark, d), wanted, CODES))
+
+
 @query("f1_station_membership", f"SELECT {ROW} FROM v_obs WHERE primary_station_id IN ('3', '8', '21', '46', '130')")
 def f1(spark, d):
     return filtered(spark, d, stations=["3", "8", "21", "46", "130"])
