@@ -387,5 +387,6 @@ def test_fit_is_that_of_a_dense_model():
 
 
 def test_fit_reads_as_far_as_its_bound():
-    rows = [(np.arange(i % 7, i % 7 + 5, dtype=np.int32), i % 2 == 0) for i in range(40)]
-    assert quality.fit(rows, most=100).bias == quality.fit(rows[:20]).bias != quality.fit(rows).bias
+    rows = [(np.arange(i % 7, i % 7 + 5, dtype=np.int32), i % 3 == 0) for i in range(40)]
+    bounded, first, every = (quality.fit(r, most=m) for r, m in ((rows, 100), (rows[:20], 1000), (rows, 1000)))
+    assert (bounded.bias, bounded.slope, bounded.shift) == (first.bias, first.slope, first.shift) != (every.bias, every.slope, every.shift)
