@@ -233,6 +233,7 @@ def separate_processing(
     """Selection keys and processing parameters apart; a parameter has one value or its default."""
     selection = requests.drop(*processing)
     values = [F.coalesce(F.get(F.col(k), 0), F.lit(v)).alias(k) for k, v in processing.items()]
+    # Fixed value: wording of the error.
     text = "Multiple {} values in a single request is not supported."
     errors = F.array(*[F.when(~single_valued(F.col(k)), F.lit(text.format(k))) for k in processing])
     return selection, requests.select(id_column, *values, F.array_compact(errors).alias("errors"))
@@ -419,6 +420,7 @@ def box_problems(
     """What is wrong with a request's place, as text; NULL when it is fine."""
     has_box = north.isNotNull() & west.isNotNull() & south.isNotNull() & east.isNotNull()
     point = F.lit(False) if has_point is None else has_point
+    # Wording of the problems.
     return (
         F.when(has_box == point, "either a box or a point is required, and not both")
         .when(has_box & ((north < south) | (east < west)), "area must be in the form [north, west, south, east]")

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Keys of a field's path in their order, keys of an area, characters that a path may have.
 FIELD_KEYS = ("model", "type", "variable", "level", "time", "step")
 AREA_KEYS = ("north", "south", "east", "west")
 SAFE_TEXT = r"^[\w.:-]+$"
@@ -67,14 +68,19 @@ def tier_of(fields: DataFrame, permanent: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def write_fields(fields: DataFrame, path: str) -> None:
-    """Fields under folders of their tier and keys; those cut to a sub-area are never stored."""
+    """Fields under folders of their tier and keys; those cut to a sub-area are never stored.
+
+    Rows are dealt in the order of all keys, so that a folder with very many fields is written by many tasks.
+    """
     whole = fields.where("north IS NULL") if "north" in fields.columns else fields
     folders = [c for c in ("tier", "date", "model", "type", "variable", "level") if c in whole.columns]
-    whole.repartitionByRange(*folders).write.mode("overwrite").partitionBy(*folders).parquet(path)
+    finer = [c for c in ("time", "step", "latitude", "longitude") if c in whole.columns]
+    whole.repartitionByRange(*folders, *finer).write.mode("overwrite").partitionBy(*folders).parquet(path)
 
 
 # --- CSV with a commented header ------------------------------------------------------
 
+# The rule above and below the header, and the wording of its lines in csv_header.
 RULE = "#" * 88
 
 

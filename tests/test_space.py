@@ -83,6 +83,19 @@ def test_longitude_wrap(spark, axis, west, east, want):
     assert [(p["start"], p["end"]) for p in parts] == want
 
 
+def test_parts_hold_the_cells_of_the_box(spark):
+    boxes = [(w, w + width) for w in range(-355, 356, 35) for width in (3, 50, 200, 340)]
+    df = spark.createDataFrame([(float(w), float(e)) for w, e in boxes], "w double, e double")
+    for axis in (GLOBE, G.Axis(first=-179.5, last=179.5, step=1.0, n_steps=1), EUROPE):
+        cells = [axis.first + i for i in range(int(axis.last - axis.first) + 1)]
+        for r in df.select("w", "e", G.longitude_part_columns(F.col("w"), F.col("e"), axis).alias("parts")).collect():
+            want = {x for x in cells for turn in (-360, 0, 360) if r.w <= x + turn <= r.e}
+            assert {x for x in cells for p in r.parts or [] if p.start <= x <= p.end} == want
+            if want:
+                places = [next(i for i, p in enumerate(r.parts) if p.start <= x <= p.end) for x in sorted(want)]
+                assert len(r.parts) <= 2 and set(places) <= {0, 1}
+
+
 def test_longitudes_outside_the_axis(spark):
     from skyloom.errors import InvalidRequest
 
