@@ -7,12 +7,15 @@ and more, share a key.  The number of chunks follows from the similarity asked f
 different components than that once in tens of thousands, and shares no key at all less than once in a million.
 
 In a bucket of nodes with a common key all are held against the smallest (the pivot), which is linear.  Where a
-member is not linked to its pivot, it is held against all members of that pivot's buckets in blocks, without
-listing the pairs, so no link between two nodes that share a key is lost.  Every link is confirmed on the full sets.
+member is not linked to its pivot, it is held against all members of that pivot's buckets: up to ``BLOCK`` of them
+at once, without listing the pairs.  Larger groups get a reference set, what most of some members have.  The
+differences of two sets to it tell exactly how they differ from each other, so links are found from small
+differences alone, or inside the groups of a differing shingle.  No link between two nodes that share a key is
+lost, and every link is confirmed on the full sets.
 """
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -149,15 +152,52 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         columns = now
 
 
+def _by_group(rows: DataFrame, judge: Callable[[int, list[tuple]], tuple], schema: str) -> DataFrame:
+    """``judge`` each (p, i, j) of the rows, given p and its list of (side, node, members); it returns columns of ``schema``.
+
+    Rows come sorted, and only one group is in memory.
+    """
+    kinds = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = pa.schema([(name, kinds[kind]) for name, kind in (field.split(" ") for field in schema.split(", "))])
+
+    def batch_of(out: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(out, fields, strict=True)], schema=fields)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group, out = None, [], tuple([] for _ in fields)
+
+        def close() -> None:
+            if group:
+                for whole, part in zip(out, judge(at[0], group), strict=True):
+                    whole.extend(part)
+
+        for batch in batches:
+            keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+            sides, ids, members = (batch.column(k) for k in (3, 4, 5))
+            for row, key in enumerate(keys):
+                if key != at:
+                    close()
+                    at, group = key, []
+                group.append((sides[row].as_py(), ids[row].as_py(), members[row].as_py()))
+            yield batch_of(out)
+            out = tuple([] for _ in fields)
+        close()
+        yield batch_of(out)
+
+    # repartition() by key puts a group into one task; it has at most about two blocks of rows.
+    dealt = rows.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "side").select("p", "i", "j", "side", "node", "members")
+    return dealt.mapInArrow(walk, schema)
+
+
 def _held_together(rows: DataFrame, similarity: tuple[int, int], every: bool) -> DataFrame:
     """Hold the left rows (side 0) of each (p, i, j) against its right rows (side 1) on their full sets.
 
-    Rows come sorted, and only one group is in memory.  Gives (a, b, linked): with ``every`` a row for each
-    right row and the group's one left row, else links that span what the group's links connect.
+    Gives (a, b, linked): with ``every`` a row for each right row and the group's one left row, else links that span
+    what the group's links connect.
     """
     share, of = similarity
 
-    def judge(group: list[tuple]) -> tuple[list, list, list]:
+    def judge(_: int, group: list[tuple]) -> tuple[list, list, list]:
         sides = [[(n, np.frombuffer(m, np.uint64)) for s, n, m in group if s == side] for side in (0, 1)]
         if not sides[0] or not sides[1]:
             return [], [], []
@@ -175,41 +215,127 @@ def _held_together(rows: DataFrame, similarity: tuple[int, int], every: bool) ->
         ends = np.concatenate([b[rows[r]], b[columns[c]]])
         return np.concatenate([a[r], b[c]]).tolist(), ends.tolist(), [True] * len(ends)
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group, out = None, [], ([], [], [])
+    return _by_group(rows, judge, "a long, b long, linked boolean")
 
-        def close() -> None:
-            for whole, part in zip(out, judge(group), strict=True):
-                whole.extend(part)
 
-        for batch in batches:
-            keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-            sides, ids, members = (batch.column(k) for k in (3, 4, 5))
-            for row, key in enumerate(keys):
-                if key != at:
-                    close()
-                    at, group = key, []
-                group.append((sides[row].as_py(), ids[row].as_py(), members[row].as_py()))
-            yield _links(out)
-            out = ([], [], [])
-        close()
-        yield _links(out)
+def _block(node: str, parts: str) -> F.Column:
+    return F.pmod(F.xxhash64(node), F.col(parts)).cast("int")
 
-    # repartition() by key puts a group into one task; it has at most about two blocks of rows.
-    dealt = rows.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "side").select("p", "i", "j", "side", "node", "members")
-    return dealt.mapInArrow(walk, "a long, b long, linked boolean")
 
+def _upto(parts: str) -> F.Column:
+    return F.explode(F.sequence(F.lit(0), F.col(parts).cast("int") - 1))
 
-def _links(out: tuple[list, list, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_())], names=["a", "b", "linked"])
+
+def _star(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Each distinct pair (p, node) on full sets, as (p, node, linked)."""
+    degree = pairs.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    zero = F.lit(0)
+    right = pairs.join(degree, "p").select("p", zero.alias("i"), _block("node", "parts").alias("j"), F.lit(1).alias("side"), "node")
+    left = degree.select("p", zero.alias("i"), _upto("parts").alias("j"), zero.alias("side"), F.col("p").alias("node"))
+    held = _held_together(right.unionByName(left).join(sets, "node"), similarity, True)
+    return held.select(F.col("a").alias("p"), F.col("b").alias("node"), "linked")
 
 
-def _block(node: str, parts: str) -> F.Column:
-    return F.pmod(F.xxhash64(node), F.col(parts)).cast("int")
+def _loose(star: DataFrame) -> DataFrame:
+    """Groups with a member that is not linked to the pivot, but may be to another member."""
+    sizes = star.groupBy("p").agg(F.count_if(~F.col("linked")).alias("u"), F.count(F.lit(1)).alias("n"))
+    return sizes.where("u > 0 and n > 1")
 
 
-def _upto(parts: str) -> F.Column:
-    return F.explode(F.sequence(F.lit(0), F.col(parts).cast("int") - 1))
+def _in_blocks(member: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """What is not linked to its pivot against all members of the group; ``member`` has p, u, n, node and linked."""
+    member = member.withColumn("us", F.ceil(F.col("u") / BLOCK)).withColumn("ns", F.ceil(F.col("n") / BLOCK))
+    left = member.where(~F.col("linked")).select("p", _block("node", "us").alias("i"), _upto("ns").alias("j"), F.lit(0).alias("side"), "node")
+    right = member.select("p", _upto("us").alias("i"), _block("node", "ns").alias("j"), F.lit(1).alias("side"), "node")
+    return _held_together(left.unionByName(right).join(sets, "node"), similarity, False).select("a", "b")
+
+
+def _usual(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """By group, shingles that are frequent among about ``BLOCK`` of its members, with codes (bounded by 16 sets of mean size).
+
+    The code of a shingle is the number of members that have it; that of one of the group's reference set, which
+    more than half have, is the number of those that lack it, as ``-1 - number``.
+    """
+
+    def judge(p: int, group: list[tuple]) -> tuple[list, list]:
+        found, counts = np.unique(np.concatenate([np.frombuffer(m, np.uint64) for _, _, m in group]), return_counts=True)
+        often = counts >= max(2, len(group) / 16)
+        found, counts = found[often], counts[often]
+        codes = np.where(2 * counts > len(group), counts - len(group) - 1, counts).astype(np.int64)
+        return [p], [found.tobytes() + codes.tobytes()]
+
+    some = member.where(F.pmod(F.xxhash64("node", "p"), F.ceil(F.col("n") / BLOCK)) == 0)
+    one = F.lit(0)
+    rows = some.select("p", one.alias("i"), one.alias("j"), one.alias("side"), "node").join(sets, "node")
+    return _by_group(rows, judge, "p long, members binary")
+
+
+def differences(own: np.ndarray, usual: bytes, similarity: tuple[int, int]) -> tuple[int, np.ndarray, np.ndarray]:
+    """How a set differs from the reference set of its group: the spread, the rarest differing shingles, and their room.
+
+    Two sets differ from each other in what their differences do not share.  With ``c = (1 - s) / (1 + s)`` for a
+    similarity ``s``, they are linked if they differ in at most ``c`` times the sum of their sizes.  The spread is
+    the size of the difference less ``c`` times the set's, in units of ``1 / (of + share)``: sets whose spreads add up
+    to 0 or less are linked, and others only if their differences share a shingle.  As a partner differs in at most
+    ``(1 - s) / s`` of the set, one more than that many of the rarest shingles hold a shared one.  Two sets have to share
+    half the sum of their spreads; where a shingle is the first that they share, those after it are what is left for that.
+    So a partner's spread is at most the room of that shingle.
+    """
+    share, of = similarity
+    found, codes = np.frombuffer(usual, np.uint64).reshape(2, -1) if usual else np.zeros((2, 0), np.uint64)
+    codes = codes.view(np.int64)
+    apart = np.setxor1d(own, found[codes < 0], assume_unique=True)
+    spread = (of + share) * len(apart) - (of - share) * len(own)
+    rank = np.zeros(len(apart), np.int64)
+    if len(found):
+        at = np.minimum(np.searchsorted(found, apart), len(found) - 1)
+        rank = np.where(found[at] == apart, np.where(codes[at] < 0, -1 - codes[at], codes[at]), 0)
+    rare = apart[np.lexsort((apart, rank))[: (of - share) * len(own) // share + 1]]
+    return spread, rare, 2 * (of + share) * (len(apart) - np.arange(len(rare))) - spread
+
+
+def _crowded(member: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Links that span those between members of large groups (p, n, node), by what sets them apart from the usual.
+
+    Where spreads add up to 0 or less, both are linked to the member with the smallest spread.  Other links lie inside the groups of
+    one differing shingle: there all are held against the member with the smallest spread, and what that does not link
+    against the rest of its, by now small, group in blocks.
+    """
+
+    def judge(p: int, group: list[tuple]) -> tuple[list, ...]:
+        usual = next((m for side, _, m in group if side == 0), b"")
+        out = ([], [], [], [], [])
+        for _, node, members in (row for row in group if row[0] == 1):
+            spread, rare, room = differences(np.frombuffer(members, np.uint64), usual, similarity)
+            out[0].extend([p] * (len(rare) + 1))
+            out[1].extend([node] * (len(rare) + 1))
+            out[2].extend([None, *rare.view(np.int64).tolist()])
+            out[3].extend([spread] * (len(rare) + 1))
+            out[4].extend([None, *room.tolist()])
+        return out
+
+    zero, parts = F.lit(0), F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = member.withColumn("parts", parts).select("p", zero.alias("i"), _block("node", "parts").alias("j"), F.lit(1).alias("side"), "node")
+    dealt = dealt.join(sets, "node").select("p", "i", "j", "side", "node", "members")
+    sizes = member.select("p", parts.alias("parts")).distinct()
+    usual = _usual(member, sets).join(sizes, "p").select("p", zero.alias("i"), _upto("parts").alias("j"), zero.alias("side"), zero.cast("long").alias("node"), "members")
+    apart = written(_by_group(dealt.unionByName(usual), judge, "p long, node long, token long, spread long, room long"), "differences")
+
+    least = F.min(F.struct("spread", "node")).alias("least")
+    whole = apart.where("token IS NULL")
+    near = whole.join(whole.groupBy("p").agg(least), "p").where("spread + least.spread <= 0 and node <> least.node")
+    near = near.select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+
+    tokens = apart.where("token IS NOT NULL")
+    heads = tokens.groupBy("p", "token").agg(least, F.max("room").alias("most"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    inside = tokens.join(heads, ["p", "token"]).where("node <> least.node and least.spread <= room and spread <= most")
+    inside = written(inside.select(F.xxhash64("p", "token").alias("group"), F.col("least.node").alias("p"), "node", "spread", "room"), "rare")
+    star = written(_star(inside.select("p", "node").distinct(), sets, similarity), "rare-star")
+    judged = inside.join(star, ["p", "node"]).select(F.col("group").alias("p"), "node", "linked", "spread", "room")
+    able = judged.groupBy("p").agg(F.min("spread").alias("least"), F.max("room").alias("most"))
+    judged = judged.join(able, "p").where("least <= room and spread <= most").select("p", "node", "linked").distinct()
+    rest = _in_blocks(judged.join(_loose(judged), "p"), sets, similarity)
+    return near.unionByName(star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))).unionByName(rest)
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
@@ -220,20 +346,11 @@ def links(docs: DataFrame, classes: DataFrame, width: int, similarity: tuple[int
     pairs = written(keys.join(pivots, "key").where("node <> p").select("p", "node").distinct(), "pairs")
     wanted = pairs.select("node").unionByName(pairs.select(F.col("p").alias("node"))).distinct()
     sets = written(_sets(docs, wanted, width), "sets")
-
-    degree = pairs.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    zero = F.lit(0)
-    right = pairs.join(degree, "p").select("p", zero.alias("i"), _block("node", "parts").alias("j"), F.lit(1).alias("side"), "node")
-    left = degree.select("p", zero.alias("i"), _upto("parts").alias("j"), zero.alias("side"), F.col("p").alias("node"))
-    star = written(_held_together(right.unionByName(left).join(sets, "node"), similarity, True), "star")
-
-    loose = star.groupBy(F.col("a").alias("p")).agg(F.count_if(~F.col("linked")).alias("u"), F.count(F.lit(1)).alias("n"))
-    loose = loose.where("u > 0 and n > 1").select("p", F.ceil(F.col("u") / BLOCK).alias("us"), F.ceil(F.col("n") / BLOCK).alias("ns"))
-    member = star.select(F.col("a").alias("p"), F.col("b").alias("node"), "linked").join(loose, "p")
-    left = member.where(~F.col("linked")).select("p", _block("node", "us").alias("i"), _upto("ns").alias("j"), zero.alias("side"), "node")
-    right = member.select("p", _upto("us").alias("i"), _block("node", "ns").alias("j"), F.lit(1).alias("side"), "node")
-    rest = _held_together(left.unionByName(right).join(sets, "node"), similarity, False)
-    return star.where("linked").select("a", "b").unionByName(rest.select("a", "b"))
+    star = written(_star(pairs, sets, similarity), "star")
+    member = star.join(_loose(star), "p")
+    rest = _in_blocks(member.where(F.col("n") <= BLOCK), sets, similarity)
+    crowded = _crowded(member.where(F.col("n") > BLOCK).select("p", "n", "node"), sets, similarity)
+    return star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b")).unionByName(rest).unionByName(crowded)
 
 
 def classes_of(rows: DataFrame) -> DataFrame:

@@ -228,6 +228,63 @@ def test_blocks_link_what_the_pivot_does_not(docs, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == plain_groups(rows, 3, (85, 100))[0]
 
 
+def near_copies(n, seed, words=120, most=16):
+    """One text, and near copies of it with 0 to ``most`` words changed, of which many pairs are not linked."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for k in rng.sample(range(words), rng.randint(0, most)):
+            text[k] = f"c{rng.randrange(10**9)}"
+        rows.append((i, " ".join(text), "s"))
+    return rows
+
+
+@pytest.mark.parametrize(("most", "similarity"), [(4, (85, 100)), (16, (85, 100)), (16, (60, 100))])
+def test_crowded_groups_lose_no_link(docs, monkeypatch, most, similarity):
+    monkeypatch.setattr(neardup, "BLOCK", 12)
+    rows = near_copies(120, 7, most=most)[1:] + [(500 + i, t, "s") for i, t, _ in near_copies(60, 8, words=40, most=6)]
+    found = neardup.near_duplicates(docs(rows), 3, similarity).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found) == plain_groups(rows, 3, similarity)[0]
+
+
+def test_differences_tell_how_sets_differ():
+    rng = np.random.default_rng(3)
+    usual = np.sort(rng.choice(10**6, 60, replace=False)).astype(np.uint64)
+    codes = np.where(np.arange(60) % 3 > 0, -1 - rng.integers(0, 9, 60), rng.integers(2, 9, 60)).astype(np.int64)
+    sets = [np.unique(np.concatenate([rng.choice(usual, rng.integers(52, 60), replace=False), rng.integers(0, 10**6, rng.integers(0, 5), dtype=np.uint64)])) for _ in range(80)]
+    told = [neardup.differences(s, usual.tobytes() + codes.tobytes(), (80, 100)) for s in sets]
+    linked = 0
+    for i in range(80):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            link = 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+            linked += link
+            assert link or told[i][0] + told[j][0] > 0
+            if link and told[i][0] + told[j][0] > 0:
+                at = {t: r for t, r in zip(told[i][1].tolist(), told[i][2].tolist(), strict=True)}
+                first = next((t, r) for t, r in zip(told[j][1].tolist(), told[j][2].tolist(), strict=True) if t in at)
+                assert told[j][0] <= at[first[0]] and told[i][0] <= first[1]
+    assert linked > 20
+    assert neardup.differences(sets[0], b"", (80, 100))[0] == 180 * len(sets[0]) - 20 * len(sets[0])
+
+
+def test_rows_compared_grow_with_the_group(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    by_group, counts = neardup._by_group, []
+
+    def counted(rows, judge, schema):
+        counts[-1] += rows.count()
+        return by_group(rows, judge, schema)
+
+    monkeypatch.setattr(neardup, "_by_group", counted)
+    for n in (600, 1200):
+        counts.append(0)
+        assert neardup.near_duplicates(docs(near_copies(n, 9)), 3, (85, 100)).count() == n
+    assert counts[1] <= 2.2 * counts[0]
+
+
 def test_classifier_on_rows_it_never_saw(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
