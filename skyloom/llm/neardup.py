@@ -28,6 +28,7 @@ from skyloom.llm.words import distinct_by_text, lowered, mix, shingles, span_has
 
 PARTS = 64
 BLOCK = 256
+DEPTH = 6
 TILE = 4096
 
 
@@ -294,12 +295,25 @@ def differences(own: np.ndarray, usual: bytes, similarity: tuple[int, int]) -> t
     return spread, rare, 2 * (of + share) * (len(apart) - np.arange(len(rare))) - spread
 
 
-def _crowded(member: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _rest(member: DataFrame, sets: DataFrame, similarity: tuple[int, int], depth: int = DEPTH) -> DataFrame:
+    """Links that span those between members of groups, other than to pivots; ``member`` has p, u, n, node and linked.
+
+    Groups of up to ``BLOCK`` are held together at once.  Larger ones fall into groups of a differing shingle, ``depth`` times at
+    most; what is still larger then is compared in blocks.
+    """
+    large = member.where(F.col("n") > BLOCK)
+    if not depth or large.isEmpty():
+        return _in_blocks(member, sets, similarity)
+    few = _in_blocks(member.where(F.col("n") <= BLOCK), sets, similarity)
+    return few.unionByName(_crowded(large.select("p", "n", "node"), sets, similarity, depth))
+
+
+def _crowded(member: DataFrame, sets: DataFrame, similarity: tuple[int, int], depth: int) -> DataFrame:
     """Links that span those between members of large groups (p, n, node), by what sets them apart from the usual.
 
     Where spreads add up to 0 or less, both are linked to the member with the smallest spread.  Other links lie inside the groups of
     one differing shingle: there all are held against the member with the smallest spread, and what that does not link
-    against the rest of its, by now small, group in blocks.
+    goes on as a group of its own, which is as a rule much smaller.
     """
 
     def judge(p: int, group: list[tuple]) -> tuple[list, ...]:
@@ -334,7 +348,7 @@ def _crowded(member: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
     judged = inside.join(star, ["p", "node"]).select(F.col("group").alias("p"), "node", "linked", "spread", "room")
     able = judged.groupBy("p").agg(F.min("spread").alias("least"), F.max("room").alias("most"))
     judged = judged.join(able, "p").where("least <= room and spread <= most").select("p", "node", "linked").distinct()
-    rest = _in_blocks(judged.join(_loose(judged), "p"), sets, similarity)
+    rest = _rest(written(judged.join(_loose(judged), "p"), "rare-loose"), sets, similarity, depth - 1)
     return near.unionByName(star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))).unionByName(rest)
 
 
@@ -347,10 +361,8 @@ def links(docs: DataFrame, classes: DataFrame, width: int, similarity: tuple[int
     wanted = pairs.select("node").unionByName(pairs.select(F.col("p").alias("node"))).distinct()
     sets = written(_sets(docs, wanted, width), "sets")
     star = written(_star(pairs, sets, similarity), "star")
-    member = star.join(_loose(star), "p")
-    rest = _in_blocks(member.where(F.col("n") <= BLOCK), sets, similarity)
-    crowded = _crowded(member.where(F.col("n") > BLOCK).select("p", "n", "node"), sets, similarity)
-    return star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b")).unionByName(rest).unionByName(crowded)
+    rest = _rest(written(star.join(_loose(star), "p"), "loose"), sets, similarity)
+    return star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b")).unionByName(rest)
 
 
 def classes_of(rows: DataFrame) -> DataFrame:

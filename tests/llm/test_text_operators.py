@@ -282,7 +282,7 @@ def test_rows_compared_grow_with_the_group(docs, monkeypatch):
     for n in (600, 1200):
         counts.append(0)
         assert neardup.near_duplicates(docs(near_copies(n, 9)), 3, (85, 100)).count() == n
-    assert counts[1] <= 2.2 * counts[0]
+    assert counts[1] <= 2.5 * counts[0]  # the stars of the pivots alone grow by 2.15; all pairs would grow by 4
 
 
 def test_classifier_on_rows_it_never_saw(spark):
