@@ -12,20 +12,21 @@ from skyloom.llm.vectors import takes_part
 LARGEST = 1 << 20
 LONGEST = 1 << 13
 SAMPLE = 2_048
-LIMB = 45
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """vec_id and the vector of floor(scale * x); rows that take no part are left out.
+    """vec_id and the vector of floor(scale * x), in double precision, which holds it exactly; rows that take no part are left out.
 
-    Null vectors, and those with null or non-finite components, take no part, nor do those with a component whose
-    whole number is none of 64 bits, as it is no BIGINT in SQL either.  ``plain`` rows have whole numbers of at
+    Null vectors, and those with null or non-finite components, take no part, nor do those of which ``scale * x`` itself
+    is beyond double precision (at a scale of 256 from 2^1016 on).  ``plain`` rows have whole numbers of at
     most 2^20 in size and at most 2^13 of them: sums of their products are exact in float64.
     """
     scaled = F.transform(F.col("embedding").cast("array<double>"), lambda x: x * scale)
     rows = vectors.where(takes_part(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("scaled"))
-    rows = rows.where(F.forall("scaled", lambda x: (x >= -(2.0**63)) & (x < 2.0**63)))
-    rows = rows.select("vec_id", F.transform("scaled", lambda x: F.floor(x)).alias("v")).withColumn("dim", F.size("v"))
+    rows = rows.where(takes_part(F.col("scaled")))
+    # From 2^53 on a double is a whole number, and its floor may leave 64 bits.
+    whole = F.transform("scaled", lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x))
+    rows = rows.select("vec_id", whole.alias("v")).withColumn("dim", F.size("v"))
     small = F.forall("v", lambda x: x.between(-LARGEST, LARGEST))
     return rows.withColumn("plain", small & (F.col("dim") <= LONGEST))
 
@@ -91,31 +92,32 @@ def best(query: np.ndarray, own: int, bound: np.ndarray, points: np.ndarray, ids
     return scores.astype(np.int64), found
 
 
-def whole_matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
 def best_of_large(query: np.ndarray, own: int, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[list[int], list[int]]:
     """The k best for one query where sums may leave float64 or 64 bits, as (scores, ids).
 
     Sums in float64 with their error bounds rule out candidates; what is left is scored in Python's whole numbers.
     """
     points, ids = points[ids != own], ids[ids != own]
-    about, sizes = points.astype(np.float64), query.astype(np.float64)
-    score = about @ sizes
-    error = 2.0**-50 * (len(query) + 4) * (np.abs(about) @ np.abs(sizes))
+    with np.errstate(over="ignore", invalid="ignore"):  # what leaves double precision is never ruled out
+        score = points @ query
+        error = 2.0**-50 * (len(query) + 4) * (np.abs(points) @ np.abs(query))
+        low, high = score - error, score + error
     if len(ids) > k:
-        least = np.partition(score - error, -k)[-k]
-        near = score + error >= least
+        least = np.partition(np.where(np.isfinite(low), low, -np.inf), -k)[-k]
+        near = ~(high < least)
         points, ids = points[near], ids[near]
-    exact = [int(x) for x in points.astype(object) @ query.astype(object)] if len(ids) else []
+    asked = [int(x) for x in query.tolist()]
+    exact = [sum(int(x) * y for x, y in zip(row, asked, strict=True)) for row in points.tolist()]
     top = sorted(zip((-x for x in exact), ids.tolist(), strict=True))[:k]
     return [-x for x, _ in top], [i for _, i in top]
 
 
-def limbs(score: int) -> tuple[int, int, int]:
-    """Parts of 64 bits that stand in the order of their whole number, which may have up to 150 bits."""
-    return score >> 2 * LIMB, score >> LIMB & (1 << LIMB) - 1, score & (1 << LIMB) - 1
+def in_order(score: int) -> bytes:
+    """Bytes that stand in the order of their whole number, of any size: length, then digits; both turned for negative ones."""
+    size = (abs(score).bit_length() + 7) // 8
+    if score >= 0:
+        return (0x8000 + size).to_bytes(2, "big") + score.to_bytes(size, "big")
+    return (0x7FFF - size).to_bytes(2, "big") + ((1 << 8 * size) - 1 + score).to_bytes(size, "big")
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16, block: int = 4_096, scale: int = 256) -> DataFrame:
@@ -139,11 +141,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16,
             dims = batch.column(2).to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                far = pivot_distances(matrix(part.column(1)), centre.get(int(dim), np.zeros((1, int(dim)))))
+                with np.errstate(over="ignore", invalid="ignore"):  # only plain rows are ever ruled out by these
+                    far = pivot_distances(matrix(part.column(1)), centre.get(int(dim), np.zeros((1, int(dim)))))
                 away = pa.ListArray.from_arrays(pa.array(np.arange(0, far.size + 1, far.shape[1], dtype=np.int32)), pa.array(far.ravel()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), part.column(3), away], names=["vec_id", "v", "dim", "plain", "away"])
 
-    schema = "vec_id long, v array<long>, dim int, plain boolean, away array<double>"
+    schema = "vec_id long, v array<double>, dim int, plain boolean, away array<double>"
     candidates = written(rows.select("vec_id", "v", "dim", "plain").mapInArrow(measured, schema), "pivot-table")
     asking = written(asked.select("vec_id", "v", "dim", "plain").mapInArrow(measured, schema), "queries")
     blocks, asks = max(1, -(-candidates.count() // block)), max(1, -(-asking.count() // block))
@@ -180,17 +183,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, pivots: int = 16,
         others = sides[0].filter(pc.invert(sides[0].column("plain")))
         for asking, offered in ((plain[0], large), (others, sides[1])):
             if asking.num_rows and offered.num_rows:
-                points, ids = whole_matrix(offered.column("v").combine_chunks()), offered.column("vec_id").to_numpy()
-                for query, own in zip(whole_matrix(asking.column("v").combine_chunks()), asking.column("vec_id").to_pylist(), strict=True):
+                points, ids = matrix(offered.column("v").combine_chunks()), offered.column("vec_id").to_numpy()
+                for query, own in zip(matrix(asking.column("v").combine_chunks()), asking.column("vec_id").to_pylist(), strict=True):
                     scores, found = best_of_large(query, own, points, ids, k)
                     add(own, found, scores)
-        parts = [limbs(x) for x in out[2]]
         held = [min(max(x, -(1 << 63)), (1 << 63) - 1) for x in out[2]]
-        columns = [out[0], out[1], held, *([p[i] for p in parts] for i in range(3))]
-        return pa.table([pa.array(x, pa.int64()) for x in columns], names=["query_id", "vec_id", "score", "high", "middle", "low"])
+        columns = [pa.array(x, pa.int64()) for x in (out[0], out[1], held)]
+        return pa.table([*columns, pa.array([in_order(int(x)) for x in out[2]], pa.binary())], names=["query_id", "vec_id", "score", "place"])
 
     left = dealt(asking, "q", asks, "c", blocks, 0)
     right = dealt(candidates, "c", blocks, "q", asks, 1)
-    found = left.unionByName(right).groupBy("dim", "q", "c").applyInArrow(judge, "query_id long, vec_id long, score long, high long, middle long, low long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("middle"), F.desc("low"), "vec_id")
+    found = left.unionByName(right).groupBy("dim", "q", "c").applyInArrow(judge, "query_id long, vec_id long, score long, place binary")
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -46,13 +46,13 @@ def test_top_k_equals_brute_force(spark, rows):
     got = topk.search(df, df.where("vec_id % 50 = 0"), block=64).collect()
     scaled = {}
     for i, v, _ in rows:
-        if i is not None and fit(v) and max(map(abs, v)) < 1000:
-            scaled[i] = np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)
+        if i is not None and fit(v):
+            scaled[i] = np.array([int(x) for x in np.floor(256 * np.array(v, np.float32).astype(float))], object)
     want = set()
     for q in (i for i in scaled if i % 50 == 0):
         ranked = sorted((-int(scaled[q] @ c), i) for i, c in scaled.items() if i != q and len(c) == len(scaled[q]))
-        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(ranked[:5])}
-    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == want and len(got) == len(want)
+        want |= {(q, n + 1, i, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, i) in enumerate(ranked[:5])}
+    assert 2050 in scaled and {(r.query_id, r.rank, r.vec_id, r.score) for r in got} == want and len(got) == len(want)
     assert topk.search(table(spark, []), table(spark, [])).count() == 0
 
 
@@ -63,9 +63,11 @@ def test_top_k_of_large_components(spark):
     rows = [(i, (rng.normal(size=6).clip(-1, 1) * size[i % 6]).tolist()) for i in range(240)]
     rows += [(300 + i, [5000.0, 0.0, 0.0, 0.0, 0.0, i % 3 / 256]) for i in range(8)]  # scores that float64 cannot tell apart
     rows += [(400 + i, [3e16, 3e16, 0.0, 0.0, 0.0, i % 3 / 256]) for i in range(8)]
+    rows += [(510 + i, [1e30, 1.0, 0.0, 0.0, 0.0, i / 256]) for i in range(3)]
     rows += [(500, [-1e300] * 6), (501, [-3.7e16] * 6), (502, [1e308] * 6), (503, [4097.0] * 6)]
     df = spark.createDataFrame(rows, schema)
-    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if max(map(abs, v)) < 2**55}
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if max(map(abs, v)) < 2.0**1016}
+    assert 501 in whole and 500 in whole and 502 not in whole
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.search(df, df.where("vec_id % 10 = 0"), block=64).collect()}
     want = {}
     for q in (i for i in whole if i % 10 == 0):
@@ -74,6 +76,12 @@ def test_top_k_of_large_components(spark):
     assert got == want and any(s == 2**63 - 1 for _, s in want.values())
 
 
+def test_whole_numbers_stand_in_order():
+    rng = np.random.default_rng(4)
+    values = [0, 1, -1, 255, 256, -255, -256, 2**64, -(2**64), 2**2040, -(2**2040)] + [int(x) for x in rng.integers(-(2**40), 2**40, 300)]
+    assert sorted(values) == sorted(values, key=topk.in_order)
+
+
 def test_top_k_of_components_beyond_float_sums_equals_sql(spark, tmp_path):
     con = duckdb.connect()
     rng = np.random.default_rng(9)
