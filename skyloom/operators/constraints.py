@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.dates import range_struct
-from skyloom.operators.scale import ABSENT, interval_pairs, matching_pairs, salted_join, union_all
+from skyloom.operators.scale import ABSENT, interval_pairs, matching_pairs, range_nodes, salted_join, union_all
 
 
 def _con(key: str) -> str:
@@ -52,16 +52,13 @@ def _range_overlaps(asked: Column, allowed: Column) -> Column:
     return F.flatten(F.transform(asked, one))
 
 
-def _months(texts: Column) -> Column:
-    """Calendar months that date ranges touch, as text: the join tokens of a range."""
+def _range_tokens(texts: Column, asks: bool) -> Column:
+    """Join tokens of date ranges as text, which ranges that overlap have in common."""
 
     def of(text: Column) -> Column:
         span = range_struct(text)
-        first, last = F.trunc(span["start"], "month"), F.trunc(span["end"], "month")
-        months = F.transform(
-            F.sequence(first, last, F.make_ym_interval(months=F.lit(1))), lambda m: F.date_format(m, "yyyy-MM")
-        )
-        return F.coalesce(months, F.array().cast("array<string>"))
+        nodes = F.transform(range_nodes(span["start"], span["end"], asks), lambda n: n.cast("string"))
+        return F.coalesce(nodes, F.array().cast("array<string>"))
 
     return F.array_distinct(F.flatten(F.transform(texts, of)))
 
@@ -70,12 +67,12 @@ def _tokens(columns: dict[str, Column], ranges: Sequence[str], absent_matches: b
     """Join tokens ``key=value``: of all keys, or of the ``first`` so many keys that have values.
 
     Where an absent key matches too, it stands as a token of its own, which the
-    other side carries next to its values.  Date ranges meet in the months they
-    touch.
+    other side carries next to its values.  Date ranges meet in blocks of days;
+    the side with ``first`` is the one that asks.
     """
     per_key = []
     for key, values in columns.items():
-        values = _months(values) if key in ranges else values
+        values = _range_tokens(values, bool(first)) if key in ranges else values
         absent = F.array(F.lit(f"{key}={ABSENT}"))
         named = F.transform(values, lambda v: F.concat(F.lit(f"{key}="), v))
         if first:

@@ -14,10 +14,13 @@ broadcasts a side only when its measured size is below the session's limit.
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
+from math import inf
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyloom.errors import NoData
 from skyloom.session import checkpointed
 
 ABSENT = "\u0000absent"  # token of a key that one side leaves open
@@ -141,23 +144,98 @@ def interval_pairs(
     spread_by: Sequence[str],
     salts: int | None = None,
 ) -> DataFrame:
-    """Pairs of rows whose date ranges, both ends included, overlap.
+    """Pairs of rows whose date ranges, both ends included, overlap; a range without days meets nothing.
 
-    Ranges are cut into calendar months; a pair is kept in the month where the
-    later of the two starts lies.  The left side is the large one.
+    Rows that meet on a node of :func:`range_nodes` overlap, and a pair meets on
+    one node, so nothing is tested or dropped after the join.  The left side is
+    the large one.
     """
+    node = "_node"
+    lefts = left.withColumn(node, F.explode(range_nodes(*map(F.col, left_range), asks=True)))
+    rights = right.withColumn(node, F.explode(range_nodes(*map(F.col, right_range), asks=False)))
+    return salted_join(lefts, rights, [*scope, node], spread_by, salts=salts).drop(node)
 
-    def months(start: str, end: str) -> Column:
-        first = F.trunc(start, "month")
-        return F.explode(F.sequence(first, F.trunc(end, "month"), F.make_ym_interval(months=F.lit(1))))
-
-    (ls, le), (rs, re) = left_range, right_range
-    lefts = left.where(F.col(ls) <= F.col(le)).withColumn("_month", months(ls, le))
-    rights = right.where(F.col(rs) <= F.col(re)).withColumn("_month", months(rs, re))
-    overlap = (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le))
-    first_common = F.col("_month") == F.trunc(F.greatest(ls, rs), "month")
-    joined = salted_join(lefts, rights, [*scope, "_month"], spread_by, salts=salts)
-    return joined.where(overlap & first_common).drop("_month")
+
+NODE_LEVELS = 22  # blocks of 1, 2, 4 ... days; the largest are longer than all years a date can have
+
+
+def range_nodes(start: Column, end: Column, asks: bool) -> Column:
+    """Blocks of days that a date range, both ends included, brings to a join; at most three for each level.
+
+    Two ranges overlap if the start of the asking one lies in the other, or if
+    the start of the other lies in the asking one after its first day, never
+    both.  A start stands for all blocks around it, a range for the fewest
+    blocks it consists of, so a start and a range have at most one in common.
+    """
+    first, after = F.unix_date(start), F.unix_date(end) + 1
+    levels = F.sequence(F.lit(0), F.lit(NODE_LEVELS - 1))
+
+    def around(day: Column, kind: int) -> Column:
+        return F.transform(levels, lambda k: _node(F.call_function("shiftright", day, k), k, kind))
+
+    def parts(low: Column, high: Column, kind: int) -> Column:
+        def of(k: Column) -> Column:
+            size = F.call_function("shiftleft", F.lit(1), k)
+            a = F.call_function("shiftright", low + size - 1, k)  # first and last block inside the range; odd ones
+            b = F.call_function("shiftright", high, k)  # have no larger block around them that is inside as well
+            odd = [(a < b) & (x.bitwiseAND(F.lit(1)) == 1) for x in (a, b)]
+            return F.array(F.when(odd[0], _node(a, k, kind)), F.when(odd[1], _node(b - 1, k, kind)))
+
+        return F.array_compact(F.flatten(F.transform(levels, of)))
+
+    if asks:
+        nodes = F.concat(around(first, 0), parts(first + 1, after, 1))
+    else:
+        nodes = F.concat(parts(first, after, 0), around(first, 1))
+    return F.when(first < after, nodes).otherwise(F.array().cast("array<bigint>"))
+
+
+def _node(block: Column, level: Column, kind: int) -> Column:
+    """Block, level and kind as one number."""
+    return (block.cast("bigint") * 32 + level) * 2 + kind
+
+
+def between_neighbours(rows: DataFrame, marks: DataFrame, at: str, spread_by: Sequence[str]) -> DataFrame:
+    """Add to every row the last mark up to its value ``at`` and the first one from it on, as ``_before`` and ``_after``.
+
+    ``marks`` has numbers in ``_mark``.  Rows and marks share one range shuffle,
+    in which also the rows of one value are spread, and nothing is joined.  The
+    least and the greatest mark of each partition come to the driver, to serve
+    the partitions beside it.  Where there is no mark on a side, it is infinite.
+    """
+    both = rows.withColumns({"_at": F.col(at).cast("double"), "_spread": F.xxhash64(*spread_by)}).unionByName(
+        marks.select("_mark", F.col("_mark").alias("_at"), F.lit(0).cast("bigint").alias("_spread")),
+        allowMissingColumns=True,
+    )
+    order = ["_at", "_spread"]
+    ranged = checkpointed(
+        both.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    )
+    held = ranged.where(F.col("_mark").isNotNull()).groupBy("_part").agg(F.min("_mark"), F.max("_mark")).collect()
+    if not held:
+        raise NoData(f"no coordinates on {at}")
+    ends = {part: (low, high) for part, low, high in held}
+    parts = range(max(ends, default=-1) + 2)  # beyond the last mark all partitions are alike
+    before = list(accumulate((ends.get(p, NO_MARK)[1] for p in parts[:-1]), max, initial=-inf))
+    after = list(accumulate((ends.get(p, NO_MARK)[0] for p in reversed(parts[1:])), min, initial=inf))[::-1]
+    up = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_part").orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    place = F.least(F.col("_part"), F.lit(parts[-1]))
+    near = ranged.withColumns(
+        {
+            "_before": F.coalesce(F.last("_mark", True).over(up), F.get(_numbers(before), place)),
+            "_after": F.coalesce(F.last("_mark", True).over(down), F.get(_numbers(after), place)),
+        }
+    )
+    return near.where(F.col("_mark").isNull()).drop("_mark", "_at", "_spread", "_part")
+
+
+NO_MARK = (inf, -inf)  # least and greatest of nothing
+
+
+def _numbers(values: Sequence[float]) -> Column:
+    """A constant array of doubles."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<double>")
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -159,6 +159,32 @@ def j3_areas(spark, d):
     return located.select("request_id", near(F.col("latitude")).alias("latitude"), "near_lat")
 
 
+@query(
+    "j3_nearest_on_fine_axis",
+    """
+WITH axis AS (SELECT DISTINCT CAST(o_orderkey * 37 % 36000 AS DOUBLE) / 100 - 180 AS x FROM orders),
+p AS (SELECT l_orderkey, CAST((l_partkey * 7919 + l_suppkey * 31 + l_linenumber) % 370000 AS DOUBLE) / 1000 - 185 AS longitude FROM lineitem),
+near AS (SELECT l_orderkey, longitude, low.x AS low, high.x AS high FROM p ASOF LEFT JOIN axis low ON p.longitude >= low.x
+ ASOF LEFT JOIN axis high ON p.longitude <= high.x)
+SELECT CASE WHEN low IS NULL OR longitude >= (low + high) / 2 THEN high ELSE low END AS near_lon, count(*) AS n_points,
+ CAST(sum(l_orderkey) AS BIGINT) AS orders, min(longitude) AS first_lon, max(longitude) AS last_lon FROM near GROUP BY 1""",
+)
+def j3_fine(spark, d):
+    def degrees(number, per_degree, first):
+        return number.cast("double") / per_degree - first
+
+    cells = table(spark, d, "orders").select(degrees(F.col("o_orderkey") * 37 % 36000, 100, 180).alias("longitude"))
+    place = (F.col("l_partkey") * 7919 + F.col("l_suppkey") * 31 + F.col("l_linenumber")) % 370000
+    points = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", degrees(place, 1000, 185).alias("longitude"))
+    located = G.nearest_points(cells, points, "longitude", "near_lon")
+    return located.groupBy("near_lon").agg(
+        F.count(F.lit(1)).alias("n_points"),
+        F.sum("l_orderkey").alias("orders"),
+        F.min("longitude").alias("first_lon"),
+        F.max("longitude").alias("last_lon"),
+    )
+
+
 @query(
     "j10_fields_to_model_grids",
     """

@@ -94,6 +94,36 @@ def j2(spark, d):
     return N.intersect_date_ranges(spans, ranges).select("request_id", "constraint_id", "start", "end")
 
 
+@query(
+    "j2_long_ranges",
+    """
+WITH r AS (SELECT o_orderkey AS request_id, c_nationkey AS dataset, CAST(o_orderdate AS DATE) - CAST(o_orderkey * 7 % 20000 AS INTEGER) AS s,
+ CAST(o_orderdate AS DATE) AS e FROM orders JOIN customer ON o_custkey = c_custkey),
+c AS (SELECT s_suppkey AS constraint_id, s_nationkey AS dataset, DATE '1940-01-01' + CAST(s_suppkey * 997 % 20000 AS INTEGER) AS s,
+ DATE '1940-01-01' + CAST(s_suppkey * 997 % 20000 + s_suppkey * 37 % 25000 AS INTEGER) AS e FROM supplier)
+SELECT request_id, constraint_id, greatest(r.s, c.s) AS "start", least(r.e, c.e) AS "end"
+FROM r JOIN c USING (dataset) WHERE r.s <= c.e AND c.s <= r.e""",
+)
+def j2_long(spark, d):
+    customer = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("dataset"))
+    day = F.to_date("o_orderdate")
+    asked = table(spark, d, "orders").join(customer, "o_custkey").select(
+        F.col("o_orderkey").alias("request_id"),
+        "dataset",
+        F.date_sub(day, (F.col("o_orderkey") * 7 % 20000).cast("int")).alias("start"),
+        day.alias("end"),
+    )
+    key, epoch = F.col("s_suppkey"), F.lit("1940-01-01").cast("date")
+    first = key * 997 % 20000
+    allowed = table(spark, d, "supplier").select(
+        key.alias("constraint_id"),
+        F.col("s_nationkey").alias("dataset"),
+        F.date_add(epoch, first.cast("int")).alias("d_start"),
+        F.date_add(epoch, (first + key * 37 % 25000).cast("int")).alias("d_end"),
+    )
+    return N.intersect_date_ranges(asked, allowed).select("request_id", "constraint_id", "start", "end")
+
+
 FORM_SQL = """
 form AS (SELECT DISTINCT dataset, 'param' AS key, unnest(param) AS value FROM v_con
  UNION SELECT DISTINCT dataset, 'type', unnest(type) FROM v_con)"""

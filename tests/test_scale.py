@@ -178,3 +178,72 @@ def test_cubes_too_large_to_count(spark):
     assert cubes.select(C.field_count(list("abcd")).alias("n")).first()["n"] is None
     with pytest.raises(Exception, match="too many fields"):
         C.unfold(cubes, list("abcd")).count()
+
+
+def random_ranges(rng, n):
+    """Days around 1970, so that blocks lie on both sides of day 0; some ranges are long, some are reversed, some lack an end."""
+    rows = []
+    for i in range(n):
+        start = dt.date(1970, 1, 1) + dt.timedelta(days=rng.randrange(-12000, 12000))
+        length = rng.choice([0, 1, 2, 30, 400, 9000, -3])
+        rows.append((i, i % 2, start, start + dt.timedelta(days=length) if rng.random() > 0.03 else None))
+    return rows
+
+
+def test_ranges_of_all_lengths_meet_once(spark):
+    rng = random.Random(17)
+    left, right = random_ranges(rng, 150), random_ranges(rng, 120)
+    lefts = spark.createDataFrame(left, "i int, k int, ls date, le date")
+    rights = spark.createDataFrame(right, "j int, k int, rs date, re date")
+    got = S.interval_pairs(lefts, rights, ["k"], ("ls", "le"), ("rs", "re"), ["i"]).select("i", "j").collect()
+    whole = lambda r: r[3] is not None and r[2] <= r[3]
+    want = {
+        (a[0], b[0])
+        for a in filter(whole, left)
+        for b in filter(whole, right)
+        if a[1] == b[1] and a[2] <= b[3] and b[2] <= a[3]
+    }
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_long_range_has_few_nodes_and_all_meetings_are_pairs(spark):
+    days = spark.sql("SELECT date'0001-01-01' AS s, date'9999-12-31' AS e UNION ALL SELECT date'1940-01-02', date'2026-07-30'")
+    for asks in (True, False):
+        sizes = [r["n"] for r in days.select(F.size(S.range_nodes(F.col("s"), F.col("e"), asks)).alias("n")).collect()]
+        assert max(sizes) <= 3 * S.NODE_LEVELS
+    plan = S.interval_pairs(
+        days, days.toDF("rs", "re"), [], ("s", "e"), ("rs", "re"), ["s"]
+    )
+    assert plan.count() == 4
+
+
+def test_constraints_with_ranges_of_centuries(spark):
+    from skyloom.operators import constraints as N
+
+    asked = [(1, "d", ["1850-01-01/2100-12-31"]), (2, "d", ["1999-05-01/1999-05-01", "1800-01-01/1800-02-01"]), (3, "d", ["1700-01-01/1700-01-02"])]
+    requests = spark.createDataFrame(asked, "request_id int, dataset string, d array<string>")
+    allowed = spark.createDataFrame([(7, "d", ["1800-01-15/1999-12-31"])], "constraint_id int, dataset string, d array<string>")
+    got = {r["request_id"]: r["d"] for r in N.intersect(requests, allowed, ["d"], ranges=["d"]).collect()}
+    assert got == {1: ["1850-01-01/1999-12-31"], 2: ["1999-05-01/1999-05-01", "1800-01-15/1800-02-01"]}
+
+
+def test_nearest_on_a_fine_axis_joins_nothing(spark):
+    import numpy as np
+
+    axis = np.round(np.arange(-18000, 18000) / 100, 2)
+    rng = np.random.default_rng(5)
+    asked = np.concatenate([np.full(1500, 12.3449), rng.uniform(-200, 200, 3000), axis[:300], [np.inf, -np.inf]])
+    cells = spark.createDataFrame([(float(x),) for x in axis], "longitude double").repartition(5)
+    points = spark.createDataFrame([(i, float(x)) for i, x in enumerate(asked)], "i int, longitude double").repartition(6)
+    located = G.nearest_points(cells, points, "longitude", "near")
+    got = np.array([r["near"] for r in located.orderBy("i").collect()])
+    at = np.searchsorted((axis[1:] + axis[:-1]) / 2, asked, side="right")
+    assert (got == axis[at]).all()
+    assert "Join" not in located._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_nearest_of_points_without_a_place_and_of_one_coordinate(spark):
+    cells = spark.createDataFrame([(4.0,), (None,), (float("nan"),)], "latitude double")
+    points = spark.createDataFrame([(1, None), (2, float("nan")), (3, -80.0), (4, 4.0), (5, 90.0)], "i int, latitude double")
+    got = {r["i"]: r["near"] for r in G.nearest_points(cells, points, "latitude", "near").collect()}
+    assert got == {1: None, 2: None, 3: 4.0, 4: 4.0, 5: 4.0}
