@@ -271,8 +271,13 @@ def problems(rule: Rule, values: Column) -> Column:
 
 
 def first_repeated(values: Column) -> Column:
-    """The first element that occurs again."""
-    return F.get(F.filter(values, lambda v: F.size(F.filter(values, lambda w: w == v)) > 1), 0)
+    """The first element that occurs again.
+
+    Equal elements lie side by side once the list is in order, so a long list is not searched for each of its elements.
+    """
+    ordered = F.array_sort(F.transform(values, lambda v, i: F.struct(v.alias("v"), i.alias("i"))))
+    again = F.zip_with(ordered, F.slice(ordered, 2, F.size(ordered)), lambda a, b: F.when(a["v"] == b["v"], a["i"]))
+    return F.get(values, F.array_min(again))
 
 
 def check(requests: DataFrame, rules: Sequence[Rule]) -> DataFrame:

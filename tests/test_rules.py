@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from skyloom.operators import rules as V
 from skyloom.operators.rules import Rule
@@ -92,3 +93,10 @@ def test_unknown_keys(spark):
         V.unknown_key_message(F.col("r"), ["a"]).alias("message"),
     ).first()
     assert (row["kept"], row["listed"], row["message"]) == (["a", "x1"], ["a", "x1"], "request: Invalid key names: 'b', 'x1'")
+
+
+def test_first_repeated_value_of_long_lists(spark):
+    rows = [(1, ["b", "a", "c", "a", "b"]), (2, ["a", None, None]), (3, []), (4, None), (5, [str(i) for i in range(20000)] + ["7", "3"])]
+    lists = spark.createDataFrame(rows, "i int, values array<string>")
+    got = {r["i"]: r["first"] for r in lists.select("i", V.first_repeated(F.col("values")).alias("first")).collect()}
+    assert got == {1: "b", 2: None, 3: None, 4: None, 5: "3"}
