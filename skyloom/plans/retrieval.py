@@ -4,12 +4,15 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.errors import InvalidRequest, NoData
 from skyloom.operators.scale import union_all
+from skyloom.session import scratch
+from skyloom.tables import literal_rows
 
 log = logging.getLogger(__name__)
 
@@ -57,3 +60,35 @@ def unite_sources(sources: Mapping[str, Callable[[], DataFrame]]) -> tuple[DataF
     if not parts:
         raise NoData("no source could answer the request")
     return union_all(parts), failed
+
+
+OUTCOMES = {"source": "string", "answered": "boolean", "fault": "string"}
+
+
+def unite_written(
+    spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of all sources as in :func:`unite_sources`, and an outcome for each: also a fault while a source is read counts.
+
+    Each source is written to the shared folder by a job of its own, after
+    Spark's own retries.  The rows come from the sources that were written
+    whole; what a failed job left behind is not read.  All sources failing is an
+    error.
+    """
+    parts: list[DataFrame] = []
+    outcomes: list[dict] = []
+    for name, read in sources.items():
+        path = scratch(spark, "source")
+        try:
+            rows = read()
+            rows.write.parquet(path)
+        except (PySparkException, Py4JJavaError, InvalidRequest, NoData) as problem:
+            fault = str(problem).partition("\n")[0]
+            log.warning("source %s gives nothing: %s", name, fault)
+            outcomes.append({"source": name, "answered": False, "fault": fault})
+            continue
+        parts.append(spark.read.schema(rows.schema).parquet(path).withColumn("source", F.lit(name)))
+        outcomes.append({"source": name, "answered": True})
+    if not parts:
+        raise NoData("no source could answer the request")
+    return union_all(parts), spark.range(1).select(F.inline(literal_rows(outcomes, OUTCOMES)))

@@ -284,6 +284,34 @@ def h13(spark, d):
     return union.select("observation_id", "source", F.coalesce("processing_level", F.lit(-1)).alias("processing_level"))
 
 
+@query(
+    "h13_outcomes",
+    """
+WITH u AS (SELECT 'first' AS source, observation_id FROM v_obs WHERE observed_variable_code <= 2
+ UNION ALL SELECT 'second', observation_id FROM v_obs WHERE observed_variable_code BETWEEN 2 AND 4)
+SELECT s.source, answered, count(observation_id) AS n_rows, CAST(sum(observation_id) AS BIGINT) AS ids
+FROM (VALUES ('first', true), ('second', true), ('while_read', false), ('no_column', false)) s(source, answered) LEFT JOIN u USING (source)
+GROUP BY 1, 2""",
+)
+def h13_outcomes(spark, d):
+    from skyloom.plans.retrieval import unite_written
+
+    obs = v_obs(spark, d).select("observation_id", "observed_variable_code")
+    unreadable = F.when(F.col("observation_id") > 0, F.raise_error(F.lit("unreadable"))).otherwise(F.col("observation_id"))
+    rows, outcomes = unite_written(
+        spark,
+        {
+            "first": lambda: obs.where("observed_variable_code <= 2"),
+            "second": lambda: obs.where("observed_variable_code BETWEEN 2 AND 4"),
+            "while_read": lambda: obs.withColumn("observation_id", unreadable.cast("bigint")),
+            "no_column": lambda: obs.select("no_such_column"),
+        },
+    )
+    given = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("observation_id").alias("ids"))
+    joined = outcomes.join(given, "source", "left")
+    return joined.select("source", "answered", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "ids")
+
+
 @query(
     "w2_clumps_of_mask",
     """

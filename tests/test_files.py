@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skyloom.errors import ConfigurationError, NoData
 from skyloom.operators import observations as O
-from skyloom.plans.retrieval import unite_sources
+from skyloom.plans.retrieval import unite_sources, unite_written
 from skyloom.plans.suite_observations import CODES, with_units
 from skyloom.plans.views import v_field, v_grid, v_obs, v_stored
 from skyloom.sinks import files
@@ -174,3 +174,25 @@ def test_coordinates_lie_beside_the_cells(spark, folder, tmp_path):
     point = spark.createDataFrame([(10.0, 100.0)], "latitude double, longitude double")
     found = gridstore.scan(store, ["view"], "2024", "2024", points=point, axes=axes)
     assert {(r["latitude"], r["longitude"]) for r in found.select("latitude", "longitude").distinct().collect()} == {(15.0, 90.0)}
+
+
+def test_source_with_a_broken_file_is_left_out_whole(spark, tmp_path):
+    good, bad = str(tmp_path / "good"), tmp_path / "bad"
+    spark.range(5).write.parquet(good)
+    spark.range(100, 200, numPartitions=3).write.parquet(str(bad))
+    file = sorted(bad.glob("part-*.parquet"))[1]
+    body = file.read_bytes()
+    file.write_bytes(body[:40] + bytes(len(body) - 80) + body[-40:])
+    schema = spark.read.parquet(good).schema
+    read = lambda path: lambda: spark.read.schema(schema).parquet(path)
+    rows, outcomes = unite_written(spark, {"good": read(good), "bad": read(str(bad)), "gone": read(str(tmp_path / "gone"))})
+    assert sorted((r["source"], r["id"]) for r in rows.collect()) == [("good", i) for i in range(5)]
+    got = {r["source"]: (r["answered"], r["fault"] is None) for r in outcomes.collect()}
+    assert got == {"good": (True, True), "bad": (False, False), "gone": (False, False)}
+    with pytest.raises(NoData):
+        unite_written(spark, {"bad": read(str(bad))})
+
+
+def test_source_without_rows_answers(spark):
+    rows, outcomes = unite_written(spark, {"empty": lambda: spark.range(0), "some": lambda: spark.range(2)})
+    assert rows.count() == 2 and outcomes.where("answered").count() == 2
