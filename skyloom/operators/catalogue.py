@@ -2,6 +2,7 @@
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from skyloom.functions.dates import relative_range
 from skyloom.functions.space import cell_of_point, cells_of_box
 from skyloom.operators.cubes import compare
-from skyloom.operators.scale import group_ordinals, matching_pairs, salted_join
+from skyloom.operators.scale import group_ordinals, salted_join
 
 EDGES = ("north", "west", "south", "east")
 FIELDS_PER_CALL = 50  # fixed value: most fields of one backend call
@@ -175,9 +176,9 @@ def facet_candidates(
 ) -> DataFrame:
     """Candidates whose values, seen through their groups, hold every value a request names.
 
-    A request may leave a key open; it is matched on the first key through join
-    tokens, and on the others by value.  ``searches`` gives patterns such as
-    ``^{period}$`` that a facet must match once the request's value is put in.
+    A request may leave any key open.  Requests that ask for the same are looked
+    up once.  ``searches`` gives patterns such as ``^{period}$`` that a facet
+    must match once the request's value is put in.
     """
     searches = searches or {}
     candidates = candidates.withColumnsRenamed({k: f"c_{k}" for k in searches})
@@ -186,24 +187,40 @@ def facet_candidates(
         for group, members in named.items():
             grouped = F.when(F.col(key).isin(list(members)), group).otherwise(grouped)
         candidates = candidates.withColumn(key, grouped)
-    renamed = candidates.withColumnsRenamed({k: f"c_{k}" for k in keys})
-    first = keys[0]
-    open_mark = F.lit("\u0000open")
-    keep = F.lit(True)
-    for key in keys:
-        keep = keep & (F.col(key).isNull() | (F.col(key) == F.col(f"c_{key}")))
+    asked = [*keys, *searches]
+    requests = requests.withColumn("_asked", F.to_json(F.struct(*asked)))
+    met = facet_meetings(requests.select("_asked", *asked).distinct(), candidates, keys)
     for key, template in searches.items():
         before, _, after = template.partition("{" + key + "}")
         pattern = F.concat(F.lit(before), F.col(key), F.lit(after))
-        keep = keep & (F.col(key).isNull() | F.rlike(F.col(f"c_{key}"), pattern))
-    return matching_pairs(
-        requests,
-        renamed,
-        [],
-        F.array(F.coalesce(F.col(first), open_mark)),
-        F.array(F.col(f"c_{first}"), open_mark),
-        keep,
-    )
+        met = met.where(F.col(key).isNull() | F.rlike(F.col(f"c_{key}"), pattern))
+    return requests.join(met.drop(*asked), "_asked").drop("_asked")
+
+
+def facet_meetings(selections: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Pairs of a selection and a candidate that agree on all keys the selection names; the candidate's are ``c_<key>``.
+
+    A selection is looked up under all values it names together, and a candidate
+    stands under its values for each set of keys that some selection names, so
+    only pairs that agree meet.  The driver learns which sets of keys there are.
+    """
+    candidates = candidates.withColumnsRenamed({k: f"c_{k}" for k in keys})
+    bits = [F.when(F.col(k).isNull(), 0).otherwise(1 << i) for i, k in enumerate(keys)]
+    selections = selections.withColumn("_set", sum(bits, F.lit(0)))
+    sets = [row["_set"] for row in selections.select("_set").distinct().collect()] or [0]
+
+    def token(chosen: int, prefix: str = "") -> Column:
+        values = [F.col(prefix + k).cast("string") for i, k in enumerate(keys) if chosen >> i & 1]
+        whole = reduce(lambda a, b: a & b, [v.isNotNull() for v in values], F.lit(True))
+        return F.when(whole, F.xxhash64(F.lit(chosen), *values))
+
+    asking = selections.withColumn("_token", F.coalesce(*[F.when(F.col("_set") == s, token(s)) for s in sets]))
+    standing = candidates.withColumn("_token", F.explode(F.array_compact(F.array(*[token(s, "c_") for s in sets]))))
+    agree = F.lit(True)
+    for key in keys:  # two values with one hash
+        agree = agree & (F.col(key).isNull() | (F.col(key) == F.col(f"c_{key}")))
+    met = salted_join(standing, asking, ["_token"], candidates.columns)
+    return met.where(agree).drop("_token", "_set")
 
 
 def subset_arguments(

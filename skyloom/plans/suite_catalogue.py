@@ -349,6 +349,29 @@ def j8(spark, d):
     )
 
 
+@query(
+    "j8_first_facet_open",
+    """
+SELECT r.o_orderkey AS request_id, count(*) AS n_candidates, min(p_partkey) AS first_candidate FROM orders r JOIN part p
+ ON p.p_type = CASE WHEN o_orderkey % 2 = 0 THEN 'SMALL' ELSE 'LARGE' END AND p.p_size = o_custkey % 50 + 1
+ AND (o_orderkey % 3 > 0 OR p.p_brand = 'Brand#' || (o_custkey % 25 + 1)) GROUP BY 1""",
+)
+def j8_open(spark, d):
+    parts = table(spark, d, "part").select(
+        "p_partkey", F.col("p_brand").alias("brand"), F.col("p_type").alias("kind"), F.col("p_size").cast("string").alias("size")
+    )
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    wanted = table(spark, d, "orders").select(
+        order.alias("request_id"),
+        F.when(order % 3 == 0, F.concat(F.lit("Brand#"), (customer % 25 + 1).cast("string"))).alias("brand"),
+        F.when(order % 2 == 0, "SMALL").otherwise("LARGE").alias("kind"),
+        (customer % 50 + 1).cast("string").alias("size"),
+    )
+    return K.facet_candidates(wanted, parts, ["brand", "kind", "size"], {}).groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.min("p_partkey").alias("first_candidate")
+    )
+
+
 @query(
     "j9_conditional_tags",
     """

@@ -247,3 +247,33 @@ def test_nearest_of_points_without_a_place_and_of_one_coordinate(spark):
     points = spark.createDataFrame([(1, None), (2, float("nan")), (3, -80.0), (4, 4.0), (5, 90.0)], "i int, latitude double")
     got = {r["i"]: r["near"] for r in G.nearest_points(cells, points, "latitude", "near").collect()}
     assert got == {1: None, 2: None, 3: 4.0, 4: 4.0, 5: 4.0}
+
+
+def test_facets_with_the_first_open_meet_only_what_agrees(spark):
+    from skyloom.operators import catalogue as K
+
+    rng = random.Random(23)
+    pick = lambda values: rng.choice(values)
+    stock = [(i, pick("abc"), pick("xyz"), pick(["v1", "v2", None])) for i in range(400)]
+    asked = [(i, pick([None, None, "a"]), pick([None, "x", "y"]), pick(["v1", None]), pick([None, "1"])) for i in range(200)]
+    asked += [(1000 + i, None, "x", "v1", None) for i in range(100)]
+    candidates = spark.createDataFrame(stock, "c int, first string, second string, third string").withColumn("name", F.concat("first", F.col("c") % 10))
+    requests = spark.createDataFrame(asked, "r int, first string, second string, third string, name string")
+    keys = ["first", "second", "third"]
+    got = [tuple(p) for p in K.facet_candidates(requests, candidates, keys, {}, {"name": "{name}$"}).select("r", "c").collect()]
+    agrees = lambda a, b: all(x is None or x == y for x, y in zip(a[1:4], b[1:4]))
+    want = {(a[0], b[0]) for a in asked for b in stock if agrees(a, b) and (a[4] is None or b[0] % 10 == 1)}
+    assert len(got) == len(want) and set(got) == want
+    met = K.facet_meetings(requests.where("first IS NULL").select("r", *keys), candidates, keys)
+    open_first = [a for a in asked if a[1] is None]
+    assert met.count() == sum(agrees(a, b) for a in open_first for b in stock)
+
+
+def test_facets_of_no_requests_or_candidates(spark):
+    from skyloom.operators import catalogue as K
+
+    some = spark.createDataFrame([(1, "a")], "c int, first string")
+    asked = spark.createDataFrame([(1, None), (2, "a")], "r int, first string")
+    assert K.facet_candidates(asked.limit(0), some, ["first"], {}).count() == 0
+    assert K.facet_candidates(asked, some.limit(0), ["first"], {}).count() == 0
+    assert K.facet_candidates(asked, some, ["first"], {}).count() == 2
