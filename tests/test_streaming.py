@@ -74,3 +74,34 @@ def test_embargo_releases_a_field_once(spark, tmp_path):
         embargo(spark.createDataFrame(rows, schema), batch)
     released = [r["name"] for r in spark.read.parquet(str(tmp_path / "store" / "released")).collect()]
     assert len(released) == len(set(released)) == 10 - embargo.held_after(spark, 3).count()
+
+
+def test_embargo_lists_only_the_days_it_gives_out(spark, tmp_path, monkeypatch):
+    embargo = MovingEmbargo(str(tmp_path / "store"), 2, lambda batch: dt.datetime(2024, 1, 1) + dt.timedelta(days=batch))
+    asked, held = [], MovingEmbargo._held
+    monkeypatch.setattr(MovingEmbargo, "_held", lambda self, spark, days: asked.append(len(days)) or held(self, spark, days))
+    arrivals = []
+    for batch in range(9):
+        first = dt.date(2024, 1, 1) + dt.timedelta(days=batch)
+        rows = [(f"{batch}-{k}", first + dt.timedelta(days=k)) for k in range(-3, 4)]
+        arrivals += rows
+        embargo(spark.createDataFrame(rows, "name string, d date"), batch)
+    assert asked == [1, 2, 3, 4, 5, 5, 5, 5]
+    assert spark.read.parquet(str(tmp_path / "store" / "days" / "batch=8")).count() == 15
+    released = [r["name"] for r in spark.read.parquet(str(tmp_path / "store" / "released")).collect()]
+    still = [r["name"] for r in embargo.held_after(spark, 8).collect()]
+    assert sorted(released + still) == sorted(name for name, _ in arrivals)
+    limit = dt.date(2024, 1, 7)
+    assert sorted(still) == sorted(name for name, day in arrivals if day > limit)
+
+
+def test_embargo_goes_on_with_a_new_object_and_runs_a_batch_again(spark, tmp_path):
+    clock = lambda batch: dt.datetime(2024, 1, 10) + dt.timedelta(days=5 * batch)
+    first = spark.createDataFrame([("a", dt.date(2024, 1, 8)), ("b", dt.date(2024, 1, 30)), ("none", None)], "name string, d date")
+    nothing = first.where("false")
+    MovingEmbargo(str(tmp_path / "store"), 5, clock)(first, 0)
+    assert {r["name"] for r in MovingEmbargo(str(tmp_path / "store"), 5, clock).held_after(spark, 0).collect()} == {"a", "b"}
+    for _ in range(2):
+        MovingEmbargo(str(tmp_path / "store"), 5, clock)(nothing, 1)
+    released = spark.read.parquet(str(tmp_path / "store" / "released")).collect()
+    assert [(r["name"], r["batch"]) for r in released] == [("a", 1)]
