@@ -8,8 +8,8 @@
 Salting copies the smaller side, so it is used where that side is a lookup:
 constraints, codes, axes, group sizes.  Where both sides are tables of fields
 the join is left to Spark, whose adaptive execution splits a skewed partition
-of the left side at run time.  No join here carries a broadcast hint: Spark
-broadcasts a side only when its measured size is below the session's limit.
+of the left side at run time.  No join here carries a broadcast hint, and a side
+that is copied is kept from a broadcast that only its size before the copies allows.
 """
 
 from collections.abc import Sequence
@@ -83,6 +83,21 @@ def default_salts(df: DataFrame) -> int:
     return max(8, min(64, partitions // 16))
 
 
+IN_MEMORY = 4  # rows in memory against the compressed files that Spark's estimate goes by
+
+
+def copied(df: DataFrame, copies: int) -> DataFrame:
+    """A side of a join that ``explode`` made up to ``copies`` times as long.
+
+    Spark's estimate leaves out what ``explode`` adds, so it would send a side of
+    many rows whole through the driver.  Such a side is joined by a shuffle.
+    """
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = conf.autoBroadcastJoinThreshold()
+    return df.hint("merge") if size <= limit < size * copies * IN_MEMORY else df
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
@@ -102,7 +117,7 @@ def salted_join(
         raise ValueError(f"a {how} join cannot be salted on its left side")
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return left.join(copied(right, salts), [*on, "_salt"], how).drop("_salt")
 
 
 def matching_pairs(

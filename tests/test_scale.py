@@ -277,3 +277,30 @@ def test_facets_of_no_requests_or_candidates(spark):
     assert K.facet_candidates(asked.limit(0), some, ["first"], {}).count() == 0
     assert K.facet_candidates(asked, some.limit(0), ["first"], {}).count() == 0
     assert K.facet_candidates(asked, some, ["first"], {}).count() == 2
+
+
+def joined_by(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "broadcast" if "BroadcastHashJoin" in plan else "shuffle"
+
+
+def with_broadcasts_below(spark, size, check):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        check()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_copies_of_a_small_side_are_not_broadcast(spark):
+    big, small = spark.range(5000).selectExpr("id", "id % 100 AS k"), spark.range(100).selectExpr("id AS k", "id * 2 AS v")
+
+    def check():  # 1,600 bytes before the copies
+        got = S.salted_join(big, small, ["k"], ["id"], salts=8)
+        assert joined_by(got) == "shuffle"
+        assert got.selectExpr("count(*)", "sum(v)").first() == (5000, 495000)
+        assert joined_by(S.salted_join(big, small.limit(1), ["k"], ["id"], salts=2)) == "broadcast"
+
+    with_broadcasts_below(spark, 20000, check)
