@@ -105,19 +105,21 @@ def salted_join(
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int | None = None,
+    copies: int = 1,
 ) -> DataFrame:
     """Equality join that spreads each key of ``big`` over ``salts`` tasks.
 
     ``small`` is copied once per salt.  Right for inner, left, semi and anti
     joins, where every row of ``big`` must meet all rows of its key.  How many
-    salts there are follows from the session's shuffle partitions.
+    salts there are follows from the session's shuffle partitions.  ``copies``
+    tells how many rows one row of ``small`` was made into before.
     """
     salts = salts or default_salts(big)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a {how} join cannot be salted on its left side")
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(copied(right, salts), [*on, "_salt"], how).drop("_salt")
+    return left.join(copied(right, salts * copies), [*on, "_salt"], how).drop("_salt")
 
 
 def matching_pairs(
@@ -141,11 +143,17 @@ def matching_pairs(
     lefts = left.withColumn(l_set, _hashed(left_tokens)).withColumn(token, F.explode(l_set))
     rights = right.withColumn(r_set, _hashed(right_tokens)).withColumn(token, F.explode(r_set))
     on = [*scope, token]
-    joined = salted_join(lefts, rights, on, spread_by, salts=salts) if spread_by else lefts.join(rights, on)
+    if spread_by:
+        joined = salted_join(lefts, rights, on, spread_by, salts=salts, copies=USUAL_TOKENS)
+    else:
+        joined = lefts.join(copied(rights, USUAL_TOKENS), on)
     once = F.array_min(F.array_intersect(l_set, r_set)) == F.col(token)
     return joined.where(once & keep).drop(l_set, r_set, token)
 
 
+USUAL_TOKENS = 16  # rows that one row is taken to make where it is exploded on its tokens
+
+
 def _hashed(tokens: Column) -> Column:
     return F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t)))
 
@@ -168,7 +176,7 @@ def interval_pairs(
     node = "_node"
     lefts = left.withColumn(node, F.explode(range_nodes(*map(F.col, left_range), asks=True)))
     rights = right.withColumn(node, F.explode(range_nodes(*map(F.col, right_range), asks=False)))
-    return salted_join(lefts, rights, [*scope, node], spread_by, salts=salts).drop(node)
+    return salted_join(lefts, rights, [*scope, node], spread_by, salts=salts, copies=3 * NODE_LEVELS).drop(node)
 
 
 NODE_LEVELS = 22  # blocks of 1, 2, 4 ... days; the largest are longer than all years a date can have

@@ -304,3 +304,15 @@ def test_copies_of_a_small_side_are_not_broadcast(spark):
         assert joined_by(S.salted_join(big, small.limit(1), ["k"], ["id"], salts=2)) == "broadcast"
 
     with_broadcasts_below(spark, 20000, check)
+
+
+def test_ranges_laid_out_are_not_broadcast(spark):
+    asked = spark.range(200).selectExpr("id", "0 AS k", "date_add(DATE '2000-01-01', int(id)) AS s", "date_add(DATE '2000-03-01', int(id)) AS e")
+    allowed = spark.range(100).selectExpr("id AS c", "0 AS k", "date_add(DATE '2000-01-01', int(id)) AS ds", "date_add(DATE '2002-01-01', int(id)) AS de")
+
+    def check():  # 2,400 bytes before they are laid out
+        got = S.interval_pairs(asked, allowed, ["k"], ("s", "e"), ("ds", "de"), ["id"], 2)
+        assert joined_by(got) == "shuffle"
+        assert got.count() == 19220  # the 780 other pairs lie apart
+
+    with_broadcasts_below(spark, 100000, check)
