@@ -1 +1,8 @@
+"""Operators on requests, fields and grids."""
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the workers by value, so the workers need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

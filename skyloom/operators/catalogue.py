@@ -4,48 +4,56 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions.dates import relative_range
 from skyloom.functions.space import cell_of_point, cells_of_box
 from skyloom.operators.cubes import compare
+from skyloom.operators.meetings import Columns, meetings
 from skyloom.operators.scale import group_ordinals, salted_join
 
 EDGES = ("north", "west", "south", "east")
 FIELDS_PER_CALL = 50  # fixed value: most fields of one backend call
 
 
-def points_strictly_inside(areas: DataFrame, points: DataFrame, cell: float = 10.0) -> DataFrame:
-    """Pairs of a request box and a configured point strictly inside it.
+def points_strictly_inside(
+    areas: DataFrame, points: DataFrame, cell: float = 10.0, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Pairs of a request box and a configured point strictly inside it, with all columns or those named.
 
     Points with malformed coordinates are dropped.  Boxes are laid over coarse
-    cells, which turns the range join into an equality join; ``cell`` in degrees
+    cells, and points and boxes of a cell are compared in blocks; ``cell`` in degrees
     should be about the size of a box.
     """
     located = (
-        points.withColumn("_lat", F.col("latitude").try_cast("double"))
-        .withColumn("_lon", F.col("longitude").try_cast("double"))
-        .where("_lat IS NOT NULL AND _lon IS NOT NULL")
-        .withColumn("_cell", cell_of_point(F.col("_lat"), F.col("_lon"), cell))
-        .drop("latitude", "longitude")
+        points.withColumn("latitude", F.col("latitude").try_cast("double"))
+        .withColumn("longitude", F.col("longitude").try_cast("double"))
+        .where("latitude IS NOT NULL AND longitude IS NOT NULL")
+        .withColumn("_cell", cell_of_point(F.col("latitude"), F.col("longitude"), cell))
     )
     boxes = areas.where("north > south AND east > west").withColumn(
         "_cell", F.explode(cells_of_box(*[F.col(e) for e in EDGES], cell))
     )
-    inside = (
-        (F.col("_lat") < F.col("north"))
-        & (F.col("_lon") > F.col("west"))
-        & (F.col("_lat") > F.col("south"))
-        & (F.col("_lon") < F.col("east"))
-    )
-    pairs = salted_join(boxes, located, ["_cell"], areas.columns).where(inside)  # many boxes may lie over one place
-    return pairs.drop("_cell").withColumnsRenamed({"_lat": "latitude", "_lon": "longitude"})
+
+    def inside(box: Columns, point: Columns) -> np.ndarray:
+        met = point["latitude"] < box["north"]
+        met &= point["longitude"] > box["west"]
+        met &= point["latitude"] > box["south"]
+        met &= point["longitude"] < box["east"]
+        return met
+
+    return meetings(boxes, located, ["_cell"], inside, columns or _but_cell(boxes, located))
+
+
+def _but_cell(*sides: DataFrame) -> list[str]:
+    return [c for side in sides for c in side.columns if not c.startswith("_")]
 
 
 def map_areas_to_values(areas: DataFrame, points: DataFrame, value: str, order: str) -> DataFrame:
     """Values of the points inside each request box, in the order of the configuration."""
-    pairs = points_strictly_inside(areas, points)
+    pairs = points_strictly_inside(areas, points, columns=["request_id", order, value])
     listed = pairs.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("_l"))
     return listed.select("request_id", F.col(f"_l.{value}").alias("values"))
 
@@ -59,24 +67,37 @@ def append_values(requests: DataFrame, mapped: DataFrame, key: str) -> DataFrame
     return joined.withColumn(key, F.when(F.col("_found").isNotNull(), both).otherwise(known)).drop("_found")
 
 
-def overlapping_features(areas: DataFrame, features: DataFrame, cell: float = 10.0) -> DataFrame:
-    """Pairs of a request box and a feature whose bounding box meets it.
+def overlapping_features(
+    areas: DataFrame,
+    features: DataFrame,
+    cell: float = 10.0,
+    columns: Sequence[str] | None = None,
+    at_most: tuple[str, int] | None = None,
+    counted: str | None = None,
+) -> DataFrame:
+    """Pairs of a request box and a feature whose bounding box meets it, with all columns or those named.
 
-    Both boxes are laid over coarse cells; a pair is kept in the cell of the
-    corner where the overlap begins, so it appears once.
+    Both boxes are laid over coarse cells, whose boxes are compared in blocks; a pair is kept in the cell of the
+    corner where the overlap begins, so it appears once.  ``at_most`` and ``counted`` are those of
+    :func:`skyloom.operators.meetings.meetings`, for what needs only some pairs of a request or their number.
     """
     boxes = areas.withColumn("_cell", F.explode(cells_of_box(*[F.col(e) for e in EDGES], cell)))
+    boxes = boxes.withColumns({"_y": F.col("_cell.cy"), "_x": F.col("_cell.cx")})
     renamed = features.withColumnsRenamed({e: f"f_{e}" for e in EDGES})
     placed = renamed.withColumn("_cell", F.explode(cells_of_box(*[F.col(f"f_{e}") for e in EDGES], cell)))
-    meets = (
-        (F.col("f_south") <= F.col("north"))
-        & (F.col("f_north") >= F.col("south"))
-        & (F.col("f_west") <= F.col("east"))
-        & (F.col("f_east") >= F.col("west"))
-    )
-    corner = cell_of_point(F.greatest("south", "f_south"), F.greatest("west", "f_west"), cell)
-    pairs = salted_join(boxes, placed, ["_cell"], areas.columns)
-    return pairs.where(meets & (F.col("_cell") == corner)).drop("_cell")
+
+    def meets(box: Columns, feature: Columns) -> np.ndarray:
+        met = feature["f_south"] <= box["north"]
+        met &= feature["f_north"] >= box["south"]
+        met &= feature["f_west"] <= box["east"]
+        met &= feature["f_east"] >= box["west"]
+        for edge, at in (("south", "_y"), ("west", "_x")):  # the larger of both edges lies in this cell
+            a, b = np.floor(box[edge] / cell), np.floor(feature[f"f_{edge}"] / cell)
+            here = box[at][:1]
+            met &= ((a == here) & (b <= here)) | ((a <= here) & (b == here))
+        return met
+
+    return meetings(boxes, placed, ["_cell"], meets, columns or _but_cell(boxes, placed), at_most, counted)
 
 
 def first_features(pairs: DataFrame, by: Sequence[str], order: str, n: int) -> DataFrame:

@@ -263,7 +263,7 @@ def features(spark, d):
 
 @query("j5_features_in_box", f"WITH {FEATURE_SQL} SELECT request_id, site_id FROM v_area JOIN feature ON {MEET}")
 def j5(spark, d):
-    return K.overlapping_features(v_area(spark, d), features(spark, d)).select("request_id", "site_id")
+    return K.overlapping_features(v_area(spark, d), features(spark, d), columns=["request_id", "site_id"])
 
 
 @query(

@@ -12,6 +12,7 @@ from skyloom.operators import constraints as N
 from skyloom.operators import cubes as C
 from skyloom.operators import forms
 from skyloom.operators import grid as G
+from skyloom.operators import meetings
 
 BOX = "north double, west double, south double, east double"
 
@@ -53,6 +54,27 @@ def test_boxes_and_boxes(spark, cell):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("most", [3, 4096])
+def test_boxes_in_blocks(spark, monkeypatch, most):
+    monkeypatch.setattr(meetings, "MOST_IN_BLOCK", most)
+    rng = random.Random(9)
+    boxes, features = list(random_boxes(rng, 60, 25)), list(random_boxes(rng, 50, 12))
+    areas = spark.createDataFrame([*boxes, (99, None, 0.0, 0.0, 1.0)], f"request_id int, {BOX}")
+    shapes = spark.createDataFrame(features, f"feature int, {BOX}")
+    want = {}
+    for a, b in itertools.product(boxes, features):
+        if b[3] <= a[1] and b[1] >= a[3] and b[2] <= a[4] and b[4] >= a[2]:
+            want.setdefault(a[0], []).append(b[0])
+    pairs = K.overlapping_features(areas, shapes, columns=["request_id", "feature"])
+    assert pairs.columns == ["request_id", "feature"]
+    assert sorted(map(tuple, pairs.collect())) == sorted((a, b) for a, found in want.items() for b in found)
+    numbers = K.overlapping_features(areas, shapes, columns=["request_id"], counted="n")
+    assert {r[0]: r[1] for r in numbers.groupBy("request_id").sum("n").collect()} == {a: len(f) for a, f in want.items()}
+    some = K.overlapping_features(areas, shapes, columns=["request_id", "feature"], at_most=("feature", 2))
+    first = K.first_features(some, ["request_id"], "feature", 2).collect()
+    assert sorted(map(tuple, first)) == sorted((a, b) for a, found in want.items() for b in sorted(found)[:2])
+
+
 def test_nearest_on_an_irregular_axis(spark):
     rng = random.Random(11)
     axis = sorted({round(rng.uniform(-90, 90), 1) for _ in range(25)})
