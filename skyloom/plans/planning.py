@@ -119,7 +119,8 @@ def request_tags(
 
 def check_validity(areas: DataFrame, features: DataFrame) -> DataFrame:
     """Every request box and whether any feature lies in it."""
-    hits = catalogue.overlapping_features(areas, features).select("request_id").distinct()
+    found = catalogue.overlapping_features(areas, features, columns=["request_id"], counted="n")
+    hits = found.select("request_id").distinct()
     return areas.select("request_id").join(hits.withColumn("valid", F.lit(True)), "request_id", "left").na.fill(
         False, ["valid"]
     )
