@@ -284,7 +284,8 @@ def j5_point(spark, d):
 )
 def j5_none(spark, d):
     areas = v_area(spark, d)
-    hits = K.overlapping_features(areas, features(spark, d)).select("request_id").distinct()
+    hits = K.overlapping_features(areas, features(spark, d), columns=["request_id"], counted="n")
+    hits = hits.select("request_id").distinct()
     return areas.join(hits, "request_id", "left_anti").select("request_id")
 
 
