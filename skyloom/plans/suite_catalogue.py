@@ -295,7 +295,9 @@ def j5_none(spark, d):
  FROM v_area JOIN feature ON {MEET}) WHERE rn <= 2""",
 )
 def t2(spark, d):
-    pairs = K.overlapping_features(v_area(spark, d), features(spark, d))
+    pairs = K.overlapping_features(
+        v_area(spark, d), features(spark, d), columns=["request_id", "site_id"], at_most=("site_id", 2)
+    )
     return K.first_features(pairs, ["request_id"], "site_id", 2).select("request_id", "site_id")
 
 
