@@ -274,8 +274,8 @@ SELECT request_id, count(*) AS n_features FROM p JOIN feature ON {MEET} GROUP BY
 def j5_point(spark, d):
     box = box_around(F.col("north"), F.col("west"))
     around = v_area(spark, d).select("request_id", *[v.alias(k) for k, v in box.items()])
-    pairs = K.overlapping_features(around, features(spark, d))
-    return pairs.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_features"))
+    numbers = K.overlapping_features(around, features(spark, d), columns=["request_id"], counted="n")
+    return numbers.groupBy("request_id").agg(F.sum("n").alias("n_features"))
 
 
 @query(
