@@ -194,12 +194,15 @@ def facet_candidates(
     keys: Sequence[str],
     groups: Mapping[str, Mapping[str, Sequence[str]]],
     searches: Mapping[str, str] | None = None,
+    summary: Sequence[Column] = (),
 ) -> DataFrame:
     """Candidates whose values, seen through their groups, hold every value a request names.
 
     A request may leave any key open.  Requests that ask for the same are looked
     up once.  ``searches`` gives patterns such as ``^{period}$`` that a facet
-    must match once the request's value is put in.
+    must match once the request's value is put in.  With ``summary``, aggregates over
+    candidates, a request comes once with those of its candidates; they are worked out once for all
+    requests that ask for the same.
     """
     searches = searches or {}
     candidates = candidates.withColumnsRenamed({k: f"c_{k}" for k in searches})
@@ -215,6 +218,8 @@ def facet_candidates(
         before, _, after = template.partition("{" + key + "}")
         pattern = F.concat(F.lit(before), F.col(key), F.lit(after))
         met = met.where(F.col(key).isNull() | F.rlike(F.col(f"c_{key}"), pattern))
+    if summary:
+        return requests.join(met.groupBy("_asked").agg(*summary), "_asked").drop("_asked")
     return requests.join(met.drop(*asked), "_asked").drop("_asked")
 
 

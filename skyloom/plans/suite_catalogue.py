@@ -323,6 +323,16 @@ def j7(spark, d):
     return state.withColumn("backend", F.coalesce("backend", F.lit("")))
 
 
+def number_and_first():
+    return [F.count(F.lit(1)).alias("n_candidates"), F.min("p_partkey").alias("first_candidate")]
+
+
+def of_requests(found):  # rows of one request may ask for different things
+    return found.groupBy("request_id").agg(
+        F.sum("n_candidates").alias("n_candidates"), F.min("first_candidate").alias("first_candidate")
+    )
+
+
 @query(
     "j8_facet_search",
     """
@@ -346,10 +356,8 @@ def j8(spark, d):
     )
     named = candidates.where(F.col("p_name").rlike("^(small|red)"))
     groups = {"brand": {"low": ["Brand#1", "Brand#2", "Brand#3"]}}
-    pairs = K.facet_candidates(wanted, named, ["brand", "kind"], groups, {"p_name": "{p_name}$"})
-    return pairs.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("n_candidates"), F.min("p_partkey").alias("first_candidate")
-    )
+    found = K.facet_candidates(wanted, named, ["brand", "kind"], groups, {"p_name": "{p_name}$"}, number_and_first())
+    return of_requests(found)
 
 
 @query(
@@ -370,9 +378,8 @@ def j8_open(spark, d):
         F.when(order % 2 == 0, "SMALL").otherwise("LARGE").alias("kind"),
         (customer % 50 + 1).cast("string").alias("size"),
     )
-    return K.facet_candidates(wanted, parts, ["brand", "kind", "size"], {}).groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("n_candidates"), F.min("p_partkey").alias("first_candidate")
-    )
+    found = K.facet_candidates(wanted, parts, ["brand", "kind", "size"], {}, summary=number_and_first())
+    return of_requests(found)
 
 
 @query(

@@ -269,6 +269,17 @@ def test_facets_with_the_first_open_meet_only_what_agrees(spark):
     assert met.count() == sum(agrees(a, b) for a in open_first for b in stock)
 
 
+def test_facets_summed_up_for_each_selection(spark):
+    from skyloom.operators import catalogue as K
+
+    candidates = spark.range(60).selectExpr("id AS c", "concat('v', id % 3) AS first")
+    asked = spark.range(500).selectExpr("id AS r", "IF(id % 2 = 0, 'v1', NULL) AS first")
+    measures = [F.count(F.lit(1)).alias("n"), F.min("c").alias("least")]
+    found = K.facet_candidates(asked, candidates, ["first"], {}, summary=measures)
+    assert found.columns == ["r", "first", "n", "least"]
+    assert {tuple(x) for x in found.collect()} == {(i, None, 60, 0) if i % 2 else (i, "v1", 20, 1) for i in range(500)}
+
+
 def test_facets_of_no_requests_or_candidates(spark):
     from skyloom.operators import catalogue as K
 
