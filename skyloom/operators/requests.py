@@ -441,9 +441,17 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
     def named(key: str) -> Column:
         return F.filter(F.map_keys(keys), lambda k: X.is_key(k, key))
 
-    area_key = F.get(named("area"), 0)
-    values = X.split_all(F.try_element_at(keys, area_key), "/")
-    edges = [X.number(F.get(values, i)) for i in range(4)]
+    # one step after the other: an expression put into others, or into a filter after them, is worked out in each place
+    def step(df: DataFrame, **columns: Column) -> DataFrame:
+        made = df.withColumn("_step", F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+        return made.withColumns({n: F.col(f"_step.{n}") for n in columns}).drop("_step")
+
+    found = step(requests, _areas=named("area"), _grids=F.size(named("grid")))
+    area_key, n_areas, n_grids = F.get("_areas", 0), F.size("_areas"), F.col("_grids")
+    found = step(found, _values=X.split_all(F.try_element_at(keys, area_key), "/"))
+    found = step(found, _texts=F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.get("_values", i)))
+    found = step(found, _edges=F.transform("_texts", X.number))
+    edges = [F.get("_edges", i) for i in range(4)]
     not_numbers = edges[0].isNull() | edges[1].isNull() | edges[2].isNull() | edges[3].isNull()
     beyond = (F.abs(edges[0]) > 90) | (F.abs(edges[2]) > 90)
     snapped = snap_inwards(*edges, grid)
@@ -454,12 +462,12 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
         F.when(area_key.isNotNull(), F.map_concat(without_area, F.create_map(area_key, box), spacing))
         .otherwise(F.map_concat(F.col(keys), spacing))
     )
-    has_grid = F.size(named("grid")) > 0
+    has_grid = n_grids > 0
     problem = (
-        F.when(F.size(named("grid")) > 1, "request contains more than one grid key")
+        F.when(n_grids > 1, "request contains more than one grid key")
         .when(has_grid, None)
-        .when(F.size(named("area")) > 1, "request contains more than one area key")
-        .when(area_key.isNotNull() & (F.size(values) != 4), "area must have four items")
+        .when(n_areas > 1, "request contains more than one area key")
+        .when(area_key.isNotNull() & (F.size("_values") != 4), "area must have four items")
         .when(area_key.isNotNull() & not_numbers, "area must hold numbers")
         .when(area_key.isNotNull() & beyond, "area latitude must be from -90 to 90")
         .when(
@@ -467,8 +475,10 @@ def simulate_preinterpolation(requests: DataFrame, grid: RegularGrid, keys: str
             "request area contains no grid points",
         )
     )
-    usable = problem.isNull() & ~has_grid
-    return requests.withColumn("problem", problem).withColumn(keys, F.when(usable, changed).otherwise(F.col(keys)))
+    judged = step(found, problem=problem)
+    usable = F.col("problem").isNull() & ~has_grid
+    ready = step(judged, _ready=F.when(usable, changed).otherwise(F.col(keys)))
+    return ready.withColumn(keys, F.col("_ready")).drop("_areas", "_grids", "_values", "_texts", "_edges", "_ready")
 
 
 def key_matches(keys: DataFrame, key: str, by: Sequence[str]) -> DataFrame:

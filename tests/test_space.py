@@ -144,3 +144,14 @@ def test_select_area_errors(spark):
     with pytest.raises(InvalidRequest):
         G.select_area(irregular, 50.0, 0.0, -50.0, 100.0)
     assert G.select_area(grid, 90.0, -30.0, -90.0, 30.0).where("part = 1").select("longitude").distinct().count() == 1
+
+
+def test_preinterpolation_reads_the_numbers_of_an_area_once(spark):
+    from skyloom.operators import requests as R
+
+    raw = spark.range(2).select("id", F.create_map(F.lit("Area"), F.array(*[F.lit(x) for x in ("10.1", "0.1", "1.1", "9.1")])).alias("keys"))
+    ready = R.simulate_preinterpolation(raw, S.RegularGrid(delta_lat=0.5, delta_lon=0.5)).where("problem IS NULL")
+    assert ready.columns == ["id", "keys", "problem"]
+    assert ready.first()["keys"] == {"Area": ["10.0", "0.5", "1.5", "9.0"], "grid": ["0.5", "0.5"]}
+    # the text of a number is looked at in three ways
+    assert ready._jdf.queryExecution().optimizedPlan().toString().upper().count("RLIKE") <= 3
