@@ -171,10 +171,14 @@ def interval_pairs(
 
     Rows that meet on a node of :func:`range_nodes` overlap, and a pair meets on
     one node, so nothing is tested or dropped after the join.  The left side is
-    the large one.
+    the large one.  The length of the longest range of the right side comes to the driver, as the
+    left side needs no blocks longer than that around its starts.
     """
     node = "_node"
-    lefts = left.withColumn(node, F.explode(range_nodes(*map(F.col, left_range), asks=True)))
+    start, end = map(F.col, right_range)
+    longest = right.agg(F.max(F.unix_date(end) + 1 - F.unix_date(start))).first()[0] or 0
+    around = max(1, min(NODE_LEVELS, int(longest).bit_length() if longest > 0 else 1))
+    lefts = left.withColumn(node, F.explode(range_nodes(*map(F.col, left_range), asks=True, around_levels=around)))
     rights = right.withColumn(node, F.explode(range_nodes(*map(F.col, right_range), asks=False)))
     return salted_join(lefts, rights, [*scope, node], spread_by, salts=salts, copies=3 * NODE_LEVELS).drop(node)
 
@@ -182,19 +186,21 @@ def interval_pairs(
 NODE_LEVELS = 22  # blocks of 1, 2, 4 ... days; the largest are longer than all years a date can have
 
 
-def range_nodes(start: Column, end: Column, asks: bool) -> Column:
+def range_nodes(start: Column, end: Column, asks: bool, around_levels: int = NODE_LEVELS) -> Column:
     """Blocks of days that a date range, both ends included, brings to a join; at most three for each level.
 
     Two ranges overlap if the start of the asking one lies in the other, or if
     the start of the other lies in the asking one after its first day, never
     both.  A start stands for all blocks around it, a range for the fewest
     blocks it consists of, so a start and a range have at most one in common.
+    Around its start a range gets ``around_levels`` sizes of blocks, the smallest ones.
     """
     first, after = F.unix_date(start), F.unix_date(end) + 1
     levels = F.sequence(F.lit(0), F.lit(NODE_LEVELS - 1))
 
     def around(day: Column, kind: int) -> Column:
-        return F.transform(levels, lambda k: _node(F.call_function("shiftright", day, k), k, kind))
+        sizes = F.sequence(F.lit(0), F.lit(around_levels - 1))
+        return F.transform(sizes, lambda k: _node(F.call_function("shiftright", day, k), k, kind))
 
     def parts(low: Column, high: Column, kind: int) -> Column:
         def of(k: Column) -> Column:

@@ -327,3 +327,13 @@ def test_ranges_laid_out_are_not_broadcast(spark):
         assert got.count() == 19220  # the 780 other pairs lie apart
 
     with_broadcasts_below(spark, 100000, check)
+
+
+def test_ranges_are_laid_out_no_wider_than_the_other_side_needs(spark):
+    asked = spark.range(50).selectExpr("id", "0 AS k", "date_add(DATE '2000-01-01', int(id)) AS s", "date_add(DATE '2000-01-01', int(id)) AS e")
+    allowed = spark.range(50).selectExpr("id AS c", "0 AS k", "date_add(DATE '2000-01-01', int(id)) AS ds", "date_add(DATE '2000-01-03', int(id)) AS de")
+    got = S.interval_pairs(asked, allowed, ["k"], ("s", "e"), ("ds", "de"), ["id"], 2)
+    assert {(r["id"], r["c"]) for r in got.collect()} == {(i, c) for i in range(50) for c in range(50) if 0 <= i - c <= 2}
+    around = S.range_nodes(F.col("s"), F.col("e"), True, 2)
+    assert asked.select(F.size(around).alias("n")).agg(F.max("n")).first()[0] == 2
+    assert "sequence(0, 1" in got._jdf.queryExecution().analyzed().toString()
