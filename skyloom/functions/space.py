@@ -168,3 +168,32 @@ def cells_of_box(north: Column, west: Column, south: Column, east: Column, size:
 
 def cell_of_point(lat: Column, lon: Column, size: float = 10.0) -> Column:
     return F.struct(F.floor(lat / size).cast("int").alias("cy"), F.floor(lon / size).cast("int").alias("cx"))
+
+
+HOME_SIZES = (8, 16, 32, 64, 128, 256, 512)  # powers of two, so that a division by them is exact
+
+
+def home_of_box(north: Column, west: Column, south: Column, east: Column) -> Column:
+    """Two by two cells of the smallest size that hold a box, by their size and the cell in the south-west.
+
+    Size 0 is one home for all, of boxes that no size holds.
+    """
+
+    def fits(low: Column, high: Column, size: int) -> Column:
+        return F.try_subtract(F.floor(high / size), F.floor(low / size)) <= 1
+
+    homes = [F.when(fits(south, north, k) & fits(west, east, k), _home(k, F.floor(south / k), F.floor(west / k))) for k in HOME_SIZES]
+    return F.coalesce(*homes, _home(0, F.lit(0), F.lit(0)))
+
+
+def homes_of_point(lat: Column, lon: Column) -> Column:
+    """All homes in whose boxes a point can lie."""
+    homes = [_home(0, F.lit(0), F.lit(0))]
+    for k in HOME_SIZES:
+        ys, xs = ([F.floor(c / k), F.try_subtract(F.floor(c / k), F.lit(1))] for c in (lat, lon))
+        homes += [_home(k, y, x) for y in ys for x in xs]
+    return F.array(*homes)
+
+
+def _home(size: int, cy: Column, cx: Column) -> Column:
+    return F.struct(F.lit(size).alias("size"), cy.cast("bigint").alias("cy"), cx.cast("bigint").alias("cx"))

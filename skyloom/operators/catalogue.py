@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.functions.dates import relative_range
-from skyloom.functions.space import cell_of_point, cells_of_box
+from skyloom.functions.space import cell_of_point, cells_of_box, home_of_box, homes_of_point
 from skyloom.operators.cubes import compare
-from skyloom.operators.meetings import Columns, meetings
+from skyloom.operators.meetings import Columns, listed, meetings
 from skyloom.operators.scale import group_ordinals, salted_join
 
 EDGES = ("north", "west", "south", "east")
+MOST_AT_HOME = 1 << 17  # points of one list that boxes are compared with
 FIELDS_PER_CALL = 50  # fixed value: most fields of one backend call
 
 
@@ -27,35 +28,55 @@ def points_strictly_inside(
     cells, and points and boxes of a cell are compared in blocks; ``cell`` in degrees
     should be about the size of a box.
     """
-    located = (
-        points.withColumn("latitude", F.col("latitude").try_cast("double"))
-        .withColumn("longitude", F.col("longitude").try_cast("double"))
-        .where("latitude IS NOT NULL AND longitude IS NOT NULL")
-        .withColumn("_cell", cell_of_point(F.col("latitude"), F.col("longitude"), cell))
-    )
+    located = _located(points).withColumn("_cell", cell_of_point(F.col("latitude"), F.col("longitude"), cell))
     boxes = areas.where("north > south AND east > west").withColumn(
         "_cell", F.explode(cells_of_box(*[F.col(e) for e in EDGES], cell))
     )
 
-    def inside(box: Columns, point: Columns) -> np.ndarray:
-        met = point["latitude"] < box["north"]
-        met &= point["longitude"] > box["west"]
-        met &= point["latitude"] > box["south"]
-        met &= point["longitude"] < box["east"]
-        return met
+    return meetings(boxes, located, ["_cell"], _inside, columns or _but_cell(boxes, located))
+
+
+def _located(points: DataFrame) -> DataFrame:
+    """Points with coordinates as numbers; malformed ones are dropped."""
+    numbers = {c: F.col(c).try_cast("double") for c in ("latitude", "longitude")}
+    return points.withColumns(numbers).where("latitude IS NOT NULL AND longitude IS NOT NULL")
 
-    return meetings(boxes, located, ["_cell"], inside, columns or _but_cell(boxes, located))
+
+def _inside(box: Columns, point: Columns) -> np.ndarray:
+    met = point["latitude"] < box["north"]
+    met &= point["longitude"] > box["west"]
+    met &= point["latitude"] > box["south"]
+    met &= point["longitude"] < box["east"]
+    return met
 
 
 def _but_cell(*sides: DataFrame) -> list[str]:
     return [c for side in sides for c in side.columns if not c.startswith("_")]
 
 
-def map_areas_to_values(areas: DataFrame, points: DataFrame, value: str, order: str) -> DataFrame:
-    """Values of the points inside each request box, in the order of the configuration."""
-    pairs = points_strictly_inside(areas, points, columns=["request_id", order, value])
-    listed = pairs.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("_l"))
-    return listed.select("request_id", F.col(f"_l.{value}").alias("values"))
+def map_areas_to_values(areas: DataFrame, points: DataFrame, value: str, order: str, most: int = MOST_AT_HOME) -> DataFrame:
+    """Values of the points inside each request box, in the order of the configuration.
+
+    A box has one home, the two by two cells of the smallest size that hold it, and a point goes to all homes it
+    lies in.  So the list of a box is made in one place, and only boxes and points are shuffled, not their pairs.  Where a
+    home has more than ``most`` points, or a request several boxes, pairs are put together to lists.
+    """
+    located = _located(points).select(*dict.fromkeys([order, value, "latitude", "longitude"]))
+    several = F.count(F.lit(1)).over(Window.partitionBy("request_id")) > 1
+    boxes = areas.where("north > south AND east > west").select("request_id", *EDGES)
+    boxes = boxes.withColumns({"_several": several, "_home": home_of_box(*[F.col(e) for e in EDGES])})
+    asked = boxes.select("_home").distinct()
+    homes = F.explode(homes_of_point(F.col("latitude"), F.col("longitude")))
+    placed = located.withColumn("_home", homes).join(asked, "_home", "left_semi")
+    held = placed.groupBy("_home").agg((F.count(F.lit(1)) > most).alias("_crowded"))
+    sorted_out = boxes.join(held, "_home")  # a box whose home has no points has no list
+    apart = F.col("_several") | F.col("_crowded")
+    at_home = sorted_out.where(~apart).select("request_id", *EDGES, "_home")
+    few = placed.join(held.where("NOT _crowded"), "_home", "left_semi")
+    lists = listed(at_home, few, ["_home"], _inside, "request_id", value, "values", most)
+    pairs = points_strictly_inside(sorted_out.where(apart).select("request_id", *EDGES), located, columns=["request_id", order, value])
+    put = pairs.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("_l"))
+    return lists.unionByName(put.select("request_id", F.col(f"_l.{value}").alias("values")))
 
 
 def append_values(requests: DataFrame, mapped: DataFrame, key: str) -> DataFrame:

@@ -54,11 +54,7 @@ def meetings(
     types = {f.name: f.dataType for side in (left, right) for f in side.schema}
     out = [T.StructField(c, types[c]) for c in (ours if counted else ours + theirs)]
     schema = T.StructType(out + ([T.StructField(counted, T.LongType())] if counted else []))
-    lefts, rights = blocks(left, on, "_lefts"), blocks(right, on, "_rights")
-    slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one row is a piece of work of millions of comparisons, so rows are dealt by number, not by bytes
-    joined = copied(lefts, USUAL_TOKENS).join(copied(rights, USUAL_TOKENS), list(on))
-    dealt = joined.repartition(slices, *on, "_lefts_part", "_rights_part")
+    dealt = _dealt(blocks(left, on, "_lefts"), blocks(right, on, "_rights"), on)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,6 +67,42 @@ def meetings(
     return dealt.select("_lefts", "_rights").mapInArrow(compare, schema)
 
 
+def listed(
+    left: DataFrame, right: DataFrame, on: Sequence[str], test: Test, one: str, value: str, name: str, most: int
+) -> DataFrame:
+    """For each row of ``left`` the list, under ``name``, of what passes ``test`` among the rows of ``right`` that agree on ``on``.
+
+    Gives the column ``one`` of the left row and ``value`` of the right rows, in the order of all columns of ``right``; rows that
+    meet nothing are left out.  ``right`` has at most ``most`` rows for each value of ``on``, which are compared as one
+    block.  So a list is made where its row is, and neither pairs nor lists are shuffled.
+    """
+    types = {f.name: f.dataType for side in (left, right) for f in side.schema}
+    schema = T.StructType([T.StructField(one, types[one]), T.StructField(name, T.ArrayType(types[value]))])
+    rights = blocks(right, on, "_rights", most).withColumn("_rights", F.array_sort("_rights"))
+    dealt = _dealt(blocks(left, on, "_lefts"), rights, on)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b = (_rows(batch.column(c).slice(row, 1)) for c in ("_lefts", "_rights"))
+                for some, met in _tested(a, b, test):
+                    n = met.sum(axis=1)
+                    ends = np.concatenate([[0], np.cumsum(n[n > 0])])
+                    values = b.column(value).take(pa.array(np.nonzero(met)[1]))
+                    arrays = [some.column(one).take(pa.array(np.flatnonzero(n))), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)]
+                    if len(arrays[0]):
+                        yield pa.RecordBatch.from_arrays(arrays, names=[one, name])
+
+    return dealt.select("_lefts", "_rights").mapInArrow(compare, schema)
+
+
+def _dealt(lefts: DataFrame, rights: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Pairs of blocks.  One is a piece of work of millions of comparisons, so they are dealt by number, not by bytes."""
+    slices = int(lefts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    joined = copied(lefts, USUAL_TOKENS).join(copied(rights, USUAL_TOKENS), list(on))
+    return joined.repartition(slices, *on, "_lefts_part", "_rights_part")
+
+
 def _rows(lists: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_struct_array(lists.flatten())
 
@@ -79,14 +111,18 @@ def _numbers(rows: pa.RecordBatch) -> Columns:
     return {n: c.to_numpy(zero_copy_only=False) for n, c in zip(rows.schema.names, rows.columns) if pa.types.is_primitive(c.type)}
 
 
-def _compared(
-    a: pa.RecordBatch, b: pa.RecordBatch, test: Test, ours: list, theirs: list, at_most: int | None, counted: str | None
-) -> Iterator[pa.RecordBatch]:
+def _tested(a: pa.RecordBatch, b: pa.RecordBatch, test: Test) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Some left rows at a time, with the right rows that each of them meets."""
     left, right = _numbers(a), _numbers(b)
     step = max(1, AT_ONCE // max(1, b.num_rows))
     for low in range(0, a.num_rows, step):
-        some = a.slice(low, step)
-        met = test({k: v[low : low + step, None] for k, v in left.items()}, right)
+        yield a.slice(low, step), test({k: v[low : low + step, None] for k, v in left.items()}, right)
+
+
+def _compared(
+    a: pa.RecordBatch, b: pa.RecordBatch, test: Test, ours: list, theirs: list, at_most: int | None, counted: str | None
+) -> Iterator[pa.RecordBatch]:
+    for some, met in _tested(a, b, test):
         if counted:
             n = met.sum(axis=1)
             i = pa.array(np.flatnonzero(n))

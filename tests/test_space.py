@@ -155,3 +155,37 @@ def test_preinterpolation_reads_the_numbers_of_an_area_once(spark):
     assert ready.first()["keys"] == {"Area": ["10.0", "0.5", "1.5", "9.0"], "grid": ["0.5", "0.5"]}
     # the text of a number is looked at in three ways
     assert ready._jdf.queryExecution().optimizedPlan().toString().upper().count("RLIKE") <= 3
+
+
+def test_lists_of_boxes_of_any_size_from_few_or_many_points(spark):
+    import random
+
+    rng = random.Random(11)
+    edge = "north double, west double, south double, east double"
+    boxes = []
+    for i in range(60):
+        south, west = rng.uniform(-80, 70), rng.uniform(-170, 150)
+        boxes.append((i // 2 if i < 6 else i, south + rng.choice([0.5, 9, 40, 1200]), west, south, west + rng.choice([1.0, 20, 300])))
+    points = [(rng.randrange(50) if i % 5 else None, rng.uniform(-80, 80), rng.uniform(-170, 170), f"p{i}" if i % 7 else None) for i in range(90)]
+    areas = spark.createDataFrame(boxes, f"request_id int, {edge}")
+    sites = spark.createDataFrame(points, "place int, latitude double, longitude double, tag string")
+    key = lambda p: (p[0] is not None, p[0] or 0, p[3] is not None, p[3] or "")
+    want = {}
+    for i, n, w, s, e in boxes:
+        want.setdefault(i, []).extend(p for p in points if s < p[1] < n and w < p[2] < e)
+    want = {i: [p[3] for p in sorted(found, key=key)] for i, found in want.items() if found}
+    for most in (K.MOST_AT_HOME, 5):
+        got = K.map_areas_to_values(areas, sites, "tag", "place", most).collect()
+        assert len(got) == len(want) and {r["request_id"]: r["values"] for r in got} == want
+
+
+def test_pairs_are_listed_only_for_crowded_homes_and_requests_of_several_boxes(spark, monkeypatch):
+    ids = F.when(F.col("id") < 2, 0).otherwise(F.col("id")).cast("int").alias("request_id")
+    areas = spark.range(300).select(ids, *[F.lit(x).alias(n) for n, x in (("north", 9.0), ("west", 0.0), ("south", 0.0), ("east", 9.0))])
+    sites = spark.range(200).select(F.col("id").alias("place"), F.lit(1.0).alias("latitude"), F.lit(1.0).alias("longitude"), F.col("id").cast("string").alias("tag"))
+    paired, real = [], K.points_strictly_inside
+    monkeypatch.setattr(K, "points_strictly_inside", lambda a, p, **k: paired.append(a.count()) or real(a, p, **k))
+    for most, pairs in ((K.MOST_AT_HOME, 2), (100, 300)):
+        found = {r["request_id"]: r["values"] for r in K.map_areas_to_values(areas, sites, "tag", "place", most).collect()}
+        assert len(found) == 299 and all(len(v) == (400 if i == 0 else 200) for i, v in found.items())
+        assert found[7] == [str(i) for i in range(200)] and paired.pop() == pairs
