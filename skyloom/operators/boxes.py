@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.operators.scale import matching_pairs, union_all
+from skyloom.operators.scale import USUAL_TOKENS, copied, union_all
 
 # Expressions are put together as SQL text, as Spark reads one long text much faster than it takes many small calls.
 
@@ -104,19 +104,25 @@ def parts_in_common(
 ) -> DataFrame:
     """For each cube of ``left``, the distinct parts of it that cubes of ``right`` have, as ``parts``; empty where there is none.
 
-    Cubes meet on the values of one key, ``meet_on``, and pairs are kept where all keys have something in common.
-    A list is as long as the cubes of ``right`` that one cube meets, so ``right`` should be merged.
+    Cubes meet on each value of one key, ``meet_on``, and pairs are kept where all keys have something in common.  A
+    cube of ``right`` goes to a value without its list of that key, so its copies are no longer than its fields.  Parts
+    that differ in that key only are one.  A list is as long as the cubes of ``right`` that one cube meets, so ``right`` should be merged.
     """
-    named = right.select(*scope, *keys).withColumnsRenamed({k: f"r_{k}" for k in keys})
-    common = F.lit(True)
-    for key in keys:
-        common = common & F.arrays_overlap(F.col(key), F.col(f"r_{key}"))
-    text = "array<string>"
-    pairs = matching_pairs(
-        left.select(*scope, id_column, *keys), named, scope, F.col(meet_on).cast(text), F.col(f"r_{meet_on}").cast(text), common
-    )
-    part = F.struct(*[F.array_intersect(F.col(k), F.col(f"r_{k}")).alias(k) for k in keys])
-    met = pairs.groupBy(id_column).agg(F.collect_set(part).alias("parts"))
+    others = [k for k in keys if k != meet_on]
+    lefts, rights = (side.withColumn(meet_on, F.explode(F.array_distinct(meet_on))) for side in (left, right))
+    lefts = lefts.select(*scope, id_column, *keys)
+    rights = rights.select(*scope, *keys).withColumnsRenamed({c: f"r_{c}" for c in (*scope, *keys)})
+    met = F.col(meet_on).eqNullSafe(F.col(f"r_{meet_on}"))
+    for column in scope:
+        met = met & (F.col(column) == F.col(f"r_{column}"))
+    for key in others:
+        met = met & F.arrays_overlap(F.col(key), F.col(f"r_{key}"))
+    pairs = lefts.join(copied(rights, USUAL_TOKENS), met)
+    common = [F.array_sort(F.array_intersect(F.col(k), F.col(f"r_{k}"))).alias(k) for k in others]
+    found = pairs.select(id_column, *common, F.struct(meet_on).alias("_value")).repartition(id_column)
+    listed = found.groupBy(id_column, *others).agg(F.array_sort(F.collect_set("_value")).alias("_values"))
+    listed = listed.where(F.exists("_values", lambda v: v[meet_on].isNotNull())).withColumn(meet_on, F.col(f"_values.{meet_on}"))
+    met = listed.groupBy(id_column).agg(F.collect_list(F.struct(*keys)).alias("parts"))
     parts = F.coalesce("parts", F.array().cast(met.schema["parts"].dataType))
     return left.join(met, id_column, "left").withColumn("parts", parts)
 

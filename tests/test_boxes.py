@@ -64,6 +64,26 @@ def test_one_cube_less_another_is_one_cube_a_key_at_most(spark):
     assert B.common(left, inner, KEYS, "cube_id", "step").count() == 1
 
 
+def joins(plan):
+    children = plan.children()
+    here = [plan] if plan.nodeName() == "Join" else []
+    return here + [j for i in range(children.size()) for j in joins(children.apply(i))]
+
+
+def test_a_cube_goes_to_each_value_without_its_list(spark):
+    schema = "cube_id int, level array<string>, param array<string>, step array<string>"
+    steps = [str(i) for i in range(2000)]
+    left = spark.createDataFrame([(1, ["100"], ["t"], steps), (2, ["500"], ["q", "t"], [None, "7", "8"])], schema)
+    right = spark.createDataFrame([(9, ["100", "500"], ["t"], steps[::2]), (10, ["100", "500"], ["t", "u"], [*steps[1::2], None])], schema)
+    met = B.parts_in_common(left, right, KEYS, "cube_id", "step")
+    sent = [a for j in joins(met._jdf.queryExecution().optimizedPlan()) for a in (j.right().output().apply(i) for i in range(j.right().output().size()))]
+    assert [a.dataType().simpleString() for a in sent if a.name() == "r_step"] == ["string"]
+    # parts that differ in that key only are one
+    parts = {r["cube_id"]: [(p["level"], p["param"], set(p["step"])) for p in r["parts"]] for r in met.collect()}
+    assert parts == {1: [(["100"], ["t"], set(steps))], 2: [(["500"], ["t"], {None, "7", "8"})]}
+    assert unfolded(B.subtract(left, right, KEYS, "cube_id", "step"), "cube_id") == [(2, "500", "q", s) for s in (None, "7", "8")]
+
+
 def test_a_billion_granules_are_counted_from_the_lists(spark):
     values = [str(i) for i in range(1000)]
     request = spark.createDataFrame([(1, 1, values, values, values)], "dataset int, request_id int, level array<string>, param array<string>, step array<string>")
