@@ -7,11 +7,13 @@ prunes the folders to read.  ``cell`` in degrees should be about the size of the
 usual box: it decides how many rows a request is laid out to.
 """
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.dates import date_range
 from skyloom.functions.space import cell_of_point, cells_of_box
+from skyloom.operators.meetings import Columns, meetings
 
 EDGES = ("north", "west", "south", "east")
 
@@ -41,11 +43,18 @@ def answer_from_grid(grid: DataFrame, requests: DataFrame, cell: float = 30.0) -
     return located.join(asked, ["variable", "valid_date", "_cell"]).where(inside).drop("_cell", *EDGES)
 
 
-def answer_from_observations(observations: DataFrame, requests: DataFrame, cell: float = 30.0) -> DataFrame:
+def answer_from_observations(
+    observations: DataFrame, requests: DataFrame, cell: float = 30.0, numbers_of: str | None = None
+) -> DataFrame:
     """Observations of every request; time and box are half-open.
 
-    ``requests`` has ``start`` and ``end`` times without a zone.
+    ``requests`` has ``start`` and ``end`` times without a zone.  With ``numbers_of``, a column of the observations, a
+    request comes once for each variable it finds, with the number ``n`` of its observations and the smallest value of that
+    column.  Requests and observations of a day and cell are then compared in blocks, and no pair of them is a row.
     """
+    if numbers_of is not None:  # a row becomes many, so that few large pieces of a file would take long
+        slices = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        requests = requests.repartition(slices, "request_id")
     asked = laid_out(requests, F.to_date("start"), F.to_date("end"), cell)
     located = observations.withColumnRenamed("observed_variable", "variable").withColumns(
         {
@@ -53,6 +62,15 @@ def answer_from_observations(observations: DataFrame, requests: DataFrame, cell:
             "_cell": cell_of_point(F.col("latitude"), F.col("longitude"), cell),
         }
     )
+    if numbers_of is not None:
+        on = ["variable", "valid_date", "_cell"]
+        asking = asked.select(*on, "request_id", F.col("variable").alias("_variable"), "start", "end", *EDGES)
+        times = F.col("report_timestamp").cast("timestamp_ntz").alias("_time")
+        held = located.select(*on, numbers_of, times, F.col("latitude").alias("_latitude"), F.col("longitude").alias("_longitude"))
+        named, along = ["request_id", "_variable", numbers_of], ("south", "north", "_latitude")
+        met = meetings(asking, held, on, _asked_for, named, counted="n", least=numbers_of, along=along)
+        found = met.groupBy("request_id", F.col("_variable").alias("variable"))
+        return found.agg(F.sum("n").alias("n"), F.min(numbers_of).alias(numbers_of))
     inside = (
         (F.col("report_timestamp") >= F.col("start"))
         & (F.col("report_timestamp") < F.col("end"))
@@ -64,6 +82,16 @@ def answer_from_observations(observations: DataFrame, requests: DataFrame, cell:
     return located.join(asked, ["variable", "valid_date", "_cell"]).where(inside).drop("_cell", "start", "end", *EDGES)
 
 
+def _asked_for(request: Columns, observation: Columns) -> np.ndarray:
+    met = observation["_latitude"] >= request["south"]
+    met &= observation["_latitude"] < request["north"]
+    met &= observation["_longitude"] >= request["west"]
+    met &= observation["_longitude"] < request["east"]
+    met &= observation["_time"] >= request["start"]
+    met &= observation["_time"] < request["end"]
+    return met
+
+
 def without_answer(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Requests that found no data, which is an error of theirs."""
     return requests.join(answers.select("request_id").distinct(), "request_id", "left_anti")

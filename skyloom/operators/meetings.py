@@ -42,17 +42,22 @@ def meetings(
     columns: Sequence[str],
     at_most: tuple[str, int] | None = None,
     counted: str | None = None,
+    least: str | None = None,
+    along: tuple[str, str, str] | None = None,
 ) -> DataFrame:
     """Pairs of rows that agree on ``on`` and pass ``test``; ``columns`` of both sides, whose names differ.
 
     With ``at_most``, a column of the right side and a number, a row of the left side comes with so many pairs of
     each block of the right side, the first ones by that column.  With ``counted`` it comes once for each
-    such block that it meets, with the number of its pairs.
+    such block that it meets, with the number of its pairs, and their smallest value of the column ``least`` of the right side.
+    ``along`` names two numbers of a left row and one of a right row, which ``test`` has between them: rows of a block that lie
+    outside of them are not compared.
     """
     ours = [c for c in left.columns if c in columns]
     theirs = [c for c in right.columns if c in columns]
     types = {f.name: f.dataType for side in (left, right) for f in side.schema}
-    out = [T.StructField(c, types[c]) for c in (ours if counted else ours + theirs)]
+    theirs = [c for c in theirs if not counted or c == least]
+    out = [T.StructField(c, types[c]) for c in ours + theirs]
     schema = T.StructType(out + ([T.StructField(counted, T.LongType())] if counted else []))
     dealt = _dealt(blocks(left, on, "_lefts"), blocks(right, on, "_rights"), on)
 
@@ -60,9 +65,9 @@ def meetings(
         for batch in batches:
             for row in range(batch.num_rows):
                 a, b = (_rows(batch.column(c).slice(row, 1)) for c in ("_lefts", "_rights"))
-                if at_most is not None:
-                    b = b.sort_by(at_most[0])
-                yield from _compared(a, b, test, ours, theirs, at_most and at_most[1], counted)
+                if at_most is not None or least is not None:
+                    b = b.sort_by(least or at_most[0])
+                yield from _compared(a, b, test, ours, theirs, at_most and at_most[1], counted, along)
 
     return dealt.select("_lefts", "_rights").mapInArrow(compare, schema)
 
@@ -85,7 +90,7 @@ def listed(
         for batch in batches:
             for row in range(batch.num_rows):
                 a, b = (_rows(batch.column(c).slice(row, 1)) for c in ("_lefts", "_rights"))
-                for some, met in _tested(a, b, test):
+                for some, met, _ in _tested(a, b, test):
                     n = met.sum(axis=1)
                     ends = np.concatenate([[0], np.cumsum(n[n > 0])])
                     values = b.column(value).take(pa.array(np.nonzero(met)[1]))
@@ -111,27 +116,46 @@ def _numbers(rows: pa.RecordBatch) -> Columns:
     return {n: c.to_numpy(zero_copy_only=False) for n, c in zip(rows.schema.names, rows.columns) if pa.types.is_primitive(c.type)}
 
 
-def _tested(a: pa.RecordBatch, b: pa.RecordBatch, test: Test) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Some left rows at a time, with the right rows that each of them meets."""
+def _tested(
+    a: pa.RecordBatch, b: pa.RecordBatch, test: Test, along: tuple[str, str, str] | None = None
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some left rows at a time, the right rows that each of them meets, and which right rows were looked at."""
+    if along is not None:
+        a = a.sort_by(along[0])
     left, right = _numbers(a), _numbers(b)
+    at = np.arange(b.num_rows)
+    by_place = np.argsort(right[along[2]]) if along is not None else at
     step = max(1, AT_ONCE // max(1, b.num_rows))
     for low in range(0, a.num_rows, step):
-        yield a.slice(low, step), test({k: v[low : low + step, None] for k, v in left.items()}, right)
+        ours = {k: v[low : low + step, None] for k, v in left.items()}
+        theirs = right
+        if along is not None:
+            ends = np.fmin.reduce(ours[along[0]], axis=None), np.fmax.reduce(ours[along[1]], axis=None)
+            first = np.searchsorted(right[along[2]], ends[0], "left", by_place)
+            last = np.searchsorted(right[along[2]], ends[1], "right", by_place)
+            at = np.sort(by_place[first:last])
+            theirs = {k: v[at] for k, v in right.items()}
+        if len(at):
+            yield a.slice(low, step), test(ours, theirs), at
 
 
 def _compared(
-    a: pa.RecordBatch, b: pa.RecordBatch, test: Test, ours: list, theirs: list, at_most: int | None, counted: str | None
+    a: pa.RecordBatch, b: pa.RecordBatch, test: Test, ours: list, theirs: list, at_most: int | None, counted: str | None,
+    along: tuple[str, str, str] | None,
 ) -> Iterator[pa.RecordBatch]:
-    for some, met in _tested(a, b, test):
+    for some, met, at in _tested(a, b, test, along):
         if counted:
             n = met.sum(axis=1)
-            i = pa.array(np.flatnonzero(n))
-            arrays = [some.column(c).take(i) for c in ours] + [pa.array(n[n > 0], pa.int64())]
-            names = [*ours, counted]
+            i = np.flatnonzero(n)
+            arrays = [some.column(c).take(pa.array(i)) for c in ours]
+            arrays += [b.column(c).take(pa.array(at[met[i].argmax(axis=1)])) for c in theirs]  # sorted, so the first one is the smallest
+            arrays.append(pa.array(n[n > 0], pa.int64()))
+            names = [*ours, *theirs, counted]
         else:
             if at_most is not None:
                 met &= met.cumsum(axis=1, dtype=np.int32) <= at_most
-            i, j = (pa.array(x) for x in np.nonzero(met))
+            i, j = np.nonzero(met)
+            i, j = pa.array(i), pa.array(at[j])
             arrays = [some.column(c).take(i) for c in ours] + [b.column(c).take(j) for c in theirs]
             names = [*ours, *theirs]
         if len(arrays[0]):

@@ -42,10 +42,8 @@ def s2_bulk(spark, d):
     timed = asked(spark, d).withColumns(
         {c: F.col(c).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(h)) for c, h in hours.items()}
     )
-    found = B.answer_from_observations(v_obs(spark, d), timed)
-    return found.groupBy("request_id", "variable").agg(
-        F.count(F.lit(1)).alias("n"), F.min("observation_id").alias("first_observation")
-    )
+    found = B.answer_from_observations(v_obs(spark, d), timed, numbers_of="observation_id")
+    return found.select("request_id", "variable", "n", F.col("observation_id").alias("first_observation"))
 
 
 @query(

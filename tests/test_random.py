@@ -182,3 +182,28 @@ def test_mixed_form_state_of_random_selections(spark):
                 if alone or agrees:
                     want |= {(i, key, v) for v in rule[at]}
     assert got == want
+
+
+@pytest.mark.parametrize("most", [3, 4096])
+def test_numbers_of_observations_in_blocks(spark, monkeypatch, most):
+    from skyloom.operators import bulk
+
+    monkeypatch.setattr(meetings, "MOST_IN_BLOCK", most)
+    monkeypatch.setattr(meetings, "AT_ONCE", 40)
+    rng = random.Random(13)
+    at = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(6 * 1440))
+    names = ["click", "view"]
+    asked = [(i // 2 if i < 6 else i, *b[1:], *sorted((at(), at())), rng.choice([names, names[:1], ["view", "view"]])) for i, *b in ((b[0], *b) for b in random_boxes(rng, 30, 60))]
+    seen = [(rng.randrange(1000) if i % 9 else None, at(), rng.choice([*names, "error"]), rng.uniform(-80, 80), rng.uniform(-170, 170) if i % 11 else None) for i in range(1500)]
+    requests = spark.createDataFrame(asked, f"request_id int, {BOX}, start timestamp_ntz, end timestamp_ntz, variables array<string>")
+    observations = spark.createDataFrame(seen, "id int, report_timestamp timestamp_ntz, observed_variable string, latitude double, longitude double")
+    found = {}
+    for i, n, w, s, e, start, end, variables in asked:
+        for o in seen:
+            if o[2] in variables and start <= o[1] < end and s <= o[3] < n and o[4] is not None and w <= o[4] < e:
+                found.setdefault((i, o[2]), []).append(o[0])
+    want = sorted((*k, len(v), min((x for x in v if x is not None), default=None)) for k, v in found.items())
+    got = bulk.answer_from_observations(observations, requests, numbers_of="id")
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 20
+    plain = bulk.answer_from_observations(observations, requests).groupBy("request_id", "variable").agg(F.count("*"), F.min("id"))
+    assert sorted(tuple(r) for r in plain.collect()) == want
