@@ -5,9 +5,11 @@ import hashlib
 import io
 import zipfile
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import compare, duck
 
@@ -128,6 +130,31 @@ def test_near_vectors_equal_brute_force(spark, rows, cell, block, monkeypatch):
     assert vectors.near_duplicates(table(spark, [])).count() == 0
 
 
+def test_near_vectors_are_written_once_and_compared_beyond_single_precision(spark, monkeypatch):
+    for name, value in (("CELL", 60), ("BLOCK", 32)):
+        monkeypatch.setattr(vectors, name, value)
+    folders = []
+    monkeypatch.setattr(vectors, "scratch", lambda *at: folders.append(scratch(*at)) or folders[-1], raising=False)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(700, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = 0.93 + rng.choice([-1e-9, 1e-9, -1e-7, 1e-7, -0.02, 0.05], size=(700, 1))
+    points = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side])  # without clusters, half of the links near the bound
+    rows = [(i, p.tolist(), int(i % 700 % 8 == 0)) for i, p in enumerate(points)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    label = np.array([r[2] for r in rows])
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :])
+    assert {r.vec_id: r.n_links for r in got} == dict(enumerate((linked.sum(1) - 1).tolist()))
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got) and 300 < linked.sum() - 1400 < 1400
+    files = [f for at in folders for f in Path(at.removeprefix("file:")).rglob("*.arrow")]
+    sizes = [pa.ipc.open_file(str(f)).read_all().num_rows for f in files]
+    assert sum(sizes) == 1400 and max(sizes) <= 16 * 32  # no copies for the cells in which they are guests
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(200, 200), (301, 300), (300, 301), (-5, 100)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
