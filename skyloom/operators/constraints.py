@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.dates import range_struct
-from skyloom.operators.scale import ABSENT, interval_pairs, matching_pairs, range_nodes, salted_join, union_all
+from skyloom.operators.meetings import overlapping
+from skyloom.operators.scale import ABSENT, matching_pairs, range_nodes, salted_join, union_all
 
 
 def _con(key: str) -> str:
@@ -171,12 +172,7 @@ def intersect_date_ranges(requests: DataFrame, constraints: DataFrame, scope: Se
 
     ``requests`` has start and end, ``constraints`` has d_start and d_end.
     """
-    pairs = interval_pairs(
-        requests, constraints, scope, ("start", "end"), ("d_start", "d_end"), requests.columns
-    )
-    return pairs.withColumn("start", F.greatest("start", "d_start")).withColumn("end", F.least("end", "d_end")).drop(
-        "d_start", "d_end"
-    )
+    return overlapping(requests, constraints, scope, ("start", "end"), ("d_start", "d_end"))
 
 
 RULES = "_rules"

@@ -206,6 +206,44 @@ def test_ranges_of_all_lengths_meet_once(spark):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_ranges_are_written_once_in_blocks_and_meet_as_they_should(spark, monkeypatch):
+    from pathlib import Path
+
+    import pyarrow as pa
+
+    from skyloom.operators import constraints as N
+    from skyloom.operators import meetings as M
+    from skyloom.session import scratch
+
+    folders = []
+    monkeypatch.setattr(M, "MOST_IN_BLOCK", 7)
+    monkeypatch.setattr(M, "RUNS_AT_ONCE", 20, raising=False)
+    monkeypatch.setattr(M, "BYTES_AT_ONCE", 2000, raising=False)
+    monkeypatch.setattr(M, "scratch", lambda *at: folders.append(scratch(*at)) or folders[-1], raising=False)
+    rng = random.Random(23)
+    left, right = random_ranges(rng, 260), random_ranges(rng, 170)
+    left = [(i, k if i % 19 else None, s, e, f"t{i}" if i % 3 else None, [i, None]) for i, k, s, e in [*left, *left[:9]]]  # some rows stand twice
+    left += [(900 + i, 0, dt.date(1940, 1, 1), dt.date(2026, 1, 1), None, None) for i in range(40)]
+    right = [(j, k if j % 23 else None, s, e) for j, k, s, e in right]
+    requests = spark.createDataFrame(left, "request_id int, dataset int, start date, end date, note string, more array<int>")
+    allowed = spark.createDataFrame(right, "constraint_id int, dataset int, d_start date, d_end date")
+    got = N.intersect_date_ranges(requests, allowed)
+    assert got.columns == ["dataset", "request_id", "start", "end", "note", "more", "constraint_id"]
+    whole = lambda r: r[1] is not None and r[3] is not None and r[2] <= r[3]
+    lefts, rights = list(filter(whole, left)), list(filter(whole, right))
+    want = [
+        (a[1], a[0], max(a[2], b[2]), min(a[3], b[3]), a[4], a[5], b[0])
+        for a in lefts
+        for b in rights
+        if a[1] == b[1] and a[2] <= b[3] and b[2] <= a[3]
+    ]
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want)) and len(want) > 4000
+    assert N.intersect_date_ranges(requests.where("false"), allowed).count() == 0
+    assert N.intersect_date_ranges(requests, allowed.where("false")).count() == 0
+    files = [f for f in Path(folders[0].removeprefix("file:")).rglob("*.arrow")] if folders else []
+    assert sum(pa.ipc.open_file(str(f)).read_all().num_rows for f in files) == len(lefts) + len(rights)  # not once for each block of days
+
+
 def test_long_range_has_few_nodes_and_all_meetings_are_pairs(spark):
     days = spark.sql("SELECT date'0001-01-01' AS s, date'9999-12-31' AS e UNION ALL SELECT date'1940-01-02', date'2026-07-30'")
     for asks in (True, False):
